@@ -35,7 +35,7 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     ``path`` may be a folder or a glob such as ``landing/bars/*/*.json``. Whole-file text
     reading keeps multi-line JSON intact; files are packed into read tasks by Spark.
     """
-    df = spark.read.option("wholetext", True).text(path)
+    df = spark.read.text(path, wholetext=True)
     fp = F.col("_metadata.file_path")
     return df.select(
         fp.alias("file_path"),
@@ -48,36 +48,42 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
 def _key_value(m: Column, key_lower: str) -> Column:
     """Value of the first map entry whose key equals ``key_lower`` ignoring case."""
     hits = F.filter(F.map_entries(m), lambda e: F.lower(e["key"]) == key_lower)
-    return F.element_at(hits, 1)["value"]
+    return F.try_element_at(hits, F.lit(1))["value"]
 
 
 def classify_payloads(
-    df: DataFrame, payload_col: str = "payload", status_col: str | None = None
+    df: DataFrame,
+    payload_col: str = "payload",
+    status_col: str | None = None,
+    expect: str | None = None,
 ) -> DataFrame:
     """Add ``payload_class`` (ok / error / quota / corrupt) and ``message``.
 
-    * an object with an ``Error Message`` key (any case) is ``error``;
+    * an object with an ``Error Message`` or ``error`` key (any case) is ``error``;
     * an object with an ``Information`` key (any case) is ``quota`` (a provider limit);
     * text that is not a JSON object or array, or an empty object, is ``corrupt``;
-    * a top-level array parses as records and is ``ok``;
+    * a top-level array that parses as records is ``ok``;
+    * ``expect="array"`` (bar files): an object in place of the array is ``error``;
+      ``expect="object"``: an array is ``corrupt``;
     * with ``status_col``, an HTTP status other than 200 is ``error``.
     """
     text = F.col(payload_col)
     is_array = F.ltrim(text).startswith("[")
     as_map = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
     as_arr = F.from_json(text, T.ArrayType(T.MapType(T.StringType(), T.StringType())))
-    err = _key_value(as_map, "error message")
+    err = F.coalesce(_key_value(as_map, "error message"), _key_value(as_map, "error"))
     info = _key_value(as_map, "information")
     has_key = lambda k: F.exists(F.map_keys(as_map), lambda x: F.lower(x) == k)
+    is_error = has_key("error message") | has_key("error")
+    cls = F.when(is_array & as_arr.isNull(), "corrupt")
+    cls = cls.when(is_array, "corrupt" if expect == "object" else "ok")
     cls = (
-        F.when(is_array & as_arr.isNull(), "corrupt")
-        .when(is_array, "ok")
-        .when(as_map.isNull() | (F.cardinality(as_map) == 0), "corrupt")
-        .when(has_key("error message"), "error")
+        cls.when(as_map.isNull() | (F.cardinality(as_map) == 0), "corrupt")
+        .when(is_error, "error")
         .when(has_key("information"), "quota")
-        .otherwise("ok")
     )
-    msg = F.when(cls == "error", err).when(cls == "quota", info)
+    cls = cls.otherwise("error" if expect == "array" else "ok")
+    msg = F.when(cls == "error", F.coalesce(err, F.when(~is_array, text))).when(cls == "quota", info)
     if status_col is not None:
         bad_status = F.col(status_col).isNotNull() & (F.col(status_col) != 200)
         msg = F.when(bad_status, F.concat(F.lit("HTTP status "), F.col(status_col).cast("string"))).otherwise(msg)
@@ -115,7 +121,7 @@ def shape_bars(raw: DataFrame, keep: Sequence[str] = ("series_id",)) -> DataFram
 
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
     """Landed bar files -> shaped bars of the good files (S1 + P1-P5)."""
-    good, _ = split_quarantine(classify_payloads(read_landed(spark, path)))
+    good, _ = split_quarantine(classify_payloads(read_landed(spark, path), expect="array"))
     return shape_bars(parse_bars(good))
 
 
