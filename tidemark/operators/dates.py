@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.keys import null_safe_join
+from tidemark.operators.keys import pack_series, series_cols, unpack_series
 
 # Calendar days generated per task-sized chunk before the round-robin spread.
 CALENDAR_CHUNK_DAYS = 64
@@ -93,20 +93,32 @@ def missing_dates(
 ) -> DataFrame:
     """Days between a series' first and last date that have no row: ``keys, missing_date``.
 
-    Plan: distinct ``(keys, date)`` (partial aggregate, shuffle on both), bounds per series,
-    calendar from the bounds, then a left anti join on ``(keys, date)``. The observed side
-    is already partitioned on the join keys, so only the calendar is shuffled; Catalyst or
-    AQE turns the join into a broadcast when the observed side is measured small.
+    Plan: distinct ``(series, date)`` (map-side partial aggregate, one shuffle on both), the
+    bounds per series from that distinct (its exchange is reused, so the input is scanned
+    once), the calendar from the bounds, then a left anti join on ``(series, date)``. The
+    series is a struct of the keys, so the join keys are exactly the distinct's partitioning:
+    a sort-merge join shuffles only the calendar, and AQE makes it a broadcast join when the
+    observed side is measured small.
     """
     keys = list(keys)
     if spread is None:
         spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    seen = observed_dates(df, date_col, keys)
-    bounds = seen.groupBy(*keys).agg(F.min("date").alias("earliest"), F.max("date").alias("latest"))
-    days = calendar(bounds, keys, weekdays_only=weekdays_only, spread=spread)
-    return null_safe_join(days, seen, [*keys, "date"], "left_anti").withColumnRenamed(
-        "date", "missing_date"
+    ks = series_cols(keys)
+    seen = (
+        df.select(*pack_series(keys), as_date(df, date_col).alias("date"))
+        .where(F.col("date").isNotNull())
+        .distinct()
+    )
+    # The day count keeps the optimizer from folding the distinct into the bounds
+    # aggregate, so both branches read the same distinct exchange (one scan of the input).
+    bounds = (
+        seen.groupBy(*ks)
+        .agg(F.min("date").alias("earliest"), F.max("date").alias("latest"), F.count(F.lit(1)).alias("n_days"))
+        .where(F.col("n_days") > 0)
     )
+    days = calendar(bounds, ks, weekdays_only=weekdays_only, spread=spread)
+    missing = days.join(seen, on=[*ks, "date"], how="left_anti")
+    return unpack_series(missing, keys).withColumnRenamed("date", "missing_date")
 
 
 def duplicate_dates(df: DataFrame, date_col: str, keys: Sequence[str] = ()) -> DataFrame:

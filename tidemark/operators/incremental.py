@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import date_text
 from tidemark.operators.dates import as_date
-from tidemark.operators.keys import null_safe_join
+from tidemark.operators.keys import null_safe_join, pack_series, series_cols
 
 # Fixed value: first date asked for on a first load (project configuration).
 DEFAULT_START_DATE = dt.date(2020, 11, 1)
@@ -42,15 +42,20 @@ def after_high_water_mark(
 
     A series absent from ``table`` keeps all its rows (first load). Idempotent: applying it
     twice gives the same rows (F1). Without keys the mark is a scalar subquery, not a join.
+    The marks side has one row per series: AQE broadcasts it once measured small; beyond
+    that the sort-merge join keys are the marks' own partitioning, and AQE splits the
+    increment's partitions of a hot series over several tasks.
     """
     keys = list(keys)
     if not keys:
         mark = table.select(F.max(date_col)).scalar()
         return increment.where(F.col(date_col) > mark)
-    marks = high_water_marks(table, date_col, keys)
-    joined = null_safe_join(increment, marks, keys, "left")
+    ks = series_cols(keys)
+    marks = table.groupBy(*pack_series(keys)).agg(F.max(date_col).alias("__hwm"))
+    probe = increment.select("*", *pack_series(keys))
+    joined = probe.join(marks, on=ks, how="left")
     return joined.where(
-        F.col("hwm").isNull() | (F.col(date_col) > F.col("hwm"))
+        F.col("__hwm").isNull() | (F.col(date_col) > F.col("__hwm"))
     ).select(*increment.columns)
 
 
@@ -141,10 +146,11 @@ def apply_backfill(
     has no hot key even when one series dominates.
     """
     keys = list(keys)
+    ks = series_cols(keys)
     have = (
-        table.select(*keys, as_date(table, date_col).alias("__d"))
+        table.select(*pack_series(keys), as_date(table, date_col).alias("__d"))
         .where(F.col("__d").isNotNull())
         .distinct()
     )
-    probe = landed.withColumn("__d", as_date(landed, date_col))
-    return null_safe_join(probe, have, [*keys, "__d"], "left_anti").drop("__d")
+    probe = landed.select("*", *pack_series(keys), as_date(landed, date_col).alias("__d"))
+    return probe.join(have, on=[*ks, "__d"], how="left_anti").select(*landed.columns)

@@ -28,3 +28,29 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     if how in ("left_anti", "leftanti", "anti", "left_semi", "leftsemi", "semi"):
         return out
     return out.drop(*renamed.values())
+
+
+SERIES = "__series"
+
+
+def pack_series(keys: Sequence[str]) -> list:
+    """Columns standing for the series: one struct of the key columns (empty for one series).
+
+    Struct equality treats NULL fields as equal, so a plain equi-join or grouping on the
+    struct keeps NULL series ids together while the join keys stay the very columns the
+    preceding aggregate was partitioned on (no extra shuffle before a sort-merge join).
+    """
+    keys = list(keys)
+    return [F.struct(*keys).alias(SERIES)] if keys else []
+
+
+def series_cols(keys: Sequence[str]) -> list[str]:
+    return [SERIES] if list(keys) else []
+
+
+def unpack_series(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    keys = list(keys)
+    if not keys:
+        return df
+    rest = [c for c in df.columns if c != SERIES]
+    return df.select(*[F.col(SERIES)[k].alias(k) for k in keys], *rest)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,12 +45,6 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _key_value(m: Column, key_lower: str) -> Column:
-    """Value of the first map entry whose key equals ``key_lower`` ignoring case."""
-    hits = F.filter(F.map_entries(m), lambda e: F.lower(e["key"]) == key_lower)
-    return F.try_element_at(hits, F.lit(1))["value"]
-
-
 def classify_payloads(
     df: DataFrame,
     payload_col: str = "payload",
@@ -66,29 +60,43 @@ def classify_payloads(
     * ``expect="array"`` (bar files): an object in place of the array is ``error``;
       ``expect="object"``: an array is ``corrupt``;
     * with ``status_col``, an HTTP status other than 200 is ``error``.
+
+    Each payload is parsed once into a column (the optimizer keeps an expensive expression
+    that is used many times in its own projection) and keys are looked up by position in
+    the lower-cased key array, so the classification itself needs no lambdas.
     """
     text = F.col(payload_col)
     is_array = F.ltrim(text).startswith("[")
-    as_map = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
-    as_arr = F.from_json(text, T.ArrayType(T.MapType(T.StringType(), T.StringType())))
-    err = F.coalesce(_key_value(as_map, "error message"), _key_value(as_map, "error"))
-    info = _key_value(as_map, "information")
-    has_key = lambda k: F.exists(F.map_keys(as_map), lambda x: F.lower(x) == k)
-    is_error = has_key("error message") | has_key("error")
-    cls = F.when(is_array & as_arr.isNull(), "corrupt")
-    cls = cls.when(is_array, "corrupt" if expect == "object" else "ok")
+    parsed = df.select(
+        "*",
+        is_array.alias("__is_arr"),
+        F.when(is_array, F.from_json(text, T.ArrayType(T.MapType(T.StringType(), T.StringType())))).alias("__arr"),
+        F.when(~is_array, F.from_json(text, T.MapType(T.StringType(), T.StringType()))).alias("__map"),
+    )
+    keys = F.transform(F.map_keys("__map"), F.lower)
+    with_keys = parsed.select("*", keys.alias("__keys"))
+
+    def value_of(key_lower: str):
+        pos = F.array_position(F.col("__keys"), key_lower).cast("int")
+        return F.when(pos > 0, F.element_at(F.map_values("__map"), pos))
+
+    has = lambda k: F.array_contains(F.col("__keys"), k)
+    is_error = has("error message") | has("error")
+    cls = F.when(F.col("__is_arr") & F.col("__arr").isNull(), "corrupt")
+    cls = cls.when(F.col("__is_arr"), "corrupt" if expect == "object" else "ok")
     cls = (
-        cls.when(as_map.isNull() | (F.cardinality(as_map) == 0), "corrupt")
+        cls.when(F.col("__map").isNull() | (F.cardinality("__map") == 0), "corrupt")
         .when(is_error, "error")
-        .when(has_key("information"), "quota")
+        .when(has("information"), "quota")
     )
     cls = cls.otherwise("error" if expect == "array" else "ok")
-    msg = F.when(cls == "error", F.coalesce(err, F.when(~is_array, text))).when(cls == "quota", info)
+    err = F.coalesce(value_of("error message"), value_of("error"), F.when(~F.col("__is_arr"), text))
+    msg = F.when(cls == "error", err).when(cls == "quota", value_of("information"))
     if status_col is not None:
         bad_status = F.col(status_col).isNotNull() & (F.col(status_col) != 200)
         msg = F.when(bad_status, F.concat(F.lit("HTTP status "), F.col(status_col).cast("string"))).otherwise(msg)
         cls = F.when(bad_status, "error").otherwise(cls)
-    return df.withColumn("payload_class", cls).withColumn("message", msg)
+    return with_keys.select(*df.columns, cls.alias("payload_class"), msg.alias("message"))
 
 
 def split_quarantine(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
