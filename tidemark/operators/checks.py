@@ -45,28 +45,51 @@ def column_test_report(
     """``model, column_name, test, n_failing, passed`` for ``(column, test)`` pairs.
 
     ``test`` is ``unique`` (number of values seen more than once) or ``not_null`` (number
-    of NULL rows).
+    of NULL rows). However many columns are tested, the table is read twice at most: all
+    not_null tests are one global aggregate, and all unique tests are one grouping-sets
+    aggregate (one scan, one shuffle, partial counts on the map side).
     """
-    parts = []
-    for column, test in tests:
-        if test == "unique":
-            failing = check_unique(df, column).select(F.count(F.lit(1)).alias("n_failing"))
-        elif test == "not_null":
-            failing = count_not_null_failures(df, column)
-        else:
+    tests = list(tests)
+    for _, test in tests:
+        if test not in ("unique", "not_null"):
             raise ValueError(f"unknown column test {test!r}")
-        parts.append(
-            failing.select(
-                F.lit(model).alias("model"),
-                F.lit(column).alias("column_name"),
-                F.lit(test).alias("test"),
-                F.col("n_failing").cast("bigint").alias("n_failing"),
-                (F.col("n_failing") == 0).alias("passed"),
-            )
-        )
-    if not parts:
+    if not tests:
         raise ValueError("no tests given")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    nn_cols = list(dict.fromkeys(c for c, t in tests if t == "not_null"))
+    uq_cols = list(dict.fromkeys(c for c, t in tests if t == "unique"))
+    parts = []
+    if nn_cols:
+        nn = df.select(
+            *[F.count_if(F.col(c).isNull()).cast("bigint").alias(f"n{i}") for i, c in enumerate(nn_cols)]
+        )
+        parts.append((nn, [(c, "not_null", f"n{i}") for i, c in enumerate(nn_cols)]))
+    if uq_cols:
+        width = len(uq_cols)
+        grouped = df.groupingSets([[c] for c in uq_cols], *uq_cols).agg(
+            F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__g")
+        )
+        # grouping_id has a 1 bit for every column not in the set, leftmost column highest.
+        gid = {c: (1 << width) - 1 - (1 << (width - 1 - i)) for i, c in enumerate(uq_cols)}
+        uq = grouped.agg(
+            *[
+                F.count_if((F.col("__g") == gid[c]) & F.col(c).isNotNull() & (F.col("__n") > 1))
+                .cast("bigint")
+                .alias(f"u{i}")
+                for i, c in enumerate(uq_cols)
+            ]
+        )
+        parts.append((uq, [(c, "unique", f"u{i}") for i, c in enumerate(uq_cols)]))
+    # Each one-row frame becomes one row per test.
+    rows = None
+    for frame, names in parts:
+        long = frame.unpivot([], [a for _, _, a in names], "__var", "n_failing")
+        label = F.create_map(*[x for c, t, a in names for x in (F.lit(a), F.array(F.lit(c), F.lit(t)))])
+        long = long.select(
+            F.lit(model).alias("model"),
+            label[F.col("__var")][0].alias("column_name"),
+            label[F.col("__var")][1].alias("test"),
+            F.col("n_failing").cast("bigint").alias("n_failing"),
+            (F.col("n_failing") == 0).alias("passed"),
+        )
+        rows = long if rows is None else rows.unionByName(long)
+    return rows
