@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import apply_types, clean_column_names, split_datetime, to_numeric
 from tidemark.operators.checks import check_unique, column_test_report, count_not_null_failures
-from tidemark.operators.dates import duplicate_dates, missing_dates
+from tidemark.operators.dates import date_bounds, duplicate_dates, missing_dates
+from tidemark.operators.fill import fill_daily
 from tidemark.operators.incremental import (
     after_high_water_mark,
     apply_backfill,
@@ -27,7 +28,16 @@ from tidemark.operators.incremental import (
 )
 from tidemark.operators.rows import dedupe_rows, duplicate_row_count, profile_series
 from tidemark.sources.catalog import schedule
-from tidemark.sources.landing import classify_payloads, explode_json_object
+from tidemark.sources.landing import (
+    classify_payloads,
+    explode_json_object,
+    melt_values,
+    parse_bars,
+    parse_indicator,
+    parse_keyed_series,
+    shape_bars,
+    split_quarantine,
+)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -498,3 +508,198 @@ def q_column_tests(spark, sf_dir):
 def q_top_n(spark, sf_dir):
     # The feature is a 100-row sample of the table; a total order makes it deterministic.
     return table(spark, sf_dir, "orders").orderBy("o_orderdate", "o_orderkey").limit(100)
+
+
+# --- more calendar forms (A7, A9 weekday calendar, F1 single series) ----------------------
+
+
+@register(
+    "date_bounds",
+    """
+SELECT o_orderpriority, min(CAST(o_orderdate AS DATE)) AS earliest, max(CAST(o_orderdate AS DATE)) AS latest
+FROM orders GROUP BY o_orderpriority
+""",
+)
+def q_date_bounds(spark, sf_dir):
+    return date_bounds(table(spark, sf_dir, "orders"), "o_orderdate", ["o_orderpriority"])
+
+
+@register(
+    "missing_weekdays",
+    _MISSING_ORDERS_SQL.replace(
+        "WHERE NOT EXISTS (", "WHERE isodow(CAST(ts AS DATE)) < 6 AND NOT EXISTS ("
+    )
+    + "SELECT o_orderpriority, missing_date FROM missing",
+)
+def q_missing_weekdays(spark, sf_dir):
+    return missing_dates(table(spark, sf_dir, "orders"), "o_orderdate", ["o_orderpriority"], weekdays_only=True)
+
+
+@register(
+    "after_high_water_mark_single",
+    """
+SELECT * FROM orders
+WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00')
+""",
+)
+def q_after_high_water_mark_single(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    stored = orders.where(F.col("o_orderdate") < F.expr(STORED_BEFORE))
+    return after_high_water_mark(orders, stored, "o_orderdate")
+
+
+# --- daily grid with filled values (I2) ---------------------------------------------------
+
+
+@register(
+    "fill_daily",
+    """
+WITH daily AS (
+  SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS d, CAST(count(o_orderkey) AS DOUBLE) AS v
+  FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2),
+b AS (SELECT o_orderpriority, min(d) AS lo, max(d) AS hi FROM daily GROUP BY 1),
+cal AS (
+  SELECT o_orderpriority,
+         CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
+  FROM b),
+g AS (
+  SELECT c.o_orderpriority, c.d, daily.v,
+         CASE WHEN daily.v IS NOT NULL THEN c.d END AS seen
+  FROM cal c LEFT JOIN daily ON c.o_orderpriority = daily.o_orderpriority AND c.d = daily.d),
+w AS (
+  SELECT o_orderpriority, d, v,
+    last_value(v IGNORE NULLS) OVER (PARTITION BY o_orderpriority ORDER BY d
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
+    last_value(seen IGNORE NULLS) OVER (PARTITION BY o_orderpriority ORDER BY d
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pd,
+    first_value(v IGNORE NULLS) OVER (PARTITION BY o_orderpriority ORDER BY d
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv,
+    first_value(seen IGNORE NULLS) OVER (PARTITION BY o_orderpriority ORDER BY d
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nd
+  FROM g)
+SELECT o_orderpriority, d AS date, v AS value, pv AS value_ffill,
+  CASE WHEN v IS NOT NULL THEN v
+       WHEN pv IS NOT NULL AND nv IS NOT NULL AND date_diff('day', pd, nd) > 0
+         THEN pv + (nv - pv) * CAST(date_diff('day', pd, d) AS DOUBLE) / CAST(date_diff('day', pd, nd) AS DOUBLE)
+  END AS value_linear
+FROM w
+""",
+)
+def q_fill_daily(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return fill_daily(orders, "o_orderdate", "o_orderkey", ["o_orderpriority"], agg="count")
+
+
+# --- payload readers over payloads derived from the tables (S1, S2, S3, S4) ---------------
+
+_ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
+def _events_time_text(col):
+    return F.date_format(col, _ISO)
+
+
+@register(
+    "parse_bars",
+    """
+SELECT event_type AS series_id,
+       CAST(ts AS DATE) AS date_period_start,
+       CASE WHEN strftime(ts, '%f') = '000000' THEN strftime(ts, '%H:%M:%S') ELSE strftime(ts, '%H:%M:%S.%f') END AS time_period_start,
+       CAST(ts + INTERVAL 1 DAY AS DATE) AS date_period_end,
+       CASE WHEN strftime(ts, '%f') = '000000' THEN strftime(ts, '%H:%M:%S') ELSE strftime(ts, '%H:%M:%S.%f') END AS time_period_end,
+       CAST(ts AS DATE) AS date_open,
+       CASE WHEN strftime(ts, '%f') = '000000' THEN strftime(ts, '%H:%M:%S') ELSE strftime(ts, '%H:%M:%S.%f') END AS time_open,
+       CAST(ts AS DATE) AS date_close,
+       '23:59:59' AS time_close,
+       value AS price_open, value AS price_close, value + 1 AS price_high, value - 1 AS price_low,
+       CAST(props->>'$.k' AS DOUBLE) AS volume_traded, user_id AS trades_count
+FROM events
+""",
+)
+def q_parse_bars(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    bar = F.struct(
+        _events_time_text("ts").alias("time_period_start"),
+        _events_time_text(F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("time_period_end"),
+        _events_time_text("ts").alias("time_open"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("T23:59:59.0000000Z")).alias("time_close"),
+        F.col("value").alias("price_open"),
+        (F.col("value") + 1).alias("price_high"),
+        (F.col("value") - 1).alias("price_low"),
+        F.col("value").alias("price_close"),
+        F.get_json_object("props", "$.k").cast("double").alias("volume_traded"),
+        F.col("user_id").alias("trades_count"),
+    )
+    landed = ev.select(F.col("event_type").alias("series_id"), F.to_json(F.array(bar)).alias("payload"))
+    good, _ = split_quarantine(classify_payloads(landed, expect="array"))
+    return shape_bars(parse_bars(good))
+
+
+@register(
+    "parse_keyed_series",
+    """
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS date,
+       CAST(value AS VARCHAR) AS "1__open", CAST(value + 1 AS VARCHAR) AS "2__high",
+       CAST(value - 1 AS VARCHAR) AS "3__low", CAST(value AS VARCHAR) AS "4__close",
+       props->>'$.k' AS "5__volume"
+FROM events
+""",
+)
+def q_parse_keyed_series(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    bar = F.create_map(
+        F.lit("1. open"), F.col("value").cast("string"),
+        F.lit("2. high"), (F.col("value") + 1).cast("string"),
+        F.lit("3. low"), (F.col("value") - 1).cast("string"),
+        F.lit("4. close"), F.col("value").cast("string"),
+        F.lit("5. volume"), F.get_json_object("props", "$.k"),
+    )
+    payload = F.to_json(
+        F.create_map(F.lit("Time Series (Daily)"), F.create_map(F.date_format("ts", "yyyy-MM-dd"), bar))
+    )
+    landed = ev.select("event_id", payload.alias("payload"))
+    return parse_keyed_series(landed)
+
+
+@register(
+    "parse_indicator",
+    """
+SELECT event_id, event_type AS name, 'daily' AS "interval", 'count' AS unit,
+       CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date, CAST(props->>'$.k' AS DOUBLE) AS value
+FROM events
+UNION ALL
+SELECT event_id, event_type, 'daily', 'count',
+       CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS TIMESTAMP), CAST(NULL AS DOUBLE)
+FROM events
+""",
+)
+def q_parse_indicator(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    day = F.to_date("ts")
+    payload = F.to_json(
+        F.struct(
+            F.col("event_type").alias("name"),
+            F.lit("daily").alias("interval"),
+            F.lit("count").alias("unit"),
+            F.array(
+                F.struct(F.date_format(day, "yyyy-MM-dd").alias("date"), F.get_json_object("props", "$.k").alias("value")),
+                F.struct(F.date_format(F.date_add(day, 1), "yyyy-MM-dd").alias("date"), F.lit(".").alias("value")),
+            ).alias("data"),
+        )
+    )
+    return parse_indicator(ev.select("event_id", payload.alias("payload")))
+
+
+@register(
+    "table_dump_long",
+    """
+SELECT l_orderkey, l_linenumber, field, value FROM (
+  SELECT l_orderkey, l_linenumber, 'l_quantity' AS field, l_quantity AS value FROM lineitem
+  UNION ALL SELECT l_orderkey, l_linenumber, 'l_extendedprice', l_extendedprice FROM lineitem
+  UNION ALL SELECT l_orderkey, l_linenumber, 'l_discount', l_discount FROM lineitem
+  UNION ALL SELECT l_orderkey, l_linenumber, 'l_tax', l_tax FROM lineitem)
+""",
+)
+def q_table_dump_long(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return melt_values(li, ["l_orderkey", "l_linenumber"], ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
