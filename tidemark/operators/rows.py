@@ -68,10 +68,11 @@ def profile_series(
     from it counts 0).
     """
     keys = list(keys)
-    copies = row_copies(df.withColumn("__d", as_date(df, date_col)))
+    copies = row_copies(df)
+    d = as_date(copies, date_col)
     prof = copies.groupBy(*keys).agg(
-        F.min("__d").alias("min_date"),
-        F.max("__d").alias("max_date"),
+        F.min(d).alias("min_date"),
+        F.max(d).alias("max_date"),
         F.coalesce(F.sum(_COPIES), F.lit(0)).cast("bigint").alias("n_rows"),
         F.count(F.lit(1)).cast("bigint").alias("n_unique_rows"),
     )
