@@ -26,7 +26,6 @@ BAD_NAME_CHARS = [
 NUMERIC_TEXT = (
     r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 )
-_EDGE_SPACE = r"^\s+|\s+$"
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
@@ -42,10 +41,8 @@ def to_numeric(c: ColumnOrName) -> Column:
     decides first. NaN never comes out: "nan" is refused by the guard.
     """
     v = _col(c).cast("string")
-    return F.when(
-        v.rlike(NUMERIC_TEXT),
-        F.regexp_replace(v, _EDGE_SPACE, "").try_cast("double"),
-    )
+    # The cast itself trims surrounding white space.
+    return F.when(v.rlike(NUMERIC_TEXT), v.try_cast("double"))
 
 
 def to_utc_ntz(c: ColumnOrName) -> Column:
@@ -85,13 +82,19 @@ def split_datetime(
     name is reused as an output is replaced, as the reference overwrites its time columns.
     One projection, whatever the number of columns.
     """
+    # Parse each source once into its own column; the optimizer does not inline an
+    # expensive expression that is used several times, so the parse runs once per row.
+    parsed = {src: f"__ts{i}" for i, src in enumerate(columns)}
+    staged = df.select("*", *[
+        (to_utc_ntz(src) if parse_text else F.col(src)).alias(tmp) for src, tmp in parsed.items()
+    ])
     outputs: dict[str, Column] = {}
     for src, (date_name, time_name) in columns.items():
-        ts = to_utc_ntz(src) if parse_text else F.col(src)
+        ts = F.col(parsed[src])
         outputs[date_name] = F.to_date(ts)
         outputs[time_name] = time_of_day(ts)
     keep = [F.col(c) for c in df.columns if c not in outputs]
-    return df.select(*keep, *[col.alias(name) for name, col in outputs.items()])
+    return staged.select(*keep, *[col.alias(name) for name, col in outputs.items()])
 
 
 def apply_types(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:

@@ -50,17 +50,17 @@ class Family:
     expect: str | None = None
 
 
-def _bars(good: DataFrame) -> DataFrame:
-    return shape_bars(parse_bars(good))
+def _bars(classified: DataFrame) -> DataFrame:
+    return shape_bars(parse_bars(classified))
 
 
-def _keyed(good: DataFrame) -> DataFrame:
-    rows = parse_keyed_series(good)
+def _keyed(classified: DataFrame) -> DataFrame:
+    rows = parse_keyed_series(classified)
     return rows.withColumn("date", F.col("date").try_cast("timestamp_ntz")).drop("file_path", "fetch_name")
 
 
-def _indicator(good: DataFrame) -> DataFrame:
-    return parse_indicator(good).drop("file_path", "fetch_name")
+def _indicator(classified: DataFrame) -> DataFrame:
+    return parse_indicator(classified).drop("file_path", "fetch_name")
 
 
 FAMILIES = {
@@ -141,9 +141,9 @@ def load_landed(
     fam = FAMILIES[family]
     source = landed if landed is not None else read_landed(spark, path)
     classified = classify_payloads(source, expect=fam.expect)
-    good, bad = split_quarantine(classified)
+    _, bad = split_quarantine(classified)
     quarantine(bad, family)
-    rows = fam.parse(good)
+    rows = fam.parse(classified)
     return load_increment(rows, fam.table, fam.date_col)
 
 

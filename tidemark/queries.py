@@ -36,7 +36,6 @@ from tidemark.sources.landing import (
     parse_indicator,
     parse_keyed_series,
     shape_bars,
-    split_quarantine,
 )
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -631,8 +630,7 @@ def q_parse_bars(spark, sf_dir):
         F.col("user_id").alias("trades_count"),
     )
     landed = ev.select(F.col("event_type").alias("series_id"), F.to_json(F.array(bar)).alias("payload"))
-    good, _ = split_quarantine(classify_payloads(landed, expect="array"))
-    return shape_bars(parse_bars(good))
+    return shape_bars(parse_bars(classify_payloads(landed, expect="array")))
 
 
 @register(

@@ -12,21 +12,23 @@ D = T.DoubleType()
 L = T.LongType()
 DT = T.DateType()
 
-# Fields of one daily bar as the provider lands it. Numbers are read as text and typed
-# afterwards, so a number sent as a JSON string is not lost.
-BAR_FIELDS = [
-    "time_period_start",
-    "time_period_end",
-    "time_open",
-    "time_close",
-    "price_open",
-    "price_high",
-    "price_low",
-    "price_close",
-    "volume_traded",
-    "trades_count",
-]
-RAW_BAR = T.StructType([T.StructField(f, S) for f in BAR_FIELDS])
+# Fields of one daily bar as the provider lands it: ISO time text and JSON numbers. Numbers
+# are read as numbers (reading a JSON number into a text field re-serialises every value).
+RAW_BAR = T.StructType(
+    [
+        T.StructField("time_period_start", S),
+        T.StructField("time_period_end", S),
+        T.StructField("time_open", S),
+        T.StructField("time_close", S),
+        T.StructField("price_open", D),
+        T.StructField("price_high", D),
+        T.StructField("price_low", D),
+        T.StructField("price_close", D),
+        T.StructField("volume_traded", D),
+        T.StructField("trades_count", L),
+    ]
+)
+BAR_FIELDS = RAW_BAR.fieldNames()
 RAW_BARS_PAYLOAD = T.ArrayType(RAW_BAR)
 
 # Stored crypto table: 14 columns in this order (fixed values).

@@ -56,51 +56,62 @@ def classify_payloads(
     * an object with an ``Error Message`` or ``error`` key (any case) is ``error``;
     * an object with an ``Information`` key (any case) is ``quota`` (a provider limit);
     * text that is not a JSON object or array, or an empty object, is ``corrupt``;
-    * a top-level array that parses as records is ``ok``;
+    * a valid top-level JSON array is ``ok`` (records are read by the parsers);
     * ``expect="array"`` (bar files): an object in place of the array is ``error``;
       ``expect="object"``: an array is ``corrupt``;
     * with ``status_col``, an HTTP status other than 200 is ``error``.
 
-    Each payload is parsed once into a column (the optimizer keeps an expensive expression
-    that is used many times in its own projection) and keys are looked up by position in
-    the lower-cased key array, so the classification itself needs no lambdas.
+    Validation walks the text without building values (``json_array_length`` for arrays,
+    ``json_object_keys`` for objects); the full map is parsed only for error and quota
+    payloads, to read their message. Keys are matched by position in the lower-cased key
+    array, so no lambda is needed per test.
     """
     text = F.col(payload_col)
     is_array = F.ltrim(text).startswith("[")
-    parsed = df.select(
+    staged = df.select(
         "*",
         is_array.alias("__is_arr"),
-        F.when(is_array, F.from_json(text, T.ArrayType(T.MapType(T.StringType(), T.StringType())))).alias("__arr"),
-        F.when(~is_array, F.from_json(text, T.MapType(T.StringType(), T.StringType()))).alias("__map"),
+        F.when(is_array, F.json_array_length(text)).alias("__len"),
+        F.when(~is_array, F.transform(F.json_object_keys(text), F.lower)).alias("__keys"),
     )
-    keys = F.transform(F.map_keys("__map"), F.lower)
-    with_keys = parsed.select("*", keys.alias("__keys"))
-
-    def value_of(key_lower: str):
-        pos = F.array_position(F.col("__keys"), key_lower).cast("int")
-        return F.when(pos > 0, F.element_at(F.map_values("__map"), pos))
-
     has = lambda k: F.array_contains(F.col("__keys"), k)
     is_error = has("error message") | has("error")
-    cls = F.when(F.col("__is_arr") & F.col("__arr").isNull(), "corrupt")
+    cls = F.when(F.col("__is_arr") & F.col("__len").isNull(), "corrupt")
     cls = cls.when(F.col("__is_arr"), "corrupt" if expect == "object" else "ok")
     cls = (
-        cls.when(F.col("__map").isNull() | (F.cardinality("__map") == 0), "corrupt")
+        cls.when(F.col("__keys").isNull() | (F.size("__keys") == 0), "corrupt")
         .when(is_error, "error")
         .when(has("information"), "quota")
     )
     cls = cls.otherwise("error" if expect == "array" else "ok")
+    classified = staged.select("*", cls.alias("payload_class"))
+
+    values = F.map_values(F.from_json(text, T.MapType(T.StringType(), T.StringType())))
+
+    def value_of(key_lower: str):
+        pos = F.array_position(F.col("__keys"), key_lower).cast("int")
+        return F.when(pos > 0, F.element_at(values, pos))
+
     err = F.coalesce(value_of("error message"), value_of("error"), F.when(~F.col("__is_arr"), text))
-    msg = F.when(cls == "error", err).when(cls == "quota", value_of("information"))
+    msg = F.when(F.col("payload_class") == "error", err).when(
+        F.col("payload_class") == "quota", value_of("information")
+    )
     if status_col is not None:
         bad_status = F.col(status_col).isNotNull() & (F.col(status_col) != 200)
         msg = F.when(bad_status, F.concat(F.lit("HTTP status "), F.col(status_col).cast("string"))).otherwise(msg)
-        cls = F.when(bad_status, "error").otherwise(cls)
-    return with_keys.select(*df.columns, cls.alias("payload_class"), msg.alias("message"))
+        final_cls = F.when(bad_status, "error").otherwise(F.col("payload_class"))
+    else:
+        final_cls = F.col("payload_class")
+    return classified.select(*df.columns, final_cls.alias("payload_class"), msg.alias("message"))
 
 
 def split_quarantine(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good files, quarantined files) from the output of ``classify_payloads``."""
+    """(good files, quarantined files) from the output of ``classify_payloads``.
+
+    The ``parse_*`` functions take the classified frame as it is and skip bad payloads
+    inside their generator; filtering on the class first would make the optimizer copy the
+    whole classification into the filter condition.
+    """
     ok = F.col("payload_class") == "ok"
     return classified.where(ok), classified.where(~ok)
 
@@ -109,11 +120,19 @@ def _carry(df: DataFrame, payload_col: str) -> list[str]:
     return [c for c in df.columns if c not in (payload_col, "payload_class", "message")]
 
 
+def _when_ok(df: DataFrame, expr):
+    """``expr`` for good payloads only (NULL, hence no generated rows, for the others)."""
+    if "payload_class" in df.columns:
+        return F.when(F.col("payload_class") == "ok", expr)
+    return expr
+
+
 def parse_bars(df: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """Top-level array of bar records -> one raw row per bar, all fields as text."""
+    """Top-level array of bar records -> one raw row per bar: time fields as text, prices,
+    volume and trade count as numbers (S1)."""
     carry = _carry(df, payload_col)
-    recs = F.from_json(F.col(payload_col), schemas.RAW_BARS_PAYLOAD)
-    return df.select(*carry, F.inline_outer(recs)).where(
+    recs = _when_ok(df, F.from_json(F.col(payload_col), schemas.RAW_BARS_PAYLOAD))
+    return df.select(*carry, F.inline(recs)).where(
         F.col("time_period_start").isNotNull() | F.col("time_open").isNotNull()
     )
 
@@ -129,8 +148,7 @@ def shape_bars(raw: DataFrame, keep: Sequence[str] = ("series_id",)) -> DataFram
 
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
     """Landed bar files -> shaped bars of the good files (S1 + P1-P5)."""
-    good, _ = split_quarantine(classify_payloads(read_landed(spark, path), expect="array"))
-    return shape_bars(parse_bars(good))
+    return shape_bars(parse_bars(classify_payloads(read_landed(spark, path), expect="array")))
 
 
 def explode_json_object(df: DataFrame, json_col: str, key: str = "key", value: str = "value") -> DataFrame:
@@ -159,7 +177,7 @@ def parse_keyed_series(
     """
     carry = _carry(df, payload_col)
     schema = T.StructType([T.StructField(root_key, T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))])
-    parsed = F.from_json(F.col(payload_col), schema)[root_key]
+    parsed = _when_ok(df, F.from_json(F.col(payload_col), schema)[root_key])
     rows = df.select(*carry, F.explode(parsed).alias("date", "__kv"))
     if labels is None:
         return rows.select(*carry, "date", F.array_sort(F.map_entries("__kv")).alias("vals"))
@@ -186,11 +204,16 @@ def parse_indicator(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     """
     carry = _carry(df, payload_col)
     text = F.col(payload_col)
-    obj = F.from_json(text, schemas.INDICATOR_PAYLOAD)
-    arr = F.from_json(text, T.ArrayType(schemas.INDICATOR_RECORD))
-    records = F.when(F.ltrim(text).startswith("["), arr).otherwise(obj["data"])
-    meta = [obj[f].alias(f) for f in ("name", "interval", "unit")]
-    rows = df.select(*carry, *meta, F.explode(records).alias("__r"))
+    is_array = F.ltrim(text).startswith("[")
+    parsed = df.select(
+        *carry,
+        *([F.col("payload_class")] if "payload_class" in df.columns else []),
+        F.when(~is_array, F.from_json(text, schemas.INDICATOR_PAYLOAD)).alias("__obj"),
+        F.when(is_array, F.from_json(text, T.ArrayType(schemas.INDICATOR_RECORD))).alias("__arr"),
+    )
+    records = _when_ok(parsed, F.coalesce(F.col("__arr"), F.col("__obj.data")))
+    meta = [F.col("__obj")[f].alias(f) for f in ("name", "interval", "unit")]
+    rows = parsed.select(*carry, *meta, F.explode(records).alias("__r"))
     return rows.select(
         *carry,
         "name",

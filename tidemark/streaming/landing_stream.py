@@ -41,9 +41,9 @@ def _batch_loader(family: str):
     def load(batch: DataFrame, epoch_id: int) -> None:
         # The batch carries its own (cloned) session; use it, not the caller's.
         classified = classify_payloads(batch, expect=fam.expect)
-        good, bad = split_quarantine(classified)
+        _, bad = split_quarantine(classified)
         quarantine(bad, family)
-        load_increment(fam.parse(good), fam.table, fam.date_col)
+        load_increment(fam.parse(classified), fam.table, fam.date_col)
         batch.sparkSession.catalog.refreshTable(fam.table)
 
     return load
