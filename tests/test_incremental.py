@@ -84,3 +84,12 @@ def test_backfill(spark):
     )
     kept = apply_backfill(df, landed, "date_period_start", ["series_id"]).collect()
     assert [r.date_period_start for r in kept] == [D(2020, 11, 3)]
+
+
+def test_interval_violations_only_cpi(spark):
+    from tidemark.sources.catalog import interval_violations
+
+    bad = interval_violations(source_catalog(spark)).collect()
+    assert [(r.series_id, r.interval, sorted(r.allowed_intervals)) for r in bad] == [
+        ("cpi", "daily", ["monthly", "semiannual"])
+    ]

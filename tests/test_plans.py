@@ -110,3 +110,24 @@ def test_landing_stream_available_now(spark, fresh_db, tmp_dir):
     spark.catalog.refreshTable("crypto_bars")
     # only the rows after 2020-11-02 of the second file are new; replays add nothing
     assert spark.table("crypto_bars").count() == 4
+
+
+def test_table_dump_family_and_views(spark, fresh_db, tmp_dir):
+    import os
+
+    root = f"{tmp_dir}/dumps"
+    for sid, text in {
+        "lbma_gold": "Date,USD (AM),USD (PM)\n2024-01-02,2040,2045.25\n2024-01-03,2050.5,\n",
+        "fred_gdp": "Date,Value\n2023-10-01,27000.5\n",
+        "ml_usey": '{"quandl_error": {"code": "QELx04", "message": "limit"}}',
+    }.items():
+        os.makedirs(f"{root}/{sid}", exist_ok=True)
+        with open(f"{root}/{sid}/2024-01-04.csv", "w") as f:
+            f.write(text)
+    m = load_landed(spark, f"{root}/*/*.csv", "table_dump")
+    assert m["rows"] == 3
+    assert {(r.series_id, r.payload_class) for r in spark.table("payload_quarantine").collect()} == {("ml_usey", "error")}
+    create_series_views(spark, "table_dumps", ["lbma_gold", "fred_gdp"])
+    gold = {r.date: (r.USD__AM_, r.USD__PM_) for r in spark.table("lbma_gold").collect()}
+    assert gold == {dt.date(2024, 1, 2): (2040.0, 2045.25), dt.date(2024, 1, 3): (2050.5, None)}
+    assert [r.Value for r in spark.table("fred_gdp").collect()] == [27000.5]

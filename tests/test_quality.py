@@ -135,3 +135,11 @@ def test_duplicate_dates_partial_aggregate(spark):
     plan = duplicate_dates(df, "date_period_start", ["series_id"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
     assert F is not None
+
+
+def test_missing_column_is_named(spark):
+    df = bars_frame(spark)
+    with pytest.raises(ValueError, match="date"):
+        missing_dates(df, "date", ["series_id"])
+    with pytest.raises(ValueError, match="nope"):
+        profile_series(df, "date_period_start", ["nope"])

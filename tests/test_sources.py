@@ -105,3 +105,22 @@ def test_table_dump_long_forms(spark, tmp_dir):
     assert [e.field for e in packed.vals] == ["USD__AM_", "USD__PM_"]
     long = melt_values(df, ["Date"], ["USD__AM_", "USD__PM_"])
     assert long.count() == 4 and long.where("value IS NULL").count() == 1
+
+
+DUMP_CSV = "Date,USD (AM),USD (PM),GBP (AM)\n2024-01-03,2050.5,,1610\r\n2024-01-02,2040,2045.25,x\n\n"
+
+
+def test_parse_table_dump(spark):
+    from tidemark.sources.landing import parse_table_dump
+
+    df = spark.createDataFrame([("lbma_gold", DUMP_CSV)], "series_id string, payload string")
+    classified = classify_payloads(df, expect="csv")
+    assert classified.first().payload_class == "ok"
+    rows = parse_table_dump(classified).orderBy("date").collect()
+    assert [r.date for r in rows] == [dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
+    assert [(e.field, e.value) for e in rows[0].vals] == [("GBP__AM_", None), ("USD__AM_", 2040.0), ("USD__PM_", 2045.25)]
+    assert [(e.field, e.value) for e in rows[1].vals] == [("GBP__AM_", 1610.0), ("USD__AM_", 2050.5), ("USD__PM_", None)]
+    err = spark.createDataFrame([("x", '{"quandl_error": {"code": "QELx04"}}'), ("y", "nothing here")], "series_id string, payload string")
+    got = {r.series_id: r.payload_class for r in classify_payloads(err, expect="csv").collect()}
+    assert got == {"x": "error", "y": "corrupt"}
+    assert parse_table_dump(classify_payloads(err, expect="csv")).count() == 0

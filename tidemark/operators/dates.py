@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.keys import pack_series, series_cols, unpack_series
+from tidemark.operators.keys import pack_series, require_columns, series_cols, unpack_series
 
 # Calendar days generated per task-sized chunk before the round-robin spread.
 CALENDAR_CHUNK_DAYS = 64
@@ -23,6 +23,7 @@ CALENDAR_CHUNK_DAYS = 64
 
 def as_date(df: DataFrame, date_col: str) -> Column:
     """The date column as DATE: timestamps are truncated, text that is no date is NULL."""
+    require_columns(df, [date_col], "as_date")
     dtype = dict(df.dtypes)[date_col]
     c = F.col(date_col)
     if dtype == "date":
@@ -101,6 +102,7 @@ def missing_dates(
     observed side is measured small.
     """
     keys = list(keys)
+    require_columns(df, [date_col, *keys], "missing_dates")
     if spread is None:
         spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     ks = series_cols(keys)

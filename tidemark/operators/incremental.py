@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import date_text
 from tidemark.operators.dates import as_date
-from tidemark.operators.keys import null_safe_join, pack_series, series_cols
+from tidemark.operators.keys import null_safe_join, pack_series, require_columns, series_cols
 
 # Fixed value: first date asked for on a first load (project configuration).
 DEFAULT_START_DATE = dt.date(2020, 11, 1)
@@ -47,6 +47,8 @@ def after_high_water_mark(
     increment's partitions of a hot series over several tasks.
     """
     keys = list(keys)
+    require_columns(increment, [date_col, *keys], "after_high_water_mark (increment)")
+    require_columns(table, [date_col, *keys], "after_high_water_mark (table)")
     if not keys:
         mark = table.select(F.max(date_col)).scalar()
         return increment.where(F.col(date_col) > mark)

@@ -54,3 +54,10 @@ def unpack_series(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         return df
     rest = [c for c in df.columns if c != SERIES]
     return df.select(*[F.col(SERIES)[k].alias(k) for k in keys], *rest)
+
+
+def require_columns(df: DataFrame, columns: Sequence[str], where: str) -> None:
+    """Raise before planning when a named column is absent."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{where}: no column(s) {missing} in {df.columns}")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.dates import as_date
-from tidemark.operators.keys import null_safe_join
+from tidemark.operators.keys import null_safe_join, require_columns
 
 _COPIES = "__copies"
 
@@ -68,6 +68,7 @@ def profile_series(
     from it counts 0).
     """
     keys = list(keys)
+    require_columns(df, [date_col, *keys], "profile_series")
     copies = row_copies(df)
     d = as_date(copies, date_col)
     prof = copies.groupBy(*keys).agg(

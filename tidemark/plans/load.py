@@ -31,6 +31,7 @@ from tidemark.sources.landing import (
     parse_bars,
     parse_indicator,
     parse_keyed_series,
+    parse_table_dump,
     read_landed,
     shape_bars,
     split_quarantine,
@@ -63,10 +64,15 @@ def _indicator(classified: DataFrame) -> DataFrame:
     return parse_indicator(classified).drop("file_path", "fetch_name")
 
 
+def _dump(classified: DataFrame) -> DataFrame:
+    return parse_table_dump(classified).drop("file_path", "fetch_name")
+
+
 FAMILIES = {
     "bars": Family("bars", "crypto_bars", "date_period_start", _bars, expect="array"),
     "daily_ohlcv": Family("daily_ohlcv", "daily_bars", "date", _keyed, expect="object"),
     "indicator": Family("indicator", "indicators", "date", _indicator),
+    "table_dump": Family("table_dump", "table_dumps", "date", _dump, expect="csv"),
 }
 
 
@@ -172,7 +178,9 @@ def create_series_views(
     """One view per series named by its ``series_id``, reading its partition.
 
     The ids come from the catalogue (a fixed, small list) unless given. The view's filter on
-    the partition column prunes the scan to that series' folder.
+    the partition column prunes the scan to that series' folder. For the long table-dump
+    table the view turns ``vals`` back into one column per field; the field names per series
+    are read as metadata (one distinct over the fields, a handful of rows per series).
     """
     if series_ids is None:
         from tidemark.sources.catalog import _catalog_rows
@@ -180,9 +188,25 @@ def create_series_views(
         family = {f.table: f.name for f in FAMILIES.values()}.get(table)
         series_ids = [r[0] for r in _catalog_rows() if r[1] == family]
     cols = [c for c in spark.table(table).columns if c != "series_id"]
-    select = ", ".join(f"`{c}`" for c in cols)
+    fields: dict[str, list[str]] = {}
+    if "vals" in cols:
+        pairs = (
+            spark.table(table)
+            .select("series_id", F.explode("vals.field").alias("field"))
+            .distinct()
+            .collect()
+        )
+        for r in pairs:
+            fields.setdefault(r.series_id, []).append(r.field)
     for sid in series_ids:
+        if "vals" in cols:
+            exprs = [f"`{c}`" for c in cols if c != "vals"] + [
+                f"map_from_entries(vals)['{f}'] AS `{f}`" for f in sorted(fields.get(sid, []))
+            ]
+        else:
+            exprs = [f"`{c}`" for c in cols]
         spark.sql(
-            f"CREATE OR REPLACE VIEW {sid} AS SELECT {select} FROM {table} WHERE series_id = '{sid}'"
+            f"CREATE OR REPLACE VIEW {sid} AS SELECT {', '.join(exprs)} FROM {table} "
+            f"WHERE series_id = '{sid}'"
         )
     return list(series_ids)

@@ -35,6 +35,7 @@ from tidemark.sources.landing import (
     parse_bars,
     parse_indicator,
     parse_keyed_series,
+    parse_table_dump,
     shape_bars,
 )
 
@@ -701,3 +702,27 @@ SELECT l_orderkey, l_linenumber, field, value FROM (
 def q_table_dump_long(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     return melt_values(li, ["l_orderkey", "l_linenumber"], ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+
+
+@register(
+    "parse_table_dump",
+    """
+SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS date, field, value FROM (
+  SELECT l_orderkey, l_linenumber, l_shipdate, 'Disc__' AS field, l_discount AS value FROM lineitem
+  UNION ALL SELECT l_orderkey, l_linenumber, l_shipdate, 'Price__', l_extendedprice FROM lineitem
+  UNION ALL SELECT l_orderkey, l_linenumber, l_shipdate, 'Qty__units_', l_quantity FROM lineitem)
+""",
+)
+def q_parse_table_dump(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    line = F.concat_ws(
+        ",",
+        F.date_format("l_shipdate", "yyyy-MM-dd"),
+        F.col("l_quantity").cast("string"),
+        F.col("l_extendedprice").cast("string"),
+        F.col("l_discount").cast("string"),
+    )
+    payload = F.concat(F.lit("Date,Qty (units),Price $,Disc %\n"), line, F.lit("\n"))
+    landed = li.select("l_orderkey", "l_linenumber", payload.alias("payload"))
+    rows = parse_table_dump(classify_payloads(landed, expect="csv"))
+    return rows.select("l_orderkey", "l_linenumber", "date", F.inline("vals"))

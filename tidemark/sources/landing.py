@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.columns import (
+    BAD_NAME_CHARS,
     apply_types,
     clean_column_names,
     clean_name,
@@ -59,7 +60,9 @@ def classify_payloads(
     * a valid top-level JSON array is ``ok`` (records are read by the parsers);
     * ``expect="array"`` (bar files): an object in place of the array is ``error``;
       ``expect="object"``: an array is ``corrupt``;
-    * with ``status_col``, an HTTP status other than 200 is ``error``.
+    * with ``status_col``, an HTTP status other than 200 is ``error``;
+    * ``expect="csv"`` (table dumps): a header line with a separator is ``ok``, JSON text
+      is a provider ``error``.
 
     Validation walks the text without building values (``json_array_length`` for arrays,
     ``json_object_keys`` for objects); the full map is parsed only for error and quota
@@ -67,6 +70,8 @@ def classify_payloads(
     array, so no lambda is needed per test.
     """
     text = F.col(payload_col)
+    if expect == "csv":
+        return _classify_csv(df, payload_col)
     is_array = F.ltrim(text).startswith("[")
     staged = df.select(
         "*",
@@ -105,6 +110,20 @@ def classify_payloads(
     return classified.select(*df.columns, final_cls.alias("payload_class"), msg.alias("message"))
 
 
+def _classify_csv(df: DataFrame, payload_col: str) -> DataFrame:
+    """Table dumps: JSON text is a provider error (its message kept), text with a header
+    line holding a separator is ``ok``, anything else is ``corrupt``."""
+    text = F.col(payload_col)
+    looks_json = F.ltrim(text).startswith("{") | F.ltrim(text).startswith("[")
+    first_line = F.split(text, "\n", 2)[0]
+    cls = (
+        F.when(looks_json, "error")
+        .when(F.instr(first_line, ",") > 0, "ok")
+        .otherwise("corrupt")
+    )
+    return df.select("*", cls.alias("payload_class"), F.when(looks_json, text).alias("message"))
+
+
 def split_quarantine(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good files, quarantined files) from the output of ``classify_payloads``.
 
@@ -224,6 +243,40 @@ def parse_indicator(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     )
 
 
+def parse_table_dump(df: DataFrame, payload_col: str = "payload") -> DataFrame:
+    """CSV text with a header line, the date first -> ``<carry>, date, vals``.
+
+    Every file may have its own columns: the header is read per file, its names cleaned
+    (P8) with ``translate``, and zipped with each data line into ``vals ARRAY<STRUCT<field,
+    value DOUBLE>>`` sorted by field. Values are coerced (P6); the date is a DATE. Fields
+    are split on commas (provider dumps carry numbers, no quoted separators).
+    """
+    carry = _carry(df, payload_col)
+    lines = F.split(F.regexp_replace(F.col(payload_col), "\r", ""), "\n")
+    staged = df.select(*carry, *([F.col("payload_class")] if "payload_class" in df.columns else []),
+                       lines.alias("__lines"))
+    bad = "".join(BAD_NAME_CHARS)
+    header = F.transform(
+        F.split(F.col("__lines")[0], ","), lambda h: F.translate(F.trim(h), bad, "_" * len(bad))
+    )
+    body = _when_ok(staged, F.slice(F.col("__lines"), 2, F.greatest(F.size("__lines") - 1, F.lit(1))))
+    rows = staged.select(*carry, header.alias("__hdr"), F.explode(body).alias("__line")).where(
+        F.length(F.trim("__line")) > 0
+    )
+    fields = F.split(F.col("__line"), ",")
+    n = F.size("__hdr") - 1
+    vals = F.zip_with(
+        F.slice("__hdr", 2, n),
+        F.slice(fields, 2, n),
+        lambda name, v: F.struct(name.alias("field"), to_numeric(F.trim(v)).alias("value")),
+    )
+    return rows.select(
+        *carry,
+        F.trim(fields[0]).try_cast("date").alias("date"),
+        F.array_sort(vals).alias("vals"),
+    )
+
+
 def read_table_dump(
     spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv", **options
 ) -> DataFrame:
