@@ -131,3 +131,32 @@ def test_table_dump_family_and_views(spark, fresh_db, tmp_dir):
     gold = {r.date: (r.USD__AM_, r.USD__PM_) for r in spark.table("lbma_gold").collect()}
     assert gold == {dt.date(2024, 1, 2): (2040.0, 2045.25), dt.date(2024, 1, 3): (2050.5, None)}
     assert [r.Value for r in spark.table("fred_gdp").collect()] == [27000.5]
+
+
+def test_dedupe_table_rewrites_only_dirty_partitions(spark, fresh_db):
+    df = spark.createDataFrame(
+        [("a", 1), ("a", 1), ("a", 2), ("b", 3), ("b", 4), (None, 5), (None, 5)],
+        "series_id string, v int",
+    )
+    create_table(df, "p", partition_by=["series_id"])
+    before_b = {r.v for r in spark.table("p").where("series_id = 'b'").select("v").collect()}
+    assert dedupe_table(spark, "p") == 2
+    rows = sorted((r.series_id or "", r.v) for r in spark.table("p").collect())
+    assert rows == [("", 5), ("a", 1), ("a", 2), ("b", 3), ("b", 4)]
+    assert {r.v for r in spark.table("p").where("series_id = 'b'").select("v").collect()} == before_b
+    assert not table_exists(spark, "p__staged")
+    assert dedupe_table(spark, "p") == 0
+
+
+def test_load_reads_marks_of_touched_partitions_only(spark, fresh_db):
+    from tidemark.plans.load import touched_partitions
+
+    d = dt.date
+    base = spark.createDataFrame([("a", d(2024, 1, 1), 1.0), ("b", d(2024, 1, 5), 2.0)], "series_id string, date date, value double")
+    load_increment(base, "ind2", "date")
+    inc = spark.createDataFrame([("a", d(2024, 1, 2), 3.0)], base.schema)
+    pruned = touched_partitions(inc, "ind2", ["series_id"])
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "FileScan" in line][0]
+    assert "PartitionFilters: [" in scan and "series_id" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {r.series_id for r in pruned.collect()} == {"a"}

@@ -19,10 +19,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.incremental import after_high_water_mark
-from tidemark.operators.rows import dedupe_rows
+from tidemark.operators.rows import dedupe_rows, row_copies
 from tidemark.plans.tables import (
+    STAGED_SUFFIX,
+    _table_format,
     append_table,
     create_table,
+    partition_columns,
     replace_table,
     table_exists,
 )
@@ -98,7 +101,7 @@ def load_increment(
     spark = increment.sparkSession
     keys = list(keys)
     exists = table_exists(spark, table)
-    new = after_high_water_mark(increment, spark.table(table), date_col, keys) if exists else increment
+    new = after_high_water_mark(increment, touched_partitions(increment, table, keys), date_col, keys) if exists else increment
     if dedupe:
         new = dedupe_rows(new)
     obs = Observation(f"load_{table}")
@@ -119,6 +122,33 @@ def load_increment(
     return {"action": action, **metrics}
 
 
+# Largest number of partition values listed in a pruning filter.
+MAX_PRUNED_PARTITIONS = 10_000
+
+
+def touched_partitions(increment: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+    """The stored table restricted to the partitions the increment has rows for.
+
+    A daily load touches a few series of many; the marks are then read from those
+    partitions only (a static partition filter in the scan) instead of the whole table.
+    The distinct partition values of the increment are a short list (at most
+    ``MAX_PRUNED_PARTITIONS``, else the whole table is read).
+    """
+    spark = increment.sparkSession
+    stored = spark.table(table)
+    parts = partition_columns(spark, table)
+    if len(parts) != 1 or parts[0] not in keys:
+        return stored
+    col = parts[0]
+    values = [r[0] for r in increment.select(col).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()]
+    if len(values) > MAX_PRUNED_PARTITIONS:
+        return stored
+    cond = F.col(col).isin([v for v in values if v is not None])
+    if any(v is None for v in values):
+        cond = cond | F.col(col).isNull()
+    return stored.where(cond)
+
+
 def quarantine(bad: DataFrame, family: str) -> None:
     """Append quarantined payload files with their class and message."""
     rows = bad.select(
@@ -156,22 +186,55 @@ def load_landed(
 def dedupe_table(spark: SparkSession, table: str) -> int:
     """Remove whole-row copies from a stored table; returns how many were removed.
 
-    The count is one aggregate job; the rewrite (staged, see ``replace_table``) runs only
-    when there is something to remove, as in the reference.
+    One aggregate job finds the surplus copies per partition value. Nothing is written when
+    there are none (as in the reference). A table partitioned by one column has only its
+    dirty partitions rewritten: their deduplicated rows are staged in a table first, then
+    swapped in by a dynamic partition overwrite; the clean partitions are not touched. An
+    unpartitioned table is replaced whole through ``replace_table``.
     """
     df = spark.table(table)
-    total, unique = (
-        df.groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("c"))
-        .agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)))
-        .first()
-    )
-    surplus = int(total) - int(unique)
-    if surplus:
+    parts = partition_columns(spark, table)
+    part = parts[0] if len(parts) == 1 else None
+    copies = row_copies(df).where(F.col("__copies") > 1)
+    by = [part] if part else []
+    dirty = copies.groupBy(*by).agg(F.sum(F.col("__copies") - 1).alias("surplus")).collect()
+    surplus = int(sum(r.surplus or 0 for r in dirty))
+    if not surplus:
+        return 0
+    if part is None:
         replace_table(spark, table, dedupe_rows)
+        return surplus
+    values = [r[part] for r in dirty if r.surplus]
+    cond = F.col(part).isin([v for v in values if v is not None])
+    if any(v is None for v in values):
+        cond = cond | F.col(part).isNull()
+    staged = table + STAGED_SUFFIX
+    recover_partition_swap(spark, table)
+    dedupe_rows(df.where(cond)).write.mode("errorifexists").format(_table_format(spark, table)).saveAsTable(staged)
+    _swap_partitions(spark, table, staged)
     return surplus
 
 
+def _swap_partitions(spark: SparkSession, table: str, staged: str) -> None:
+    cols = ", ".join(f"`{c}`" for c in spark.table(table).columns)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT {cols} FROM {staged}")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    spark.sql(f"DROP TABLE {staged}")
+    spark.catalog.refreshTable(table)
+
+
+def recover_partition_swap(spark: SparkSession, table: str) -> None:
+    """Finish a partition swap interrupted after its staged table was written: the staged
+    rows are complete deduplicated partitions, so overwriting them again is safe."""
+    staged = table + STAGED_SUFFIX
+    if table_exists(spark, staged):
+        _swap_partitions(spark, table, staged)
+
+
 def create_series_views(
     spark: SparkSession, table: str, series_ids: Sequence[str] | None = None
 ) -> list[str]:
