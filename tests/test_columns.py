@@ -120,3 +120,12 @@ def test_no_python_udf_in_plans(spark):
     df = spark.createDataFrame([("1",)], "v string").select(to_numeric("v"), to_utc_ntz(F.col("v")))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_cluster_conf_sizes_shuffles():
+    from tidemark.session import cluster_conf
+
+    conf = cluster_conf(100 * (1 << 40))  # 100 TiB
+    assert conf["spark.sql.shuffle.partitions"] == "100000"
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert cluster_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"

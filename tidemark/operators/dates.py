@@ -159,7 +159,8 @@ def analyze_dates(
     """Earliest, latest, missing and duplicated dates per series.
 
     ``on_violation="report"`` (the default, as the reference only prints) returns lazy
-    frames. ``"raise"`` runs two existence checks and raises with at most ten examples.
+    frames. ``"raise"`` checkpoints the missing and duplicated reports, then raises with at
+    most ten examples of each when either is not empty.
     An empty input gives empty frames and no error.
     """
     if on_violation not in ("report", "raise"):
@@ -171,6 +172,17 @@ def analyze_dates(
         duplicated=duplicate_dates(df, date_col, keys),
     )
     if on_violation == "raise":
+        # The reports are small; write them once to the reliable checkpoint folder so the
+        # checks and the caller's later reads do not recompute the plan, and an executor
+        # lost afterwards costs nothing.
+        from tidemark.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        report = DateReport(
+            bounds=report.bounds,
+            missing=report.missing.checkpoint(eager=True),
+            duplicated=report.duplicated.checkpoint(eager=True),
+        )
         problems = []
         if not report.missing.isEmpty():
             sample = report.missing.orderBy(*keys, "missing_date").limit(10).collect()

@@ -23,6 +23,38 @@ DEFAULT_CONF = {
 }
 
 
+MIB = 1 << 20
+
+
+def cluster_conf(input_bytes: int, executor_cores: int = 4) -> dict[str, str]:
+    """Settings for a large cluster, sized from the bytes the biggest job reads.
+
+    Shuffles start with one partition per ~128 MiB of input (AQE then coalesces to
+    ~256 MiB partitions and splits skewed join partitions), scan tasks read up to 512 MiB,
+    and broadcasts are decided at run time on measured sizes below 64 MiB. Executors being
+    decommissioned hand their shuffle blocks over, so a lost node does not force the
+    stages it served to rerun. ``spark.checkpoint.dir`` must be set by the caller to shared
+    storage.
+    """
+    shuffle = min(max(input_bytes // (128 * MIB), 200), 100_000)
+    return {
+        **DEFAULT_CONF,
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MIB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MIB),
+        "spark.sql.files.maxPartitionBytes": str(512 * MIB),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MIB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MIB),
+        "spark.executor.cores": str(executor_cores),
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.storage.decommission.rddBlocks.enabled": "true",
+    }
+
+
 def build_session(
     master: str = "local[8]",
     app_name: str = "tidemark",
