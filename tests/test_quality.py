@@ -143,3 +143,16 @@ def test_missing_column_is_named(spark):
         missing_dates(df, "date", ["series_id"])
     with pytest.raises(ValueError, match="nope"):
         profile_series(df, "date_period_start", ["nope"])
+
+
+def test_fill_daily_linear_and_ffill(spark):
+    from tidemark.operators.fill import fill_daily
+
+    df = spark.createDataFrame(
+        [("m", D(2024, 1, 1), 1.0), ("m", D(2024, 1, 5), 5.0), ("m", D(2024, 1, 5), 5.0), ("q", D(2024, 1, 1), 2.0)],
+        "k string, d date, v double",
+    )
+    rows = fill_daily(df, "d", "v", ["k"]).orderBy("k", "date").collect()
+    m = [(r.date.day, r.value, r.value_ffill, r.value_linear) for r in rows if r.k == "m"]
+    assert m == [(1, 1.0, 1.0, 1.0), (2, None, 1.0, 2.0), (3, None, 1.0, 3.0), (4, None, 1.0, 4.0), (5, 5.0, 5.0, 5.0)]
+    assert [(r.date.day, r.value_linear) for r in rows if r.k == "q"] == [(1, 2.0)]

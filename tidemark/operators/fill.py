@@ -6,8 +6,8 @@ day (``agg``), the grid runs from each series' first to last observed day, and e
 are filled forward or linearly between the neighbouring observed days.
 
 Scale: the per-series window runs after the reduction to daily grain, so a series holds at
-most one row per calendar day (about 10^4 for thirty years) whatever its row count; a
-series with a third of all rows is still one small window partition.
+most one row per calendar day with a value (about 10^4 for thirty years) whatever its row
+count; a series with a third of all rows is still one small window partition.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.dates import as_date, calendar
+from tidemark.operators.dates import as_date
 from tidemark.operators.keys import pack_series, series_cols, unpack_series
 
 _AGGS = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "last": F.max_by, "count": F.count}
@@ -49,42 +49,42 @@ def fill_daily(
     value_col: str,
     keys: Sequence[str] = (),
     agg: str = "avg",
-    spread: int | None = None,
 ) -> DataFrame:
     """``keys, date, value, value_ffill, value_linear`` for every day of every series.
 
-    ``value`` is the day's reduced value (NULL on an empty day), ``value_ffill`` the last
-    observed value at or before the day, ``value_linear`` the straight line between the
-    observed days before and after (equal to ``value`` on observed days).
+    ``value`` is the day's reduced value (NULL on a day without one), ``value_ffill`` the
+    last value at or before the day, ``value_linear`` the straight line between the values
+    before and after (equal to ``value`` on days that have one). The grid runs from each
+    series' first to last day with a value.
+
+    Plan: one aggregate to the daily grain (shuffle on series and date), then one window per
+    series over those daily values that looks one value ahead; every day with a value emits
+    itself and the empty days up to the next value, with their filled values computed in the
+    same row. No calendar join, one scan of the input.
     """
     keys = list(keys)
     ks = series_cols(keys)
-    if spread is None:
-        spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    daily = daily_values(df, date_col, value_col, keys, agg)
-    bounds = daily.groupBy(*ks).agg(F.min("date").alias("earliest"), F.max("date").alias("latest"))
-    grid = calendar(bounds, ks, spread=spread).join(daily, on=[*ks, "date"], how="left")
-    seen_day = F.when(F.col("value").isNotNull(), F.col("date"))
-    before = Window.partitionBy(*ks).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    after = Window.partitionBy(*ks).orderBy("date").rowsBetween(0, Window.unboundedFollowing)
-    filled = grid.select(
+    daily = daily_values(df, date_col, value_col, keys, agg).where(F.col("value").isNotNull())
+    ahead = Window.partitionBy(*ks).orderBy("date")
+    linked = daily.select(
         *ks,
-        "date",
-        "value",
-        F.last("value", ignorenulls=True).over(before).alias("__pv"),
-        F.last(seen_day, ignorenulls=True).over(before).alias("__pd"),
-        F.first("value", ignorenulls=True).over(after).alias("__nv"),
-        F.first(seen_day, ignorenulls=True).over(after).alias("__nd"),
+        F.col("date").alias("__pd"),
+        F.col("value").alias("__pv"),
+        F.lead("date").over(ahead).alias("__nd"),
+        F.lead("value").over(ahead).alias("__nv"),
     )
+    last_day = F.coalesce(F.date_sub("__nd", 1), F.col("__pd"))
+    days = linked.select("*", F.explode(F.sequence("__pd", last_day)).alias("date"))
+    own = F.col("date") == F.col("__pd")
     span = F.datediff("__nd", "__pd")
-    linear = (
-        F.when(F.col("value").isNotNull(), F.col("value"))
-        .when(
-            F.col("__pv").isNotNull() & F.col("__nv").isNotNull() & (span > 0),
-            F.col("__pv") + (F.col("__nv") - F.col("__pv")) * F.datediff("date", "__pd") / span,
-        )
+    linear = F.when(own, F.col("__pv")).otherwise(
+        F.col("__pv") + (F.col("__nv") - F.col("__pv")) * F.datediff("date", "__pd") / span
     )
-    out = filled.select(
-        *ks, "date", "value", F.col("__pv").alias("value_ffill"), linear.alias("value_linear")
+    out = days.select(
+        *ks,
+        "date",
+        F.when(own, F.col("__pv")).alias("value"),
+        F.col("__pv").alias("value_ffill"),
+        linear.alias("value_linear"),
     )
     return unpack_series(out, keys)
