@@ -70,28 +70,32 @@ def test_analyze_dates_empty_and_raise(spark):
         analyze_dates(bars_frame(spark), "date_period_start", ["series_id"], on_violation="raise")
 
 
-def test_missing_dates_null_series_and_text_dates(spark):
+@pytest.mark.parametrize("method", ["gaps", "calendar"])
+def test_missing_dates_null_series_and_text_dates(spark, method):
     df = spark.createDataFrame(
         [(None, "2020-01-01"), (None, "2020-01-03"), ("x", "2020-01-01"), ("x", "junk")],
         "k string, d string",
     )
-    got = sorted((r.k, r.missing_date) for r in missing_dates(df, "d", ["k"]).collect())
+    got = sorted((r.k, r.missing_date) for r in missing_dates(df, "d", ["k"], method=method).collect())
     assert got == [(None, D(2020, 1, 2))]
 
 
-def test_weekday_calendar(spark):
+@pytest.mark.parametrize("method", ["gaps", "calendar"])
+def test_weekday_calendar(spark, method):
     df = spark.createDataFrame([(D(2024, 1, 5),), (D(2024, 1, 10),)], "d date")  # Fri .. Wed
-    got = [r.missing_date for r in missing_dates(df, "d", weekdays_only=True).orderBy("missing_date").collect()]
+    got = [r.missing_date for r in missing_dates(df, "d", weekdays_only=True, method=method).orderBy("missing_date").collect()]
     assert got == [D(2024, 1, 8), D(2024, 1, 9)]
 
 
-def test_long_range_calendar_spread(spark):
+@pytest.mark.parametrize("method", ["gaps", "calendar"])
+def test_long_range_calendar_spread(spark, method):
     # More than one calendar chunk and a single row per end: 400 days, 398 missing.
     df = spark.createDataFrame([("s", D(2020, 1, 1)), ("s", D(2021, 2, 4))], "k string, d date")
-    assert missing_dates(df, "d", ["k"]).count() == (D(2021, 2, 4) - D(2020, 1, 1)).days - 1
+    assert missing_dates(df, "d", ["k"], method=method).count() == (D(2021, 2, 4) - D(2020, 1, 1)).days - 1
 
 
-def test_random_dates_against_plain_python(spark):
+@pytest.mark.parametrize("method", ["gaps", "calendar"])
+def test_random_dates_against_plain_python(spark, method):
     rng = random.Random(7)
     rows = []
     for s in ["a", "b", "c"]:
@@ -106,7 +110,7 @@ def test_random_dates_against_plain_python(spark):
         cal = {lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)}
         want_missing |= {(s, d) for d in cal - set(ds)}
         want_dup |= {(s, d) for d in set(ds) if ds.count(d) > 1}
-    got_missing = {(r.k, r.missing_date) for r in missing_dates(df, "d", ["k"]).collect()}
+    got_missing = {(r.k, r.missing_date) for r in missing_dates(df, "d", ["k"], method=method).collect()}
     got_dup = {(r.k, r.date) for r in duplicate_dates(df, "d", ["k"]).collect()}
     assert got_missing == want_missing
     assert got_dup == want_dup
@@ -125,7 +129,7 @@ def test_column_tests_reference_models(spark):
 
 def test_missing_dates_plan_is_anti_join_on_series_and_date(spark):
     df = bars_frame(spark)
-    plan = missing_dates(df, "date_period_start", ["series_id"])._jdf.queryExecution().executedPlan().toString()
+    plan = missing_dates(df, "date_period_start", ["series_id"], method="calendar")._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan
     assert "PythonUDF" not in plan
 

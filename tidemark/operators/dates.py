@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import pack_series, require_columns, series_cols, unpack_series
@@ -91,26 +91,43 @@ def missing_dates(
     keys: Sequence[str] = (),
     weekdays_only: bool = False,
     spread: int | None = None,
+    method: str = "gaps",
 ) -> DataFrame:
     """Days between a series' first and last date that have no row: ``keys, missing_date``.
 
-    Plan: distinct ``(series, date)`` (map-side partial aggregate, one shuffle on both), the
-    bounds per series from that distinct (its exchange is reused, so the input is scanned
-    once), the calendar from the bounds, then a left anti join on ``(series, date)``. The
-    series is a struct of the keys, so the join keys are exactly the distinct's partitioning:
-    a sort-merge join shuffles only the calendar, and AQE makes it a broadcast join when the
-    observed side is measured small.
+    Both methods start from the distinct ``(series, date)`` set (map-side partial aggregate,
+    one shuffle on both columns), so a series holding a third of all rows is collapsed to one
+    row per day before anything is keyed by the series alone.
+
+    * ``"gaps"`` (default): one window per series over its distinct days looks one day
+      ahead and every gap emits the days it skips. A window partition holds at most one row
+      per calendar day; only missing days are generated.
+    * ``"calendar"``: the calendar from each series' bounds minus the observed days by a
+      left anti join on ``(series, date)``. The series is a struct of the keys, so the join
+      keys are the distinct's own partitioning (a sort-merge join shuffles only the
+      calendar) and the bounds reuse the distinct's exchange (one scan of the input).
     """
     keys = list(keys)
     require_columns(df, [date_col, *keys], "missing_dates")
-    if spread is None:
-        spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     ks = series_cols(keys)
     seen = (
         df.select(*pack_series(keys), as_date(df, date_col).alias("date"))
         .where(F.col("date").isNotNull())
         .distinct()
     )
+    if method == "gaps":
+        ahead = Window.partitionBy(*ks).orderBy("date")
+        linked = seen.select(*ks, "date", F.lead("date").over(ahead).alias("__next"))
+        days = linked.where(F.datediff("__next", "date") > 1).select(
+            *ks, F.explode(F.sequence(F.date_add("date", 1), F.date_sub("__next", 1))).alias("date")
+        )
+        if weekdays_only:
+            days = days.where(F.weekday("date") < 5)
+        return unpack_series(days, keys).withColumnRenamed("date", "missing_date")
+    if method != "calendar":
+        raise ValueError("method must be 'gaps' or 'calendar'")
+    if spread is None:
+        spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     # The day count keeps the optimizer from folding the distinct into the bounds
     # aggregate, so both branches read the same distinct exchange (one scan of the input).
     bounds = (
