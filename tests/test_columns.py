@@ -129,3 +129,14 @@ def test_cluster_conf_sizes_shuffles():
     assert conf["spark.sql.shuffle.partitions"] == "100000"
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert cluster_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_zone_less_text_is_wall_clock(spark):
+    df = spark.createDataFrame([("2024-01-02",), ("2024-01-02 10:00:00",), ("2024-01-02T10:00:00-05:00",)], "s string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = [r.t for r in df.select(to_utc_ntz("s").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2, 10), dt.datetime(2024, 1, 2, 15)]

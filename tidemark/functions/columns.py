@@ -45,14 +45,22 @@ def to_numeric(c: ColumnOrName) -> Column:
     return F.when(v.rlike(NUMERIC_TEXT), v.try_cast("double"))
 
 
+# A time of day followed by a zone: Z, UTC or a numeric offset.
+ZONED_TEXT = r"(?i)[T ]\d{1,2}:\d{2}(:\d{2}(\.\d*)?)?\s*(Z|UTC|[+-]\d{1,2}(:?\d{2})?)\s*$"
+
+
 def to_utc_ntz(c: ColumnOrName) -> Column:
-    """ISO-8601 text (any offset, ``Z`` included) to the UTC wall clock, TIMESTAMP_NTZ.
+    """ISO-8601 text to the UTC wall clock as TIMESTAMP_NTZ.
 
-    Parsing yields an instant; adding its epoch microseconds to the NTZ epoch gives the UTC
-    wall clock whatever the session time zone is, with no DST ambiguity. Bad text -> NULL.
+    Text with a zone (``Z`` or an offset) is parsed to an instant, and its epoch
+    microseconds added to the NTZ epoch give the UTC wall clock with no DST ambiguity. Text
+    without a zone (``2024-01-02``) is a wall clock already and is read as written. Neither
+    depends on the session time zone. Bad text -> NULL.
     """
-    instant = _col(c).cast("string").try_cast("timestamp")
-    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH_NTZ))
+    text = _col(c).cast("string")
+    instant = text.try_cast("timestamp")
+    zoned = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH_NTZ))
+    return F.when(text.rlike(ZONED_TEXT), zoned).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def time_of_day(ts: ColumnOrName) -> Column:
