@@ -111,15 +111,23 @@ DUMP_CSV = "Date,USD (AM),USD (PM),GBP (AM)\n2024-01-03,2050.5,,1610\r\n2024-01-
 
 
 def test_parse_table_dump(spark):
-    from tidemark.sources.landing import parse_table_dump
+    from tidemark.sources.landing import dump_values, parse_table_dump
 
     df = spark.createDataFrame([("lbma_gold", DUMP_CSV)], "series_id string, payload string")
     classified = classify_payloads(df, expect="csv")
     assert classified.first().payload_class == "ok"
-    rows = parse_table_dump(classified).orderBy("date").collect()
+    parsed = parse_table_dump(classified)
+    rows = parsed.orderBy("date").collect()
     assert [r.date for r in rows] == [dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
-    assert [(e.field, e.value) for e in rows[0].vals] == [("GBP__AM_", None), ("USD__AM_", 2040.0), ("USD__PM_", 2045.25)]
-    assert [(e.field, e.value) for e in rows[1].vals] == [("GBP__AM_", 1610.0), ("USD__AM_", 2050.5), ("USD__PM_", None)]
+    assert [(e.field, e.value) for e in rows[0].vals] == [("GBP__AM_", "x"), ("USD__AM_", "2040"), ("USD__PM_", "2045.25")]
+    assert [(e.field, e.value) for e in rows[1].vals] == [("GBP__AM_", "1610"), ("USD__AM_", "2050.5"), ("USD__PM_", "")]
+    typed = {(r.date.day, r.field): r.value for r in dump_values(parsed).collect()}
+    assert typed == {
+        (2, "GBP__AM_"): None, (2, "USD__AM_"): 2040.0, (2, "USD__PM_"): 2045.25,
+        (3, "GBP__AM_"): 1610.0, (3, "USD__AM_"): 2050.5, (3, "USD__PM_"): None,
+    }
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan
     err = spark.createDataFrame([("x", '{"quandl_error": {"code": "QELx04"}}'), ("y", "nothing here")], "series_id string, payload string")
     got = {r.series_id: r.payload_class for r in classify_payloads(err, expect="csv").collect()}
     assert got == {"x": "error", "y": "corrupt"}

@@ -71,7 +71,7 @@ def calendar(
         *keys,
         F.col(lo).alias("__lo"),
         F.col(hi).alias("__hi"),
-        F.explode(
+        F.explode_outer(
             F.sequence(F.lit(0), F.floor(F.datediff(F.col(hi), F.col(lo)) / n).cast("int"))
         ).alias("__chunk"),
     )
@@ -79,7 +79,9 @@ def calendar(
         chunks = chunks.repartition(spread)
     start = F.date_add(F.col("__lo"), F.col("__chunk") * n)
     stop = F.least(F.date_add(start, n - 1), F.col("__hi"))
-    days = chunks.select(*keys, F.explode(F.sequence(start, stop)).alias("date"))
+    # Outer: a plain explode makes the optimizer compute each sequence a second time for an
+    # inferred size filter. The sequences here are never empty.
+    days = chunks.select(*keys, F.explode_outer(F.sequence(start, stop)).alias("date"))
     if weekdays_only:
         days = days.where(F.weekday("date") < 5)
     return days
@@ -119,7 +121,7 @@ def missing_dates(
         ahead = Window.partitionBy(*ks).orderBy("date")
         linked = seen.select(*ks, "date", F.lead("date").over(ahead).alias("__next"))
         days = linked.where(F.datediff("__next", "date") > 1).select(
-            *ks, F.explode(F.sequence(F.date_add("date", 1), F.date_sub("__next", 1))).alias("date")
+            *ks, F.explode_outer(F.sequence(F.date_add("date", 1), F.date_sub("__next", 1))).alias("date")
         )
         if weekdays_only:
             days = days.where(F.weekday("date") < 5)

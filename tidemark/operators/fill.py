@@ -74,7 +74,7 @@ def fill_daily(
         F.lead("value").over(ahead).alias("__nv"),
     )
     last_day = F.coalesce(F.date_sub("__nd", 1), F.col("__pd"))
-    days = linked.select("*", F.explode(F.sequence("__pd", last_day)).alias("date"))
+    days = linked.select("*", F.explode_outer(F.sequence("__pd", last_day)).alias("date"))
     own = F.col("date") == F.col("__pd")
     span = F.datediff("__nd", "__pd")
     linear = F.when(own, F.col("__pv")).otherwise(

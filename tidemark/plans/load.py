@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import NUMERIC_TEXT
 from tidemark.operators.incremental import after_high_water_mark
 from tidemark.operators.rows import dedupe_rows, row_copies
 from tidemark.plans.tables import (
@@ -235,6 +236,13 @@ def recover_partition_swap(spark: SparkSession, table: str) -> None:
         _swap_partitions(spark, table, staged)
 
 
+# A field of the long dump table, typed as ``to_numeric`` does (regex guard, then cast).
+_TYPED_FIELD = (
+    "CASE WHEN map_from_entries(vals)['{f}'] RLIKE '" + NUMERIC_TEXT.replace("\\", "\\\\") + "' "
+    "THEN try_cast(map_from_entries(vals)['{f}'] AS DOUBLE) END"
+)
+
+
 def create_series_views(
     spark: SparkSession, table: str, series_ids: Sequence[str] | None = None
 ) -> list[str]:
@@ -264,7 +272,7 @@ def create_series_views(
     for sid in series_ids:
         if "vals" in cols:
             exprs = [f"`{c}`" for c in cols if c != "vals"] + [
-                f"map_from_entries(vals)['{f}'] AS `{f}`" for f in sorted(fields.get(sid, []))
+                f"{_TYPED_FIELD.format(f=f)} AS `{f}`" for f in sorted(fields.get(sid, []))
             ]
         else:
             exprs = [f"`{c}`" for c in cols]

@@ -30,6 +30,7 @@ from tidemark.operators.rows import dedupe_rows, duplicate_row_count, profile_se
 from tidemark.sources.catalog import schedule
 from tidemark.sources.landing import (
     classify_payloads,
+    dump_values,
     explode_json_object,
     melt_values,
     parse_bars,
@@ -730,5 +731,4 @@ def q_parse_table_dump(spark, sf_dir):
     )
     payload = F.concat(F.lit("Date,Qty (units),Price $,Disc %\n"), line, F.lit("\n"))
     landed = li.select("l_orderkey", "l_linenumber", payload.alias("payload"))
-    rows = parse_table_dump(classify_payloads(landed, expect="csv"))
-    return rows.select("l_orderkey", "l_linenumber", "date", F.inline("vals"))
+    return dump_values(parse_table_dump(classify_payloads(landed, expect="csv")))

@@ -151,7 +151,10 @@ def parse_bars(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     volume and trade count as numbers (S1)."""
     carry = _carry(df, payload_col)
     recs = _when_ok(df, F.from_json(F.col(payload_col), schemas.RAW_BARS_PAYLOAD))
-    return df.select(*carry, F.inline(recs)).where(
+    # Outer generators throughout: for a plain one the optimizer infers a size filter on the
+    # generator's input and pushes it below, parsing every payload twice. The rows an outer
+    # generator adds for empty input are dropped on generated columns, after the generator.
+    return df.select(*carry, F.inline_outer(recs)).where(
         F.col("time_period_start").isNotNull() | F.col("time_open").isNotNull()
     )
 
@@ -178,7 +181,7 @@ def explode_json_object(df: DataFrame, json_col: str, key: str = "key", value: s
     """
     carry = [c for c in df.columns if c != json_col]
     m = F.from_json(F.col(json_col), T.MapType(T.StringType(), T.StringType()))
-    return df.select(*carry, F.explode(m).alias(key, value))
+    return df.select(*carry, F.explode_outer(m).alias(key, value)).where(F.col(key).isNotNull())
 
 
 def parse_keyed_series(
@@ -197,7 +200,7 @@ def parse_keyed_series(
     carry = _carry(df, payload_col)
     schema = T.StructType([T.StructField(root_key, T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))])
     parsed = _when_ok(df, F.from_json(F.col(payload_col), schema)[root_key])
-    rows = df.select(*carry, F.explode(parsed).alias("date", "__kv"))
+    rows = df.select(*carry, F.explode_outer(parsed).alias("date", "__kv")).where(F.col("date").isNotNull())
     if labels is None:
         return rows.select(*carry, "date", F.array_sort(F.map_entries("__kv")).alias("vals"))
     return rows.select(*carry, "date", *[F.col("__kv")[lab].alias(clean_name(lab)) for lab in labels])
@@ -232,7 +235,7 @@ def parse_indicator(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     )
     records = _when_ok(parsed, F.coalesce(F.col("__arr"), F.col("__obj.data")))
     meta = [F.col("__obj")[f].alias(f) for f in ("name", "interval", "unit")]
-    rows = parsed.select(*carry, *meta, F.explode(records).alias("__r"))
+    rows = parsed.select(*carry, *meta, F.explode_outer(records).alias("__r")).where(F.col("__r").isNotNull())
     return rows.select(
         *carry,
         "name",
@@ -244,39 +247,43 @@ def parse_indicator(df: DataFrame, payload_col: str = "payload") -> DataFrame:
 
 
 def parse_table_dump(df: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """CSV text with a header line, the date first -> ``<carry>, date, vals``.
-
-    Every file may have its own columns: the header is read per file, its names cleaned
-    (P8) with ``translate``, and zipped with each data line into ``vals ARRAY<STRUCT<field,
-    value DOUBLE>>`` sorted by field. Values are coerced (P6); the date is a DATE. Fields
-    are split on commas (provider dumps carry numbers, no quoted separators).
+    """CSV text with a header line, the date first -> ``<carry>, date, vals``.
+
+    Every file may have its own columns: the header is read per file and its names cleaned
+    (P8) on the whole line at once, then zipped with each data line into ``vals
+    ARRAY<STRUCT<field, value>>`` sorted by field. Values stay the provider's text in the
+    raw table (as for the daily bars, D5); ``dump_values`` and the per-series views type them
+    with ``to_numeric``. Fields are split on commas (provider dumps carry numbers, no quoted
+    separators). Only built-in expressions without lambdas, so the parse is code-generated.
     """
     carry = _carry(df, payload_col)
     lines = F.split(F.regexp_replace(F.col(payload_col), "\r", ""), "\n")
     staged = df.select(*carry, *([F.col("payload_class")] if "payload_class" in df.columns else []),
                        lines.alias("__lines"))
-    bad = "".join(BAD_NAME_CHARS)
-    header = F.transform(
-        F.split(F.col("__lines")[0], ","), lambda h: F.translate(F.trim(h), bad, "_" * len(bad))
-    )
+    not_comma = "".join(c for c in BAD_NAME_CHARS if c != ",")
+    header_line = F.regexp_replace(F.trim(F.col("__lines")[0]), r"\s*,\s*", ",")
+    header = F.split(F.translate(header_line, not_comma, "_" * len(not_comma)), ",")
     body = _when_ok(staged, F.slice(F.col("__lines"), 2, F.greatest(F.size("__lines") - 1, F.lit(1))))
-    rows = staged.select(*carry, header.alias("__hdr"), F.explode(body).alias("__line")).where(
+    rows = staged.select(*carry, header.alias("__hdr"), F.explode_outer(body).alias("__line")).where(
         F.length(F.trim("__line")) > 0
     )
-    fields = F.split(F.col("__line"), ",")
+    fields = F.split(F.regexp_replace(F.trim("__line"), r"\s*,\s*", ","), ",")
     n = F.size("__hdr") - 1
-    vals = F.zip_with(
-        F.slice("__hdr", 2, n),
-        F.slice(fields, 2, n),
-        lambda name, v: F.struct(name.alias("field"), to_numeric(F.trim(v)).alias("value")),
-    )
+    zipped = F.arrays_zip(F.slice("__hdr", 2, n).alias("field"), F.slice(fields, 2, n).alias("value"))
     return rows.select(
         *carry,
-        F.trim(fields[0]).try_cast("date").alias("date"),
-        F.array_sort(vals).alias("vals"),
+        fields[0].try_cast("date").alias("date"),
+        F.sort_array(zipped).alias("vals"),
     )
 
 
+def dump_values(rows: DataFrame, vals: str = "vals") -> DataFrame:
+    """Parsed dump rows -> one typed row per field: ``<other columns>, field, value DOUBLE``."""
+    other = [c for c in rows.columns if c != vals]
+    long = rows.select(*other, F.inline_outer(vals)).where(F.col("field").isNotNull())
+    return long.select(*other, "field", to_numeric("value").alias("value"))
+
+
 def read_table_dump(
     spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "csv", **options
 ) -> DataFrame:
