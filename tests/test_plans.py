@@ -119,7 +119,7 @@ def test_table_dump_family_and_views(spark, fresh_db, tmp_dir):
     for sid, text in {
         "lbma_gold": "Date,USD (AM),USD (PM)\n2024-01-02,2040,2045.25\n2024-01-03,2050.5,\n",
         "fred_gdp": "Date,Value\n2023-10-01,27000.5\n",
-        "ml_usey": '{"quandl_error": {"code": "QELx04", "message": "limit"}}',
+        "ml_usey": '{"provider_error": {"code": "QELx04", "message": "limit"}}',
     }.items():
         os.makedirs(f"{root}/{sid}", exist_ok=True)
         with open(f"{root}/{sid}/2024-01-04.csv", "w") as f:

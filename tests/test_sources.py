@@ -128,7 +128,7 @@ def test_parse_table_dump(spark):
     }
     plan = parsed._jdf.queryExecution().executedPlan().toString()
     assert "lambdafunction" not in plan
-    err = spark.createDataFrame([("x", '{"quandl_error": {"code": "QELx04"}}'), ("y", "nothing here")], "series_id string, payload string")
+    err = spark.createDataFrame([("x", '{"provider_error": {"code": "QELx04"}}'), ("y", "nothing here")], "series_id string, payload string")
     got = {r.series_id: r.payload_class for r in classify_payloads(err, expect="csv").collect()}
     assert got == {"x": "error", "y": "corrupt"}
     assert parse_table_dump(classify_payloads(err, expect="csv")).count() == 0
