@@ -81,8 +81,14 @@ FAMILIES = {
 
 
 def sort_for_write(df: DataFrame, keys: Sequence[str], date_col: str) -> DataFrame:
-    """Rows ordered by series and date inside each write task (T1); no global sort."""
-    return df.sortWithinPartitions(*keys, date_col)
+    """Shape the rows for a partitioned write.
+
+    ``rebalance`` on the partition keys lets AQE size the write tasks: small ones are
+    merged (few files per series folder) and a skewed series is split over several tasks
+    instead of one. Rows are then ordered by series and date inside each task; there is no
+    global sort.
+    """
+    return df.hint("rebalance", *keys).sortWithinPartitions(*keys, date_col)
 
 
 def load_increment(
@@ -106,13 +112,12 @@ def load_increment(
     if dedupe:
         new = dedupe_rows(new)
     obs = Observation(f"load_{table}")
-    new = new.observe(
+    new = sort_for_write(new, keys, date_col).observe(
         obs,
         F.count(F.lit(1)).alias("rows"),
         F.min(date_col).alias("min_date"),
         F.max(date_col).alias("max_date"),
     )
-    new = sort_for_write(new, keys, date_col)
     if exists:
         append_table(new, table)
         action = "appended"
