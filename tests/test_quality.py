@@ -158,3 +158,28 @@ def test_fill_daily_linear_and_ffill(spark):
     m = [(r.date.day, r.value, r.value_ffill, r.value_linear) for r in rows if r.k == "m"]
     assert m == [(1, 1.0, 1.0, 1.0), (2, None, 1.0, 2.0), (3, None, 1.0, 3.0), (4, None, 1.0, 4.0), (5, 5.0, 5.0, 5.0)]
     assert [(r.date.day, r.value_linear) for r in rows if r.k == "q"] == [(1, 2.0)]
+
+
+def test_profile_against_plain_python_random(spark):
+    rng = random.Random(11)
+    rows = []
+    for s in ["a", "b", None]:
+        for _ in range(rng.randrange(3, 40)):
+            day = D(2022, 3, 1) + dt.timedelta(days=rng.randrange(50))
+            row = (s, day, float(rng.randrange(3)), rng.choice([None, "x", "y"]))
+            rows.append(row)
+            if rng.random() < 0.3:
+                rows.append(row)  # whole-row copy
+    df = spark.createDataFrame(rows, "k string, d date, v double, t string")
+    got = {r.k: r for r in profile_series(df, "d", ["k"], known_missing=3).collect()}
+    copies = {r.k: r for r in duplicate_row_count(df, ["k"]).collect()}
+    for s in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == s]
+        lo, hi = min(r[1] for r in mine), max(r[1] for r in mine)
+        unique = len(set(mine))
+        p = got[s]
+        assert (p.min_date, p.max_date, p.n_rows, p.n_unique_rows) == (lo, hi, len(mine), unique)
+        assert p.span_ref == (hi - lo).days + 2 and p.calendar_days == (hi - lo).days + 1
+        assert p.row_count_error == (hi - lo).days + 2 - 3 - unique
+        assert p.next_start == hi + dt.timedelta(days=1)
+        assert copies[s].n_duplicate_rows == len(mine) - unique
