@@ -58,6 +58,8 @@ def test_reference_models(spark, fresh_db):
     assert report[("simple", "unique")] == (0, True)
     assert spark.table("simple").count() == 5
     assert get_table_comment(spark, "my_first_dbt_model") == "A starter dbt model"
+    assert get_table_comment(spark, "my_second_dbt_model") == "A starter dbt model"
+    assert get_table_comment(spark, "simple") == "just a smoke test"
     # re-running replaces the table model through the staged path
     run_models(spark, reference_models())
     assert spark.table("my_first_dbt_model").count() == 2

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.checks import column_test_report
 from tidemark.plans.tables import (
+    _quote,
     replace_table,
     set_column_comment,
     set_table_comment,
@@ -49,13 +50,20 @@ def materialize(spark: SparkSession, model: Model) -> DataFrame:
     created, or replaced through a staged write when it exists.
     """
     if model.materialized == "view":
+        permanent = False
         if model.sql is not None:
             try:
                 spark.sql(f"CREATE OR REPLACE VIEW {model.name} AS {model.sql}")
+                permanent = True
             except Exception:  # reads a temporary object: permanent views may not
                 spark.sql(model.sql).createOrReplaceTempView(model.name)
         else:
             model.frame(spark).createOrReplaceTempView(model.name)
+        if permanent and model.description:
+            # A view's description is its 'comment' property.
+            spark.sql(
+                f"ALTER VIEW {model.name} SET TBLPROPERTIES ('comment' = {_quote(model.description)})"
+            )
     elif model.materialized == "table":
         if table_exists(spark, model.name):
             replace_table(spark, model.name, lambda _old: model.frame(spark))

@@ -60,10 +60,22 @@ def build_session(
     app_name: str = "tidemark",
     shuffle_partitions: int = 8,
     extra: dict[str, str] | None = None,
+    catalog_dir: str | None = None,
 ) -> SparkSession:
+    """A session with ``DEFAULT_CONF``. With ``catalog_dir`` the catalog persists across
+    processes (D7): a Hive metastore kept in an embedded Derby database and the managed
+    tables' warehouse, both under that folder, so an incremental run finds the tables and
+    marks of the previous one. Without it the in-memory catalog forgets tables at exit."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if catalog_dir:
+        conf["spark.sql.warehouse.dir"] = f"{catalog_dir}/warehouse"
+        conf["spark.hadoop.javax.jdo.option.ConnectionURL"] = (
+            f"jdbc:derby:;databaseName={catalog_dir}/metastore_db;create=true"
+        )
+        conf["spark.driver.extraJavaOptions"] = f"-Dderby.system.home={catalog_dir}"
+        builder = builder.enableHiveSupport()
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
