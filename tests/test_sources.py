@@ -132,3 +132,14 @@ def test_parse_table_dump(spark):
     got = {r.series_id: r.payload_class for r in classify_payloads(err, expect="csv").collect()}
     assert got == {"x": "error", "y": "corrupt"}
     assert parse_table_dump(classify_payloads(err, expect="csv")).count() == 0
+
+
+def test_classify_leading_whitespace_and_case(spark):
+    df = spark.createDataFrame(
+        [("\n\t [1, 2]",), ("﻿{\"ERROR MESSAGE\": \"Bad\"}",), ("\r\n{\"information\": \"slow down\"}",), ("{}",)],
+        "payload string",
+    )
+    got = [(r.payload_class, r.message) for r in classify_payloads(df).collect()]
+    assert got == [("ok", None), ("error", "Bad"), ("quota", "slow down"), ("corrupt", None)]
+    plan = classify_payloads(df)._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan

@@ -28,6 +28,18 @@ from tidemark.functions.columns import (
 )
 
 PAYLOAD_CLASSES = ("ok", "error", "quota", "corrupt")
+# Leading characters skipped before looking at a payload's first character.
+_LEADING = " \t\r\n\ufeff"
+
+
+def _starts_with(text, ch: str):
+    return F.ltrim(text, F.lit(_LEADING)).startswith(ch)
+
+
+def _json_text(c):
+    """Payload text as the JSON parser gets it: without leading white space or byte-order
+    mark (the parser itself accepts white space but not the mark)."""
+    return F.ltrim(F.col(c) if isinstance(c, str) else c, F.lit(_LEADING))
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
@@ -67,17 +79,18 @@ def classify_payloads(
     Validation walks the text without building values (``json_array_length`` for arrays,
     ``json_object_keys`` for objects); the full map is parsed only for error and quota
     payloads, to read their message. Keys are matched by position in the lower-cased key
-    array, so no lambda is needed per test.
+    array; no lambda function is evaluated.
     """
-    text = F.col(payload_col)
     if expect == "csv":
         return _classify_csv(df, payload_col)
-    is_array = F.ltrim(text).startswith("[")
+    text = _json_text(payload_col)
+    is_array = _starts_with(text, "[")
     staged = df.select(
         "*",
         is_array.alias("__is_arr"),
         F.when(is_array, F.json_array_length(text)).alias("__len"),
-        F.when(~is_array, F.transform(F.json_object_keys(text), F.lower)).alias("__keys"),
+        # Keys of the lower-cased text: the same keys, in the same order, lower-cased.
+        F.when(~is_array, F.json_object_keys(F.lower(text))).alias("__keys"),
     )
     has = lambda k: F.array_contains(F.col("__keys"), k)
     is_error = has("error message") | has("error")
@@ -114,7 +127,7 @@ def _classify_csv(df: DataFrame, payload_col: str) -> DataFrame:
     """Table dumps: JSON text is a provider error (its message kept), text with a header
     line holding a separator is ``ok``, anything else is ``corrupt``."""
     text = F.col(payload_col)
-    looks_json = F.ltrim(text).startswith("{") | F.ltrim(text).startswith("[")
+    looks_json = _starts_with(text, "{") | _starts_with(text, "[")
     first_line = F.split(text, "\n", 2)[0]
     cls = (
         F.when(looks_json, "error")
@@ -150,7 +163,7 @@ def parse_bars(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     """Top-level array of bar records -> one raw row per bar: time fields as text, prices,
     volume and trade count as numbers (S1)."""
     carry = _carry(df, payload_col)
-    recs = _when_ok(df, F.from_json(F.col(payload_col), schemas.RAW_BARS_PAYLOAD))
+    recs = _when_ok(df, F.from_json(_json_text(payload_col), schemas.RAW_BARS_PAYLOAD))
     # Outer generators throughout: for a plain one the optimizer infers a size filter on the
     # generator's input and pushes it below, parsing every payload twice. The rows an outer
     # generator adds for empty input are dropped on generated columns, after the generator.
@@ -180,7 +193,7 @@ def explode_json_object(df: DataFrame, json_col: str, key: str = "key", value: s
     rows.
     """
     carry = [c for c in df.columns if c != json_col]
-    m = F.from_json(F.col(json_col), T.MapType(T.StringType(), T.StringType()))
+    m = F.from_json(_json_text(json_col), T.MapType(T.StringType(), T.StringType()))
     return df.select(*carry, F.explode_outer(m).alias(key, value)).where(F.col(key).isNotNull())
 
 
@@ -199,7 +212,7 @@ def parse_keyed_series(
     """
     carry = _carry(df, payload_col)
     schema = T.StructType([T.StructField(root_key, T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))])
-    parsed = _when_ok(df, F.from_json(F.col(payload_col), schema)[root_key])
+    parsed = _when_ok(df, F.from_json(_json_text(payload_col), schema)[root_key])
     rows = df.select(*carry, F.explode_outer(parsed).alias("date", "__kv")).where(F.col("date").isNotNull())
     if labels is None:
         return rows.select(*carry, "date", F.array_sort(F.map_entries("__kv")).alias("vals"))
@@ -225,8 +238,8 @@ def parse_indicator(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     is the UTC wall clock (TIMESTAMP_NTZ), ``value`` a coerced DOUBLE.
     """
     carry = _carry(df, payload_col)
-    text = F.col(payload_col)
-    is_array = F.ltrim(text).startswith("[")
+    text = _json_text(payload_col)
+    is_array = _starts_with(text, "[")
     parsed = df.select(
         *carry,
         *([F.col("payload_class")] if "payload_class" in df.columns else []),
