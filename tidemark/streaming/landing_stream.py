@@ -43,7 +43,9 @@ def _batch_loader(family: str):
         classified = classify_payloads(batch, expect=fam.expect)
         _, bad = split_quarantine(classified)
         quarantine(bad, family)
-        load_increment(fam.parse(classified), fam.table, fam.date_col)
+        load_increment(
+            fam.parse(classified), fam.table, fam.date_col, partition_values=batch.select("series_id")
+        )
         batch.sparkSession.catalog.refreshTable(fam.table)
 
     return load
