@@ -176,3 +176,15 @@ def test_stream_replay_of_same_rows_under_new_name_adds_nothing(spark, fresh_db,
     start_landing_stream(spark, f"{landing}/bars/*/*.json", "bars", ckpt).awaitTermination(120)
     spark.catalog.refreshTable("crypto_bars")
     assert spark.table("crypto_bars").count() == n == 4
+
+
+def test_append_refuses_schema_drift(spark, fresh_db):
+    base = spark.createDataFrame([("a", 1)], "series_id string, v int")
+    create_table(base, "drift", partition_by=["series_id"])
+    extra = spark.createDataFrame([("a", 2, 3)], "series_id string, v int, w int")
+    with pytest.raises(Exception):
+        append_table(extra, "drift")
+    missing = spark.createDataFrame([("a",)], "series_id string")
+    with pytest.raises(Exception):
+        append_table(missing, "drift")
+    assert spark.table("drift").count() == 1
