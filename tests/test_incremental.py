@@ -40,8 +40,9 @@ def test_after_high_water_mark(spark):
     assert after_high_water_mark(out, stored, "date_period_start", ["series_id"]).count() == 2
     other = bars_frame(spark, "eth")
     assert after_high_water_mark(other, stored, "date_period_start", ["series_id"]).count() == 5
-    # single series: scalar mark
+    # single series: scalar mark; an empty table lets everything through
     assert after_high_water_mark(df, stored, "date_period_start").count() == 2
+    assert after_high_water_mark(df, stored.limit(0), "date_period_start").count() == 5
 
 
 def test_due_sources_schedule(spark):

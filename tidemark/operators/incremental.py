@@ -59,7 +59,8 @@ def after_high_water_mark(
     require_columns(table, [date_col, *keys], "after_high_water_mark (table)")
     if not keys:
         mark = table.select(F.max(date_col)).scalar()
-        return increment.where(F.col(date_col) > mark)
+        # An empty table has no mark: everything is new (first load), as in the keyed case.
+        return increment.where(mark.isNull() | (F.col(date_col) > mark))
     ks = series_cols(keys)
     marks = table.groupBy(*pack_series(keys)).agg(F.max(date_col).alias("__hwm"))
     probe = increment.select("*", *pack_series(keys))

@@ -545,8 +545,9 @@ def q_missing_weekdays(spark, sf_dir):
 @register(
     "after_high_water_mark_single",
     """
-SELECT * FROM orders
-WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00')
+WITH m AS (SELECT max(o_orderdate) AS hwm FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00')
+SELECT orders.* FROM orders, m
+WHERE m.hwm IS NULL OR orders.o_orderdate > m.hwm
 """,
 )
 def q_after_high_water_mark_single(spark, sf_dir):
