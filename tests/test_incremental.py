@@ -94,3 +94,16 @@ def test_interval_violations_only_cpi(spark):
     assert [(r.series_id, r.interval, sorted(r.allowed_intervals)) for r in bad] == [
         ("cpi", "daily", ["monthly", "semiannual"])
     ]
+
+
+def test_ingest_plan_over_catalogue_start_dates(spark):
+    stored = bars_frame(spark)  # only btc is stored
+    cat = source_catalog(spark).select("series_id", "start_date")
+    plan = {r.series_id: (r.next_start, r.due) for r in ingest_plan(
+        stored, "date_period_start", ["series_id"], "2020-11-09", series=cat, start_date="start_date"
+    ).collect()}
+    assert len(plan) == 36
+    assert plan["btc_usd_daily_price"] == (D(2020, 11, 6), True)
+    assert plan["eth_usd_daily_price"] == (D(2020, 11, 1), True)  # configured first date
+    assert plan["corn"] == (None, True)  # full history on the first load
+    assert plan["lbma_gold"] == (D(2020, 11, 1), True)

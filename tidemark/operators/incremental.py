@@ -83,7 +83,9 @@ def ingest_plan(
     ``next_start`` is the day after the stored maximum, or ``start_date`` for a series
     listed in ``series`` but not yet stored (``start_date`` may also be a column name of
     ``series``). ``due`` is ``next_start < end_date``: nothing is asked for on the day the
-    window would start (today's bar is not final), nor after it.
+    window would start (today's bar is not final), nor after it. A series never loaded and
+    without a start date (the macro family, Q9) is due with ``next_start`` NULL: its first
+    fetch takes the whole history.
     """
     keys = list(keys)
     last = table.groupBy(*keys).agg(F.max(as_date(table, date_col)).alias("last_date"))
@@ -104,7 +106,8 @@ def ingest_plan(
         "last_date",
         next_start.alias("next_start"),
         end.alias("end_date"),
-        F.coalesce(next_start < end, F.lit(False)).alias("due"),
+        # Never loaded and no start date: the whole history is asked for (due, open start).
+        F.coalesce(next_start < end, F.col("last_date").isNull()).alias("due"),
     )
 
 
