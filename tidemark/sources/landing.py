@@ -215,7 +215,7 @@ def parse_keyed_series(
     parsed = _when_ok(df, F.from_json(_json_text(payload_col), schema)[root_key])
     rows = df.select(*carry, F.explode_outer(parsed).alias("date", "__kv")).where(F.col("date").isNotNull())
     if labels is None:
-        return rows.select(*carry, "date", F.array_sort(F.map_entries("__kv")).alias("vals"))
+        return rows.select(*carry, "date", F.sort_array(F.map_entries("__kv")).alias("vals"))
     return rows.select(*carry, "date", *[F.col("__kv")[lab].alias(clean_name(lab)) for lab in labels])
 
 
@@ -319,7 +319,7 @@ def pack_values(df: DataFrame, value_cols: Sequence[str], name: str = "vals") ->
         F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in value_cols
     ]
     other = [c for c in df.columns if c not in value_cols]
-    return df.select(*other, F.array_sort(F.array(*entries)).alias(name))
+    return df.select(*other, F.sort_array(F.array(*entries)).alias(name))
 
 
 def melt_values(df: DataFrame, id_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
