@@ -65,12 +65,9 @@ def to_utc_ntz(c: ColumnOrName) -> Column:
 
 def time_of_day(ts: ColumnOrName) -> Column:
     """``HH:mm:ss`` with ``.ffffff`` only when the microseconds are not zero."""
-    t = _col(ts)
-    return (
-        F.when(t.isNull(), F.lit(None).cast("string"))
-        .when(F.date_format(t, "SSSSSS") == "000000", F.date_format(t, "HH:mm:ss"))
-        .otherwise(F.date_format(t, "HH:mm:ss.SSSSSS"))
-    )
+    # One formatting call; a zero fraction is cut off as text (NULL stays NULL).
+    full = F.date_format(_col(ts), "HH:mm:ss.SSSSSS")
+    return F.when(full.endswith(".000000"), F.substring(full, 1, 8)).otherwise(full)
 
 
 def date_text(d: ColumnOrName) -> Column:
