@@ -188,3 +188,23 @@ def test_append_refuses_schema_drift(spark, fresh_db):
     with pytest.raises(Exception):
         append_table(missing, "drift")
     assert spark.table("drift").count() == 1
+
+
+def test_macro_families_load_incrementally(spark, fresh_db, tmp_dir):
+    from fixtures import INDICATOR_PAYLOAD, KEYED_PAYLOAD
+
+    root = f"{tmp_dir}/macro"
+    write_json(f"{root}/daily_ohlcv/spy/2024-01-04.json", KEYED_PAYLOAD)
+    write_json(f"{root}/indicator/corn/2024-03-01.json", INDICATOR_PAYLOAD)
+    write_json(f"{root}/indicator/coffee/2024-03-01.json", {"Information": "rate limit"})
+    assert load_landed(spark, f"{root}/daily_ohlcv/*/*.json", "daily_ohlcv")["rows"] == 2
+    assert load_landed(spark, f"{root}/indicator/*/*.json", "indicator")["rows"] == 2
+    # a later fetch repeating old days and adding one new day appends only the new day
+    newer = {"Time Series (Daily)": dict(KEYED_PAYLOAD["Time Series (Daily)"], **{"2024-01-04": {"1. open": "475.0"}})}
+    write_json(f"{root}/daily_ohlcv/spy/2024-01-05.json", newer)
+    m = load_landed(spark, f"{root}/daily_ohlcv/*/*.json", "daily_ohlcv")
+    assert m["rows"] == 1 and m["min_date"] == dt.datetime(2024, 1, 4)
+    assert spark.table("daily_bars").count() == 3
+    assert {r.series_id for r in spark.table("payload_quarantine").collect()} == {"coffee"}
+    values = {r.date: r.value for r in spark.table("indicators").collect()}
+    assert values == {dt.datetime(2024, 2, 1): 190.5, dt.datetime(2024, 1, 1): None}
