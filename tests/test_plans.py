@@ -208,3 +208,25 @@ def test_macro_families_load_incrementally(spark, fresh_db, tmp_dir):
     assert {r.series_id for r in spark.table("payload_quarantine").collect()} == {"coffee"}
     values = {r.date: r.value for r in spark.table("indicators").collect()}
     assert values == {dt.datetime(2024, 2, 1): 190.5, dt.datetime(2024, 1, 1): None}
+
+
+def test_daily_run_loads_and_reports(spark, fresh_db, tmp_dir):
+    import os
+
+    from tidemark.plans.run import daily_run
+
+    root = f"{tmp_dir}/landing"
+    _land_bars(root, "2020-11-06", bar_records())
+    os.makedirs(f"{root}/table_dump/lbma_gold", exist_ok=True)
+    with open(f"{root}/table_dump/lbma_gold/2024-01-04.csv", "w") as f:
+        f.write("Date,USD (AM)\n2024-01-02,2040\n2024-01-04,2050\n")
+    result = daily_run(spark, root, "2024-01-01")  # a Monday
+    assert set(result.loads) == {"bars", "table_dump"}
+    assert result.due.where("series_id = 'corn'").count() == 1  # group A runs on Mondays
+    assert result.due.where("series_id = 'coffee'").count() == 0
+    rep = {r.series_id: r for r in result.report.collect()}
+    btc = rep["btc_usd_daily_price"]
+    assert (btc.n_rows, btc.n_unique_rows, btc.n_missing_days, btc.n_duplicate_dates) == (4, 4, 2, 1)
+    assert (btc.known_missing, btc.expected_rows, btc.row_count_error) == (10, -4, -8)
+    gold = rep["lbma_gold"]
+    assert (gold.family, gold.n_rows, gold.n_missing_days) == ("table_dump", 2, 1)
