@@ -183,3 +183,17 @@ def test_profile_against_plain_python_random(spark):
         assert p.row_count_error == (hi - lo).days + 2 - 3 - unique
         assert p.next_start == hi + dt.timedelta(days=1)
         assert copies[s].n_duplicate_rows == len(mine) - unique
+
+
+def test_series_report_counts_gaps_and_duplicates(spark):
+    from tidemark.plans.run import series_report
+
+    df = spark.createDataFrame(
+        [("s", D(2024, 1, 1), 1), ("s", D(2024, 1, 1), 2), ("s", D(2024, 1, 4), 3), ("s", None, 4), ("s", None, 5),
+         ("t", D(2024, 1, 1), 1), ("t", D(2024, 1, 1), 1)],
+        "k string, d date, v int",
+    )
+    got = {r.k: (r.n_rows, r.n_unique_rows, r.n_missing_days, r.n_duplicate_dates) for r in series_report(df, "d", ["k"]).collect()}
+    assert got == {"s": (5, 5, 2, 1), "t": (2, 1, 0, 1)}  # copies on one day make it duplicated
+    one = series_report(df.where("k = 's'"), "d", []).first()
+    assert (one.n_missing_days, one.n_duplicate_dates) == (2, 1)

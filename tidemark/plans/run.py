@@ -11,15 +11,17 @@ the parts are joined on the series id after being reduced to one row per series.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.dates import duplicate_dates, missing_dates
+from tidemark.operators.dates import as_date
 from tidemark.operators.incremental import due_sources
-from tidemark.operators.rows import profile_series
+from tidemark.operators.keys import null_safe_join, pack_series, series_cols, unpack_series
+from tidemark.operators.rows import profile_series, row_copies
 from tidemark.plans.load import FAMILIES, load_landed
 from tidemark.plans.tables import table_exists
 from tidemark.sources.catalog import schedule, source_catalog
@@ -33,32 +35,59 @@ class RunResult:
     report: DataFrame | None
 
 
-def integrity_report(spark: SparkSession, family: str) -> DataFrame:
-    """``family, series_id, <profile columns>, n_missing_days, n_duplicate_dates`` for one
-    family table; known missing days come from the catalogue."""
-    fam = FAMILIES[family]
-    table = spark.table(fam.table)
-    keys = ["series_id"]
-    known = source_catalog(spark).select("series_id", "known_missing")
-    profile = profile_series(table, fam.date_col, keys, known_missing=known)
-    missing = missing_dates(table, fam.date_col, keys).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_missing_days")
+def series_report(
+    df: DataFrame, date_col: str, keys: Sequence[str], known_missing: int | DataFrame = 0
+) -> DataFrame:
+    """``keys, <profile columns>, n_missing_days, n_duplicate_dates``: the profile of every
+    series with its number of missing and duplicated days.
+
+    Everything derives from the whole-row aggregate of the profile (its exchange is shared,
+    so the input is read once): the rows per ``(series, day)`` give the duplicated days, and
+    one look-ahead window over a series' days (at most one row per calendar day) sums the
+    gaps, so the missing days are counted without being generated.
+    """
+    keys = list(keys)
+    ks = series_cols(keys)
+    profile = profile_series(df, date_col, keys, known_missing=known_missing)
+    copies = row_copies(df)
+    day = as_date(copies, date_col)
+    # No filter on the day here: it would be pushed below the whole-row aggregate and the
+    # two branches would no longer share it. A NULL day sorts first, its gap is NULL and
+    # it is not counted as a duplicated day.
+    daily = copies.groupBy(*pack_series(keys), day.alias("date")).agg(F.sum("__copies").alias("__n"))
+    ahead = Window.partitionBy(*ks).orderBy("date")
+    gaps = daily.select(
+        *ks,
+        (F.datediff(F.lead("date").over(ahead), F.col("date")) - 1).alias("__gap"),
+        (F.col("date").isNotNull() & (F.col("__n") > 1)).alias("__dup"),
     )
-    dups = duplicate_dates(table, fam.date_col, keys).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_duplicate_dates")
+    stats = gaps.groupBy(*ks).agg(
+        F.coalesce(F.sum(F.when(F.col("__gap") > 0, F.col("__gap"))), F.lit(0)).cast("bigint").alias("n_missing_days"),
+        F.count_if("__dup").cast("bigint").alias("n_duplicate_dates"),
     )
-    return (
-        profile.join(missing, keys, "left")
-        .join(dups, keys, "left")
-        .select(
-            F.lit(family).alias("family"),
+    if not keys:  # one series: the two counts are scalar subqueries, not a join
+        return profile.select(
             *profile.columns,
-            F.coalesce("n_missing_days", F.lit(0)).alias("n_missing_days"),
-            F.coalesce("n_duplicate_dates", F.lit(0)).alias("n_duplicate_dates"),
+            F.coalesce(stats.select("n_missing_days").scalar(), F.lit(0)).alias("n_missing_days"),
+            F.coalesce(stats.select("n_duplicate_dates").scalar(), F.lit(0)).alias("n_duplicate_dates"),
         )
+    joined = null_safe_join(profile, unpack_series(stats, keys), keys, "left")
+    return joined.select(
+        *profile.columns,
+        F.coalesce("n_missing_days", F.lit(0)).alias("n_missing_days"),
+        F.coalesce("n_duplicate_dates", F.lit(0)).alias("n_duplicate_dates"),
     )
 
 
+def integrity_report(spark: SparkSession, family: str) -> DataFrame:
+    """``family, series_id, <series_report columns>`` for one family table; known missing
+    days come from the catalogue."""
+    fam = FAMILIES[family]
+    known = source_catalog(spark).select("series_id", "known_missing")
+    report = series_report(spark.table(fam.table), fam.date_col, ["series_id"], known)
+    return report.select(F.lit(family).alias("family"), *report.columns)
+
+
 def daily_run(spark: SparkSession, landing_root: str, run_date: dt.date | str) -> RunResult:
     """Load ``<landing_root>/<family>/<series_id>/<file>`` for every family, then report."""
     due = due_sources(source_catalog(spark), schedule(spark), run_date)

@@ -733,3 +733,46 @@ def q_parse_table_dump(spark, sf_dir):
     payload = F.concat(F.lit("Date,Qty (units),Price $,Disc %\n"), line, F.lit("\n"))
     landed = li.select("l_orderkey", "l_linenumber", payload.alias("payload"))
     return dump_values(parse_table_dump(classify_payloads(landed, expect="csv")))
+
+
+# --- one report per series: profile, missing and duplicated days (A1-A9 together) ---------
+
+
+@register(
+    "series_report",
+    _MISSING_ORDERS_SQL
+    + """,
+u AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+         count(*) AS copies
+  FROM orders GROUP BY ALL),
+p AS (
+  SELECT o_orderpriority,
+         min(CAST(o_orderdate AS DATE)) AS min_date,
+         max(CAST(o_orderdate AS DATE)) AS max_date,
+         CAST(sum(copies) AS BIGINT) AS n_rows,
+         CAST(count(*) AS BIGINT) AS n_unique_rows
+  FROM u GROUP BY o_orderpriority),
+mc AS (SELECT o_orderpriority, count(*) AS n FROM missing GROUP BY 1),
+dc AS (
+  SELECT o_orderpriority, count(*) AS n FROM (
+    SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS d FROM orders
+    WHERE o_orderdate IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY 1)
+SELECT p.o_orderpriority, min_date, max_date, n_rows, n_unique_rows,
+       CAST(date_diff('day', min_date, max_date) + 1 AS BIGINT) AS calendar_days,
+       CAST(date_diff('day', min_date, max_date) + 2 AS BIGINT) AS span_ref,
+       CAST(0 AS BIGINT) AS known_missing,
+       CAST(date_diff('day', min_date, max_date) + 2 AS BIGINT) AS expected_rows,
+       CAST(date_diff('day', min_date, max_date) + 2 - n_unique_rows AS BIGINT) AS row_count_error,
+       CAST(max_date + INTERVAL 1 DAY AS DATE) AS next_start,
+       CAST(coalesce(mc.n, 0) AS BIGINT) AS n_missing_days,
+       CAST(coalesce(dc.n, 0) AS BIGINT) AS n_duplicate_dates
+FROM p
+LEFT JOIN mc ON p.o_orderpriority IS NOT DISTINCT FROM mc.o_orderpriority
+LEFT JOIN dc ON p.o_orderpriority IS NOT DISTINCT FROM dc.o_orderpriority
+""",
+)
+def q_series_report(spark, sf_dir):
+    from tidemark.plans.run import series_report
+
+    return series_report(table(spark, sf_dir, "orders"), "o_orderdate", ["o_orderpriority"])
