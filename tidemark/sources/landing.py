@@ -280,7 +280,9 @@ def parse_table_dump(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     rows = staged.select(*carry, header.alias("__hdr"), F.explode_outer(body).alias("__line")).where(
         F.length(F.trim("__line")) > 0
     )
-    fields = F.split(F.regexp_replace(F.trim("__line"), r"\s*,\s*", ","), ",")
+    # Values keep their text; surrounding spaces are harmless (the casts and ``to_numeric``
+    # ignore them), so lines are only split. The header is normalised once per file.
+    fields = F.split(F.col("__line"), ",")
     n = F.size("__hdr") - 1
     zipped = F.arrays_zip(F.slice("__hdr", 2, n).alias("field"), F.slice(fields, 2, n).alias("value"))
     return rows.select(
