@@ -197,6 +197,7 @@ WHERE m.hwm IS NULL OR o.o_orderdate > m.hwm
 """,
 )
 def q_after_high_water_mark(spark, sf_dir):
+    # Orders before 2000 play the stored table, all orders the landed increment.
     orders = table(spark, sf_dir, "orders")
     stored = orders.where(F.col("o_orderdate") < F.expr(STORED_BEFORE))
     return after_high_water_mark(orders, stored, "o_orderdate", ["o_orderpriority"])
@@ -244,6 +245,8 @@ WHERE l.o_orderstatus <> 'F'
 """,
 )
 def q_apply_backfill(spark, sf_dir):
+    # Finished orders play the stored table; the other orders are the re-fetched days, kept
+    # only where the stored table has no row for their (series, day).
     orders = table(spark, sf_dir, "orders")
     stored = orders.where(F.col("o_orderstatus") == "F")
     landed = orders.where(F.col("o_orderstatus") != "F")
@@ -266,6 +269,8 @@ FROM o LEFT JOIN s ON o.grp = s.sgrp
 """,
 )
 def q_due_sources(spark, sf_dir):
+    # Every order is a fetch request on its order day; its status gives the schedule group
+    # (F -> A, O -> B, P -> no group, due every day).
     orders = table(spark, sf_dir, "orders")
     grouped = orders.select(
         "o_orderkey",
@@ -437,6 +442,8 @@ FROM p
 
 @register("classify_payloads", _PAYLOADS_SQL)
 def q_classify_payloads(spark, sf_dir):
+    # Event properties are the landed payloads, with error and quota answers put in place
+    # of two event types; web pages are payloads that are not JSON at all.
     ev = table(spark, sf_dir, "events")
     eid = F.col("event_id").cast("string")
     payload = (
@@ -625,6 +632,7 @@ FROM events
 """,
 )
 def q_parse_bars(spark, sf_dir):
+    # One bar payload per event, written by Spark from the event's columns, read back.
     ev = table(spark, sf_dir, "events")
     bar = F.struct(
         _events_time_text("ts").alias("time_period_start"),
@@ -653,6 +661,7 @@ FROM events
 """,
 )
 def q_parse_keyed_series(spark, sf_dir):
+    # One date-keyed daily payload per event, written by Spark from the event, read back.
     ev = table(spark, sf_dir, "events")
     bar = F.create_map(
         F.lit("1. open"), F.col("value").cast("string"),
@@ -681,6 +690,7 @@ FROM events
 """,
 )
 def q_parse_indicator(spark, sf_dir):
+    # One indicator payload per event with two records (one value, one "." for missing).
     ev = table(spark, sf_dir, "events")
     day = F.to_date("ts")
     payload = F.to_json(
@@ -722,6 +732,7 @@ SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS date, field, value
 """,
 )
 def q_parse_table_dump(spark, sf_dir):
+    # One CSV dump per line item (header with characters to clean, one data line).
     li = table(spark, sf_dir, "lineitem")
     line = F.concat_ws(
         ",",
