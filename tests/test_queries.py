@@ -65,3 +65,20 @@ def test_first_shuffle_is_on_series_and_date(spark, name):
     deepest = [line for line in plan if "Exchange hashpartitioning(" in line][-1]
     args = deepest.split("hashpartitioning(")[1].split(")")[0].split(", ")
     assert len(args) >= 3, deepest  # at least two keys (series, date) and the partition count
+
+
+TIME_QUERIES = ["split_datetime", "parse_bars", "parse_indicator", "missing_dates", "after_high_water_mark", "due_sources", "fill_daily"]
+
+
+@pytest.mark.parametrize("name", TIME_QUERIES)
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = contract.queries()[name](spark, SF_DIR)
+        s_cols, s_rows = canon(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    res = duck.execute(contract.oracle_sql()[name])
+    d_cols, d_rows = canon([c[0] for c in res.description], res.fetchall())
+    assert (s_cols, s_rows) == (d_cols, d_rows)
