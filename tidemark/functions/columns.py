@@ -60,7 +60,14 @@ def to_utc_ntz(c: ColumnOrName) -> Column:
     text = _col(c).cast("string")
     instant = text.try_cast("timestamp")
     zoned = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH_NTZ))
-    return F.when(text.rlike(ZONED_TEXT), zoned).otherwise(text.try_cast("timestamp_ntz"))
+    # Fast path for the usual provider form: a trailing Z already is UTC, and the NTZ cast
+    # reads the wall clock while ignoring the zone, so one cast suffices.
+    utc = text.endswith("Z") | text.endswith("z")
+    return (
+        F.when(utc, text.try_cast("timestamp_ntz"))
+        .when(text.rlike(ZONED_TEXT), zoned)
+        .otherwise(text.try_cast("timestamp_ntz"))
+    )
 
 
 def time_of_day(ts: ColumnOrName) -> Column:
