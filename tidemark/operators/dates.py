@@ -19,6 +19,10 @@ from tidemark.operators.keys import pack_series, require_columns, series_cols, u
 
 # Calendar days generated per task-sized chunk before the round-robin spread.
 CALENDAR_CHUNK_DAYS = 64
+# Most tasks the calendar is spread over: enough that even 10^10 calendar days are about
+# 10^7 per task, few enough that a cluster-sized partition count does not schedule
+# mostly empty tasks.
+CALENDAR_MAX_SPREAD = 1000
 
 
 def as_date(df: DataFrame, date_col: str) -> Column:
@@ -129,7 +133,7 @@ def missing_dates(
     if method != "calendar":
         raise ValueError("method must be 'gaps' or 'calendar'")
     if spread is None:
-        spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        spread = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), CALENDAR_MAX_SPREAD)
     # The day count keeps the optimizer from folding the distinct into the bounds
     # aggregate, so both branches read the same distinct exchange (one scan of the input).
     bounds = (
