@@ -143,3 +143,12 @@ def test_classify_leading_whitespace_and_case(spark):
     assert got == [("ok", None), ("error", "Bad"), ("quota", "slow down"), ("corrupt", None)]
     plan = classify_payloads(df)._jdf.queryExecution().executedPlan().toString()
     assert "lambdafunction" not in plan
+
+
+def test_parse_table_dump_crlf_and_blank_lines(spark):
+    from tidemark.sources.landing import dump_values, parse_table_dump
+
+    text = "Date , Value (x)\r\n2024-01-02, 5\r\n\r\n   \n2024-01-03,6\r\n"
+    df = spark.createDataFrame([("s", text)], "series_id string, payload string")
+    rows = {(r.date.day, r.field, r.value) for r in dump_values(parse_table_dump(df)).collect()}
+    assert rows == {(2, "Value__x_", 5.0), (3, "Value__x_", 6.0)}

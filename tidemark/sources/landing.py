@@ -270,16 +270,19 @@ def parse_table_dump(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     separators). Only built-in expressions without lambdas, so the parse is code-generated.
     """
     carry = _carry(df, payload_col)
-    lines = F.split(F.regexp_replace(F.col(payload_col), "\r", ""), "\n")
+    # Split on the newline alone (a literal one-character split, no regex); a carriage
+    # return left at a line end is trimmed per line.
+    lines = F.split(F.col(payload_col), "\n")
     staged = df.select(*carry, *([F.col("payload_class")] if "payload_class" in df.columns else []),
                        lines.alias("__lines"))
     not_comma = "".join(c for c in BAD_NAME_CHARS if c != ",")
-    header_line = F.regexp_replace(F.trim(F.col("__lines")[0]), r"\s*,\s*", ",")
+    header_line = F.regexp_replace(F.trim(F.col("__lines")[0], F.lit(" \t\r")), r"\s*,\s*", ",")
     header = F.split(F.translate(header_line, not_comma, "_" * len(not_comma)), ",")
     body = _when_ok(staged, F.slice(F.col("__lines"), 2, F.greatest(F.size("__lines") - 1, F.lit(1))))
-    rows = staged.select(*carry, header.alias("__hdr"), F.explode_outer(body).alias("__line")).where(
-        F.length(F.trim("__line")) > 0
-    )
+    exploded = staged.select(*carry, header.alias("__hdr"), F.explode_outer(body).alias("__raw"))
+    rows = exploded.select(
+        *carry, "__hdr", F.rtrim(F.col("__raw"), F.lit("\r")).alias("__line")
+    ).where(F.length(F.trim(F.col("__line"), F.lit(" \t"))) > 0)
     # Values keep their text; surrounding spaces are harmless (the casts and ``to_numeric``
     # ignore them), so lines are only split. The header is normalised once per file.
     fields = F.split(F.col("__line"), ",")
