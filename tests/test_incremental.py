@@ -107,3 +107,14 @@ def test_ingest_plan_over_catalogue_start_dates(spark):
     assert plan["eth_usd_daily_price"] == (D(2020, 11, 1), True)  # configured first date
     assert plan["corn"] == (None, True)  # full history on the first load
     assert plan["lbma_gold"] == (D(2020, 11, 1), True)
+
+
+def test_symbol_id_matches_catalogue(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.sources.catalog import symbol_id
+
+    df = spark.createDataFrame([("COINBASE", "BTC", "USD")], "ex string, asset string, cur string")
+    got = df.select(symbol_id(F.col("ex"), F.col("asset"), F.col("cur")).alias("s")).first().s
+    cat = {r.series_id: r.symbol for r in source_catalog(spark).collect()}
+    assert got == cat["btc_usd_daily_price"] == "COINBASE_SPOT_BTC_USD"

@@ -60,6 +60,8 @@ def test_reference_models(spark, fresh_db):
     assert get_table_comment(spark, "my_first_dbt_model") == "A starter dbt model"
     assert get_table_comment(spark, "my_second_dbt_model") == "A starter dbt model"
     assert get_table_comment(spark, "simple") == "just a smoke test"
+    cols = {c.name: c.description for c in spark.catalog.listColumns("my_first_dbt_model")}
+    assert cols["id"] == "The primary key for this table"
     # re-running replaces the table model through the staged path
     run_models(spark, reference_models())
     assert spark.table("my_first_dbt_model").count() == 2
