@@ -232,3 +232,16 @@ def test_daily_run_loads_and_reports(spark, fresh_db, tmp_dir):
     assert (btc.known_missing, btc.expected_rows, btc.row_count_error) == (10, -4, -8)
     gold = rep["lbma_gold"]
     assert (gold.family, gold.n_rows, gold.n_missing_days) == ("table_dump", 2, 1)
+
+
+def test_daily_bar_views_are_typed(spark, fresh_db, tmp_dir):
+    from fixtures import KEYED_PAYLOAD
+
+    write_json(f"{tmp_dir}/daily_ohlcv/spy/2024-01-04.json", KEYED_PAYLOAD)
+    load_landed(spark, f"{tmp_dir}/daily_ohlcv/*/*.json", "daily_ohlcv")
+    assert dict(spark.table("daily_bars").dtypes)["1__open"] == "string"  # raw text kept
+    create_series_views(spark, "daily_bars", ["spy"])
+    view = spark.table("spy")
+    assert dict(view.dtypes)["1__open"] == "double"
+    got = {r.date: (r["1__open"], r["5__volume"]) for r in view.collect()}
+    assert got == {dt.datetime(2024, 1, 3): (470.1, 1000.0), dt.datetime(2024, 1, 2): (472.2, 2000.0)}

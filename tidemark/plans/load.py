@@ -252,10 +252,18 @@ def recover_partition_swap(spark: SparkSession, table: str) -> None:
 
 
 # A field of the long dump table, typed as ``to_numeric`` does (regex guard, then cast).
-_TYPED_FIELD = (
-    "CASE WHEN map_from_entries(vals)['{f}'] RLIKE '" + NUMERIC_TEXT.replace("\\", "\\\\") + "' "
-    "THEN try_cast(map_from_entries(vals)['{f}'] AS DOUBLE) END"
-)
+def _typed_sql(expr: str) -> str:
+    """SQL text of ``to_numeric`` over ``expr`` (regex guard, then cast)."""
+    pattern = NUMERIC_TEXT.replace("\\", "\\\\")
+    return f"CASE WHEN {expr} RLIKE '{pattern}' THEN try_cast({expr} AS DOUBLE) END"
+
+
+# Text label columns of the daily-bar family, typed in the per-series views.
+_TEXT_LABEL_TABLES = {"daily_bars"}
+
+
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def create_series_views(
@@ -284,10 +292,17 @@ def create_series_views(
         )
         for r in pairs:
             fields.setdefault(r.series_id, []).append(r.field)
+    types = dict(spark.table(table).dtypes)
     for sid in series_ids:
         if "vals" in cols:
             exprs = [f"`{c}`" for c in cols if c != "vals"] + [
-                f"{_TYPED_FIELD.format(f=f)} AS `{f}`" for f in sorted(fields.get(sid, []))
+                f"{_typed_sql(f'map_from_entries(vals)[{_sql_str(f)}]')} AS `{f}`"
+                for f in sorted(fields.get(sid, []))
+            ]
+        elif table in _TEXT_LABEL_TABLES:
+            # The raw table keeps the provider's text; the view types the labels.
+            exprs = [
+                f"{_typed_sql(f'`{c}`')} AS `{c}`" if types[c] == "string" else f"`{c}`" for c in cols
             ]
         else:
             exprs = [f"`{c}`" for c in cols]
