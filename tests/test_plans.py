@@ -245,3 +245,29 @@ def test_daily_bar_views_are_typed(spark, fresh_db, tmp_dir):
     assert dict(view.dtypes)["1__open"] == "double"
     got = {r.date: (r["1__open"], r["5__volume"]) for r in view.collect()}
     assert got == {dt.datetime(2024, 1, 3): (470.1, 1000.0), dt.datetime(2024, 1, 2): (472.2, 2000.0)}
+
+
+def test_interrupted_replace_is_recovered(spark, fresh_db):
+    from tidemark.plans.tables import recover_replace
+
+    new = spark.createDataFrame([("a", 1)], "series_id string, v int")
+    # crash after the old table was dropped, before the rename: the staged copy is complete
+    new.write.saveAsTable("r__staged")
+    recover_replace(spark, "r")
+    assert table_exists(spark, "r") and not table_exists(spark, "r__staged")
+    assert spark.table("r").count() == 1
+    # crash during the staged write: the old table is still there, the partial copy goes
+    spark.createDataFrame([("b", 2)], new.schema).write.saveAsTable("r__staged")
+    recover_replace(spark, "r")
+    assert not table_exists(spark, "r__staged")
+    assert [tuple(x) for x in spark.table("r").collect()] == [("a", 1)]
+
+
+def test_interrupted_partition_swap_is_finished(spark, fresh_db):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "series_id string, v int")
+    create_table(df, "q", partition_by=["series_id"])
+    # crash after the deduplicated partition was staged, before the overwrite
+    spark.createDataFrame([(1, "a")], "v int, series_id string").write.partitionBy("series_id").saveAsTable("q__staged")
+    assert dedupe_table(spark, "q") == 0  # the swap is finished first, then nothing is left to remove
+    assert sorted(tuple(x) for x in spark.table("q").select("series_id", "v").collect()) == [("a", 1), ("b", 2)]
+    assert not table_exists(spark, "q__staged")

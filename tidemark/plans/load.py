@@ -208,9 +208,11 @@ def dedupe_table(spark: SparkSession, table: str) -> int:
     swapped in by a dynamic partition overwrite; the clean partitions are not touched. An
     unpartitioned table is replaced whole through ``replace_table``.
     """
-    df = spark.table(table)
     parts = partition_columns(spark, table)
     part = parts[0] if len(parts) == 1 else None
+    if part is not None:
+        recover_partition_swap(spark, table)  # finish an interrupted swap before counting
+    df = spark.table(table)
     copies = row_copies(df).where(F.col("__copies") > 1)
     by = [part] if part else []
     dirty = copies.groupBy(*by).agg(F.sum(F.col("__copies") - 1).alias("surplus")).collect()
@@ -225,7 +227,6 @@ def dedupe_table(spark: SparkSession, table: str) -> int:
     if any(v is None for v in values):
         cond = cond | F.col(part).isNull()
     staged = table + STAGED_SUFFIX
-    recover_partition_swap(spark, table)
     dedupe_rows(df.where(cond)).write.mode("errorifexists").format(_table_format(spark, table)).saveAsTable(staged)
     _swap_partitions(spark, table, staged)
     return surplus
