@@ -197,3 +197,28 @@ def test_series_report_counts_gaps_and_duplicates(spark):
     assert got == {"s": (5, 5, 2, 1), "t": (2, 1, 0, 1)}  # copies on one day make it duplicated
     one = series_report(df.where("k = 's'"), "d", []).first()
     assert (one.n_missing_days, one.n_duplicate_dates) == (2, 1)
+
+
+def test_hot_series_results_and_plan(spark):
+    """One series holds most rows (with many copies); results match plain Python and the
+    first shuffle of the calendar checks is keyed by series and day together."""
+    from tidemark.plans.run import series_report
+
+    rng = random.Random(3)
+    rows = [("hot", D(2024, 1, 1) + dt.timedelta(days=rng.randrange(40)), rng.randrange(3)) for _ in range(6000)]
+    rows += [("cold", D(2024, 1, 1) + dt.timedelta(days=d), 0) for d in (0, 2, 2, 9)]
+    df = spark.createDataFrame(rows, "k string, d date, v int").repartition(8)
+    want = {}
+    for s in ("hot", "cold"):
+        ds = [r[1] for r in rows if r[0] == s]
+        lo, hi = min(ds), max(ds)
+        missing = {lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)} - set(ds)
+        dups = {d for d in set(ds) if ds.count(d) > 1}
+        uniq = len({r for r in rows if r[0] == s})
+        want[s] = (len(ds), uniq, len(missing), len(dups))
+    got = {r.k: (r.n_rows, r.n_unique_rows, r.n_missing_days, r.n_duplicate_dates) for r in series_report(df, "d", ["k"]).collect()}
+    assert got == want
+    plan = duplicate_dates(df, "d", ["k"])._jdf.queryExecution().executedPlan().toString()
+    first = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line][-1]
+    keys = first.split("hashpartitioning(")[1].split(")")[0].split(", ")[:-1]
+    assert len(keys) == 2 and keys[0].startswith("k#"), first  # (series, day), not series alone
