@@ -49,6 +49,7 @@ def test_plan_has_no_python_and_prunes_columns(spark, name):
     df = contract.queries()[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     for line in plan.splitlines():
         if "FileScan parquet" in line and "orders.parquet" in line:
             # no query reads every orders column unless it returns them all
