@@ -23,8 +23,37 @@ from tidemark.operators.incremental import (
     ingest_plan,
 )
 from tidemark.operators.rows import dedupe_rows, duplicate_row_count, profile_series
+from tidemark.operators.fill import fill_daily
+from tidemark.plans.load import create_series_views, dedupe_table, load_increment, load_landed
+from tidemark.plans.run import daily_run, series_report
+from tidemark.sources.catalog import schedule, source_catalog
+from tidemark.sources.landing import (
+    classify_payloads,
+    parse_bars,
+    parse_indicator,
+    parse_keyed_series,
+    parse_table_dump,
+    read_landed,
+    shape_bars,
+)
 
 __all__ = [
+    "classify_payloads",
+    "create_series_views",
+    "daily_run",
+    "dedupe_table",
+    "fill_daily",
+    "load_increment",
+    "load_landed",
+    "parse_bars",
+    "parse_indicator",
+    "parse_keyed_series",
+    "parse_table_dump",
+    "read_landed",
+    "schedule",
+    "series_report",
+    "shape_bars",
+    "source_catalog",
     "after_high_water_mark",
     "analyze_dates",
     "apply_backfill",
