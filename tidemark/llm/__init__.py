@@ -1 +1,8 @@
 """Operators of a training-data pipeline. Nothing else in the library imports this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# What runs on the executors travels with the job: the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

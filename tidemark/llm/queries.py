@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing
+from tidemark.llm import exact_dedup, mixing, quality, url_filter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -88,3 +88,51 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document of equal texts stays."""
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
+
+
+# Fixed rules of the URL query: host, path, verdict.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+_URL_SQL = """
+WITH r(rule_host, rule_path, rule_verdict) AS (VALUES
+  ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+u AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+p AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u),
+m AS (
+  SELECT host, path, rule_host || rule_path AS rule, rule_verdict,
+         row_number() OVER (PARTITION BY host, path
+                            ORDER BY length(rule_host || rule_path) DESC) AS rk
+  FROM (SELECT DISTINCT host, path FROM p) x JOIN r
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.rule_verdict, 'allow') AS verdict
+FROM p LEFT JOIN m ON m.host = p.host AND m.path = p.path AND m.rk = 1
+"""
+
+
+@_query("op4_url_filter", _URL_SQL)
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL; URLs that no rule lists are allowed."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages"), rules)
+
+
+@_query("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of held-out rows are not learnt."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model)
