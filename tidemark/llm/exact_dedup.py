@@ -35,6 +35,7 @@ def _state_session(spark: SparkSession, memory_mb: int) -> SparkSession:
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set(f"{rocks}.changelogCheckpointing.enabled", "true")
     session.conf.set(f"{rocks}.boundedMemoryUsage", "true")
+    session.conf.set(f"{rocks}.allowFAllocate", "false")  # no megabytes reserved per partition
     session.conf.set(f"{rocks}.maxMemoryUsageMB", str(memory_mb))
     return session
 
