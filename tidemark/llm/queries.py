@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, quality, url_filter
+from tidemark.llm import bpe, exact_dedup, mixing, quality, url_filter
+from tidemark.llm.tokens import read_spec
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -136,3 +137,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.fit(docs, _table(spark, sf_dir, "labels"))
     return quality.score_documents(docs, model)
+
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+@_query("op7_bpe")
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text these decode to."""
+    spec = read_spec(WORD_BPE)
+    return bpe.digests(bpe.encode(_table(spark, sf_dir, "documents"), spec), spec)
