@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, fresh, locate
+from tidemark.llm.common import Scratch, fresh, locate, per_process
 from tidemark.llm.tokens import WordTokenizer, pieces
 
 CHUNK_BYTES = 4 << 20
@@ -81,8 +81,11 @@ def encode(
     id_type = stored.schema["id"].dataType.simpleString()
     width = np.dtype("<u2") if len(pieces(spec)) <= 1 << 16 else np.dtype("<u4")
 
+    def tokenizer() -> WordTokenizer:
+        return per_process(("words", spec), lambda: WordTokenizer(spec))
+
     def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, words, _, _ in _chunks(batches, WordTokenizer(spec)):
+        for name, words, _, _ in _chunks(batches, tokenizer()):
             n = len(words)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -95,7 +98,7 @@ def encode(
 
     def list_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
-        for name, words, ids, sequences in _chunks(batches, WordTokenizer(spec)):
+        for name, words, ids, sequences in _chunks(batches, tokenizer()):
             small = np.dtype("<u2") if len(words) <= 1 << 16 else np.dtype("<u4")
             yield pa.RecordBatch.from_arrays(
                 [
@@ -110,12 +113,12 @@ def encode(
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by word: a word is encoded when it first shows up."""
-        tokenizer, last, code = WordTokenizer(spec), None, b""
+        words, last, code = tokenizer(), None, b""
         for batch in batches:
             codes = []
             for word in batch.column(0).to_pylist():
                 if word != last:
-                    last, code = word, np.array(tokenizer.encode(word), width).tobytes()
+                    last, code = word, np.array(words.encode(word), width).tobytes()
                 codes.append(code)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), batch.column(2), pa.array(codes, pa.binary())],

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import string
+import sys
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +40,14 @@ def fresh(df: DataFrame, base: str) -> str:
     return name
 
 
+def per_process(key: tuple, make: Callable[[], Any]) -> Any:
+    """``make()``, kept for the tasks that follow in the same worker process."""
+    kept = sys.modules.setdefault("_tidemark_kept", types.ModuleType("_tidemark_kept"))
+    if key not in kept.__dict__:
+        kept.__dict__[key] = make()
+    return kept.__dict__[key]
+
+
 class Scratch:
     """Tables written as Parquet under the shared checkpoint folder.
 

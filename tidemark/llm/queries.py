@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, mixing, quality, url_filter
+from tidemark.llm import bpe, exact_dedup, minhash, mixing, prefix_counts, quality, url_filter
 from tidemark.llm.tokens import read_spec
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -147,3 +148,22 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text these decode to."""
     spec = read_spec(WORD_BPE)
     return bpe.digests(bpe.encode(_table(spark, sf_dir, "documents"), spec), spec)
+
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+TOKEN_LIMIT = 512
+
+
+@_query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it is over the limit."""
+    table = prefix_counts.prefix_table(_table(spark, sf_dir, "documents"), read_spec(BYTE_BPE))
+    return table.select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
+@_query("op1_minhash_dedup")
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return minhash.near_dedup(_table(spark, sf_dir, "documents"))

@@ -64,7 +64,8 @@ class WordTokenizer:
         self.library = Tokenizer.from_str(spec)
         self.model = self.library.model
 
-    def _plain_words(self, text: str) -> list[str]:
+    def plain_words(self, text: str) -> list[str]:
+        """The words of a text without special tokens."""
         if not SETTLED(text):
             if self.normalize:
                 text = self.library.normalizer.normalize_str(text)
@@ -84,10 +85,10 @@ class WordTokenizer:
     def words(self, text: str) -> list[str]:
         parts = self.segments(text)
         if len(parts) == 1:
-            return self._plain_words(text)
+            return self.plain_words(text)
         out: list[str] = []
         for i, part in enumerate(parts):
-            out += [part] if i % 2 else self._plain_words(part)
+            out += [part] if i % 2 else self.plain_words(part)
         return out
 
     def encode(self, word: str) -> list[int]:
