@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, minhash, mixing, prefix_counts, quality, url_filter
+from tidemark.llm import (
+    bpe,
+    exact_dedup,
+    grid_join,
+    minhash,
+    mixing,
+    prefix_counts,
+    quality,
+    url_filter,
+)
 from tidemark.llm.tokens import read_spec
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -167,3 +176,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return minhash.near_dedup(_table(spark, sf_dir, "documents"))
+
+
+@_query("op6_embedding_dedup")
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings by cosine."""
+    return grid_join.cosine_links(_table(spark, sf_dir, "embeddings"))
