@@ -16,8 +16,10 @@ from tidemark.llm import (
     mixing,
     prefix_counts,
     quality,
+    rans,
     url_filter,
 )
+from tidemark.llm.common import Scratch
 from tidemark.llm.tokens import read_spec
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -182,3 +184,16 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings by cosine."""
     return grid_join.cosine_links(_table(spark, sf_dir, "embeddings"))
+
+
+END_ID = 2
+
+
+@_query("op5_token_files")
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, as read back from the files."""
+    path = Scratch(spark).path("token_files", keep=True)
+    rans.write_tokens(_table(spark, sf_dir, "documents"), path, read_spec(WORD_BPE), END_ID)
+    return rans.read_tokens(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
