@@ -1,22 +1,25 @@
 """BPE encoding with a table of distinct words, and decoding through the piece table.
 
-Texts are cut into chunks of stored rows. Every chunk lists its distinct words and keeps its
-documents as sequences of positions in that list. The lists are shuffled by word, so that
-equal words of all chunks meet; there each distinct word of the corpus is encoded once, and
-its ids go back to the chunks by position. A chunk then puts the ids in place of its
-positions. Only distinct words of a chunk are shuffled: a frequent word has one row per
-chunk, however often it occurs, and no task holds more than one chunk or one word at a time.
+Texts are cut into chunks of stored rows. Every chunk lists its distinct words by frequency
+and keeps its documents as sequences of positions in that list. The lists are shuffled by
+the words' hash, so that equal words of all chunks meet; there each distinct word of the
+corpus is encoded once, and its ids go back to the chunks by position. A chunk then puts the
+ids in place of its positions. Only distinct words of a chunk are shuffled: a frequent word
+is there once per chunk, however often it occurs, and words and positions travel in
+compressed packets. No task holds more than one chunk or one hash's share of the words.
 
 Decoding looks up every id's piece in the vocabulary's piece table (one entry per id, so
 its size is the vocabulary's) and joins the pieces as the tokenizer does without a decoder,
 with blanks, special tokens included.
 
 Null and empty texts have no ids and decode to the empty text. Ids of documents may be null
-or repeated: rows are told apart by where they are stored. Extra columns are ignored.
+or repeated: rows are told apart by where they are stored. Extra columns are ignored; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Scratch, fresh, locate, per_process
 from tidemark.llm.tokens import WordTokenizer, pieces
 
-CHUNK_BYTES = 4 << 20
+CHUNK_CHARS = 16 << 20
 
 
 def _number(chunk: str) -> int:
@@ -37,6 +40,48 @@ def _number(chunk: str) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(chunk)).astype(np.int64))
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Integers as four planes of bytes, compressed: high planes are mostly zeros."""
+    planes = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+
+
+class _Chunk:
+    """Documents of one piece of a file, and their distinct words."""
+
+    def __init__(self, source: tuple[str, int], number: int):
+        self.source, self.number, self.chars = source, number, 0
+        self.first_use: dict[str, int] = _Positions()
+        self.ids: list = []
+        self.sequences: list[np.ndarray] = []
+
+    def add(self, key, text: str, splitter: WordTokenizer) -> None:
+        self.chars += len(text) + 1
+        self.ids.append(key)
+        found = [self.first_use[w] for w in splitter.words(text)]
+        self.sequences.append(np.array(found, dtype=np.uint32))
+
+    @property
+    def name(self) -> str:
+        return f"{self.source[0]}:{self.source[1]}:{self.number}:{len(self.first_use)}"
+
+    def by_frequency(self) -> tuple[list[str], np.ndarray]:
+        """The distinct words, most frequent first, and the documents' words as places in
+        that list, one document after another."""
+        flat = np.concatenate([*self.sequences, np.zeros(0, np.uint32)])
+        counts = np.bincount(flat, minlength=len(self.first_use))
+        order = np.argsort(-counts, kind="stable")
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order))
+        words = list(self.first_use)
+        return [words[i] for i in order], place[flat]
+
+
 class _Positions(dict):
     """Position of each distinct word in order of first use."""
 
@@ -45,25 +90,21 @@ class _Positions(dict):
         return n
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], splitter: WordTokenizer) -> Iterator[tuple]:
-    """Cut the rows of a task into chunks: (name, words, ids, sequences). A chunk ends with
-    its piece of a file or at CHUNK_BYTES, so the same rows always make the same chunks."""
-    name, number, size, words, ids, sequences = None, 0, 0, _Positions(), [], []
+def _chunks(batches: Iterator[pa.RecordBatch], splitter: WordTokenizer) -> Iterator[_Chunk]:
+    """Cut the rows of a task into chunks. A chunk ends with its piece of a file or at
+    CHUNK_CHARS, so the same rows always make the same chunks."""
+    chunk = None
     for batch in batches:
-        columns = [batch.column(i) for i in range(4)]
-        for file, start, key, text in zip(columns[0], columns[1], columns[2], columns[3], strict=True):
+        for file, start, key, text in zip(*batch.columns, strict=True):
             source = (file.as_py(), start.as_py())
-            if name is not None and (source != name or size >= CHUNK_BYTES):
-                yield f"{name[0]}:{name[1]}:{number}", words, ids, sequences
-                number = number + 1 if source == name else 0
-                size, words, ids, sequences = 0, _Positions(), [], []
-            name = source
-            value = text.as_py() or ""
-            size += len(value) + 1
-            ids.append(key.as_py())
-            sequences.append(np.array([words[w] for w in splitter.words(value)], dtype=np.uint32))
-    if name is not None:
-        yield f"{name[0]}:{name[1]}:{number}", words, ids, sequences
+            if chunk is None or source != chunk.source or chunk.chars >= CHUNK_CHARS:
+                if chunk is not None:
+                    yield chunk
+                same = chunk is not None and source == chunk.source
+                chunk = _Chunk(source, chunk.number + 1 if same else 0)
+            chunk.add(key.as_py(), text.as_py() or "", splitter)
+    if chunk is not None:
+        yield chunk
 
 
 def encode(
@@ -79,87 +120,94 @@ def encode(
         F.col(text_col).alias("text"),
     )
     id_type = stored.schema["id"].dataType.simpleString()
-    width = np.dtype("<u2") if len(pieces(spec)) <= 1 << 16 else np.dtype("<u4")
+    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def tokenizer() -> WordTokenizer:
         return per_process(("words", spec), lambda: WordTokenizer(spec))
 
     def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, words, _, _ in _chunks(batches, tokenizer()):
-            n = len(words)
+        for chunk in _chunks(batches, tokenizer()):
+            words, _ = chunk.by_frequency()
+            share = np.array([xxhash.xxh3_64_intdigest(w) % shares for w in words], np.int64)
+            order = np.argsort(share, kind="stable")
+            used, starts = np.unique(share[order], return_index=True)
+            parts = np.split(order, starts[1:]) if len(order) else []
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(list(words), pa.string()),
-                    pa.array(np.full(n, _number(name))),
-                    pa.array(np.arange(n, dtype=np.int32)),
+                    pa.array(used),
+                    pa.array(np.full(len(parts), _number(chunk.name))),
+                    pa.array([_pack(p) for p in parts], pa.binary()),
+                    pa.array([zstandard.compress(json.dumps([words[i] for i in p]).encode()) for p in parts], pa.binary()),
                 ],
-                ["word", "chunk", "position"],
+                ["share", "chunk", "places", "words"],
             )
 
     def list_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1)
-        for name, words, ids, sequences in _chunks(batches, tokenizer()):
-            small = np.dtype("<u2") if len(words) <= 1 << 16 else np.dtype("<u4")
+        for chunk in _chunks(batches, tokenizer()):
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(ids), _number(name))),
-                    pa.array([f"{name}:{len(words)}"] * len(ids), pa.string()),
-                    pa.array(ids, ids_type(id_type)),
-                    pa.array([len(s) for s in sequences], pa.int32()),
-                    pa.array([pack.compress(s.astype(small).tobytes()) for s in sequences], pa.binary()),
+                    pa.array([_number(chunk.name)]),
+                    pa.array([chunk.name], pa.string()),
+                    pa.array([chunk.ids], pa.list_(ids_type(id_type))),
+                    pa.array([[len(s) for s in chunk.sequences]], pa.list_(pa.int64())),
+                    pa.array([_pack(chunk.by_frequency()[1])], pa.binary()),
                 ],
-                ["chunk", "name", "id", "n", "sequence"],
+                ["chunk", "name", "ids", "lengths", "sequence"],
             )
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by word: a word is encoded when it first shows up."""
-        words, last, code = tokenizer(), None, b""
+        """Rows come sorted by share: its words are encoded when they first show up."""
+        words, table, share = tokenizer(), {}, None
         for batch in batches:
-            codes = []
-            for word in batch.column(0).to_pylist():
-                if word != last:
-                    last, code = word, np.array(words.encode(word), width).tobytes()
-                codes.append(code)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array(codes, pa.binary())],
-                ["chunk", "position", "code"],
-            )
+            for at, chunk, places, packed in zip(*batch.columns, strict=True):
+                if at != share:
+                    table, share = {}, at
+                codes = []
+                for word in json.loads(zstandard.decompress(packed.as_py())):
+                    if word not in table:
+                        table[word] = np.array(words.encode(word), np.uint32)
+                    codes.append(table[word])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([chunk.as_py()], pa.int64()),
+                        pa.array([places.as_py()], pa.binary()),
+                        pa.array([_pack(np.array([len(c) for c in codes]))], pa.binary()),
+                        pa.array([_pack(np.concatenate(codes))], pa.binary()),
+                    ],
+                    ["chunk", "places", "lengths", "codes"],
+                )
 
-    def put_back(words: pa.Table, documents: pa.Table) -> pa.Table:
-        names = set(documents.column("name").to_pylist())
-        if len(names) != 1 or int(next(iter(names)).rpartition(":")[2]) != len(words):
-            raise ValueError(f"words and documents of chunks {names} do not belong together")
-        order = np.argsort(words.column("position").to_numpy())
-        codes = [words.column("code")[int(i)].as_py() for i in order]
-        lengths = np.array([len(c) // width.itemsize for c in codes], dtype=np.int64)
-        starts = np.concatenate([[0], np.cumsum(lengths)])
-        flat = np.frombuffer(b"".join(codes), width).astype(np.int32)
-        small = np.dtype("<u2") if len(codes) <= 1 << 16 else np.dtype("<u4")
-        unpack = zstandard.ZstdDecompressor()
-        out = []
-        for n, packed in zip(documents.column("n").to_pylist(), documents.column("sequence").to_pylist(), strict=True):
-            sequence = np.frombuffer(unpack.decompress(packed) if n else b"", small)
-            long = lengths[sequence]
-            ends = np.cumsum(long)
-            total = int(ends[-1]) if n else 0
-            # Every token's place: its word's start, plus its place in the word.
-            at = np.repeat(starts[sequence] - (ends - long), long) + np.arange(total)
-            out.append(flat[at])
-        return pa.table(
-            {
-                "id": documents.column("id"),
-                "ids": pa.array(out, pa.list_(pa.int32())),
-            }
+    def put_back(coded: pa.Table, documents: pa.Table) -> pa.Table:
+        places, lengths, codes = (
+            np.concatenate([_unpack(x) for x in coded.column(c).to_pylist()] + [np.zeros(0, np.uint32)])
+            for c in ("places", "lengths", "codes")
         )
+        name = documents.column("name").to_pylist()
+        if len(name) != 1 or int(name[0].rpartition(":")[2]) != len(places):
+            raise ValueError(f"words and documents of chunks {name} do not belong together")
+        # Where the ids of the word at each place start, and how many it has.
+        start, long = np.empty((2, len(places)), np.int64)
+        start[places], long[places] = np.cumsum(lengths, dtype=np.int64) - lengths, lengths
+        sequence = _unpack(documents.column("sequence")[0].as_py())
+        each = long[sequence]
+        ends = np.cumsum(each)
+        total = int(ends[-1]) if len(ends) else 0
+        # Every id's place: its word's start, plus its place in the word.
+        flat = codes[np.repeat(start[sequence] - (ends - each), each) + np.arange(total)]
+        words = np.cumsum(documents.column("lengths")[0].values.to_numpy())
+        bounds = np.concatenate([[0], np.concatenate([[0], ends])[words]])
+        ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.astype(np.int32)))
+        return pa.table({"id": documents.column("ids").combine_chunks().flatten(), "ids": ids})
 
     coded = (
-        stored.mapInArrow(list_words, "word string, chunk long, position int")
-        .repartition("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(encode_words, "chunk long, position int, code binary")
+        stored.mapInArrow(list_words, "share long, chunk long, places binary, words binary")
+        .repartition(shares, "share")
+        .sortWithinPartitions("share")
+        .mapInArrow(encode_words, "chunk long, places binary, lengths binary, codes binary")
     )
     listed = stored.mapInArrow(
-        list_documents, f"chunk long, name string, id {id_type}, n int, sequence binary"
+        list_documents,
+        f"chunk long, name string, ids array<{id_type}>, lengths array<long>, sequence binary",
     )
     encoded = (
         coded.groupBy("chunk")
