@@ -12,6 +12,7 @@ from tidemark.llm import (
     bpe,
     exact_dedup,
     grid_join,
+    line_dedup,
     minhash,
     mixing,
     prefix_counts,
@@ -197,3 +198,9 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_tokens(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+@_query("op8_line_dedup")
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of every document that match a line before them."""
+    return line_dedup.repeated_lines(_table(spark, sf_dir, "documents"))
