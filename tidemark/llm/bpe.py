@@ -26,10 +26,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, fresh, locate, per_process
+from tidemark.llm.common import Scratch, array_literal, locate, per_process
 from tidemark.llm.tokens import WordTokenizer, pieces
 
 CHUNK_CHARS = 16 << 20
@@ -225,32 +225,19 @@ def ids_type(spark_type: str) -> pa.DataType:
     return kinds[spark_type]
 
 
-def piece_table(spark: SparkSession, spec: str) -> DataFrame:
-    """The vocabulary as a table: ``id`` and ``piece``."""
-    return spark.createDataFrame(list(enumerate(pieces(spec))), "id int, piece string")
-
-
-def decode(encoded: DataFrame, table: DataFrame, ids_col: str = "ids") -> DataFrame:
-    """``encoded`` with a column ``decoded``: the piece of each id, joined by blanks."""
-    ordered = F.sort_array(F.collect_list(F.struct("id", "piece")))
-    listing = table.agg(F.transform(ordered, lambda row: row["piece"]).alias("pieces")).scalar()
-    name = fresh(encoded, "pieces")
-    return (
-        encoded.withColumn(name, listing)
-        .withColumn(
-            "decoded",
-            F.array_join(F.transform(F.col(ids_col), lambda i: F.get(F.col(name), i)), " "),
-        )
-        .drop(name)
-    )
+def decode(encoded: DataFrame, spec: str, ids_col: str = "ids") -> DataFrame:
+    """``encoded`` with a column ``decoded``: every id is looked up in the piece table, and
+    the pieces are joined by blanks."""
+    table = array_literal(pieces(spec), "string")
+    found = F.transform(ids_col, lambda i: F.get(table, i))
+    return encoded.withColumn("decoded", F.array_join(found, " "))
 
 
 def digests(encoded: DataFrame, spec: str, id_col: str = "doc_id") -> DataFrame:
     """Per row of ``encode``'s result: ``doc_id``, ``n_tokens``, and the sha256 of the ids'
     text and of the decoded text."""
-    table = piece_table(encoded.sparkSession, spec)
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return decode(encoded, table).select(
+    return decode(encoded, spec).select(
         id_col,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(listed, 256).alias("ids_sha256"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import string
 import sys
 import types
@@ -40,6 +41,11 @@ def fresh(df: DataFrame, base: str) -> str:
     return name
 
 
+def array_literal(values: list, element: str) -> Column:
+    """A list of bounded length as one literal; it is parsed once, when the plan is made."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{element}>")
+
+
 def per_process(key: tuple, make: Callable[[], Any]) -> Any:
     """``make()``, kept for the tasks that follow in the same worker process."""
     kept = sys.modules.setdefault("_tidemark_kept", types.ModuleType("_tidemark_kept"))

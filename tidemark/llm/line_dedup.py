@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import Scratch, fresh, locate, words
+from tidemark.llm.common import Scratch, array_literal, fresh, locate, words
 
 SHINGLE = 5
 # Jaccard 3/4: the sizes' ratio is at least that, and the overlap 3/7 of their sum.
@@ -72,38 +72,36 @@ def _shingles(content: Column, hashed: bool) -> Column:
     )
 
 
-def _rarity(classes: DataFrame) -> DataFrame:
-    """One row: an array of ranks by hash bucket; a larger rank is a more frequent bucket."""
+def _rarity(classes: DataFrame) -> Column:
+    """An array of ranks by hash bucket (1 << RARITY_BITS numbers, whatever the input): a
+    larger rank is a more frequent bucket."""
     tokens = classes.select(F.explode(_shingles(F.col("content"), True)).alias("h"))
-    counts = tokens.groupBy(_bucket(F.col("h")).alias("id")).count()
-    ranks = (
-        classes.sparkSession.range(1 << RARITY_BITS)
-        .join(counts, "id", "left")
-        .select("id", F.round(F.log2(F.coalesce("count", F.lit(0)) + 1) * 1000).cast("long").alias("rank"))
-    )
-    ordered = F.sort_array(F.collect_list(F.struct("id", "rank")))
-    return ranks.agg(F.transform(ordered, lambda row: row["rank"]).alias("ranks"))
+    rank = F.round(F.log2(F.count(F.lit(1))) * 1000).cast("long")
+    found = tokens.groupBy(_bucket(F.col("h")).alias("bucket")).agg(rank.alias("rank")).collect()
+    ranks = [0] * (1 << RARITY_BITS)
+    for row in found:
+        ranks[row["bucket"]] = row["rank"]
+    return array_literal(ranks, "long")
 
 
 def _bucket(h: Column) -> Column:
     return F.shiftrightunsigned(h, 64 - RARITY_BITS)
 
 
-def _prefixes(classes: DataFrame, rarity: DataFrame) -> DataFrame:
+def _prefixes(classes: DataFrame, ranks: Column) -> DataFrame:
     """(doc, line, content) -> a row per prefix token: token, doc, line, size, pos."""
     keep = 47  # bits of the hash that stay below the rank
     mask = (1 << keep) - 1
     ordered = (
         classes.select("doc", "line", _shingles(F.col("content"), True).alias("tokens"))
         .where(F.size("tokens") > 2)  # smaller sets match equal ones only
-        .withColumn("ranks", rarity.scalar())
         .select(
             "doc",
             "line",
             F.sort_array(
                 F.transform(
                     "tokens",
-                    lambda h: F.shiftleft(F.get("ranks", _bucket(h).cast("int")), keep).bitwiseOR(
+                    lambda h: F.shiftleft(F.get(ranks, _bucket(h).cast("int")), keep).bitwiseOR(
                         h.bitwiseAND(F.lit(mask))
                     ),
                 )
@@ -151,10 +149,8 @@ def _decide(docs: DataFrame, scratch: Scratch) -> DataFrame:
         .agg(F.min(F.struct("doc", "line")).alias("first"), F.first("content").alias("content"))
     )
     classes = scratch.write(grouped.select("key", "first.doc", "first.line", "content"), "classes")
-    rarity = scratch.write(_rarity(classes), "rarity")
-
     # The prefixes are shuffled by token once, for the first class of a token and for all.
-    dealt = _prefixes(classes, rarity).repartition("token")
+    dealt = _prefixes(classes, _rarity(classes)).repartition("token")
     heads = (
         dealt.groupBy("token")
         .agg(F.min(F.struct("doc", "line", "size", "pos")).alias("head"), F.count(F.lit(1)).alias("n"))
