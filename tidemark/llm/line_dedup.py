@@ -54,28 +54,40 @@ def _split_lines(text: Column) -> Column:
 
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc, text) -> (doc, line, content, key): lines with words; content joins the words."""
-    lines = docs.select("doc", F.posexplode(_split_lines(F.lower("text"))).alias("line", "content"))
-    joined = lines.withColumn("content", F.array_join(words(F.col("content")), " "))
-    return joined.where("content <> ''").withColumn("key", F.unhex(F.md5("content")))
+    # Outer generators here and below: for a plain one the optimizer adds a filter on its
+    # input, with all that computes the array a second time.
+    lines = docs.select("doc", F.posexplode_outer(_split_lines(F.col("text"))).alias("line", "raw"))
+    content = F.array_join(words(F.lower("raw")), " ").alias("content")
+    return (
+        lines.where(F.col("raw").rlike(r"[^ \t\n\x0B\f\r]"))
+        .select("doc", "line", content)
+        .withColumn("key", F.unhex(F.md5("content")))
+    )
 
 
-def _shingles(content: Column, hashed: bool) -> Column:
-    """The line's distinct tokens, as 64-bit hashes or in full."""
-    parts = F.split(content, " ")
+def _with_tokens(rows: DataFrame, content: str, tokens: str, hashed: bool) -> DataFrame:
+    """Add a line's distinct tokens, as 64-bit hashes or in full. The words are a column of
+    their own first, so that they are split once a line and not once a token."""
+    parts = fresh(rows, "parts")
     make = F.xxhash64 if hashed else lambda *w: F.concat_ws(" ", *w)
     many = F.transform(
-        F.slice(parts, 1, F.size(parts) - (SHINGLE - 1)),
+        F.slice(parts, F.lit(1), F.size(parts) - (SHINGLE - 1)),
         lambda w, i: make(w, *[F.get(parts, i + k) for k in range(1, SHINGLE)]),
     )
-    return F.array_distinct(
-        F.when(F.size(parts) >= SHINGLE, many).otherwise(F.array(make(content)))
+    one = F.array(make(F.col(content)))
+    return (
+        rows.withColumn(parts, F.split(F.col(content), " "))
+        .withColumn(tokens, F.array_distinct(F.when(F.size(parts) >= SHINGLE, many).otherwise(one)))
+        .drop(parts)
     )
 
 
 def _rarity(classes: DataFrame) -> Column:
     """An array of ranks by hash bucket (1 << RARITY_BITS numbers, whatever the input): a
     larger rank is a more frequent bucket."""
-    tokens = classes.select(F.explode(_shingles(F.col("content"), True)).alias("h"))
+    tokens = _with_tokens(classes.select("content"), "content", "tokens", True).select(
+        F.explode_outer("tokens").alias("h")
+    )
     rank = F.round(F.log2(F.count(F.lit(1))) * 1000).cast("long")
     found = tokens.groupBy(_bucket(F.col("h")).alias("bucket")).agg(rank.alias("rank")).collect()
     ranks = [0] * (1 << RARITY_BITS)
@@ -93,8 +105,7 @@ def _prefixes(classes: DataFrame, ranks: Column) -> DataFrame:
     keep = 47  # bits of the hash that stay below the rank
     mask = (1 << keep) - 1
     ordered = (
-        classes.select("doc", "line", _shingles(F.col("content"), True).alias("tokens"))
-        .where(F.size("tokens") > 2)  # smaller sets match equal ones only
+        _with_tokens(classes.select("doc", "line", "content"), "content", "tokens", True)
         .select(
             "doc",
             "line",
@@ -109,12 +120,9 @@ def _prefixes(classes: DataFrame, ranks: Column) -> DataFrame:
         )
     )
     size = F.size("tokens")
-    return ordered.select(
-        "doc",
-        "line",
-        size.alias("size"),
-        F.posexplode(F.slice("tokens", F.lit(1), (size / 4).cast("int") + 1)).alias("pos", "token"),
-    )
+    some = F.when(size > 2, (size / 4).cast("int") + 1)  # smaller sets match equal ones only
+    prefix = F.posexplode_outer(F.slice("tokens", F.lit(1), some)).alias("pos", "token")
+    return ordered.select("doc", "line", size.alias("size"), prefix).where("token is not null")
 
 
 def _length_filter(a: Column, b: Column) -> Column:
@@ -127,16 +135,8 @@ def _verify(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     right = classes.select(
         F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col("content").alias("content_b")
     )
-    sets = (
-        pairs.join(left, ["doc", "line"])
-        .join(right, ["to_doc", "to_line"])
-        .select(
-            "doc",
-            "line",
-            _shingles(F.col("content_a"), False).alias("a"),
-            _shingles(F.col("content_b"), False).alias("b"),
-        )
-    )
+    texts = pairs.join(left, ["doc", "line"]).join(right, ["to_doc", "to_line"])
+    sets = _with_tokens(_with_tokens(texts, "content_a", "a", False), "content_b", "b", False)
     both = F.size(F.array_intersect("a", "b"))
     return sets.where(both * 4 >= (F.size("a") + F.size("b") - both) * 3).select("doc", "line").distinct()
 
