@@ -126,7 +126,7 @@ def test_cluster_conf_sizes_shuffles():
     from tidemark.session import cluster_conf
 
     conf = cluster_conf(100 * (1 << 40))  # 100 TiB
-    assert conf["spark.sql.shuffle.partitions"] == "100000"
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * (1 << 40) // (128 << 20))
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert cluster_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
 

@@ -4,15 +4,28 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import bar_records, write_json
-from tidemark.plans.load import create_series_views, dedupe_table, load_increment, load_landed
-from tidemark.plans.models import reference_models, run_models
+import tidemark.plans.load as load_module
+import tidemark.plans.tables as tables_module
+from tidemark.operators.dates import missing_dates
+from tidemark.operators.incremental import backfill_plan
+from tidemark.plans.load import (
+    create_series_views,
+    dedupe_table,
+    load_increment,
+    load_landed,
+    touched_partitions,
+)
+from tidemark.plans.models import Model, materialize, reference_models, run_models
+from tidemark.plans.run import daily_run
 from tidemark.plans.tables import (
     append_table,
     create_table,
     get_table_comment,
     list_tables,
+    recover,
     replace_table,
     set_table_comment,
+    stage_table,
     table_exists,
     upsert_series_table,
 )
@@ -153,7 +166,7 @@ def test_dedupe_table_rewrites_only_dirty_partitions(spark, fresh_db):
 
 
 def test_load_reads_marks_of_touched_partitions_only(spark, fresh_db):
-    from tidemark.plans.load import touched_partitions
+    """Pruned by the increment's own values at run time, with no list of them in the plan."""
 
     d = dt.date
     base = spark.createDataFrame([("a", d(2024, 1, 1), 1.0), ("b", d(2024, 1, 5), 2.0)], "series_id string, date date, value double")
@@ -161,8 +174,7 @@ def test_load_reads_marks_of_touched_partitions_only(spark, fresh_db):
     inc = spark.createDataFrame([("a", d(2024, 1, 2), 3.0)], base.schema)
     pruned = touched_partitions(inc, "ind2", ["series_id"])
     plan = pruned._jdf.queryExecution().executedPlan().toString()
-    scan = [line for line in plan.splitlines() if "FileScan" in line][0]
-    assert "PartitionFilters: [" in scan and "series_id" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "dynamicpruning" in plan and " IN (" not in plan
     assert {r.series_id for r in pruned.collect()} == {"a"}
 
 
@@ -215,8 +227,6 @@ def test_macro_families_load_incrementally(spark, fresh_db, tmp_dir):
 def test_daily_run_loads_and_reports(spark, fresh_db, tmp_dir):
     import os
 
-    from tidemark.plans.run import daily_run
-
     root = f"{tmp_dir}/landing"
     _land_bars(root, "2020-11-06", bar_records())
     os.makedirs(f"{root}/table_dump/lbma_gold", exist_ok=True)
@@ -248,26 +258,174 @@ def test_daily_bar_views_are_typed(spark, fresh_db, tmp_dir):
 
 
 def test_interrupted_replace_is_recovered(spark, fresh_db):
-    from tidemark.plans.tables import recover_replace
-
     new = spark.createDataFrame([("a", 1)], "series_id string, v int")
     # crash after the old table was dropped, before the rename: the staged copy is complete
     new.write.saveAsTable("r__staged")
-    recover_replace(spark, "r")
+    recover(spark, "r")
     assert table_exists(spark, "r") and not table_exists(spark, "r__staged")
     assert spark.table("r").count() == 1
     # crash during the staged write: the old table is still there, the partial copy goes
     spark.createDataFrame([("b", 2)], new.schema).write.saveAsTable("r__staged")
-    recover_replace(spark, "r")
+    recover(spark, "r")
     assert not table_exists(spark, "r__staged")
     assert [tuple(x) for x in spark.table("r").collect()] == [("a", 1)]
 
 
-def test_interrupted_partition_swap_is_finished(spark, fresh_db):
-    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "series_id string, v int")
-    create_table(df, "q", partition_by=["series_id"])
-    # crash after the deduplicated partition was staged, before the overwrite
-    spark.createDataFrame([(1, "a")], "v int, series_id string").write.partitionBy("series_id").saveAsTable("q__staged")
-    assert dedupe_table(spark, "q") == 0  # the swap is finished first, then nothing is left to remove
-    assert sorted(tuple(x) for x in spark.table("q").select("series_id", "v").collect()) == [("a", 1), ("b", 2)]
+def _rows(spark, name):
+    spark.catalog.refreshTable(name)
+    return sorted(tuple(r) for r in spark.table(name).select("series_id", "date", "v").collect())
+
+
+def _day(series, day, v):
+    return (series, dt.date(2024, 1, day), v)
+
+
+DAYS = "series_id string, date date, v int"
+
+
+def test_partition_swap_interrupted_then_load_then_dedupe_keeps_all(spark, fresh_db, monkeypatch):
+    base = spark.createDataFrame([_day("a", 1, 1), _day("a", 1, 1), _day("b", 1, 2)], DAYS)
+    create_table(base, "q", partition_by=["series_id"])
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as m:
+        m.setattr(load_module, "_swap_partitions", crash)
+        with pytest.raises(RuntimeError):
+            dedupe_table(spark, "q")
+    assert table_exists(spark, "q__staged")
+    load_increment(spark.createDataFrame([_day("a", 2, 3)], DAYS), "q", "date")
     assert not table_exists(spark, "q__staged")
+    assert dedupe_table(spark, "q") == 1
+    assert _rows(spark, "q") == [_day("a", 1, 1), _day("a", 2, 3), _day("b", 1, 2)]
+
+
+def test_partition_swap_stopped_half_way_keeps_rows_of_both_copies(spark, fresh_db):
+    create_table(spark.createDataFrame([_day("a", 2, 3)], DAYS), "h", partition_by=["series_id"])
+    # the overwrite has removed a partition's old row, which only the staged copy holds now
+    stage_table(spark.createDataFrame([_day("a", 1, 1)], DAYS), "h", "partitions", (), "parquet")
+    recover(spark, "h")
+    assert _rows(spark, "h") == [_day("a", 1, 1), _day("a", 2, 3)]
+
+
+def test_full_replace_interrupted_then_load_keeps_history(spark, fresh_db, monkeypatch):
+    base = spark.createDataFrame([_day("a", 1, 1), _day("a", 1, 1), _day("b", 1, 2)], DAYS)
+    create_table(base, "w")
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables_module, "_rename", crash)
+        with pytest.raises(RuntimeError):
+            replace_table(spark, "w", dedupe_rows)
+    assert not table_exists(spark, "w")
+    m1 = load_increment(spark.createDataFrame([_day("a", 1, 1), _day("a", 2, 3)], DAYS), "w", "date")
+    assert m1["action"] == "appended" and m1["rows"] == 1
+    assert _rows(spark, "w") == [_day("a", 1, 1), _day("a", 2, 3), _day("b", 1, 2)]
+
+
+def test_replace_recovers_when_another_writer_made_the_table_anew(spark, fresh_db, monkeypatch):
+    create_table(spark.createDataFrame([_day("a", 1, 1)], DAYS), "z")
+    with monkeypatch.context() as m:
+        m.setattr(tables_module, "_rename", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            replace_table(spark, "z", dedupe_rows)
+    spark.createDataFrame([_day("a", 2, 3)], DAYS).write.saveAsTable("z")  # past this library
+    assert dedupe_table(spark, "z") == 0
+    assert _rows(spark, "z") == [_day("a", 1, 1), _day("a", 2, 3)]
+
+
+def test_replace_interrupted_before_the_drop_keeps_the_live_table(spark, fresh_db):
+    create_table(spark.createDataFrame([_day("a", 1, 1), _day("a", 2, 2)], DAYS), "k")
+    stage_table(spark.table("k").where("v = 1"), "k", "replace", (), "parquet")
+    append_table(spark.createDataFrame([_day("a", 3, 3)], DAYS), "k")
+    assert _rows(spark, "k") == [_day("a", 1, 1), _day("a", 2, 2), _day("a", 3, 3)]
+
+
+def test_quarantine_and_rejects_are_idempotent(spark, fresh_db, tmp_dir):
+    good = bar_records()[:1]
+    _land_bars(tmp_dir, "mixed", [*good, 7, {"price_open": 1}])
+    _land_bars(tmp_dir, "empty", [])
+    _land_bars(tmp_dir, "limit", {"Information": "limit"}, series="eth_usd_daily_price")
+    for _ in range(3):
+        load_landed(spark, f"{tmp_dir}/bars/*/*.json", "bars")
+    rows = spark.table("payload_quarantine").collect()
+    assert sorted((r.fetch_name, r.payload_class, r.message) for r in rows) == [
+        ("empty", "rejected", "1 of 1 records rejected"),
+        ("limit", "quota", "limit"),
+        ("mixed", "rejected", "2 of 3 records rejected"),
+    ]
+    assert spark.table("crypto_bars").count() == 1
+    assert spark.table("crypto_bars").where("date_period_start is null").count() == 0
+
+
+def test_stream_quarantine_is_idempotent(spark, fresh_db, tmp_dir):
+    _land_bars(tmp_dir, "bad", [7])
+    for turn in range(2):  # a lost checkpoint delivers the file again
+        start_landing_stream(spark, f"{tmp_dir}/bars/*/*.json", "bars", f"{tmp_dir}/ckpt{turn}").awaitTermination(120)
+    spark.catalog.refreshTable("payload_quarantine")
+    assert spark.table("payload_quarantine").count() == 1
+
+
+def test_bad_dates_are_rejected_and_never_stored(spark, fresh_db, tmp_dir):
+    write_json(f"{tmp_dir}/indicator/corn/f.json", {"data": [{"date": "2024-01-01", "value": "1"}, {"date": "soon", "value": "2"}]})
+    for _ in range(2):
+        load_landed(spark, f"{tmp_dir}/indicator/*/*.json", "indicator")
+    assert spark.table("indicators").count() == 1
+    assert [r.message for r in spark.table("payload_quarantine").collect()] == ["1 of 2 records rejected"]
+
+
+def test_backfill_closes_gaps(spark, fresh_db, tmp_dir):
+    records = [{"date": f"2024-01-{d:02}", "value": str(d)} for d in (1, 2, 5)]
+    write_json(f"{tmp_dir}/indicator/corn/a.json", {"data": records})
+    load_landed(spark, f"{tmp_dir}/indicator/corn/a.json", "indicator")
+    gaps = missing_dates(spark.table("indicators"), "date", ["series_id"])
+    requests = backfill_plan(gaps, ["series_id"]).collect()
+    assert [r.start_date for r in sorted(requests)] == ["2024-01-03", "2024-01-04"]
+    for r in requests:
+        write_json(f"{tmp_dir}/back/{r.series_id}/{r.start_date}.json", {"data": [{"date": r.start_date, "value": "9"}, records[0]]})
+    assert load_landed(spark, f"{tmp_dir}/back/*/*.json", "indicator")["rows"] == 0  # below the mark
+    assert load_landed(spark, f"{tmp_dir}/back/*/*.json", "indicator", mode="backfill")["rows"] == 2
+    assert load_landed(spark, f"{tmp_dir}/back/*/*.json", "indicator", mode="backfill")["rows"] == 0
+    spark.catalog.refreshTable("indicators")
+    assert missing_dates(spark.table("indicators"), "date", ["series_id"]).isEmpty()
+
+
+def test_second_run_reads_no_file_of_the_first(spark, fresh_db, tmp_dir):
+    import os
+
+    root = f"{tmp_dir}/landing"
+    _land_bars(root, "2020-11-06", bar_records())
+    first = daily_run(spark, root, "2024-01-01")
+    assert first.loads["bars"]["rows"] == 4
+    # The first file is no longer readable as a payload; a run that read it would fail or
+    # quarantine it.
+    with open(f"{root}/bars/btc_usd_daily_price/2020-11-06.json", "w") as f:
+        f.write("overwritten")
+    assert os.path.exists(f"{root}/_progress/bars")
+    second = daily_run(spark, root, "2024-01-02")
+    assert second.loads["bars"] == {"action": "none", "rows": 0}
+    assert spark.table("payload_quarantine").count() == 0
+    later = [dict(bar_records()[0], time_period_start="2030-01-01T00:00:00Z", time_open="2030-01-01T00:00:00Z")]
+    _land_bars(root, "2030-01-02", later, series="own series")
+    third = daily_run(spark, root, "2024-01-03")
+    assert third.loads["bars"]["rows"] == 1
+    assert spark.table("own_series").count() == 1
+    assert spark.table("crypto_bars").where("series_id = 'own series'").count() == 1  # decoded
+    assert get_table_comment(spark, "crypto_bars") and spark.table("btc_usd_daily_price").count() == 4
+    report = run_models(spark, reference_models())
+    assert report.where("model = 'simple'").count() == 2
+
+
+def test_view_descriptions_and_faults(spark, fresh_db):
+    spark.createDataFrame([(1,)], "id int").write.saveAsTable("base_t")
+    materialize(spark, Model("v", sql="select id from base_t", description="a view", column_descriptions={"id": "the key"}))
+    assert {c.name: c.description for c in spark.catalog.listColumns("v")}["id"] == "the key"
+    assert get_table_comment(spark, "v") == "a view"
+    with pytest.raises(Exception, match="no_such"):
+        materialize(spark, Model("w", sql="select no_such from base_t"))
+    spark.table("base_t").createOrReplaceTempView("temp_t")
+    assert materialize(spark, Model("on_temp", sql="select id from temp_t")).count() == 1
+    assert run_models(spark, reference_models(named_ids_only=True)[:1]).where("n_failing > 0").count() == 0

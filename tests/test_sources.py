@@ -6,7 +6,6 @@ from tidemark import schemas
 from tidemark.sources.landing import (
     classify_payloads,
     melt_values,
-    pack_values,
     parse_bars,
     parse_indicator,
     parse_keyed_series,
@@ -15,7 +14,6 @@ from tidemark.sources.landing import (
     read_table_dump,
     shape_bars,
     split_quarantine,
-    type_keyed_series,
 )
 
 
@@ -76,9 +74,6 @@ def test_keyed_series(spark, tmp_dir):
     assert set(rows.columns) >= {"date", "1__open", "5__volume"}
     got = {r.date: r["1__open"] for r in rows.collect()}
     assert got == {"2024-01-03": "470.1", "2024-01-02": "472.2"}
-    typed = type_keyed_series(rows.drop("file_path", "fetch_name"))
-    t = typed.orderBy("date").first()
-    assert t.date == dt.datetime(2024, 1, 2) and t["4__close"] == 472.6
     kv = parse_keyed_series(landed, labels=None).orderBy("date").first()
     assert [e["key"] for e in kv.vals] == ["1. open", "2. high", "3. low", "4. close", "5. volume"]
     # a payload without the root key gives no rows
@@ -101,8 +96,6 @@ def test_table_dump_long_forms(spark, tmp_dir):
         f.write("Date,USD (AM),USD (PM)\n2024-01-02,2050.5,2060\n2024-01-03,,2070\n")
     df = read_table_dump(spark, path, "`Date` date, `USD (AM)` double, `USD (PM)` double")
     assert df.columns == ["Date", "USD__AM_", "USD__PM_"]
-    packed = pack_values(df, ["USD__PM_", "USD__AM_"]).orderBy("Date").first()
-    assert [e.field for e in packed.vals] == ["USD__AM_", "USD__PM_"]
     long = melt_values(df, ["Date"], ["USD__AM_", "USD__PM_"])
     assert long.count() == 4 and long.where("value IS NULL").count() == 1
 

@@ -6,7 +6,7 @@ own expressions, so it stays inside whole-stage code generation. No Python UDFs.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -155,15 +155,6 @@ def clean_column_names(df: DataFrame) -> DataFrame:
     return df.toDF(*new)
 
 
-def select_ordered(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Keep and order columns (P4); a missing column raises before planning."""
-    columns = list(columns)
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"select_ordered: no such column(s): {missing}")
-    return df.select(*columns)
-
-
 def join_nonempty(sep: str, *parts: ColumnOrName) -> Column:
     """Concatenate the non-empty parts with ``sep`` (P15, P16 without the empty-part quirk)."""
     cleaned = [F.when(F.length(_col(p)) > 0, _col(p)) for p in parts]

@@ -19,10 +19,6 @@ from tidemark.operators.keys import pack_series, require_columns, series_cols, u
 
 # Calendar days generated per task-sized chunk before the round-robin spread.
 CALENDAR_CHUNK_DAYS = 64
-# Most tasks the calendar is spread over: enough that even 10^10 calendar days are about
-# 10^7 per task, few enough that a cluster-sized partition count does not schedule
-# mostly empty tasks.
-CALENDAR_MAX_SPREAD = 1000
 
 
 def as_date(df: DataFrame, date_col: str) -> Column:
@@ -37,16 +33,6 @@ def as_date(df: DataFrame, date_col: str) -> Column:
     return c.cast("string").try_cast("date")
 
 
-def observed_dates(df: DataFrame, date_col: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Distinct ``(keys, date)`` pairs with a non-NULL date: the grain of every check here."""
-    keys = list(keys)
-    return (
-        df.select(*keys, as_date(df, date_col).alias("date"))
-        .where(F.col("date").isNotNull())
-        .distinct()
-    )
-
-
 def date_bounds(df: DataFrame, date_col: str, keys: Sequence[str] = ()) -> DataFrame:
     """Earliest and latest date per series: ``keys, earliest, latest``."""
     keys = list(keys)
@@ -107,7 +93,8 @@ def missing_dates(
 
     * ``"gaps"`` (default): one window per series over its distinct days looks one day
       ahead and every gap emits the days it skips. A window partition holds at most one row
-      per calendar day; only missing days are generated.
+      per calendar day (without keys all days are one partition, in one task); only missing
+      days are generated.
     * ``"calendar"``: the calendar from each series' bounds minus the observed days by a
       left anti join on ``(series, date)``. The series is a struct of the keys, so the join
       keys are the distinct's own partitioning (a sort-merge join shuffles only the
@@ -133,7 +120,7 @@ def missing_dates(
     if method != "calendar":
         raise ValueError("method must be 'gaps' or 'calendar'")
     if spread is None:
-        spread = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), CALENDAR_MAX_SPREAD)
+        spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     # The day count keeps the optimizer from folding the distinct into the bounds
     # aggregate, so both branches read the same distinct exchange (one scan of the input).
     bounds = (
@@ -209,10 +196,10 @@ def analyze_dates(
         problems = []
         if not report.missing.isEmpty():
             sample = report.missing.orderBy(*keys, "missing_date").limit(10).collect()
-            problems.append(f"missing dates, e.g. {[tuple(r) for r in sample]}")
+            problems.append(f"missing dates, first 10 of {report.missing.count()}: {[tuple(r) for r in sample]}")
         if not report.duplicated.isEmpty():
             sample = report.duplicated.orderBy(*keys, "date").limit(10).collect()
-            problems.append(f"duplicated dates, e.g. {[tuple(r) for r in sample]}")
+            problems.append(f"duplicated dates, first 10 of {report.duplicated.count()}: {[tuple(r) for r in sample]}")
         if problems:
             raise DateCheckError("; ".join(problems))
     return report

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import date_text
 from tidemark.operators.dates import as_date
 from tidemark.operators.keys import (
-    broadcast_if_bounded,
     null_safe_join,
     pack_series,
     require_columns,
@@ -27,19 +26,12 @@ from tidemark.operators.keys import (
 
 # Fixed value: first date asked for on a first load (project configuration).
 DEFAULT_START_DATE = dt.date(2020, 11, 1)
-# Largest schedule (groups of weekdays) broadcast to the rows it gates.
-MAX_SCHEDULE_ROWS = 10_000
 
 
 def _date_lit(d: dt.date | str) -> Column:
     return F.lit(d if isinstance(d, dt.date) else dt.date.fromisoformat(d))
 
 
-def high_water_marks(table: DataFrame, date_col: str, keys: Sequence[str] = ()) -> DataFrame:
-    """``keys, hwm``: the largest value of ``date_col`` per series, in its own type."""
-    return table.groupBy(*keys).agg(F.max(date_col).alias("hwm"))
-
-
 def after_high_water_mark(
     increment: DataFrame,
     table: DataFrame,
@@ -119,15 +111,12 @@ def gate_by_weekday(
 ) -> DataFrame:
     """Add ``weekday`` (Monday = 0) and ``due``: the weekday is one of the group's days.
 
-    ``schedule`` is ``grp, dow ARRAY<INT>``, one row per group. It is broadcast after a
-    check that it has at most ``MAX_SCHEDULE_ROWS`` rows (the catalogue's has 2); a larger
-    one is joined without the hint. A row with no group is due every day; a group absent
-    from the schedule is never due.
+    ``schedule`` is ``grp, dow ARRAY<INT>``, one row per group, joined without a hint: the
+    planner knows its size. A row with no group is due every day; a group absent from the
+    schedule is never due.
     """
     day = F.col(date_col) if isinstance(date_col, str) else date_col
-    sched = broadcast_if_bounded(
-        schedule.select(F.col("grp").alias("__grp"), F.col("dow").alias("__dow")), MAX_SCHEDULE_ROWS
-    )
+    sched = schedule.select(F.col("grp").alias("__grp"), F.col("dow").alias("__dow"))
     wd = F.weekday(day)
     joined = df.join(sched, df[group_col] == F.col("__grp"), "left")
     due = F.when(F.col(group_col).isNull(), F.lit(True)).otherwise(

@@ -61,14 +61,3 @@ def require_columns(df: DataFrame, columns: Sequence[str], where: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"{where}: no column(s) {missing} in {df.columns}")
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` with a broadcast hint when it has at most ``max_rows`` rows, else unchanged.
-
-    The bound is checked, not assumed: one small job counts at most ``max_rows + 1`` rows.
-    Beyond the bound the join is left to the planner (sort-merge, or AQE's measured
-    broadcast).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

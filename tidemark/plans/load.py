@@ -1,17 +1,21 @@
 """Incremental load of landed payloads into long per-family tables.
 
 One table per payload family holds every series, partitioned by ``series_id``; one view
-per series carries the reference's table name. A load is one Spark job per family:
+per series carries the reference's table name. A load reads the landed files once:
 
-    landed files -> classify -> parse/shape -> after high-water mark -> dedupe -> append
+    landed files -> classify (checkpointed) -> parse/shape -> after high-water mark
+                                            -> dedupe -> append
 
-Bad payloads go to a quarantine table for their own series and do not stop the others.
-Replaying the same files appends nothing: rows at or before a series' mark are dropped and
-whole-row copies within a batch are collapsed.
+Bad payloads, and files with rejected records (no valid date, no object, another number of
+fields than the header), go to a quarantine table, once per file, and do not stop the
+others. Replaying the same files appends nothing: rows without a date are rejected, rows at
+or before a series' mark are dropped, and whole-row copies within a batch are collapsed.
+Re-fetched days fill gaps below the mark with ``mode="backfill"``.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -19,17 +23,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import NUMERIC_TEXT
-from tidemark.operators.incremental import after_high_water_mark
+from tidemark.operators.incremental import after_high_water_mark, apply_backfill
 from tidemark.operators.rows import dedupe_rows, row_copies
 from tidemark.plans.tables import (
-    STAGED_SUFFIX,
+    _quote,
     _table_format,
     append_table,
     create_table,
+    ident,
     partition_columns,
+    recover,
     replace_table,
+    stage_table,
     table_exists,
 )
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.landing import (
     classify_payloads,
     parse_bars,
@@ -53,30 +61,38 @@ class Family:
     date_col: str
     parse: Callable[[DataFrame], DataFrame]
     expect: str | None = None
+    comment: str | None = None
+
+
+# A family's parse keeps the file columns, and rejected records as rows without a date.
+FILE_COLS = ["series_id", "fetch_name", "file_path"]
 
 
 def _bars(classified: DataFrame) -> DataFrame:
-    return shape_bars(parse_bars(classified))
+    return shape_bars(parse_bars(classified, rejects=True), keep=FILE_COLS)
 
 
 def _keyed(classified: DataFrame) -> DataFrame:
-    rows = parse_keyed_series(classified)
-    return rows.withColumn("date", F.col("date").try_cast("timestamp_ntz")).drop("file_path", "fetch_name")
+    rows = parse_keyed_series(classified, rejects=True)
+    return rows.withColumn("date", F.col("date").try_cast("timestamp_ntz"))
 
 
 def _indicator(classified: DataFrame) -> DataFrame:
-    return parse_indicator(classified).drop("file_path", "fetch_name")
+    return parse_indicator(classified, rejects=True)
 
 
 def _dump(classified: DataFrame) -> DataFrame:
-    return parse_table_dump(classified).drop("file_path", "fetch_name")
+    return parse_table_dump(classified, rejects=True)
 
 
 FAMILIES = {
-    "bars": Family("bars", "crypto_bars", "date_period_start", _bars, expect="array"),
-    "daily_ohlcv": Family("daily_ohlcv", "daily_bars", "date", _keyed, expect="object"),
-    "indicator": Family("indicator", "indicators", "date", _indicator),
-    "table_dump": Family("table_dump", "table_dumps", "date", _dump, expect="csv"),
+    f.name: f
+    for f in (
+        Family("bars", "crypto_bars", "date_period_start", _bars, "array", "Daily bars, one partition per series"),
+        Family("daily_ohlcv", "daily_bars", "date", _keyed, "object", "Daily prices as landed, one partition per series"),
+        Family("indicator", "indicators", "date", _indicator, None, "Indicator values, one partition per series"),
+        Family("table_dump", "table_dumps", "date", _dump, "csv", "Table dumps as landed, one partition per series"),
+    )
 }
 
 
@@ -100,9 +116,14 @@ def load_increment(
     comment: str | None = None,
     dedupe: bool = True,
     partition_values: DataFrame | None = None,
+    mode: str = "increment",
 ) -> dict:
     """Append the rows of ``increment`` newer than each series' mark; create on first load.
 
+    With ``mode="backfill"`` the rows of days the table does not hold yet are appended
+    instead, also below the mark (S9). Rows without a date are rejected. What an
+    interrupted rewrite of the table left behind is recovered first.
+
     ``partition_values`` is an optional cheap frame holding the partition column of every
     increment row (for landed files: the series id from the file path), used to prune the
     marks' scan without computing the increment once more.
@@ -110,14 +131,17 @@ def load_increment(
     Returns ``{"action", "rows", "min_date", "max_date"}``, collected by an ``Observation``
     during the write itself (no second pass over the data, A12).
     """
+    if mode not in ("increment", "backfill"):
+        raise ValueError("mode must be 'increment' or 'backfill'")
     spark = increment.sparkSession
     keys = list(keys)
+    recover(spark, table)
     exists = table_exists(spark, table)
+    new = increment.where(F.col(date_col).isNotNull())
     if exists:
         stored = touched_partitions(partition_values if partition_values is not None else increment, table, keys)
-        new = after_high_water_mark(increment, stored, date_col, keys)
-    else:
-        new = increment
+        newer = apply_backfill(stored, new, date_col, keys) if mode == "backfill" else None
+        new = newer if newer is not None else after_high_water_mark(new, stored, date_col, keys)
     if dedupe:
         new = dedupe_rows(new)
     obs = Observation(f"load_{table}")
@@ -137,17 +161,12 @@ def load_increment(
     return {"action": action, **metrics}
 
 
-# Largest number of partition values listed in a pruning filter.
-MAX_PRUNED_PARTITIONS = 10_000
-
-
 def touched_partitions(increment: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     """The stored table restricted to the partitions the increment has rows for.
 
-    A daily load touches a few series of many; the marks are then read from those
-    partitions only (a static partition filter in the scan) instead of the whole table.
-    The distinct partition values of the increment are a short list (at most
-    ``MAX_PRUNED_PARTITIONS``, else the whole table is read).
+    A daily load touches a few series of many. The stored rows are joined with the
+    increment's distinct partition values, and the scan reads only the partitions these
+    have (dynamic partition pruning); no list of values passes through the driver.
     """
     spark = increment.sparkSession
     stored = spark.table(table)
@@ -155,17 +174,16 @@ def touched_partitions(increment: DataFrame, table: str, keys: Sequence[str]) ->
     if len(parts) != 1 or parts[0] not in keys:
         return stored
     col = parts[0]
-    values = [r[0] for r in increment.select(col).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()]
-    if len(values) > MAX_PRUNED_PARTITIONS:
-        return stored
-    cond = F.col(col).isin([v for v in values if v is not None])
-    if any(v is None for v in values):
-        cond = cond | F.col(col).isNull()
-    return stored.where(cond)
+    touched = increment.select(F.col(col).alias("__part")).distinct()
+    if dict(stored.dtypes)[col] == "string":
+        # True for every value there is; the planner prunes only by a filtered side.
+        touched = touched.where(F.col("__part") >= "")
+    named = stored.join(touched, F.col(col) == F.col("__part"), "left_semi")
+    return named.unionByName(stored.where(F.col(col).isNull()))
 
 
 def quarantine(bad: DataFrame, family: str) -> None:
-    """Append quarantined payload files with their class and message."""
+    """Append quarantined payload files with their class and message, each file once."""
     rows = bad.select(
         F.lit(family).alias("family"),
         "series_id",
@@ -176,27 +194,47 @@ def quarantine(bad: DataFrame, family: str) -> None:
     )
     spark = bad.sparkSession
     if table_exists(spark, QUARANTINE_TABLE):
-        append_table(rows, QUARANTINE_TABLE)
+        known = spark.table(QUARANTINE_TABLE).select("family", "file_path")
+        append_table(rows.join(known, ["family", "file_path"], "left_anti"), QUARANTINE_TABLE)
     else:
-        create_table(rows, QUARANTINE_TABLE)
+        create_table(rows, QUARANTINE_TABLE, comment="Landed files that are bad or hold rejected records")
 
 
-def load_landed(
-    spark: SparkSession,
-    path: str,
-    family: str,
-    landed: DataFrame | None = None,
-) -> dict:
-    """Load every landed file of ``family`` under ``path`` (or the given ``landed`` frame of
-    ``read_landed`` rows) into the family table; quarantine the bad files."""
+def load_batch(landed: DataFrame, family: str, mode: str = "increment") -> dict:
+    """Load one batch of landed files (rows of ``read_landed``) into the family's table.
+
+    The files are read and classified once, into the checkpoint folder; the quarantine, the
+    pruning of the stored table and the rows all read that.
+    """
     fam = FAMILIES[family]
-    source = landed if landed is not None else read_landed(spark, path)
-    classified = classify_payloads(source, expect=fam.expect)
+    ensure_checkpoint_dir(landed.sparkSession)
+    classified = classify_payloads(landed, expect=fam.expect).checkpoint()
     _, bad = split_quarantine(classified)
-    quarantine(bad, family)
     rows = fam.parse(classified)
-    # The series ids come from the file paths: pruning needs no parse of the payloads.
-    return load_increment(rows, fam.table, fam.date_col, partition_values=source.select("series_id"))
+    rejected = (
+        rows.groupBy(*FILE_COLS)
+        .agg(F.count_if(F.col(fam.date_col).isNull()).alias("bad"), F.count(F.lit(1)).alias("all"))
+        .where("bad > 0")
+        .select(
+            *FILE_COLS,
+            F.lit("rejected").alias("payload_class"),
+            F.format_string("%d of %d records rejected", "bad", "all").alias("message"),
+        )
+    )
+    quarantine(bad.select(rejected.columns).unionByName(rejected), family)
+    return load_increment(
+        rows.drop("fetch_name", "file_path"),
+        fam.table,
+        fam.date_col,
+        partition_values=classified.select("series_id"),
+        comment=fam.comment,
+        mode=mode,
+    )
+
+
+def load_landed(spark: SparkSession, path: str, family: str, mode: str = "increment") -> dict:
+    """Load every landed file of ``family`` under ``path`` into the family's table."""
+    return load_batch(read_landed(spark, path), family, mode)
 
 
 def dedupe_table(spark: SparkSession, table: str) -> int:
@@ -205,53 +243,42 @@ def dedupe_table(spark: SparkSession, table: str) -> int:
     One aggregate job finds the surplus copies per partition value. Nothing is written when
     there are none (as in the reference). A table partitioned by one column has only its
     dirty partitions rewritten: their deduplicated rows are staged in a table first, then
-    swapped in by a dynamic partition overwrite; the clean partitions are not touched. An
-    unpartitioned table is replaced whole through ``replace_table``.
+    swapped in by a dynamic partition overwrite; the clean partitions are not touched. Any
+    other table is replaced whole through ``replace_table``. What an earlier, interrupted
+    rewrite left behind is recovered first, keeping every row.
     """
+    recover(spark, table)
     parts = partition_columns(spark, table)
     part = parts[0] if len(parts) == 1 else None
-    if part is not None:
-        recover_partition_swap(spark, table)  # finish an interrupted swap before counting
     df = spark.table(table)
     copies = row_copies(df).where(F.col("__copies") > 1)
-    by = [part] if part else []
-    dirty = copies.groupBy(*by).agg(F.sum(F.col("__copies") - 1).alias("surplus")).collect()
-    surplus = int(sum(r.surplus or 0 for r in dirty))
+    ensure_checkpoint_dir(spark)
+    by = [F.col(part).alias("__part")] if part else []
+    dirty = copies.groupBy(*by).agg(F.sum(F.col("__copies") - 1).alias("surplus")).checkpoint()
+    surplus = int(dirty.agg(F.sum("surplus")).first()[0] or 0)
     if not surplus:
         return 0
     if part is None:
         replace_table(spark, table, dedupe_rows)
         return surplus
-    values = [r[part] for r in dirty if r.surplus]
-    cond = F.col(part).isin([v for v in values if v is not None])
-    if any(v is None for v in values):
-        cond = cond | F.col(part).isNull()
-    staged = table + STAGED_SUFFIX
-    dedupe_rows(df.where(cond)).write.mode("errorifexists").format(_table_format(spark, table)).saveAsTable(staged)
+    touched = df.join(dirty.select("__part"), F.col(part).eqNullSafe(F.col("__part")), "left_semi")
+    staged = stage_table(dedupe_rows(touched), table, "partitions", (), _table_format(spark, table))
     _swap_partitions(spark, table, staged)
     return surplus
 
 
 def _swap_partitions(spark: SparkSession, table: str, staged: str) -> None:
-    cols = ", ".join(f"`{c}`" for c in spark.table(table).columns)
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT {cols} FROM {staged}")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
-    spark.sql(f"DROP TABLE {staged}")
+    """Overwrite the staged rows' partitions, in a session of its own: the overwrite mode is
+    a session setting."""
+    cols = ", ".join(ident(c) for c in spark.table(table).columns)
+    session = spark.newSession()
+    session.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    session.sql(f"INSERT OVERWRITE TABLE {ident(table)} SELECT {cols} FROM {ident(staged)}")
+    session.sql(f"DROP TABLE {ident(staged)}")
     spark.catalog.refreshTable(table)
 
 
-def recover_partition_swap(spark: SparkSession, table: str) -> None:
-    """Finish a partition swap interrupted after its staged table was written: the staged
-    rows are complete deduplicated partitions, so overwriting them again is safe."""
-    staged = table + STAGED_SUFFIX
-    if table_exists(spark, staged):
-        _swap_partitions(spark, table, staged)
-
-
 # A field of the long dump table, typed as ``to_numeric`` does (regex guard, then cast).
 def _typed_sql(expr: str) -> str:
     """SQL text of ``to_numeric`` over ``expr`` (regex guard, then cast)."""
@@ -263,19 +290,20 @@ def _typed_sql(expr: str) -> str:
 _TEXT_LABEL_TABLES = {"daily_bars"}
 
 
-def _sql_str(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def create_series_views(
-    spark: SparkSession, table: str, series_ids: Sequence[str] | None = None
+    spark: SparkSession,
+    table: str,
+    series_ids: Sequence[str] | None = None,
+    comments: dict[str, str] | None = None,
 ) -> list[str]:
-    """One view per series named by its ``series_id``, reading its partition.
+    """One view per series named by its ``series_id`` (characters that a table name may not
+    have become ``_``), reading its partition (D1).
 
     The ids come from the catalogue (a fixed, small list) unless given. The view's filter on
     the partition column prunes the scan to that series' folder. For the long table-dump
     table the view turns ``vals`` back into one column per field; the field names per series
-    are read as metadata (one distinct over the fields, a handful of rows per series).
+    are read as metadata (one distinct over the fields of these series, a handful of rows
+    each). ``comments`` are the views' comments by series id.
     """
     if series_ids is None:
         from tidemark.sources.catalog import _catalog_rows
@@ -287,6 +315,7 @@ def create_series_views(
     if "vals" in cols:
         pairs = (
             spark.table(table)
+            .where(F.col("series_id").isin(list(series_ids)))
             .select("series_id", F.explode("vals.field").alias("field"))
             .distinct()
             .collect()
@@ -294,10 +323,13 @@ def create_series_views(
         for r in pairs:
             fields.setdefault(r.series_id, []).append(r.field)
     types = dict(spark.table(table).dtypes)
+    names = {sid: re.sub(r"[^A-Za-z0-9_]", "_", sid) for sid in series_ids}
+    if len({n.lower() for n in names.values()}) < len(names):
+        raise ValueError(f"series ids that make the same view name among {sorted(names)}")
     for sid in series_ids:
         if "vals" in cols:
             exprs = [f"`{c}`" for c in cols if c != "vals"] + [
-                f"{_typed_sql(f'map_from_entries(vals)[{_sql_str(f)}]')} AS `{f}`"
+                f"{_typed_sql(f'map_from_entries(vals)[{_quote(f)}]')} AS `{f}`"
                 for f in sorted(fields.get(sid, []))
             ]
         elif table in _TEXT_LABEL_TABLES:
@@ -307,8 +339,9 @@ def create_series_views(
             ]
         else:
             exprs = [f"`{c}`" for c in cols]
+        comment = f" COMMENT {_quote(comments[sid])}" if comments and comments.get(sid) else ""
         spark.sql(
-            f"CREATE OR REPLACE VIEW {sid} AS SELECT {', '.join(exprs)} FROM {table} "
-            f"WHERE series_id = '{sid}'"
+            f"CREATE OR REPLACE VIEW {ident(names[sid])}{comment} AS SELECT {', '.join(exprs)} "
+            f"FROM {ident(table)} WHERE series_id = {_quote(sid)}"
         )
     return list(series_ids)

@@ -12,11 +12,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.checks import column_test_report
 from tidemark.plans.tables import (
     _quote,
+    ident,
     replace_table,
     set_column_comment,
     set_table_comment,
@@ -50,20 +52,8 @@ def materialize(spark: SparkSession, model: Model) -> DataFrame:
     created, or replaced through a staged write when it exists.
     """
     if model.materialized == "view":
-        permanent = False
-        if model.sql is not None:
-            try:
-                spark.sql(f"CREATE OR REPLACE VIEW {model.name} AS {model.sql}")
-                permanent = True
-            except Exception:  # reads a temporary object: permanent views may not
-                spark.sql(model.sql).createOrReplaceTempView(model.name)
-        else:
+        if model.sql is None or not _permanent_view(spark, model):
             model.frame(spark).createOrReplaceTempView(model.name)
-        if permanent and model.description:
-            # A view's description is its 'comment' property.
-            spark.sql(
-                f"ALTER VIEW {model.name} SET TBLPROPERTIES ('comment' = {_quote(model.description)})"
-            )
     elif model.materialized == "table":
         if table_exists(spark, model.name):
             replace_table(spark, model.name, lambda _old: model.frame(spark))
@@ -78,6 +68,23 @@ def materialize(spark: SparkSession, model: Model) -> DataFrame:
     return spark.table(model.name)
 
 
+def _permanent_view(spark: SparkSession, model: Model) -> bool:
+    """Create the view with its own and its columns' descriptions (K11); False if its SQL
+    reads a temporary object, which a permanent view may not. Any other fault is raised."""
+    columns = ", ".join(
+        ident(c) + (f" COMMENT {_quote(model.column_descriptions[c])}" if c in model.column_descriptions else "")
+        for c in spark.sql(model.sql).columns
+    )
+    comment = f" COMMENT {_quote(model.description)}" if model.description else ""
+    try:
+        spark.sql(f"CREATE OR REPLACE VIEW {ident(model.name)} ({columns}){comment} AS {model.sql}")
+    except AnalysisException as fault:
+        if fault.getCondition() != "INVALID_TEMP_OBJ_REFERENCE":
+            raise
+        return False
+    return True
+
+
 def run_models(spark: SparkSession, models: Sequence[Model]) -> DataFrame | None:
     """Materialise ``models`` in order, then report their column tests (one lazy frame)."""
     reports = []
@@ -93,16 +100,16 @@ def run_models(spark: SparkSession, models: Sequence[Model]) -> DataFrame | None
     return out
 
 
-# The reference project's three models and their tests.
-FIRST_MODEL_SQL = """
-with source_data as (
-    select 1 as id
-    union all
-    select null as id
-)
-select *
-from source_data
-"""
+def _first_model(spark: SparkSession) -> DataFrame:
+    """Two rows of ``id``: 1 and null."""
+    return spark.createDataFrame([(1,), (None,)], "id int")
+
+
+def _first_model_named(spark: SparkSession) -> DataFrame:
+    return _first_model(spark).where("id is not null")
+
+
+# The three starter models and their tests.
 SECOND_MODEL_SQL = "select * from my_first_dbt_model where id = 1"
 SIMPLE_MODEL_SQL = "select * from btc_usd_daily_price limit 100"
 # Deterministic form of the smoke model: the same 100-row sample with a total order.
@@ -111,11 +118,12 @@ SIMPLE_MODEL_ORDERED_SQL = (
 )
 
 
-def reference_models(ordered_simple: bool = True) -> list[Model]:
+def reference_models(ordered_simple: bool = True, named_ids_only: bool = False) -> list[Model]:
+    """The starter models; ``named_ids_only`` leaves out rows without an id."""
     return [
         Model(
             "my_first_dbt_model",
-            sql=FIRST_MODEL_SQL,
+            build=_first_model_named if named_ids_only else _first_model,
             materialized="table",
             description="A starter dbt model",
             column_descriptions={"id": "The primary key for this table"},

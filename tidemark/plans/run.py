@@ -22,10 +22,10 @@ from tidemark.operators.dates import as_date
 from tidemark.operators.incremental import due_sources
 from tidemark.operators.keys import null_safe_join, pack_series, series_cols, unpack_series
 from tidemark.operators.rows import profile_series, row_copies
-from tidemark.plans.load import FAMILIES, load_landed
+from tidemark.plans.load import FAMILIES, create_series_views
 from tidemark.plans.tables import table_exists
-from tidemark.sources.catalog import schedule, source_catalog
-from tidemark.sources.landing import read_landed
+from tidemark.sources.catalog import schedule, source_catalog, with_comments
+from tidemark.streaming.landing_stream import start_landing_stream
 
 
 @dataclass
@@ -88,16 +88,42 @@ def integrity_report(spark: SparkSession, family: str) -> DataFrame:
     return report.select(F.lit(family).alias("family"), *report.columns)
 
 
-def daily_run(spark: SparkSession, landing_root: str, run_date: dt.date | str) -> RunResult:
-    """Load ``<landing_root>/<family>/<series_id>/<file>`` for every family, then report."""
-    due = due_sources(source_catalog(spark), schedule(spark), run_date)
+def daily_run(
+    spark: SparkSession,
+    landing_root: str,
+    run_date: dt.date | str,
+    progress_root: str | None = None,
+) -> RunResult:
+    """Load ``<landing_root>/<family>/<series_id>/<file>`` for every family, then report.
+
+    Each family runs as a stream over its folder until nothing new is left: the stream's
+    progress, kept under ``progress_root`` (``<landing_root>/_progress`` unless given),
+    remembers the files loaded before, so a later run reads new files only. Every series
+    loaded gets its view, with the catalogue's comment.
+    """
+    root = landing_root.rstrip("/")
+    progress = (progress_root or f"{root}/_progress").rstrip("/")
+    catalog = source_catalog(spark)
+    due = due_sources(catalog, schedule(spark), run_date)
+    comments = {r["series_id"]: r["comment"] for r in with_comments(catalog).select("series_id", "comment").collect()}
     loads: dict[str, dict] = {}
-    for family in FAMILIES:
+    for family, fam in FAMILIES.items():
+        path = f"{root}/{family}/*/*"
         try:
-            landed = read_landed(spark, f"{landing_root.rstrip('/')}/{family}/*/*")
+            spark.read.text(path, wholetext=True)
         except AnalysisException:  # nothing landed for this family
             continue
-        loads[family] = load_landed(spark, "", family, landed=landed)
+        batches: list[dict] = []
+        start_landing_stream(spark, path, family, f"{progress}/{family}", on_load=batches.append).awaitTermination()
+        loads[family] = {
+            "action": batches[0]["action"] if batches else "none",
+            "rows": sum(b["rows"] for b in batches),
+        }
+        if batches and table_exists(spark, fam.table):
+            spark.catalog.refreshTable(fam.table)
+            # One view per series: names are metadata, as many as there are series.
+            ids = [r[0] for r in spark.table(fam.table).select("series_id").distinct().collect() if r[0]]
+            create_series_views(spark, fam.table, ids, comments)
     parts = [integrity_report(spark, f) for f in FAMILIES if table_exists(spark, FAMILIES[f].table)]
     report = None
     for part in parts:

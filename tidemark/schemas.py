@@ -12,24 +12,26 @@ D = T.DoubleType()
 L = T.LongType()
 DT = T.DateType()
 
-# Fields of one daily bar as the provider lands it: ISO time text and JSON numbers. Numbers
-# are read as numbers (reading a JSON number into a text field re-serialises every value).
+# Fields of one daily bar as the provider lands it. All are read as text: a number may come
+# as text or with a point, and a field typed at parse time would lose it.
 RAW_BAR = T.StructType(
     [
-        T.StructField("time_period_start", S),
-        T.StructField("time_period_end", S),
-        T.StructField("time_open", S),
-        T.StructField("time_close", S),
-        T.StructField("price_open", D),
-        T.StructField("price_high", D),
-        T.StructField("price_low", D),
-        T.StructField("price_close", D),
-        T.StructField("volume_traded", D),
-        T.StructField("trades_count", L),
+        T.StructField(name, S)
+        for name in (
+            "time_period_start",
+            "time_period_end",
+            "time_open",
+            "time_close",
+            "price_open",
+            "price_high",
+            "price_low",
+            "price_close",
+            "volume_traded",
+            "trades_count",
+        )
     ]
 )
 BAR_FIELDS = RAW_BAR.fieldNames()
-RAW_BARS_PAYLOAD = T.ArrayType(RAW_BAR)
 
 # Stored crypto table: 14 columns in this order (fixed values).
 BAR_COLUMNS = [
@@ -89,9 +91,6 @@ BAR_TABLE = T.StructType(
 
 # Daily OHLCV payload: {"Time Series (Daily)": {"<date>": {"<label>": "<text>", ...}}}.
 KEYED_ROOT = "Time Series (Daily)"
-KEYED_PAYLOAD = T.StructType(
-    [T.StructField(KEYED_ROOT, T.MapType(S, T.MapType(S, S)))]
-)
 # Inner labels of a daily bar (assumed provider labels; they sanitise to 1__open etc.).
 OHLCV_LABELS = ["1. open", "2. high", "3. low", "4. close", "5. volume"]
 
@@ -103,14 +102,11 @@ INDICATOR_PAYLOAD = T.StructType(
         T.StructField("interval", S),
         T.StructField("unit", S),
         T.StructField("data", T.ArrayType(INDICATOR_RECORD)),
+        T.StructField("date", S),
+        T.StructField("value", S),
     ]
 )
 
-# Long layout of provider table dumps: one row per (series, date), values packed as an
-# array of (field, value) sorted by field. A MAP column is not stored: set operations and
-# dedupe refuse maps.
-VALUE_ENTRY = T.StructType([T.StructField("field", S), T.StructField("value", D)])
-
 CATALOG = T.StructType(
     [
         T.StructField("series_id", S, False),

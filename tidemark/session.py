@@ -36,7 +36,7 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4) -> dict[str, str]:
     stages it served to rerun. ``spark.checkpoint.dir`` must be set by the caller to shared
     storage.
     """
-    shuffle = min(max(input_bytes // (128 * MIB), 200), 100_000)
+    shuffle = max(input_bytes // (128 * MIB), 200)
     return {
         **DEFAULT_CONF,
         "spark.sql.shuffle.partitions": str(shuffle),
@@ -113,6 +113,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     return sc.getCheckpointDir()
 
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

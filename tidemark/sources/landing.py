@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,20 +42,28 @@ def _json_text(c):
     return F.ltrim(F.col(c) if isinstance(c, str) else c, F.lit(_LEADING))
 
 
+def landed_rows(df: DataFrame) -> DataFrame:
+    """Whole-file text rows (batch or stream) -> ``file_path, series_id, fetch_name,
+    payload``. The last two folders' names are decoded (the path is a URI)."""
+    fp = F.col("_metadata.file_path")
+    name = lambda pattern: F.url_decode(
+        F.replace(F.regexp_extract(fp, pattern, 1), F.lit("+"), F.lit("%2B"))
+    )
+    return df.select(
+        fp.alias("file_path"),
+        name(r"([^/]+)/[^/]+$").alias("series_id"),
+        name(r"([^/]+?)(\.[^./]*)?$").alias("fetch_name"),
+        F.col("value").alias("payload"),
+    )
+
+
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """One row per landed file: ``file_path, series_id, fetch_name, payload``.
 
     ``path`` may be a folder or a glob such as ``landing/bars/*/*.json``. Whole-file text
     reading keeps multi-line JSON intact; files are packed into read tasks by Spark.
     """
-    df = spark.read.text(path, wholetext=True)
-    fp = F.col("_metadata.file_path")
-    return df.select(
-        fp.alias("file_path"),
-        F.regexp_extract(fp, r"([^/]+)/[^/]+$", 1).alias("series_id"),
-        F.regexp_extract(fp, r"([^/]+?)(\.[^./]*)?$", 1).alias("fetch_name"),
-        F.col("value").alias("payload"),
-    )
+    return landed_rows(spark.read.text(path, wholetext=True))
 
 
 def classify_payloads(
@@ -125,14 +133,16 @@ def classify_payloads(
 
 def _classify_csv(df: DataFrame, payload_col: str) -> DataFrame:
     """Table dumps: JSON text is a provider error (its message kept), text with a header
-    line holding a separator is ``ok``, anything else is ``corrupt``."""
+    line holding a separator is ``ok``, anything else is ``corrupt``, as is a header in which
+    two names are the same once cleaned."""
     text = F.col(payload_col)
     looks_json = _starts_with(text, "{") | _starts_with(text, "[")
-    first_line = F.split(text, "\n", 2)[0]
+    names = _header_fields(F.split(text, "\n", 2)[0])
     cls = (
         F.when(looks_json, "error")
-        .when(F.instr(first_line, ",") > 0, "ok")
-        .otherwise("corrupt")
+        .when(F.size(names) < 2, "corrupt")
+        .when(F.size(F.array_distinct(names)) < F.size(names), "corrupt")
+        .otherwise("ok")
     )
     return df.select("*", cls.alias("payload_class"), F.when(looks_json, text).alias("message"))
 
@@ -159,26 +169,47 @@ def _when_ok(df: DataFrame, expr):
     return expr
 
 
-def parse_bars(df: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """Top-level array of bar records -> one raw row per bar: time fields as text, prices,
-    volume and trade count as numbers (S1)."""
+def _rows_or_rejects(df: DataFrame, carry: list[str], generated, needed: str, rejects: bool) -> DataFrame:
+    """The generated rows that have ``needed``; with ``rejects`` those of good files all."""
+    kept = [F.col("payload_class")] if "payload_class" in df.columns else []
+    rows = df.select(*carry, *kept, generated)
+    if not rejects:
+        return rows.where(F.col(needed).isNotNull()).drop("payload_class")
+    return rows.where(F.col("payload_class") == "ok").drop("payload_class") if kept else rows
+
+
+def parse_bars(df: DataFrame, payload_col: str = "payload", rejects: bool = False) -> DataFrame:
+    """Top-level array of bar records -> one raw row per bar, every field the provider's
+    text (S1). An element that is no object spoils no other.
+
+    Elements without an opening or start time are left out; with ``rejects`` they stay, as
+    rows without these times, and so does one such row for a file without elements.
+    """
     carry = _carry(df, payload_col)
-    recs = _when_ok(df, F.from_json(_json_text(payload_col), schemas.RAW_BARS_PAYLOAD))
-    # Outer generators throughout: for a plain one the optimizer infers a size filter on the
-    # generator's input and pushes it below, parsing every payload twice. The rows an outer
-    # generator adds for empty input are dropped on generated columns, after the generator.
-    return df.select(*carry, F.inline_outer(recs)).where(
-        F.col("time_period_start").isNotNull() | F.col("time_open").isNotNull()
-    )
+    # The elements as text first: parsing records at once would lose a whole array for one
+    # element of another kind. Outer generators throughout: for a plain one the optimizer
+    # infers a size filter on the generator's input and pushes it below, parsing every
+    # payload twice.
+    elements = _when_ok(df, F.from_json(_json_text(payload_col), T.ArrayType(T.StringType())))
+    kept = [F.col("payload_class")] if "payload_class" in df.columns else []
+    rows = df.select(*carry, *kept, F.explode_outer(elements).alias("__element"))
+    record = F.when(_starts_with(F.col("__element"), "{"), F.from_json("__element", schemas.RAW_BAR))
+    bars = rows.select(*carry, *kept, record.alias("__bar"))
+    wanted = F.lit(True) if not kept else F.col("payload_class") == "ok"
+    if not rejects:
+        wanted = F.coalesce("__bar.time_period_start", "__bar.time_open").isNotNull()
+    return bars.where(wanted).select(*carry, "__bar.*")
 
 
 def shape_bars(raw: DataFrame, keep: Sequence[str] = ("series_id",)) -> DataFrame:
     """Raw bars -> the stored 14 bar columns (P1-P5): ISO text split into a DATE and a
-    time-of-day text in UTC, prices and volume to DOUBLE, trade count to BIGINT."""
+    time-of-day text in UTC, prices and volume to DOUBLE, trade count to BIGINT (``12.0`` is
+    the count 12)."""
     keep = [c for c in keep if c in raw.columns]
     split = split_datetime(raw, schemas.BAR_SPLITS, parse_text=True)
-    typed = apply_types(split.select(*keep, *schemas.BAR_COLUMNS), schemas.BAR_TYPES)
-    return typed
+    count = to_numeric("trades_count") if dict(raw.dtypes)["trades_count"] == "string" else F.col("trades_count")
+    counted = split.withColumn("trades_count", count)
+    return apply_types(counted.select(*keep, *schemas.BAR_COLUMNS), schemas.BAR_TYPES)
 
 
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
@@ -202,53 +233,58 @@ def parse_keyed_series(
     payload_col: str = "payload",
     root_key: str = schemas.KEYED_ROOT,
     labels: Sequence[str] | None = tuple(schemas.OHLCV_LABELS),
+    rejects: bool = False,
 ) -> DataFrame:
     """Object keyed by date under ``root_key`` -> one row per date.
 
     With ``labels`` the inner objects are pivoted to one text column per label, named by
     ``clean_name`` (``1. open`` -> ``1__open``); an absent label is NULL. With
     ``labels=None`` the inner object is kept as ``vals ARRAY<STRUCT<key, value>>`` sorted by
-    key (not a MAP, which set operations refuse). A missing root key gives no rows.
+    key (not a MAP, which set operations refuse). A missing root key gives no rows; with
+    ``rejects`` a good file without entries gives one row without a date.
     """
     carry = _carry(df, payload_col)
     schema = T.StructType([T.StructField(root_key, T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))])
     parsed = _when_ok(df, F.from_json(_json_text(payload_col), schema)[root_key])
-    rows = df.select(*carry, F.explode_outer(parsed).alias("date", "__kv")).where(F.col("date").isNotNull())
+    rows = _rows_or_rejects(df, carry, F.explode_outer(parsed).alias("date", "__kv"), "date", rejects)
     if labels is None:
         return rows.select(*carry, "date", F.sort_array(F.map_entries("__kv")).alias("vals"))
     return rows.select(*carry, "date", *[F.col("__kv")[lab].alias(clean_name(lab)) for lab in labels])
 
 
-def type_keyed_series(rows: DataFrame, date_col: str = "date") -> DataFrame:
-    """Typed view of keyed daily rows: the date as TIMESTAMP_NTZ, label columns to DOUBLE
-    (the raw table keeps the provider's text)."""
-    labels = [c for c in rows.columns if c not in (date_col, "series_id", "file_path", "fetch_name")]
-    return rows.select(
-        *[c for c in rows.columns if c not in labels and c != date_col],
-        to_utc_ntz(date_col).alias(date_col),
-        *[to_numeric(c).alias(c) for c in labels],
-    )
-
-
-def parse_indicator(df: DataFrame, payload_col: str = "payload") -> DataFrame:
+def parse_indicator(df: DataFrame, payload_col: str = "payload", rejects: bool = False) -> DataFrame:
     """Indicator payload -> ``<carry>, name, interval, unit, date, value``.
 
     The metadata fields are kept as columns (the reference drops them). Records come from
-    the ``data`` array; a payload that is itself an array of records is used whole. ``date``
-    is the UTC wall clock (TIMESTAMP_NTZ), ``value`` a coerced DOUBLE.
+    the ``data`` array; a payload that is itself an array of records is used whole, and so
+    is an object without ``data``: its ``date`` and ``value`` are one record, or columns of
+    records when they are arrays. ``date`` is the UTC wall clock (TIMESTAMP_NTZ), ``value``
+    a coerced DOUBLE. With ``rejects`` a good file without records gives one row without a
+    date.
     """
     carry = _carry(df, payload_col)
     text = _json_text(payload_col)
     is_array = _starts_with(text, "[")
+    kept = ["payload_class"] if "payload_class" in df.columns else []
     parsed = df.select(
         *carry,
-        *([F.col("payload_class")] if "payload_class" in df.columns else []),
+        *kept,
         F.when(~is_array, F.from_json(text, schemas.INDICATOR_PAYLOAD)).alias("__obj"),
         F.when(is_array, F.from_json(text, T.ArrayType(schemas.INDICATOR_RECORD))).alias("__arr"),
     )
-    records = _when_ok(parsed, F.coalesce(F.col("__arr"), F.col("__obj.data")))
+    column = lambda c: F.when(
+        _starts_with(F.col(c), "["), F.from_json(c, T.ArrayType(T.StringType()))
+    ).otherwise(F.array(c))
+    whole = F.when(
+        F.col("__obj.date").isNotNull(),
+        F.arrays_zip(column("__obj.date").alias("date"), column("__obj.value").alias("value")),
+    )
+    records = _when_ok(parsed, F.coalesce(F.col("__arr"), F.col("__obj.data"), whole))
     meta = [F.col("__obj")[f].alias(f) for f in ("name", "interval", "unit")]
-    rows = parsed.select(*carry, *meta, F.explode_outer(records).alias("__r")).where(F.col("__r").isNotNull())
+    with_meta = parsed.select(*carry, *kept, *meta, records.alias("__records"))
+    rows = _rows_or_rejects(
+        with_meta, [*carry, "name", "interval", "unit"], F.explode_outer("__records").alias("__r"), "__r", rejects
+    )
     return rows.select(
         *carry,
         "name",
@@ -259,38 +295,67 @@ def parse_indicator(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     )
 
 
-def parse_table_dump(df: DataFrame, payload_col: str = "payload") -> DataFrame:
+# Commas outside quotes: an even number of quotes follows.
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+_CUT = "\x01"  # stands for a comma between fields
+
+
+def _cut(line) -> Column:
+    """The line with its fields unquoted and ``_CUT`` between them. Only lines with quotes
+    are looked at by pattern; no lambda, so the parse is code-generated."""
+    text = F.regexp_replace(line, _COMMA, _CUT)
+    text = F.regexp_replace(text, f'(^|{_CUT})[ \\t]*"', "$1")
+    text = F.regexp_replace(text, f'"[ \\t]*({_CUT}|$)', "$1")
+    unquoted = F.replace(text, F.lit('""'), F.lit('"'))
+    return F.when(F.contains(line, F.lit('"')), unquoted).otherwise(F.replace(line, F.lit(","), F.lit(_CUT)))
+
+
+def _header_fields(line) -> Column:
+    """The cleaned names of a header line."""
+    cut = F.regexp_replace(_cut(F.trim(line, F.lit(" \t\r\ufeff"))), rf"\s*{_CUT}\s*", _CUT)
+    return F.split(F.translate(cut, "".join(BAD_NAME_CHARS), "_" * len(BAD_NAME_CHARS)), _CUT)
+
+
+def parse_table_dump(df: DataFrame, payload_col: str = "payload", rejects: bool = False) -> DataFrame:
     """CSV text with a header line, the date first -> ``<carry>, date, vals``.
 
-    Every file may have its own columns: the header is read per file and its names cleaned
-    (P8) on the whole line at once, then zipped with each data line into ``vals
-    ARRAY<STRUCT<field, value>>`` sorted by field. Values stay the provider's text in the
-    raw table (as for the daily bars, D5); ``dump_values`` and the per-series views type them
-    with ``to_numeric``. Fields are split on commas (provider dumps carry numbers, no quoted
-    separators). Only built-in expressions without lambdas, so the parse is code-generated.
+    Every file may have its own columns: the header is read and its names cleaned (P8) once
+    per file, then zipped with each data line into ``vals ARRAY<STRUCT<field, value>>``
+    sorted by field. Values stay the provider's text in the raw table (as for the daily
+    bars, D5); ``dump_values`` and the per-series views type them with ``to_numeric``.
+    Commas inside double quotes belong to the field. A line with another number of fields
+    than the header is left out; with ``rejects`` it stays, without a date (as do lines
+    whose first field is no date, and one row for a file without lines).
     """
     carry = _carry(df, payload_col)
-    # Split on the newline alone (a literal one-character split, no regex); a carriage
-    # return left at a line end is trimmed per line.
+    kept = ["payload_class"] if "payload_class" in df.columns else []
     lines = F.split(F.col(payload_col), "\n")
-    staged = df.select(*carry, *([F.col("payload_class")] if "payload_class" in df.columns else []),
-                       lines.alias("__lines"))
-    not_comma = "".join(c for c in BAD_NAME_CHARS if c != ",")
-    header_line = F.regexp_replace(F.trim(F.col("__lines")[0], F.lit(" \t\r")), r"\s*,\s*", ",")
-    header = F.split(F.translate(header_line, not_comma, "_" * len(not_comma)), ",")
-    body = _when_ok(staged, F.slice(F.col("__lines"), 2, F.greatest(F.size("__lines") - 1, F.lit(1))))
-    exploded = staged.select(*carry, header.alias("__hdr"), F.explode_outer(body).alias("__raw"))
-    rows = exploded.select(
-        *carry, "__hdr", F.rtrim(F.col("__raw"), F.lit("\r")).alias("__line")
-    ).where(F.length(F.trim(F.col("__line"), F.lit(" \t"))) > 0)
-    # Values keep their text; surrounding spaces are harmless (the casts and ``to_numeric``
-    # ignore them), so lines are only split. The header is normalised once per file.
-    fields = F.split(F.col("__line"), ",")
-    n = F.size("__hdr") - 1
-    zipped = F.arrays_zip(F.slice("__hdr", 2, n).alias("field"), F.slice(fields, 2, n).alias("value"))
+    first = F.split(F.col(payload_col), "\n", 2)[0]
+    # The header is a column of its own below the generator: once per file, not per line.
+    staged = df.select(
+        *carry,
+        *kept,
+        _header_fields(first).alias("__hdr"),
+        F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))).alias("__lines"),
+    )
+    body = _when_ok(staged, F.col("__lines"))
+    exploded = _rows_or_rejects(
+        staged, [*carry, "__hdr"], F.explode_outer(body).alias("__raw"), "__raw", rejects
+    )
+    exploded = exploded.where(
+        F.col("__raw").isNull() | (F.length(F.trim(F.col("__raw"), F.lit(" \t\r"))) > 0)
+    )
+    rows = exploded.select(*carry, "__hdr", F.split(_cut(F.rtrim(F.col("__raw"), F.lit("\r"))), _CUT).alias("__fields"))
+    fits = F.size("__fields") == F.size("__hdr")
+    if not rejects:
+        rows = rows.where(fits)
+    n = F.greatest(F.size("__hdr") - 1, F.lit(0))
+    zipped = F.arrays_zip(
+        F.slice("__hdr", F.lit(2), n).alias("field"), F.slice("__fields", F.lit(2), n).alias("value")
+    )
     return rows.select(
         *carry,
-        fields[0].try_cast("date").alias("date"),
+        F.when(fits, F.col("__fields")[0].try_cast("date")).alias("date"),
         F.sort_array(zipped).alias("vals"),
     )
 
@@ -314,19 +379,6 @@ def read_table_dump(
     return clean_column_names(reader.load(path))
 
 
-def pack_values(df: DataFrame, value_cols: Sequence[str], name: str = "vals") -> DataFrame:
-    """Wide value columns -> ``vals ARRAY<STRUCT<field, value DOUBLE>>`` sorted by field.
-
-    Row-local (no shuffle). Per-series views read a field back with
-    ``map_from_entries(vals)['<field>']``.
-    """
-    entries = [
-        F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in value_cols
-    ]
-    other = [c for c in df.columns if c not in value_cols]
-    return df.select(*other, F.sort_array(F.array(*entries)).alias(name))
-
-
 def melt_values(df: DataFrame, id_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
     """Wide value columns -> ``ids, field, value`` rows (row-local ``unpivot``)."""
     cast = df.select(*id_cols, *[F.col(c).cast("double").alias(c) for c in value_cols])

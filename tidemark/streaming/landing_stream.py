@@ -3,7 +3,7 @@
 The landing folder is a file stream source: each new payload file is picked up once, the
 stream's checkpoint remembers which, and every micro-batch runs the batch load of
 ``tidemark.plans.load`` (classify -> quarantine -> parse -> high-water mark -> dedupe ->
-append). ``foreachBatch`` is at-least-once; a replayed batch appends nothing because its
+append), which reads the batch's files once. ``foreachBatch`` is at-least-once; a replayed batch appends nothing because its
 rows are not after their series' mark any more and copies are collapsed.
 
 The checkpoint location must be on shared storage on a cluster (it is what lets a restarted
@@ -12,12 +12,13 @@ query, or a query that lost executors, resume without reprocessing or skipping f
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.plans.load import FAMILIES, load_increment, quarantine
-from tidemark.sources.landing import classify_payloads, split_quarantine
+from tidemark.plans.load import FAMILIES, load_batch
+from tidemark.sources.landing import landed_rows
 
 
 def landed_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -25,28 +26,16 @@ def landed_stream(spark: SparkSession, path: str, max_files_per_trigger: int | N
     reader = spark.readStream.format("text").option("wholetext", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.load(path)
-    fp = F.col("_metadata.file_path")
-    return df.select(
-        fp.alias("file_path"),
-        F.regexp_extract(fp, r"([^/]+)/[^/]+$", 1).alias("series_id"),
-        F.regexp_extract(fp, r"([^/]+?)(\.[^./]*)?$", 1).alias("fetch_name"),
-        F.col("value").alias("payload"),
-    )
-
+    return landed_rows(reader.load(path))
 
-def _batch_loader(family: str):
-    fam = FAMILIES[family]
 
+def _batch_loader(family: str, on_load: Callable[[dict], None] | None):
     def load(batch: DataFrame, epoch_id: int) -> None:
         # The batch carries its own (cloned) session; use it, not the caller's.
-        classified = classify_payloads(batch, expect=fam.expect)
-        _, bad = split_quarantine(classified)
-        quarantine(bad, family)
-        load_increment(
-            fam.parse(classified), fam.table, fam.date_col, partition_values=batch.select("series_id")
-        )
-        batch.sparkSession.catalog.refreshTable(fam.table)
+        metrics = load_batch(batch, family)
+        batch.sparkSession.catalog.refreshTable(FAMILIES[family].table)
+        if on_load is not None:
+            on_load(metrics)
 
     return load
 
@@ -59,12 +48,14 @@ def start_landing_stream(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
+    on_load: Callable[[dict], None] | None = None,
 ) -> StreamingQuery:
     """Start the stream for one payload family. With ``available_now`` it processes every
-    file present and stops (a scheduled daily run); otherwise it runs on ``processing_time``."""
+    file present and stops (a scheduled daily run); otherwise it runs on ``processing_time``.
+    ``on_load`` gets the metrics of every batch."""
     writer = (
         landed_stream(spark, path, max_files_per_trigger)
-        .writeStream.foreachBatch(_batch_loader(family))
+        .writeStream.foreachBatch(_batch_loader(family, on_load))
         .option("checkpointLocation", checkpoint_location)
     )
     if available_now:
