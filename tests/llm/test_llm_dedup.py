@@ -142,13 +142,20 @@ def test_near_dedup_block_comparison_alone_finds_all(spark, monkeypatch):
     classes = rows.where("key is not null").dropDuplicates(["key"])
     members = classes.select(F.lit(0).cast("long").alias("bucket"), "key", F.lit(classes.count()).alias("n"))
     none = spark.createDataFrame([], "node binary, label binary")
-    pairs = {(bytes(r["a"]), bytes(r["b"])) for r in minhash._across(members, none, classes).collect()}
+    met = minhash._meetings(members, none)
+    by_key = spark.createDataFrame([(bytes(r["key"]), texts[r["id"]]) for r in classes.collect()], "key binary, text string")
+    found = [(bytes(r["a"]), bytes(r["b"])) for r in minhash._across(met, classes, by_key).collect()]
     sets = {bytes(r["key"]): minhash.shingle_set(texts[r["id"]]) for r in classes.collect()}
     keys = sorted(sets)
-    for i, a in enumerate(keys):
-        for b in keys[i + 1 :]:
-            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
-                assert (a, b) in pairs
+    links = [
+        (i, j)
+        for j, b in enumerate(keys)
+        for i, a in enumerate(keys[:j])
+        if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    ]
+    at = {k: i for i, k in enumerate(keys)}
+    assert {(at[a], at[b]) for a, b in found} <= set(links)
+    assert components_of(len(keys), [(at[a], at[b]) for a, b in found]) == components_of(len(keys), links)
 
 
 def test_near_dedup_null_and_repeated_ids(spark):

@@ -8,6 +8,7 @@ import sys
 import types
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -54,6 +55,19 @@ def per_process(key: tuple, make: Callable[[], Any]) -> Any:
     return kept.__dict__[key]
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int):
+    """Frames written inside hand at most ``rows`` rows at a time to Python, so that long
+    texts need little memory; the session's own setting is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Tables written as Parquet under the shared checkpoint folder.
 

@@ -13,9 +13,10 @@ are linked when the Jaccard similarity of their sets is at least ``THRESHOLD``.
   and the pair is dropped when that is less likely than ``MISS``. Survivors are confirmed
   exactly on the full sets of both texts.
 * Links found so far join classes to components. Buckets that still hold several components
-  then compare all their members across components, in blocks of bounded size, so that no
-  link is lost and none is looked for inside a component. This takes as long as it takes;
-  there is no cap on buckets or candidates.
+  then compare all their members across components, in blocks of bounded size with their
+  texts, so that no link is lost and none is looked for inside a component: a task skips
+  pairs it has connected already and reports a forest of links, never all pairs. There is
+  no cap on buckets or candidates.
 
 Null and empty texts have an empty set and are linked with nothing. A component's id is the
 smallest document id in it (null ids last; a component of null ids only has a null id).
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, fresh, locate
+from tidemark.llm.common import Scratch, arrow_batches, fresh, locate
 from tidemark.llm.components import components
 
 SHINGLE = 5
@@ -46,6 +47,7 @@ ROWS = HASHES // BANDS
 BATCH = 32  # hashes compared before the posterior is looked at again
 MISS = 1e-6
 BLOCK = 256  # members of a bucket compared in one task
+BATCH_ROWS = 1000  # rows handed to Python at once
 
 
 def hash_family() -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +115,7 @@ def still_possible(left: np.ndarray, right: np.ndarray, least: list[int]) -> np.
     return alive
 
 
-def _signatures(column: pd.Series) -> np.ndarray:
+def _signatures(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), "<u4").reshape(-1, HASHES)
 
 
@@ -156,6 +158,13 @@ def _survives(left: Column, right: Column) -> Column:
     return run(left, right)
 
 
+def _similar(left: set, right: set) -> bool:
+    if min(len(left), len(right)) < THRESHOLD * max(len(left), len(right)):
+        return False
+    both = len(left & right)
+    return both >= THRESHOLD * (len(left) + len(right) - both)
+
+
 def _linked(left: Column, right: Column) -> Column:
     """Exact test of two texts on their full sets."""
 
@@ -166,9 +175,7 @@ def _linked(left: Column, right: Column) -> Column:
         for a, b in zip(left, right, strict=True):
             if a != last:  # pairs come sorted by their left side
                 last, last_set = a, shingle_set(a)
-            other = shingle_set(b)
-            both = len(last_set & other)
-            out.append(both >= THRESHOLD * (len(last_set) + len(other) - both))
+            out.append(_similar(last_set, shingle_set(b)))
         return pd.Series(out)
 
     return run(left, right)
@@ -186,11 +193,11 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _across(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of different components in buckets of three and more members that survive the
-    sequential test. The members of a bucket's largest component (which need not be
-    compared with each other) and all others are cut into blocks of about BLOCK members;
-    every two blocks that can hold a pair meet in a task of their own."""
+def _meetings(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """How the members of buckets that hold several components meet. The members of a
+    bucket's largest component (which need not be compared with each other) and all others
+    are cut into blocks of about BLOCK members; every two blocks that can hold a link meet
+    in a group (bucket, r, o) of their own."""
     known = members.where("n > 2").join(labels.withColumnRenamed("node", "key"), "key", "left")
     known = known.select("bucket", "key", F.coalesce("label", "key").alias("label"))
     sizes = known.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
@@ -226,39 +233,49 @@ def _across(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFr
             F.transform(large_numbers, lambda x: F.struct(own.alias("r"), (-1 - x).alias("o"))),
         )
     )
-    dealt = (
-        known.join(open_buckets, "bucket")
-        .select(
-            "bucket",
-            "key",
-            "label",
-            F.when(in_large, -1 - own).otherwise(own).alias("block"),
-            F.explode(meetings).alias("meeting"),
-        )
-        .join(classes.select("key", "sig"), "key")
-        .select("bucket", "meeting.r", "meeting.o", "block", "key", "label", "sig")
-    )
+    return known.join(open_buckets, "bucket").select(
+        "bucket",
+        "key",
+        "label",
+        F.when(in_large, -1 - own).otherwise(own).alias("block"),
+        F.explode(meetings).alias("meeting"),
+    ).select("bucket", "meeting.r", "meeting.o", "block", "key", "label")
+
+
+def _across(met: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between members of different components that meet: pairs that survive the
+    sequential test and are confirmed on their texts. A group reports a forest."""
+    dealt = met.join(classes.select("key", "sig"), "key").join(texts, "key")
     least = least_matches()
 
     def compare(block: pa.Table) -> pa.Table:
         rest, other = block.column("r")[0].as_py(), block.column("o")[0].as_py()
-        keys, labels = block.column("key").to_pylist(), block.column("label").to_pylist()
-        sigs = np.frombuffer(b"".join(block.column("sig").to_pylist()), "<u4").reshape(-1, HASHES)
-        number = np.unique(np.array(labels, dtype=object), return_inverse=True)[1]
+        keys = block.column("key").to_pylist()
+        number = np.unique(np.array(block.column("label").to_pylist(), dtype=object), return_inverse=True)[1]
+        sigs = _signatures(block.column("sig").to_pylist())
         of = block.column("block").to_numpy()
         ours, theirs = np.flatnonzero(of == rest), np.flatnonzero(of == other)
-        found = set()
+        sets: dict[int, set] = {}
+
+        def full_set(i: int) -> set:
+            if i not in sets:
+                sets[i] = shingle_set(block.column("text")[i].as_py() or "")
+            return sets[i]
+
+        forest = []
         for x in ours:
             y = theirs[number[theirs] != number[x]]
             if rest == other:
                 y = y[y > x]
             for k in still_possible(np.broadcast_to(sigs[x], (len(y), HASHES)), sigs[y], least):
-                found.add((min(keys[x], keys[y[k]]), max(keys[x], keys[y[k]])))
-        pairs = sorted(found)
+                i, j = int(x), int(y[k])
+                if number[i] != number[j] and _similar(full_set(i), full_set(j)):
+                    forest.append((min(keys[i], keys[j]), max(keys[i], keys[j])))
+                    number[number == number[j]] = number[i]
         return pa.table(
             {
-                "a": pa.array([a for a, _ in pairs], pa.binary()),
-                "b": pa.array([b for _, b in pairs], pa.binary()),
+                "a": pa.array([a for a, _ in forest], pa.binary()),
+                "b": pa.array([b for _, b in forest], pa.binary()),
             }
         )
 
@@ -300,14 +317,14 @@ def _label(docs: DataFrame, scratch: Scratch) -> DataFrame:
         .select("a", "b"),
         "likely",
     )
-    links = scratch.write(_confirm(likely, _texts(docs, classes, likely)), "links")
+    paired = likely.select(F.explode(F.array("a", "b")).alias("key"))
+    links = scratch.write(_confirm(likely, _texts(docs, classes, paired)), "links")
     labels = scratch.write(components(links, scratch, "first"), "labels")
 
-    more = scratch.write(
-        _across(members, labels, classes).join(likely, ["a", "b"], "left_anti"), "more"
-    )
-    if not more.isEmpty():
-        found = _confirm(more, _texts(docs, classes, more))
+    met = scratch.write(_meetings(members, labels), "met")
+    texts = scratch.write(_texts(docs, classes, met.select("key")), "met_texts")
+    found = scratch.write(_across(met, classes, texts), "found")
+    if not found.isEmpty():
         stars = labels.where("node != label").select(F.col("label").alias("a"), F.col("node").alias("b"))
         labels = scratch.write(components(stars.unionByName(found), scratch, "second"), "all_labels")
 
@@ -318,17 +335,16 @@ def _label(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return rows.select("place", "id", "n_shingles", "key").join(by_key, "key", "left").drop("key")
 
 
-def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One text of every class that occurs in ``pairs``."""
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    places = classes.join(keys, "key").select("key", F.col("first.place").alias("place"))
+def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
+    """One text of every class in ``keys``."""
+    places = classes.join(keys.distinct(), "key").select("key", F.col("first.place").alias("place"))
     return docs.select("place", "text").join(places, "place").select("key", "text")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles`` (size of its set),
     ``component_id`` (smallest id reachable by links) and ``kept`` (the id is that one)."""
-    with Scratch(docs.sparkSession) as scratch:
+    with Scratch(docs.sparkSession) as scratch, arrow_batches(docs.sparkSession, BATCH_ROWS):
         stored = locate(docs.select(id_col, text_col), scratch, "place")
         rows = stored.select("place", F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         component = F.when(F.col("first").isNull(), F.col("id")).otherwise(F.col("first.id"))
@@ -346,7 +362,7 @@ def drop_near_copies(
 ) -> DataFrame:
     """The rows of ``docs`` without all but one of each component (the one with the smallest
     id; of equal ids the one stored first), with all their columns."""
-    with Scratch(docs.sparkSession) as scratch:
+    with Scratch(docs.sparkSession) as scratch, arrow_batches(docs.sparkSession, BATCH_ROWS):
         name = fresh(docs, "place")
         stored = locate(docs, scratch, name)
         rows = stored.select(
