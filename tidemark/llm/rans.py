@@ -28,15 +28,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import Scratch, per_process
-from tidemark.llm.tokens import WordTokenizer
+from tidemark.llm.common import Scratch, arrow_batches, per_process
+from tidemark.llm.tokens import WordTokenizer, pieces
 
 LANES = 64
 BLOCK = LANES * 1024  # ids of a block
 SHARD = 16 * BLOCK  # ids after which a shard ends with its document
 BITS = 20  # frequencies sum to 2**BITS
 LOW = np.uint64(1 << 31)  # states stay in [LOW, LOW * 2**32)
-REMEMBERED = 400_000
+REMEMBERED = 400_000  # runs of text a worker keeps the ids of
+BATCH_ROWS = 2000  # rows handed to Python at once
 
 HEAD = np.dtype([("ids", "<u4"), ("words", "<u4"), ("crc", "<u4"), ("states", "<u8", (LANES,))])
 
@@ -138,27 +139,40 @@ def decode_blocks(coded: bytes, table: FrequencyTable, only: int | None = None)
 
 
 class _Codes(dict):
-    """Word -> its ids as little-endian unsigned 32-bit integers."""
+    """Run of text between blanks -> its ids, in the width asked for."""
 
-    def __init__(self, spec: str):
-        self.tokenizer = WordTokenizer(spec)
+    def __init__(self, spec: str, width: str):
+        self.tokenizer, self.width = WordTokenizer(spec), width
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, run: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        self[word] = code = np.array(self.tokenizer.encode(word), "<u4").tobytes()
+        self[run] = code = self.encode(self.tokenizer.find(run))
         return code
 
+    def encode(self, words: list[str]) -> bytes:
+        return np.array([i for w in words for i in self.tokenizer.encode(w)], self.width).tobytes()
+
     def text(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.tokenizer.words(text)))
+        runs = self.tokenizer.runs(text)
+        if runs is None:
+            return self.encode(self.tokenizer.words(text))
+        return b"".join(map(self.__getitem__, runs))
+
+
+def id_width(spec: str, end_id: int) -> str:
+    """Little-endian unsigned integers that hold every id: while they are shuffled, ids take
+    two bytes each where the vocabulary allows."""
+    return "<u2" if max(len(pieces(spec)) - 1, end_id) < 1 << 16 else "<u4"
 
 
 def tokenize(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
-    """(id, text) -> (id, ids): ids as little-endian unsigned 32-bit integers, ended."""
-    end = np.array([end_id], "<u4").tobytes()
+    """(id, text) -> (id, ids): ids in ``id_width``, with the end id."""
+    width = id_width(spec, end_id)
+    end = np.array([end_id], width).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = per_process(("codes", spec), lambda: _Codes(spec))
+        codes = per_process(("codes", spec), lambda: _Codes(spec, width))
         for batch in batches:
             ids = [codes.text(t.as_py() or "") + end for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -169,13 +183,13 @@ def tokenize(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, f"id {kind}, ids binary")
 
 
-def count_symbols(tokens: DataFrame) -> DataFrame:
+def count_symbols(tokens: DataFrame, width: str) -> DataFrame:
     """How often each id occurs: summed in every task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
-            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")
+            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), width)
             here = np.bincount(ids, minlength=len(counts))
             here[: len(counts)] += counts
             counts = here
@@ -200,10 +214,11 @@ def write_tokens(
 ) -> None:
     """Encode ``docs`` into the folder ``path``."""
     spark = docs.sparkSession
-    with Scratch(spark) as scratch:
+    width = id_width(spec, end_id)
+    with Scratch(spark) as scratch, arrow_batches(spark, BATCH_ROWS):
         rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         tokens = scratch.write(tokenize(rows, spec, end_id), "tokens")
-        counts = count_symbols(tokens).toPandas()  # a row per symbol of the vocabulary
+        counts = count_symbols(tokens, width).toPandas()  # a row per symbol of the vocabulary
         table = FrequencyTable.of_counts(counts["symbol"].to_numpy(), counts["n"].to_numpy())
         listing = list(zip(table.symbols.tolist(), table.frequency.tolist(), strict=True))
         spark.createDataFrame(listing, "symbol long, frequency long").write.parquet(f"{path}/table")
@@ -214,8 +229,8 @@ def write_tokens(
             part, ids, codes, size = 0, [], [], 0
 
             def flush() -> pa.RecordBatch:
-                values = np.frombuffer(b"".join(codes), "<u4")
-                lengths = np.array([len(c) // 4 for c in codes], np.int64)
+                values = np.frombuffer(b"".join(codes), width)
+                lengths = np.array([len(c) // values.itemsize for c in codes], np.int64)
                 return pa.RecordBatch.from_arrays(
                     [
                         pa.array([part], pa.int64()),
@@ -235,7 +250,7 @@ def write_tokens(
                     part = at.as_py()
                     ids.append(key.as_py())
                     codes.append(code.as_py())
-                    size += len(codes[-1]) // 4
+                    size += len(codes[-1]) // np.dtype(width).itemsize
                     if size >= SHARD:
                         yield flush()
                         shard, before = shard + 1, before + size

@@ -25,6 +25,10 @@ SETTLED = regex.compile(
 ).fullmatch
 
 
+# Control characters that Python's str.split takes for white space, and the pattern does not.
+ODD_BLANKS = regex.compile("[\\x1c-\\x1f]").search
+
+
 def read_spec(path: str) -> str:
     """The tokenizer file's text; it travels to the executors with the job."""
     with open(path, encoding="utf-8") as f:
@@ -76,6 +80,14 @@ class WordTokenizer:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         return self.find(text)
 
+    def runs(self, text: str) -> list[str] | None:
+        """The text's runs between white space, normalised, where a run's words are the same
+        as inside the text: null for a tokenizer whose words may hold white space, and for
+        texts with special tokens or unsettled characters."""
+        if not self.normalize or len(self.segments(text)) > 1 or not SETTLED(text) or ODD_BLANKS(text):
+            return None
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower().split()
+
     def segments(self, text: str) -> list[str]:
         """The text cut around special tokens; every second one is a special token."""
         if not any(s in text for s in self.special):
