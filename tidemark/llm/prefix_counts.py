@@ -30,10 +30,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import per_process
-from tidemark.llm.tokens import WordTokenizer
+from tidemark.llm.tokens import SETTLED, WordTokenizer
 
-# Words and neighbour pairs a task remembers; it starts afresh beyond that.
-REMEMBERED = 400_000
+# Words, runs and neighbour pairs a worker remembers of each; it starts afresh beyond that.
+REMEMBERED = 300_000
 
 # A cut inside these leaves an apostrophe and a letter, which are two words.
 LONG_CONTRACTIONS = {"'re", "'ve", "'ll"}
@@ -42,6 +42,20 @@ LONG_CONTRACTIONS = {"'re", "'ve", "'ll"}
 NEVER = 1 << 60
 
 
+class _Runs(dict):
+    """Run of text without white space -> the changes along it, after ``lead``."""
+
+    def __init__(self, counts: _Counts, lead: str):
+        self.counts, self.lead = counts, lead
+
+    def __missing__(self, run: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        words = self.counts.tokenizer.find(self.lead + run)
+        self[run] = out = b"".join(map(self.counts.__getitem__, words))
+        return out
+
+
 class _Counts(dict):
     """Word -> changes of the token count from prefix to prefix, one signed byte each."""
 
@@ -60,6 +74,7 @@ class _Counts(dict):
                 self.left[a + b] = [*self.left[a][:-1], (a, k), (a + b, NEVER)]
                 self.right[a + b] = [*self.right[b][:-1], (b, k), (a + b, NEVER)]
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.first, self.spaced = _Runs(self, ""), _Runs(self, " ")
 
     def follows(self, left: str, right: str) -> bool:
         """True if the merges leave the two tokens apart."""
@@ -88,15 +103,26 @@ class _Counts(dict):
                 j += 1
 
     def solve(self, letters: str) -> list[int]:
-        """Token counts of all byte prefixes of a word."""
-        n, vocabulary, longest = len(letters), self.vocabulary, self.longest
+        """Token counts of all byte prefixes of a word. The last token of a longer prefix
+        mostly starts where the one before it does or later, so these places are tried
+        first; only one place fits."""
+        n, vocabulary, known = len(letters), self.vocabulary, self.pairs
         last, count = [""] * (n + 1), [0] * (n + 1)
+        begin = 0
         for end in range(1, n + 1):
-            for start in range(end - longest if end > longest else 0, end):
+            least = end - self.longest if end > self.longest else 0
+            for start in (*range(begin, end), *range(begin - 1, least - 1, -1)):
                 token = letters[start:end]
-                if token in vocabulary and (not start or self.follows(last[start], token)):
-                    last[end], count[end] = token, count[start] + 1
-                    break
+                if token not in vocabulary:
+                    continue
+                if start:
+                    fits = known.get((last[start], token))
+                    if fits is None:
+                        fits = self.follows(last[start], token)
+                    if not fits:
+                        continue
+                last[end], count[end], begin = token, count[start] + 1, start
+                break
         return count
 
     def word(self, word: str) -> list[int]:
@@ -125,6 +151,13 @@ class _Counts(dict):
 
     def plain(self, text: str) -> np.ndarray:
         """The changes along a text without special tokens; their sum is its count."""
+        if SETTLED(text) and not UNUSUAL_BLANKS(text):
+            # Words end before a lone blank and on both sides of a lone line feed.
+            lines = []
+            for line in text.split("\n"):
+                first, *rest = line.split(" ")
+                lines.append(self.first[first] + b"".join(map(self.spaced.__getitem__, rest)))
+            return np.frombuffer(self["\n"].join(lines), np.int8)
         words = self.tokenizer.plain_words(text)
         steps = np.frombuffer(b"".join(map(self.__getitem__, words)), np.int8)
         if DOUBLE_BLANK(text):
@@ -155,6 +188,7 @@ class _Counts(dict):
         return np.concatenate(out)
 
 
+UNUSUAL_BLANKS = regex.compile(r"\s\s|[^\S \n]").search
 DOUBLE_BLANK = regex.compile(r"\s\s").search
 BLANKS = regex.compile(r"\s+").fullmatch
 
