@@ -145,3 +145,55 @@ def test_parse_table_dump_crlf_and_blank_lines(spark):
     df = spark.createDataFrame([("s", text)], "series_id string, payload string")
     rows = {(r.date.day, r.field, r.value) for r in dump_values(parse_table_dump(df)).collect()}
     assert rows == {(2, "Value__x_", 5.0), (3, "Value__x_", 6.0)}
+
+
+def test_table_dump_quotes_collisions_and_ragged_lines(spark):
+    from tidemark.sources.landing import parse_table_dump
+
+    texts = {
+        "quoted": 'Date,"a, b",c\n2024-01-02,"1,234.5",x\n2024-01-03,"say ""hi""",\n',
+        "same": "Date,a b,a.b\n2024-01-02,1,2\n",
+        "ragged": "Date,a\n2024-01-02,1,2\n2024-01-03,5\nsoon,6\n",
+        "bare": "Date,a\n",
+    }
+    df = spark.createDataFrame(list(texts.items()), "series_id string, payload string")
+    classified = classify_payloads(df, expect="csv")
+    rows = parse_table_dump(classified, rejects=True).collect()
+    good = {(r.series_id, r.date.day): [(e.field, e.value) for e in r.vals] for r in rows if r.date}
+    assert good == {
+        ("quoted", 2): [("a__b", "1,234.5"), ("c", "x")],
+        ("quoted", 3): [("a__b", 'say "hi"'), ("c", "")],
+        ("ragged", 3): [("a", "5")],
+    }
+    assert sorted(r.series_id for r in rows if r.date is None) == ["bare", "ragged", "ragged", "same"]
+
+
+def test_bars_typing_and_bad_elements(spark):
+    text = (
+        '[{"time_period_start": "2024-01-02T00:00:00Z", "price_open": "3.25", "trades_count": 12.0}, 7, null,'
+        ' {"price_open": 1}, {"time_open": "2024-01-03T00:00:00Z", "price_open": 1e2, "trades_count": "5"}]'
+    )
+    df = spark.createDataFrame([("s", text)], "series_id string, payload string")
+    rows = shape_bars(parse_bars(classify_payloads(df, expect="array"))).collect()
+    assert [(r.date_period_start, r.price_open, r.trades_count) for r in rows] == [
+        (dt.date(2024, 1, 2), 3.25, 12), (None, 100.0, 5)
+    ]
+    assert parse_bars(classify_payloads(df, expect="array"), rejects=True).count() == 5
+
+
+def test_indicator_without_data_array(spark):
+    texts = [
+        '{"name": "n", "date": "2024-01-01", "value": "1.5"}',
+        '{"date": ["2024-01-01", "2024-01-02"], "value": ["2", "."]}',
+        '{"name": "nothing else"}',
+    ]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "series_id string, payload string")
+    rows = parse_indicator(classify_payloads(df), rejects=True).collect()
+    assert sorted((r.series_id, str(r.date)[:10], r.value) for r in rows) == [
+        ("0", "2024-01-01", 1.5), ("1", "2024-01-01", 2.0), ("1", "2024-01-02", None), ("2", "None", None)
+    ]
+
+
+def test_series_id_is_decoded_from_the_path(spark, tmp_dir):
+    write_json(f"{tmp_dir}/bars/a+b c%d/f.json", [])
+    assert [r.series_id for r in read_landed(spark, f"{tmp_dir}/bars/*/*").collect()] == ["a+b c%d"]

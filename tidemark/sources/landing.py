@@ -133,16 +133,14 @@ def classify_payloads(
 
 def _classify_csv(df: DataFrame, payload_col: str) -> DataFrame:
     """Table dumps: JSON text is a provider error (its message kept), text with a header
-    line holding a separator is ``ok``, anything else is ``corrupt``, as is a header in which
-    two names are the same once cleaned."""
+    line holding a separator is ``ok``, anything else is ``corrupt``."""
     text = F.col(payload_col)
     looks_json = _starts_with(text, "{") | _starts_with(text, "[")
-    names = _header_fields(F.split(text, "\n", 2)[0])
+    first_line = F.split(text, "\n", 2)[0]
     cls = (
         F.when(looks_json, "error")
-        .when(F.size(names) < 2, "corrupt")
-        .when(F.size(F.array_distinct(names)) < F.size(names), "corrupt")
-        .otherwise("ok")
+        .when(F.instr(first_line, ",") > 0, "ok")
+        .otherwise("corrupt")
     )
     return df.select("*", cls.alias("payload_class"), F.when(looks_json, text).alias("message"))
 
@@ -301,19 +299,26 @@ _CUT = "\x01"  # stands for a comma between fields
 
 
 def _cut(line) -> Column:
-    """The line with its fields unquoted and ``_CUT`` between them. Only lines with quotes
-    are looked at by pattern; no lambda, so the parse is code-generated."""
+    """A line with quotes: its fields unquoted, with ``_CUT`` between them. No lambda, so the
+    parse is code-generated."""
     text = F.regexp_replace(line, _COMMA, _CUT)
     text = F.regexp_replace(text, f'(^|{_CUT})[ \\t]*"', "$1")
     text = F.regexp_replace(text, f'"[ \\t]*({_CUT}|$)', "$1")
-    unquoted = F.replace(text, F.lit('""'), F.lit('"'))
-    return F.when(F.contains(line, F.lit('"')), unquoted).otherwise(F.replace(line, F.lit(","), F.lit(_CUT)))
+    return F.replace(text, F.lit('""'), F.lit('"'))
+
+
+def _fields(line) -> Column:
+    quoted = F.contains(line, F.lit('"'))
+    return F.when(quoted, F.split(_cut(line), _CUT)).otherwise(F.split(line, ","))
 
 
 def _header_fields(line) -> Column:
     """The cleaned names of a header line."""
-    cut = F.regexp_replace(_cut(F.trim(line, F.lit(" \t\r\ufeff"))), rf"\s*{_CUT}\s*", _CUT)
-    return F.split(F.translate(cut, "".join(BAD_NAME_CHARS), "_" * len(BAD_NAME_CHARS)), _CUT)
+    text = F.trim(line, F.lit(" \t\r\ufeff"))
+    quoted = F.contains(text, F.lit('"'))
+    cut = F.when(quoted, _cut(text)).otherwise(F.replace(text, F.lit(","), F.lit(_CUT)))
+    tight = F.regexp_replace(cut, rf"\s*{_CUT}\s*", _CUT)
+    return F.split(F.translate(tight, "".join(BAD_NAME_CHARS), "_" * len(BAD_NAME_CHARS)), _CUT)
 
 
 def parse_table_dump(df: DataFrame, payload_col: str = "payload", rejects: bool = False) -> DataFrame:
@@ -324,19 +329,21 @@ def parse_table_dump(df: DataFrame, payload_col: str = "payload", rejects: bool
     sorted by field. Values stay the provider's text in the raw table (as for the daily
     bars, D5); ``dump_values`` and the per-series views type them with ``to_numeric``.
     Commas inside double quotes belong to the field. A line with another number of fields
-    than the header is left out; with ``rejects`` it stays, without a date (as do lines
+    than the header is left out, and so are all lines under a header in which two names are
+    the same once cleaned; with ``rejects`` it stays, without a date (as do lines
     whose first field is no date, and one row for a file without lines).
     """
     carry = _carry(df, payload_col)
     kept = ["payload_class"] if "payload_class" in df.columns else []
-    lines = F.split(F.col(payload_col), "\n")
-    first = F.split(F.col(payload_col), "\n", 2)[0]
     # The header is a column of its own below the generator: once per file, not per line.
-    staged = df.select(
+    text = F.rtrim(F.col(payload_col), F.lit(" \t\r\n"))
+    split = df.select(*carry, *kept, F.split(text, "\n").alias("__all"))
+    named = split.withColumn("__hdr", _header_fields(F.col("__all")[0]))
+    staged = named.select(
         *carry,
         *kept,
-        _header_fields(first).alias("__hdr"),
-        F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))).alias("__lines"),
+        F.when(F.size(F.array_distinct("__hdr")) == F.size("__hdr"), F.col("__hdr")).alias("__hdr"),
+        F.slice("__all", F.lit(2), F.greatest(F.size("__all") - 1, F.lit(0))).alias("__lines"),
     )
     body = _when_ok(staged, F.col("__lines"))
     exploded = _rows_or_rejects(
@@ -345,8 +352,8 @@ def parse_table_dump(df: DataFrame, payload_col: str = "payload", rejects: bool
     exploded = exploded.where(
         F.col("__raw").isNull() | (F.length(F.trim(F.col("__raw"), F.lit(" \t\r"))) > 0)
     )
-    rows = exploded.select(*carry, "__hdr", F.split(_cut(F.rtrim(F.col("__raw"), F.lit("\r"))), _CUT).alias("__fields"))
-    fits = F.size("__fields") == F.size("__hdr")
+    rows = exploded.select(*carry, "__hdr", _fields(F.rtrim(F.col("__raw"), F.lit("\r"))).alias("__fields"))
+    fits = F.coalesce(F.size("__fields") == F.size("__hdr"), F.lit(False))
     if not rejects:
         rows = rows.where(fits)
     n = F.greatest(F.size("__hdr") - 1, F.lit(0))
