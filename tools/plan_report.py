@@ -51,7 +51,7 @@ def summarise(plan: str) -> dict:
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
-    from __spark_entry__ import queries
+    from tidemark.queries import QUERIES
     from tidemark.session import build_session
 
     spark = build_session(extra={"spark.sql.maxMetadataStringLength": "10000"})
@@ -68,7 +68,7 @@ def main(argv):
         "| query | scans | exchanges | joins | broadcasts | reused |",
         "|---|---|---|---|---|---|",
     ]
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         qe = df._jdf.queryExecution()
         qe.toRdd().count()  # runs this very plan, so the adaptive plan is final
