@@ -66,17 +66,23 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _with_tokens(rows: DataFrame, content: str, tokens: str, hashed: bool) -> DataFrame:
-    """Add a line's distinct tokens, as 64-bit hashes or in full. The words are a column of
-    their own first, so that they are split once a line and not once a token."""
+    """Add a line's distinct tokens, as 64-bit hashes (of the words' hashes) or in full. The
+    words are a column of their own first, so that they are split once a line and not once
+    a token."""
     parts = fresh(rows, "parts")
-    make = F.xxhash64 if hashed else lambda *w: F.concat_ws(" ", *w)
+    split = F.split(F.col(content), " ")
+    if hashed:
+        split, make = F.transform(split, lambda w: F.xxhash64(w)), F.xxhash64
+        one = F.array(F.xxhash64(parts))
+    else:
+        make = lambda *w: F.concat_ws(" ", *w)
+        one = F.array(F.col(content))
     many = F.transform(
         F.slice(parts, F.lit(1), F.size(parts) - (SHINGLE - 1)),
         lambda w, i: make(w, *[F.get(parts, i + k) for k in range(1, SHINGLE)]),
     )
-    one = F.array(make(F.col(content)))
     return (
-        rows.withColumn(parts, F.split(F.col(content), " "))
+        rows.withColumn(parts, split)
         .withColumn(tokens, F.array_distinct(F.when(F.size(parts) >= SHINGLE, many).otherwise(one)))
         .drop(parts)
     )
@@ -138,7 +144,16 @@ def _verify(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     texts = pairs.join(left, ["doc", "line"]).join(right, ["to_doc", "to_line"])
     sets = _with_tokens(_with_tokens(texts, "content_a", "a", False), "content_b", "b", False)
     both = F.size(F.array_intersect("a", "b"))
-    return sets.where(both * 4 >= (F.size("a") + F.size("b") - both) * 3).select("doc", "line").distinct()
+    match = both * 4 >= (F.size("a") + F.size("b") - both) * 3
+    # The filter stays above the aggregate: pushed below the projections it would compute the
+    # sets again for every use of them.
+    return (
+        sets.select("doc", "line", match.alias("match"))
+        .groupBy("doc", "line")
+        .agg(F.bool_or("match").alias("match"))
+        .where("match")
+        .select("doc", "line")
+    )
 
 
 def _decide(docs: DataFrame, scratch: Scratch) -> DataFrame:
