@@ -143,6 +143,7 @@ class _Codes(dict):
 
     def __init__(self, spec: str, width: str):
         self.tokenizer, self.width = WordTokenizer(spec), width
+        self.words: dict[str, bytes] = {}  # runs differ by punctuation; their words recur
 
     def __missing__(self, run: str) -> bytes:
         if len(self) >= REMEMBERED:
@@ -151,7 +152,12 @@ class _Codes(dict):
         return code
 
     def encode(self, words: list[str]) -> bytes:
-        return np.array([i for w in words for i in self.tokenizer.encode(w)], self.width).tobytes()
+        if len(self.words) >= REMEMBERED:
+            self.words.clear()
+        for word in words:
+            if word not in self.words:
+                self.words[word] = np.array(self.tokenizer.encode(word), self.width).tobytes()
+        return b"".join(map(self.words.__getitem__, words))
 
     def text(self, text: str) -> bytes:
         runs = self.tokenizer.runs(text)
