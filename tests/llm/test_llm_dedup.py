@@ -218,7 +218,16 @@ def line_texts(seed):
             line = rng.choice([" ", "\t", "  "]).join(words)
             lines.append(rng.choice([line, line.upper(), "  " + line, ""]))
         texts.append("\n".join(lines))
-    return [*texts, None, "", texts[0], texts[0]]
+    patterns = [" ".join(["*"] * n) for n in (5, 7, 4, 6)]
+    patterns += ["|" + " --- |" * n for n in (3, 4, 2)] + ["ha ho " * 3, "ho ha " * 4, "ha ho ha ho ha"]
+    return [*texts, None, "", texts[0], texts[0], "\n".join(patterns), *rng.sample(patterns, 4)]
+
+
+def test_lines_that_repeat_a_pattern_match_at_any_length(spark):
+    lines = ["* * * * *", "* * * * * * *", "* * * *", "| --- | --- | --- |", "| --- | --- | --- | --- |"]
+    lines += ["ha ho ha ho ha ho", "ho ha ho ha ho ha", "ha ho ha ho ha"]
+    got = line_dedup.repeated_lines(spark.createDataFrame([(1, "\n".join(lines))], DOCS)).collect()
+    assert got[0]["removed_lines"] == [1, 4, 6] == plain_lines(["\n".join(lines)])[0]
 
 
 @pytest.mark.parametrize("seed", [1, 2])

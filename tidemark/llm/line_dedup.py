@@ -6,7 +6,9 @@ similarity of their tokens is at least 0.75. A line is removed when a line befor
 it; lines are ordered by where their document is stored (file, row) and their number. Lines
 without words are never removed.
 
-* Lines with equal words form one class; only its first line can stay.
+* Lines with equal words form one class; only its first line can stay. Classes of lines of
+  fewer than five words match no other; all others are compared, also those of one or two
+  tokens (lines that repeat a word or two have equal tokens at any length).
 * Tokens are ordered by rarity (counts of all tokens in a table of hashed buckets), rarest
   first. Matching classes share one of their first ``size // 4 + 1`` tokens (prefix filter),
   their sizes differ by a quarter at most (length filter), and the tokens from the shared
@@ -88,6 +90,11 @@ def _with_tokens(rows: DataFrame, content: str, tokens: str, hashed: bool) -> Da
     )
 
 
+def _long(classes: DataFrame) -> DataFrame:
+    """The classes of lines with a whole shingle; shorter lines match equal ones only."""
+    return classes.where(F.size(F.split("content", " ", SHINGLE)) == SHINGLE)
+
+
 def _rarity(classes: DataFrame) -> Column:
     """An array of ranks by hash bucket (1 << RARITY_BITS numbers, whatever the input): a
     larger rank is a more frequent bucket."""
@@ -126,9 +133,8 @@ def _prefixes(classes: DataFrame, ranks: Column) -> DataFrame:
         )
     )
     size = F.size("tokens")
-    some = F.when(size > 2, (size / 4).cast("int") + 1)  # smaller sets match equal ones only
-    prefix = F.posexplode_outer(F.slice("tokens", F.lit(1), some)).alias("pos", "token")
-    return ordered.select("doc", "line", size.alias("size"), prefix).where("token is not null")
+    prefix = F.posexplode_outer(F.slice("tokens", F.lit(1), (size / 4).cast("int") + 1)).alias("pos", "token")
+    return ordered.select("doc", "line", size.alias("size"), prefix)
 
 
 def _length_filter(a: Column, b: Column) -> Column:
@@ -165,7 +171,8 @@ def _decide(docs: DataFrame, scratch: Scratch) -> DataFrame:
     )
     classes = scratch.write(grouped.select("key", "first.doc", "first.line", "content"), "classes")
     # The prefixes are shuffled by token once, for the first class of a token and for all.
-    dealt = _prefixes(classes, _rarity(classes)).repartition("token")
+    compared = _long(classes)
+    dealt = _prefixes(compared, _rarity(compared)).repartition("token")
     heads = (
         dealt.groupBy("token")
         .agg(F.min(F.struct("doc", "line", "size", "pos")).alias("head"), F.count(F.lit(1)).alias("n"))
