@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, grid_join, line_dedup, minhash
+from tidemark.llm.common import Scratch, locate
 
 DOCS = "doc_id long, text string"
 
@@ -70,6 +71,26 @@ def test_exact_dedup_large_group_uses_replicas(spark, monkeypatch):
     assert len(hot) == 200 and {r["keep_id"] for r in hot} == {299}
 
 
+def test_rows_exploded_from_stored_rows_have_places_of_their_own(spark, tmp_dir):
+    path = f"{tmp_dir}/docs"
+    line = "one two three four five six seven"
+    rows = [(1, [line, line, "own words of the first row here"]), (2, [line, "own words of the second row here"])]
+    spark.createDataFrame(rows, "doc_id long, parts array<string>").coalesce(1).write.parquet(path)
+    stored = spark.read.parquet(path)
+    passages = stored.select("doc_id", F.explode("parts").alias("text"))
+    expected = sorted([line, rows[0][1][2], rows[1][1][1]])
+    assert sorted(r["text"] for r in exact_dedup.drop_exact_copies(passages).collect()) == expected
+    assert sorted(r["text"] for r in minhash.drop_near_copies(passages).collect()) == expected
+    left = [r["text"] for r in line_dedup.drop_repeated_lines(passages).collect()]
+    assert sorted(t for t in left if t) == expected and len(left) == 5
+    for frame in (passages, stored.sample(True, 3.0, 1), stored):
+        placed = locate(frame, Scratch(spark), "place")
+        assert placed.select("place").distinct().count() == placed.count() > 0
+    # A plain read, also of some columns and rows, is not written again.
+    part = stored.where("doc_id > 1").select("doc_id")
+    assert locate(part, Scratch(spark), "place").inputFiles() == stored.inputFiles()
+
+
 # --- near -----------------------------------------------------------------------------------
 
 

@@ -106,16 +106,34 @@ class Scratch:
         target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+# What may lie above a read of files for its rows to have a place of their own each.
+PLAIN_NODES = {"Project", "Filter", "SubqueryAlias", "View", "LogicalRelation"}
+
+
+def _is_plain_read(df: DataFrame) -> bool:
+    """Whether every row of ``df`` is another stored row: a read of files, of which columns
+    and rows may be left out, but none made (as by an explode or a sample with replacement)."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in PLAIN_NODES:
+        if plan.children().isEmpty():
+            return True
+        plan = plan.children().head()
+    return False
+
+
 def locate(df: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """``df`` with a column ``name``: where its row is stored (file path, row number).
 
     Rows read from files have such a place already; any other frame is written to the
-    shared folder first. The place tells rows apart that are equal in every column.
+    shared folder first, also one that makes several rows of a stored one. The place tells
+    rows apart that are equal in every column.
     """
     place = F.struct(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
     )
-    try:
-        return df.select("*", place.alias(name))
-    except AnalysisException:
-        return scratch.write(df, "located", keep=True).select("*", place.alias(name))
+    if _is_plain_read(df):
+        try:
+            return df.select("*", place.alias(name))
+        except AnalysisException:
+            pass
+    return scratch.write(df, "located", keep=True).select("*", place.alias(name))
