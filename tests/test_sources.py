@@ -168,6 +168,28 @@ def test_table_dump_quotes_collisions_and_ragged_lines(spark):
     assert sorted(r.series_id for r in rows if r.date is None) == ["bare", "ragged", "ragged", "same"]
 
 
+def test_table_dump_line_breaks_in_quotes(spark):
+    from tidemark.sources.landing import parse_table_dump
+
+    long = "x,\n" * 20_000
+    texts = {
+        "breaks": 'Date,"a\nb",c\r\n2024-01-02,"one\ntwo, ""three""\n",x\r\n\n2024-01-03, "p\r\nq" ,"y"\n',
+        "stray": 'Date,a\n2024-01-02,"open\n2024-01-03,"shut"\n2024-01-04,5" pipe\n2024-01-05,6" pipe\n',
+        "long": f'Date,a\n2024-01-02,"{long}"\n2024-01-03,"""{long}"""',
+    }
+    df = spark.createDataFrame(list(texts.items()), "series_id string, payload string")
+    rows = parse_table_dump(classify_payloads(df, expect="csv"), rejects=True).collect()
+    good = {(r.series_id, r.date.day): [e.value for e in r.vals] for r in rows if r.date}
+    assert good == {
+        ("breaks", 2): ['one\ntwo, "three"\n', "x"],
+        ("breaks", 3): ["p\r\nq", "y"],
+        ("stray", 3): ["shut"],
+        ("long", 2): [long],
+        ("long", 3): [f'"{long}"'],
+    }
+    assert sorted(r.series_id for r in rows if r.date is None) == ["stray"] * 3
+
+
 def test_bars_typing_and_bad_elements(spark):
     text = (
         '[{"time_period_start": "2024-01-02T00:00:00Z", "price_open": "3.25", "trades_count": 12.0}, 7, null,'

@@ -298,6 +298,19 @@ _COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 _CUT = "\x01"  # stands for a comma between fields
 
 
+# A field in quotes may hold line breaks. A quote that is not closed before a separator is
+# part of its field, which ends with the line: it costs its own line only.
+_QUOTED = r'[ \t]*+"[^"]*+(?:""[^"]*+)*+"[ \t]*+(?=[,\r\n]|\z)'
+_FIELD = rf"(?:(?:{_QUOTED})?[^,\n]*+)"
+_RECORD = rf"(?:\A|(?<=\n)){_FIELD}(?:,{_FIELD})*+"
+
+
+def _records(text) -> Column:
+    """The lines of a CSV text, cut at line feeds outside quotes."""
+    quoted = F.contains(text, F.lit('"'))
+    return F.when(quoted, F.regexp_extract_all(text, F.lit(_RECORD), F.lit(0))).otherwise(F.split(text, "\n"))
+
+
 def _cut(line) -> Column:
     """A line with quotes: its fields unquoted, with ``_CUT`` between them. No lambda, so the
     parse is code-generated."""
@@ -328,7 +341,7 @@ def parse_table_dump(df: DataFrame, payload_col: str = "payload", rejects: bool
     per file, then zipped with each data line into ``vals ARRAY<STRUCT<field, value>>``
     sorted by field. Values stay the provider's text in the raw table (as for the daily
     bars, D5); ``dump_values`` and the per-series views type them with ``to_numeric``.
-    Commas inside double quotes belong to the field. A line with another number of fields
+    Commas and line breaks inside double quotes belong to the field. A line with another number of fields
     than the header is left out, and so are all lines under a header in which two names are
     the same once cleaned; with ``rejects`` it stays, without a date (as do lines
     whose first field is no date, and one row for a file without lines).
@@ -337,7 +350,7 @@ def parse_table_dump(df: DataFrame, payload_col: str = "payload", rejects: bool
     kept = ["payload_class"] if "payload_class" in df.columns else []
     # The header is a column of its own below the generator: once per file, not per line.
     text = F.rtrim(F.col(payload_col), F.lit(" \t\r\n"))
-    split = df.select(*carry, *kept, F.split(text, "\n").alias("__all"))
+    split = df.select(*carry, *kept, _records(text).alias("__all"))
     named = split.withColumn("__hdr", _header_fields(F.col("__all")[0]))
     staged = named.select(
         *carry,
