@@ -274,6 +274,31 @@ def test_repeated_lines_equal_all_pairs(spark, tmp_dir, seed):
         assert (r["text"] or "") == left
 
 
+@pytest.mark.parametrize("block", [2, 5])
+def test_large_groups_of_lines_are_compared_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    monkeypatch.setattr(line_dedup, "MEMBERS", block)
+    texts = ["\n".join(filter(None, line_texts(3)))]
+    # Every shingle of a base stands alone before it, so that no like line is its token's first.
+    base = [f"b{k}" for k in range(24)]
+    texts.append("\n".join(" ".join(base[k : k + 5]) for k in range(20)))
+    texts += [" ".join([*base, f"end{k}"]) for k in range(9)]
+    texts += [" ".join([f"other{k}", *base[:12], f"own{k}", *base[12:]]) for k in range(9)]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).coalesce(1)
+    made = []
+    whole = line_dedup._match_in_blocks
+
+    def counted(*args):
+        out = whole(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "_match_in_blocks", counted)
+    got = {r["doc_id"]: r["removed_lines"] for r in line_dedup.repeated_lines(docs).collect()}
+    assert got == dict(enumerate(plain_lines(texts)))
+    assert made[0] > 0
+
+
 def test_repeated_lines_empty_table_and_null_ids(spark):
     assert line_dedup.repeated_lines(spark.createDataFrame([], DOCS)).count() == 0
     rows = [(None, "some words that stand in a line"), (None, "some words that stand in a line")]

@@ -14,8 +14,11 @@ without words are never removed.
   their sizes differ by a quarter at most (length filter), and the tokens from the shared
   one on are enough for the overlap they need (positional filter).
 * Of classes that share a prefix token, each is compared with the first. Classes that match
-  are done with. Only the others are compared with what else comes before them, so that a
-  token shared by many like lines does not pair them all with each other.
+  are done with. Of the others, those of a token with at most ``BLOCK`` lines are paired with
+  what else comes before them.
+* The lines of tokens with more lines, where any are open, get new prefixes: by the real
+  counts of all their tokens (a written table, joined by token). What still shares a prefix
+  token meets in blocks of bounded size, without a row for each pair.
 * Pairs are verified on their full token sets, word by word.
 
 Null and empty texts are one line without words. Ids may be null or repeated: documents are
@@ -36,6 +39,8 @@ SHINGLE = 5
 # Jaccard 3/4: the sizes' ratio is at least that, and the overlap 3/7 of their sum.
 RARITY_BITS = 16
 ROW_BITS = 40  # rows of one file
+BLOCK = 128  # lines of a token that are paired at most
+MEMBERS = 8 * BLOCK  # of a block of a larger token's lines
 
 
 def _number_documents(docs: DataFrame, place: str, name: str) -> DataFrame:
@@ -141,6 +146,78 @@ def _length_filter(a: Column, b: Column) -> Column:
     return F.least(a, b) * 4 >= F.greatest(a, b) * 3
 
 
+def _position_filter(size: Column, pos: Column, to_size: Column, to_pos: Column) -> Column:
+    return F.least(size - pos, to_size - to_pos) * 7 >= (size + to_size) * 3
+
+
+def _prefixes_by_count(lines: DataFrame, scratch: Scratch) -> DataFrame:
+    """Like ``_prefixes``, with tokens ordered by their counts in these lines. Tokens of one
+    line only come first and give no row."""
+    sets = _with_tokens(lines.select("doc", "line", "content"), "content", "tokens", True).select(
+        "doc", "line", F.size("tokens").alias("size"), F.explode_outer("tokens").alias("h")
+    )
+    sets = scratch.write(sets, "tokens")
+    counts = scratch.write(sets.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "counts")
+    ordered = (
+        sets.join(counts, "h")
+        .groupBy("doc", "line", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "h"))).alias("tokens"))
+        .withColumn("single", F.col("size") - F.size("tokens"))
+    )
+    some = F.greatest((F.col("size") / 4).cast("int") + 1 - F.col("single"), F.lit(0))
+    prefix = F.posexplode(F.slice("tokens", F.lit(1), some)).alias("at", "token")
+    return ordered.select("doc", "line", "size", "single", prefix).select(
+        F.col("token.h").alias("token"), "doc", "line", "size", (F.col("single") + F.col("at")).alias("pos")
+    )
+
+
+def _match_in_blocks(prefixes: DataFrame, lines: DataFrame, scratch: Scratch) -> DataFrame:
+    """The open ones of ``lines`` that match a line before them. The members of a token are
+    cut into blocks of about MEMBERS; every two blocks meet in a group (token, r, o) of their
+    own, which is compared as it is, so that no row is made for a pair."""
+    members = scratch.write(prefixes.join(lines.select("doc", "line", "open"), ["doc", "line"]), "members")
+    blocks = (
+        members.groupBy("token")
+        .agg(F.count(F.lit(1)).alias("n"), F.bool_or("open").alias("any"))
+        .where("n > 1 and any")
+        .select("token", F.ceil(F.col("n") / MEMBERS).cast("int").alias("blocks"))
+    )
+    own = F.pmod(F.xxhash64("doc", "line"), F.col("blocks")).cast("int")
+    meetings = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda r: F.struct(F.least(r, F.col("own")).alias("r"), F.greatest(r, F.col("own")).alias("o")),
+    )
+    met = (
+        members.join(blocks, "token")
+        .withColumn("own", own)
+        .select(*members.columns, "own", F.explode(meetings).alias("meeting"))
+        .join(lines.select("doc", "line", "content"), ["doc", "line"])
+        .select("token", "meeting.r", "meeting.o", "doc", "line", "size", "pos", "open", "own", "content")
+        .repartition("token", "r", "o")
+    )
+    member = F.struct("doc", "line", "size", "pos", "open", "own", "set")
+    groups = _with_tokens(met, "content", "set", False).groupBy("token", "r", "o")
+    groups = groups.agg(F.collect_list(member).alias("all"))
+
+    def matches(x: Column, y: Column) -> Column:
+        both = F.size(F.array_intersect(x["set"], y["set"]))
+        return (
+            ((y["doc"] < x["doc"]) | ((y["doc"] == x["doc"]) & (y["line"] < x["line"])))
+            & ((F.col("r") == F.col("o")) | (x["own"] != y["own"]))
+            & _length_filter(x["size"], y["size"])
+            & _position_filter(x["size"], x["pos"], y["size"], y["pos"])
+            & (both * 4 >= (F.size(x["set"]) + F.size(y["set"]) - both) * 3)
+        )
+
+    found = F.filter("all", lambda x: x["open"] & F.exists("all", lambda y: matches(x, y)))
+    return (
+        groups.select(F.explode_outer(F.transform(found, lambda x: F.struct(x["doc"].alias("doc"), x["line"].alias("line")))).alias("x"))
+        .where("x is not null")
+        .select("x.doc", "x.line")
+        .distinct()
+    )
+
+
 def _verify(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Of pairs (doc, line; to_doc, to_line) those whose lines match."""
     left = classes.select("doc", "line", F.col("content").alias("content_a"))
@@ -185,19 +262,29 @@ def _decide(docs: DataFrame, scratch: Scratch) -> DataFrame:
     )
     removed = scratch.write(_verify(with_head.distinct(), classes), "removed")
 
-    rest = later.where("n > 2").select("token", "doc", "line", "size", "pos")
+    rest = later.where("n > 2").select("token", "doc", "line", "size", "pos", "n")
     open_rows = rest.join(removed, ["doc", "line"], "left_anti")
-    before = rest.select("token", *[F.col(c).alias("to_" + c) for c in ("doc", "line", "size", "pos")])
-    enough = 1 + F.least(F.col("size") - F.col("pos"), F.col("to_size") - F.col("to_pos")) - 1
+    small = rest.where(F.col("n") <= BLOCK)
+    before = small.select("token", *[F.col(c).alias("to_" + c) for c in ("doc", "line", "size", "pos")])
     pairs = (
-        open_rows.join(before, "token")
+        open_rows.where(F.col("n") <= BLOCK)
+        .join(before, "token")
         .where(F.struct("to_doc", "to_line") < F.struct("doc", "line"))
         .where(_length_filter(F.col("size"), F.col("to_size")))
-        .where(enough * 7 >= (F.col("size") + F.col("to_size")) * 3)
+        .where(_position_filter(*map(F.col, ("size", "pos", "to_size", "to_pos"))))
         .select("doc", "line", "to_doc", "to_line")
         .distinct()
     )
     more = scratch.write(_verify(pairs, classes), "more")
+
+    large = scratch.write(open_rows.where(F.col("n") > BLOCK).select("token").distinct(), "large")
+    if not large.isEmpty():
+        settled = removed.unionByName(more).distinct().withColumn("open", F.lit(False))
+        members = rest.where(F.col("n") > BLOCK).join(large, "token", "left_semi").select("doc", "line").distinct()
+        members = members.join(settled, ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(True)))
+        involved = scratch.write(members.join(classes.drop("key"), ["doc", "line"]), "involved")
+        last = _match_in_blocks(_prefixes_by_count(involved, scratch), involved, scratch)
+        more = more.unionByName(scratch.write(last, "last"))
     gone = removed.unionByName(more).withColumn("matched", F.lit(True))
 
     by_key = classes.select("key", "doc", "line").join(gone, ["doc", "line"], "left")
