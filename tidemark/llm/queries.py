@@ -19,6 +19,7 @@ from tidemark.llm import (
     quality,
     rans,
     url_filter,
+    whitening,
 )
 from tidemark.llm.common import Scratch
 from tidemark.llm.tokens import read_spec
@@ -204,3 +205,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of every document that match a line before them."""
     return line_dedup.repeated_lines(_table(spark, sf_dir, "documents"))
+
+
+@_query("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the 16 leading components of the distinct embeddings."""
+    table = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return table.withColumn("deviation", F.col("deviation").try_cast("long"))
