@@ -15,6 +15,7 @@ from tidemark.llm import (
     line_dedup,
     minhash,
     mixing,
+    periodic_runs,
     prefix_counts,
     quality,
     rans,
@@ -212,3 +213,10 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding on the 16 leading components of the distinct embeddings."""
     table = whitening.whiten(_table(spark, sf_dir, "embeddings"))
     return table.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@_query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, of which one in ten repeats its tail's first words."""
+    docs = _table(spark, sf_dir, "documents")
+    return periodic_runs.run_report(docs, text=periodic_runs.repeat_tails(F.col("text"), F.col("doc_id")))
