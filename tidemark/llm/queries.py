@@ -19,6 +19,7 @@ from tidemark.llm import (
     prefix_counts,
     quality,
     rans,
+    substring_dedup,
     url_filter,
     whitening,
 )
@@ -220,3 +221,33 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of every document, of which one in ten repeats its tail's first words."""
     docs = _table(spark, sf_dir, "documents")
     return periodic_runs.run_report(docs, text=periodic_runs.repeat_tails(F.col("text"), F.col("doc_id")))
+
+
+_WINDOW_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+r AS (SELECT doc_id, i, doc_id > min(doc_id) OVER (PARTITION BY h) AS later FROM s),
+p AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+c AS (
+  SELECT p.doc_id, p.i, word,
+         coalesce(max(CASE WHEN later THEN p.i END)
+           OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) > 0 AS gone
+  FROM p LEFT JOIN r ON r.doc_id = p.doc_id AND r.i = p.i),
+k AS (
+  SELECT doc_id, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '') AS kept
+  FROM c GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+
+@_query("op12_substring_dedup", _WINDOW_SQL)
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-word passages that an earlier document holds."""
+    return substring_dedup.repeat_report(_table(spark, sf_dir, "documents"))
