@@ -133,6 +133,31 @@ def missing_dates(
     return unpack_series(missing, keys).withColumnRenamed("date", "missing_date")
 
 
+def date_gaps(df: DataFrame, date_col: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Stretches of missing days as intervals: ``keys, gap_start, gap_end, n_days``.
+
+    The same look-ahead window as ``missing_dates``, but a gap stays one row however long it
+    is, so a series with decades missing costs no more than one with a day missing.
+    """
+    keys = list(keys)
+    require_columns(df, [date_col, *keys], "date_gaps")
+    ks = series_cols(keys)
+    seen = (
+        df.select(*pack_series(keys), as_date(df, date_col).alias("date"))
+        .where(F.col("date").isNotNull())
+        .distinct()
+    )
+    ahead = Window.partitionBy(*ks).orderBy("date")
+    linked = seen.select(*ks, "date", F.lead("date").over(ahead).alias("__next"))
+    gaps = linked.where(F.datediff("__next", "date") > 1).select(
+        *ks,
+        F.date_add("date", 1).alias("gap_start"),
+        F.date_sub("__next", 1).alias("gap_end"),
+        (F.datediff("__next", "date") - 1).alias("n_days"),
+    )
+    return unpack_series(gaps, keys)
+
+
 def duplicate_dates(df: DataFrame, date_col: str, keys: Sequence[str] = ()) -> DataFrame:
     """Dates carried by more than one row: ``keys, date, n_rows``.
 

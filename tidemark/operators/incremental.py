@@ -140,6 +140,37 @@ def backfill_plan(missing: DataFrame, keys: Sequence[str], date_col: str = "miss
     return missing.select(*keys, day.alias("start_date"), day.alias("end_date"))
 
 
+# Fixed value: points a provider's short answer holds (its "compact" output size).
+RANGE_DAYS = 100
+
+
+def backfill_ranges(gaps: DataFrame, keys: Sequence[str] = (), max_days: int = RANGE_DAYS) -> DataFrame:
+    """Requests for gaps in ranges of at most ``max_days`` days: ``keys, start_date, end_date,
+    n_days`` (S9), dates as text.
+
+    ``gaps`` has ``gap_start`` and ``gap_end`` (both included), as ``date_gaps`` or a ledger's
+    gaps give them. Every missing day lies in exactly one range; the ranges of a gap are full
+    but for the last. One request per range instead of one per day: a gap is cut by arithmetic,
+    its days are never listed.
+    """
+    if max_days < 1:
+        raise ValueError("max_days must be 1 or more")
+    keys = list(keys)
+    require_columns(gaps, ["gap_start", "gap_end", *keys], "backfill_ranges")
+    last = F.floor(F.datediff("gap_end", "gap_start") / max_days).cast("int")
+    cut = gaps.where(F.col("gap_start") <= F.col("gap_end")).select(
+        *keys, "gap_start", "gap_end", F.explode_outer(F.sequence(F.lit(0), last)).alias("__part")
+    )
+    start = F.date_add("gap_start", F.col("__part") * max_days)
+    end = F.least(F.date_add(start, max_days - 1), F.col("gap_end"))
+    return cut.select(
+        *keys,
+        date_text(start).alias("start_date"),
+        date_text(end).alias("end_date"),
+        (F.datediff(end, start) + 1).alias("n_days"),
+    )
+
+
 def apply_backfill(
     table: DataFrame,
     landed: DataFrame,

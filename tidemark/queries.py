@@ -16,18 +16,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import apply_types, clean_column_names, split_datetime, to_numeric
+from tidemark.operators.align import Source, align_features
 from tidemark.operators.checks import check_unique, column_test_report, count_not_null_failures
-from tidemark.operators.dates import date_bounds, duplicate_dates, missing_dates
+from tidemark.operators.dates import date_bounds, date_gaps, duplicate_dates, missing_dates
 from tidemark.operators.fill import fill_daily
 from tidemark.operators.incremental import (
     after_high_water_mark,
     apply_backfill,
     backfill_plan,
+    backfill_ranges,
     gate_by_weekday,
     ingest_plan,
 )
 from tidemark.operators.rows import dedupe_rows, duplicate_row_count, profile_series
 from tidemark.sources.catalog import schedule
+from tidemark.sources.footers import footer_bounds
 from tidemark.sources.landing import (
     classify_payloads,
     dump_values,
@@ -897,16 +900,15 @@ def q_missing_dates_text(spark, sf_dir):
     "missing_dates_single",
     """
 WITH obs AS (SELECT DISTINCT CAST(c_date AS DATE) AS d FROM (
-  SELECT o_orderdate AS c_date FROM orders WHERE o_totalprice > 400000)),
+  SELECT o_orderdate AS c_date FROM orders WHERE o_orderdate IS NOT NULL)),
 cal AS (SELECT CAST(unnest(generate_series(CAST((SELECT min(d) FROM obs) AS TIMESTAMP),
   CAST((SELECT max(d) FROM obs) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d)
 SELECT d AS missing_date FROM cal WHERE d NOT IN (SELECT d FROM obs)
 """,
 )
 def q_missing_dates_single(spark, sf_dir):
-    # Days without a large order, all orders being one series (no keys).
-    orders = table(spark, sf_dir, "orders").where("o_totalprice > 400000")
-    return missing_dates(orders, "o_orderdate")
+    # Days without an order, all orders being one series (no keys).
+    return missing_dates(table(spark, sf_dir, "orders"), "o_orderdate")
 
 
 @register(
@@ -933,17 +935,121 @@ def q_profile_series_known(spark, sf_dir):
 @register(
     "ingest_plan_series",
     """
-WITH l AS (SELECT o_custkey, CAST(max(o_orderdate) AS DATE) AS last_date FROM orders
-           WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00' GROUP BY 1)
-SELECT c_custkey AS o_custkey, last_date,
-       CAST(coalesce(last_date + INTERVAL 1 DAY, DATE '1995-01-01' + CAST(c_nationkey AS INTEGER)) AS DATE) AS next_start,
-       DATE '2001-08-02' AS end_date, true AS due
-FROM customer LEFT JOIN l ON l.o_custkey = c_custkey
+WITH l AS (SELECT o_custkey, CAST(max(o_orderdate) AS DATE) AS last_date FROM orders GROUP BY 1),
+n AS (
+  SELECT c_custkey AS o_custkey, last_date,
+         CAST(coalesce(last_date + INTERVAL 1 DAY, DATE '1995-01-01' + CAST(c_nationkey AS INTEGER)) AS DATE) AS next_start,
+         DATE '2001-08-02' AS end_date
+  FROM customer LEFT JOIN l ON l.o_custkey = c_custkey)
+SELECT *, coalesce(next_start < end_date, last_date IS NULL) AS due FROM n
 """,
 )
 def q_ingest_plan_series(spark, sf_dir):
     # Customers are the series: those without a stored order start at a date of their own.
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.expr(STORED_BEFORE))
+    orders = table(spark, sf_dir, "orders")
     first = F.date_add(F.lit(dt.date(1995, 1, 1)), F.col("c_nationkey").cast("int")).alias("first_day")
     series = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), first)
     return ingest_plan(orders, "o_orderdate", ["o_custkey"], RUN_DATE, series=series, start_date="first_day")
+
+
+# --- gaps as intervals, requests in ranges (J2, A9, S9) ---------------------------------------
+
+_GAPS_SQL = """
+WITH obs AS (
+  SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderdate IS NOT NULL),
+n AS (SELECT o_custkey, d, lead(d) OVER (PARTITION BY o_custkey ORDER BY d) AS nd FROM obs),
+gaps AS (
+  SELECT o_custkey, CAST(d + INTERVAL 1 DAY AS DATE) AS gap_start, CAST(nd - INTERVAL 1 DAY AS DATE) AS gap_end,
+         CAST(date_diff('day', d, nd) - 1 AS INTEGER) AS n_days
+  FROM n WHERE date_diff('day', d, nd) > 1)
+"""
+
+
+@register("date_gaps", _GAPS_SQL + "SELECT o_custkey, gap_start, gap_end, n_days FROM gaps")
+def q_date_gaps(spark, sf_dir):
+    # Customers are the series: the stretches of days between their orders.
+    return date_gaps(table(spark, sf_dir, "orders"), "o_orderdate", ["o_custkey"])
+
+
+@register(
+    "backfill_ranges",
+    _GAPS_SQL
+    + """,
+parts AS (
+  SELECT o_custkey, gap_end, CAST(gap_start + INTERVAL 100 DAY * k AS DATE) AS s
+  FROM (SELECT *, unnest(range(0, CAST((n_days + 99) // 100 AS BIGINT))) AS k FROM gaps))
+SELECT o_custkey, strftime(s, '%Y-%m-%d') AS start_date,
+       strftime(least(CAST(s + INTERVAL 99 DAY AS DATE), gap_end), '%Y-%m-%d') AS end_date,
+       CAST(date_diff('day', s, least(CAST(s + INTERVAL 99 DAY AS DATE), gap_end)) + 1 AS INTEGER) AS n_days
+FROM parts
+""",
+)
+def q_backfill_ranges(spark, sf_dir):
+    # The requests that fetch these stretches, at most a hundred days each.
+    gaps = date_gaps(table(spark, sf_dir, "orders"), "o_orderdate", ["o_custkey"])
+    return backfill_ranges(gaps, ["o_custkey"])
+
+
+# --- bounds from file footers (A1, A2, A7) ----------------------------------------------------
+
+
+@register(
+    "footer_bounds",
+    """
+SELECT 'orders' AS series, min(o_orderdate) AS earliest, max(o_orderdate) AS latest,
+       count(*) AS n_rows, count(o_orderdate) AS n_dated FROM orders
+UNION ALL
+SELECT 'lineitem', min(l_shipdate), max(l_shipdate), count(*), count(l_shipdate) FROM lineitem
+""",
+)
+def q_footer_bounds(spark, sf_dir):
+    # Answered by the files' footers: no row is read.
+    root = sf_dir.rstrip("/")
+    parts = [
+        footer_bounds(spark, f"{root}/{name}.parquet", day).select(F.lit(name).alias("series"), "*")
+        for name, day in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+# --- aligned features (I3) --------------------------------------------------------------------
+
+
+@register(
+    "align_features",
+    """
+WITH t AS (
+  SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS target,
+         CAST(count(o_totalprice) AS DOUBLE) AS n
+  FROM orders WHERE o_orderdate IS NOT NULL GROUP BY ALL),
+own AS (SELECT * FROM t WHERE target IS NOT NULL),
+li AS (
+  SELECT CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS price, min(l_discount) AS discount
+  FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY ALL)
+SELECT a.o_orderpriority, a.date, a.target, p1.target AS price_lag1, p7.target AS price_lag7,
+       c1.n AS orders_lag1, s1.price AS shipped_lag1, s30.price AS shipped_lag30, d2.discount AS discount_lag2
+FROM own a
+ASOF LEFT JOIN own p1 ON a.o_orderpriority IS NOT DISTINCT FROM p1.o_orderpriority AND a.date - 1 >= p1.date
+ASOF LEFT JOIN own p7 ON a.o_orderpriority IS NOT DISTINCT FROM p7.o_orderpriority AND a.date - 7 >= p7.date
+ASOF LEFT JOIN t c1 ON a.o_orderpriority IS NOT DISTINCT FROM c1.o_orderpriority AND a.date - 1 >= c1.date
+ASOF LEFT JOIN li s1 ON a.date - 1 >= s1.date
+ASOF LEFT JOIN li s30 ON a.date - 30 >= s30.date
+ASOF LEFT JOIN li d2 ON a.date - 2 >= d2.date
+""",
+)
+def q_align_features(spark, sf_dir):
+    # A day's largest order per priority, with what was known before: the priority's own past
+    # and the largest line shipped, a series of another table and grain for all priorities.
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    return align_features(
+        Source(orders, "o_orderdate", "o_totalprice", "max"),
+        {
+            "price": Source(orders, "o_orderdate", "o_totalprice", "max", (1, 7)),
+            "orders": Source(orders, "o_orderdate", "o_totalprice", "count"),
+        },
+        ["o_orderpriority"],
+        shared={
+            "shipped": Source(lines, "l_shipdate", "l_extendedprice", "max", (1, 30)),
+            "discount": Source(lines, "l_shipdate", "l_discount", "min", (2,)),
+        },
+    )
