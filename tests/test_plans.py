@@ -13,7 +13,6 @@ from tidemark.plans.load import (
     dedupe_table,
     load_increment,
     load_landed,
-    touched_partitions,
 )
 from tidemark.plans.models import Model, materialize, reference_models, run_models
 from tidemark.plans.run import daily_run
@@ -165,19 +164,6 @@ def test_dedupe_table_rewrites_only_dirty_partitions(spark, fresh_db):
     assert dedupe_table(spark, "p") == 0
 
 
-def test_load_reads_marks_of_touched_partitions_only(spark, fresh_db):
-    """Pruned by the increment's own values at run time, with no list of them in the plan."""
-
-    d = dt.date
-    base = spark.createDataFrame([("a", d(2024, 1, 1), 1.0), ("b", d(2024, 1, 5), 2.0)], "series_id string, date date, value double")
-    load_increment(base, "ind2", "date")
-    inc = spark.createDataFrame([("a", d(2024, 1, 2), 3.0)], base.schema)
-    pruned = touched_partitions(inc, "ind2", ["series_id"])
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan and " IN (" not in plan
-    assert {r.series_id for r in pruned.collect()} == {"a"}
-
-
 def test_stream_replay_of_same_rows_under_new_name_adds_nothing(spark, fresh_db, tmp_dir):
     """At-least-once delivery: the same payload landed again (new file name) appends nothing."""
     recs = bar_records()

@@ -10,6 +10,7 @@ Bad payloads, and files with rejected records (no valid date, no object, another
 fields than the header), go to a quarantine table, once per file, and do not stop the
 others. Replaying the same files appends nothing: rows without a date are rejected, rows at
 or before a series' mark are dropped, and whole-row copies within a batch are collapsed.
+Marks and stored days are kept in the table's ledger (``tidemark.plans.ledger``).
 Re-fetched days fill gaps below the mark with ``mode="backfill"``.
 """
 
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import NUMERIC_TEXT
 from tidemark.operators.incremental import after_high_water_mark, apply_backfill
 from tidemark.operators.rows import dedupe_rows, row_copies
+from tidemark.plans.ledger import Ledger
 from tidemark.plans.tables import (
+    STAGED_SUFFIX,
     _quote,
     _table_format,
     append_table,
@@ -117,6 +120,7 @@ def load_increment(
     dedupe: bool = True,
     partition_values: DataFrame | None = None,
     mode: str = "increment",
+    load_id: str | None = None,
 ) -> dict:
     """Append the rows of ``increment`` newer than each series' mark; create on first load.
 
@@ -124,62 +128,69 @@ def load_increment(
     instead, also below the mark (S9). Rows without a date are rejected. What an
     interrupted rewrite of the table left behind is recovered first.
 
-    ``partition_values`` is an optional cheap frame holding the partition column of every
-    increment row (for landed files: the series id from the file path), used to prune the
-    marks' scan without computing the increment once more.
+    Marks and stored days come from the table's ledger, so the table itself is not read. The
+    new rows are staged in the shared folder first and appended from there; a load that was
+    interrupted is finished by the next one, and a load repeated under the ``load_id`` of a
+    closed one writes nothing and returns the same metrics (see ``ledger``).
+    ``partition_values`` is an optional cheap frame holding the series of every increment row
+    (for landed files: the series id from the file path); a backfill lists the stored days of
+    these only.
 
     Returns ``{"action", "rows", "min_date", "max_date"}``, collected by an ``Observation``
-    during the write itself (no second pass over the data, A12).
+    while the rows are staged (no pass of its own, A12).
     """
     if mode not in ("increment", "backfill"):
         raise ValueError("mode must be 'increment' or 'backfill'")
     spark = increment.sparkSession
     keys = list(keys)
+    ledger = Ledger(spark, table, date_col, keys)
+    swapped = table_exists(spark, table + STAGED_SUFFIX)
     recover(spark, table)
+    ledger.ensure(recounted=swapped)
+    done = ledger.closed_load(load_id)
+    if done is not None:
+        return done
     exists = table_exists(spark, table)
     new = increment.where(F.col(date_col).isNotNull())
     if exists:
-        stored = touched_partitions(partition_values if partition_values is not None else increment, table, keys)
-        newer = apply_backfill(stored, new, date_col, keys) if mode == "backfill" else None
-        new = newer if newer is not None else after_high_water_mark(new, stored, date_col, keys)
+        new = new_rows(new, ledger, mode, partition_values)
     if dedupe:
         new = dedupe_rows(new)
     obs = Observation(f"load_{table}")
-    new = sort_for_write(new, keys, date_col).observe(
+    new = new.observe(
         obs,
         F.count(F.lit(1)).alias("rows"),
         F.min(date_col).alias("min_date"),
         F.max(date_col).alias("max_date"),
     )
-    if exists:
-        append_table(new, table)
-        action = "appended"
-    else:
-        create_table(new, table, partition_by=partition_by, comment=comment)
-        action = "created"
-    metrics = obs.get
-    return {"action": action, **metrics}
+    staged, path = ledger.stage(new)
+    metrics = {"action": "appended" if exists else "created", **obs.get}
 
+    def append(rows: DataFrame) -> None:
+        rows = sort_for_write(rows, keys, date_col)
+        if exists:
+            append_table(rows, table)
+        else:
+            create_table(rows, table, partition_by=partition_by, comment=comment)
 
-def touched_partitions(increment: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
-    """The stored table restricted to the partitions the increment has rows for.
+    if not exists and not metrics["rows"]:
+        append(staged)  # an empty table is a table
+        ledger.ensure()
+    ledger.write(staged, path, metrics, append, load_id)
+    return metrics
 
-    A daily load touches a few series of many. The stored rows are joined with the
-    increment's distinct partition values, and the scan reads only the partitions these
-    have (dynamic partition pruning); no list of values passes through the driver.
-    """
-    spark = increment.sparkSession
-    stored = spark.table(table)
-    parts = partition_columns(spark, table)
-    if len(parts) != 1 or parts[0] not in keys:
-        return stored
-    col = parts[0]
-    touched = increment.select(F.col(col).alias("__part")).distinct()
-    if dict(stored.dtypes)[col] == "string":
-        # True for every value there is; the planner prunes only by a filtered side.
-        touched = touched.where(F.col("__part") >= "")
-    named = stored.join(touched, F.col(col) == F.col("__part"), "left_semi")
-    return named.unionByName(stored.where(F.col(col).isNull()))
+
+def new_rows(
+    increment: DataFrame, ledger: Ledger, mode: str = "increment", partition_values: DataFrame | None = None
+) -> DataFrame:
+    """The rows of ``increment`` that the table does not hold yet, by its ledger alone: the
+    table itself is not read. ``"increment"`` keeps rows after their series' mark,
+    ``"backfill"`` rows of days that are not stored."""
+    if mode == "backfill":
+        series = partition_values if partition_values is not None else increment
+        return apply_backfill(ledger.days(series), increment, ledger.date_col, ledger.keys)
+    marks = ledger.marks().select(*ledger.keys, F.col("last_at").alias(ledger.date_col))
+    return after_high_water_mark(increment, marks, ledger.date_col, ledger.keys)
 
 
 def quarantine(bad: DataFrame, family: str) -> None:
@@ -200,14 +211,20 @@ def quarantine(bad: DataFrame, family: str) -> None:
         create_table(rows, QUARANTINE_TABLE, comment="Landed files that are bad or hold rejected records")
 
 
-def load_batch(landed: DataFrame, family: str, mode: str = "increment") -> dict:
-    """Load one batch of landed files (rows of ``read_landed``) into the family's table.
+def load_batch(landed: DataFrame, family: str, mode: str = "increment", load_id: str | None = None) -> dict:
+    """Load one batch of landed files (rows of ``read_landed``) into the family's table; with
+    the ``load_id`` of a load that was completed, nothing is read or written again.
 
     The files are read and classified once, into the checkpoint folder; the quarantine, the
     pruning of the stored table and the rows all read that.
     """
     fam = FAMILIES[family]
-    ensure_checkpoint_dir(landed.sparkSession)
+    spark = landed.sparkSession
+    if table_exists(spark, fam.table):
+        done = Ledger(spark, fam.table, fam.date_col).closed_load(load_id)
+        if done is not None:
+            return done
+    ensure_checkpoint_dir(spark)
     classified = classify_payloads(landed, expect=fam.expect).checkpoint()
     _, bad = split_quarantine(classified)
     rows = fam.parse(classified)
@@ -229,6 +246,7 @@ def load_batch(landed: DataFrame, family: str, mode: str = "increment") -> dict:
         partition_values=classified.select("series_id"),
         comment=fam.comment,
         mode=mode,
+        load_id=load_id,
     )
 
 
@@ -240,33 +258,60 @@ def load_landed(spark: SparkSession, path: str, family: str, mode: str = "increm
 def dedupe_table(spark: SparkSession, table: str) -> int:
     """Remove whole-row copies from a stored table; returns how many were removed.
 
-    One aggregate job finds the surplus copies per partition value. Nothing is written when
+    One aggregate job finds the surplus copies per partition value, in the series written since
+    the table was last found clean (its ledger knows them; copies are whole rows, so they lie in
+    one series). Nothing is written when
     there are none (as in the reference). A table partitioned by one column has only its
     dirty partitions rewritten: their deduplicated rows are staged in a table first, then
     swapped in by a dynamic partition overwrite; the clean partitions are not touched. Any
     other table is replaced whole through ``replace_table``. What an earlier, interrupted
     rewrite left behind is recovered first, keeping every row.
     """
+    swapped = table_exists(spark, table + STAGED_SUFFIX)
     recover(spark, table)
+    ledger = Ledger.of(spark, table)
+    if ledger is not None:
+        ledger.ensure(recounted=swapped)
     parts = partition_columns(spark, table)
     part = parts[0] if len(parts) == 1 else None
-    df = spark.table(table)
+    df = suspects(spark, table)
+    if df is None:
+        return 0
     copies = row_copies(df).where(F.col("__copies") > 1)
     ensure_checkpoint_dir(spark)
     by = [F.col(part).alias("__part")] if part else []
     dirty = copies.groupBy(*by).agg(F.sum(F.col("__copies") - 1).alias("surplus")).checkpoint()
     surplus = int(dirty.agg(F.sum("surplus")).first()[0] or 0)
-    if not surplus:
-        return 0
-    if part is None:
-        replace_table(spark, table, dedupe_rows)
-        return surplus
-    touched = df.join(dirty.select("__part"), F.col(part).eqNullSafe(F.col("__part")), "left_semi")
-    staged = stage_table(dedupe_rows(touched), table, "partitions", (), _table_format(spark, table))
-    _swap_partitions(spark, table, staged)
+    if surplus:
+        rewritten, opened = None, 0
+        if ledger is not None:
+            by_part = part is not None and ledger.keys == [part]
+            rewritten = dirty.select(F.col("__part").alias(part)) if by_part else ledger.marks().select(*ledger.keys)
+            rewritten = rewritten.checkpoint()
+            opened = ledger.begin_rewrite(rewritten)
+        if part is None:
+            replace_table(spark, table, dedupe_rows)
+        else:
+            touched = df.join(dirty.select("__part"), F.col(part).eqNullSafe(F.col("__part")), "left_semi")
+            staged = stage_table(dedupe_rows(touched), table, "partitions", (), _table_format(spark, table))
+            _swap_partitions(spark, table, staged)
+        if ledger is not None:
+            ledger.end_rewrite(opened, rewritten)
+    if ledger is not None:
+        ledger.mark_clean()
     return surplus
 
 
+def suspects(spark: SparkSession, table: str) -> DataFrame | None:
+    """The stored rows that may have copies: with a ledger, those of the series written since
+    the table was last found clean (null if there are none), else all."""
+    ledger = Ledger.of(spark, table)
+    written = ledger.written_since_clean() if ledger is not None else None
+    if written is None:
+        return spark.table(table)
+    return None if written.isEmpty() else ledger.stored(written)
+
+
 def _swap_partitions(spark: SparkSession, table: str, staged: str) -> None:
     """Overwrite the staged rows' partitions, in a session of its own: the overwrite mode is
     a session setting."""

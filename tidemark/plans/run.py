@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.dates import as_date
-from tidemark.operators.incremental import due_sources
+from tidemark.operators.incremental import backfill_ranges, due_sources
 from tidemark.operators.keys import null_safe_join, pack_series, series_cols, unpack_series
 from tidemark.operators.rows import profile_series, row_copies
+from tidemark.plans.ledger import Ledger
 from tidemark.plans.load import FAMILIES, create_series_views
 from tidemark.plans.tables import table_exists
 from tidemark.sources.catalog import schedule, source_catalog, with_comments
@@ -33,6 +34,7 @@ class RunResult:
     due: DataFrame
     loads: dict[str, dict]
     report: DataFrame | None
+    backfill: DataFrame | None  # family, series_id, start_date, end_date, n_days
 
 
 def series_report(
@@ -88,6 +90,28 @@ def integrity_report(spark: SparkSession, family: str) -> DataFrame:
     return report.select(F.lit(family).alias("family"), *report.columns)
 
 
+# Folder below the landing root in which re-fetched files land, by family and series.
+BACKFILL = "backfill"
+SPARSE_INTERVALS = ("weekly", "monthly", "quarterly", "semiannual", "annual", "yearly")
+
+
+def _ledger(spark: SparkSession, family: str) -> Ledger:
+    fam = FAMILIES[family]
+    ledger = Ledger(spark, fam.table, fam.date_col)
+    ledger.ensure()
+    return ledger
+
+
+def backfill_requests(spark: SparkSession, family: str) -> DataFrame:
+    """``family, series_id, start_date, end_date, n_days``: what to fetch again for one family,
+    in ranges (S9). Gaps come from the ledger; the table is not read. Series whose catalogue
+    entry states a longer interval than a day have gaps by nature and are left out."""
+    sparse = source_catalog(spark).where(F.lower("interval").isin(*SPARSE_INTERVALS)).select("series_id")
+    gaps = null_safe_join(_ledger(spark, family).gaps(), sparse, ["series_id"], "left_anti")
+    requests = backfill_ranges(gaps, ["series_id"])
+    return requests.select(F.lit(family).alias("family"), *requests.columns)
+
+
 def daily_run(
     spark: SparkSession,
     landing_root: str,
@@ -98,8 +122,10 @@ def daily_run(
 
     Each family runs as a stream over its folder until nothing new is left: the stream's
     progress, kept under ``progress_root`` (``<landing_root>/_progress`` unless given),
-    remembers the files loaded before, so a later run reads new files only. Every series
-    loaded gets its view, with the catalogue's comment.
+    remembers the files loaded before, so a later run reads new files only. Files under
+    ``<landing_root>/backfill/<family>/<series_id>/`` are loaded after them and fill days below
+    the marks; the result's ``backfill`` lists the requests that would fill the gaps that are
+    left. Every series loaded gets its view, with the catalogue's comment.
     """
     root = landing_root.rstrip("/")
     progress = (progress_root or f"{root}/_progress").rstrip("/")
@@ -108,24 +134,36 @@ def daily_run(
     comments = {r["series_id"]: r["comment"] for r in with_comments(catalog).select("series_id", "comment").collect()}
     loads: dict[str, dict] = {}
     for family, fam in FAMILIES.items():
-        path = f"{root}/{family}/*/*"
-        try:
-            spark.read.text(path, wholetext=True)
-        except AnalysisException:  # nothing landed for this family
-            continue
+        before = _ledger(spark, family).last_seq() if table_exists(spark, fam.table) else 0
         batches: list[dict] = []
-        start_landing_stream(spark, path, family, f"{progress}/{family}", on_load=batches.append).awaitTermination()
+        landed = False
+        for folder, mode in ((family, "increment"), (f"{BACKFILL}/{family}", "backfill")):
+            path = f"{root}/{folder}/*/*"
+            try:
+                spark.read.text(path, wholetext=True)
+            except AnalysisException:  # nothing landed here
+                continue
+            landed = True
+            start_landing_stream(
+                spark, path, family, f"{progress}/{folder}", on_load=batches.append, mode=mode
+            ).awaitTermination()
+        if not landed:
+            continue
         loads[family] = {
             "action": batches[0]["action"] if batches else "none",
             "rows": sum(b["rows"] for b in batches),
         }
         if batches and table_exists(spark, fam.table):
             spark.catalog.refreshTable(fam.table)
-            # One view per series: names are metadata, as many as there are series.
-            ids = [r[0] for r in spark.table(fam.table).select("series_id").distinct().collect() if r[0]]
+            # Views of the series written in this run: names, from the ledger.
+            written = _ledger(spark, family).written_since(before)
+            ids = [r[0] for r in written.where("series_id is not null").collect()]
             create_series_views(spark, fam.table, ids, comments)
-    parts = [integrity_report(spark, f) for f in FAMILIES if table_exists(spark, FAMILIES[f].table)]
-    report = None
-    for part in parts:
-        report = part if report is None else report.unionByName(part, allowMissingColumns=True)
-    return RunResult(due=due, loads=loads, report=report)
+    report = backfill = None
+    for family in FAMILIES:
+        if table_exists(spark, FAMILIES[family].table):
+            part = integrity_report(spark, family)
+            report = part if report is None else report.unionByName(part, allowMissingColumns=True)
+            requests = backfill_requests(spark, family)
+            backfill = requests if backfill is None else backfill.unionByName(requests)
+    return RunResult(due=due, loads=loads, report=report, backfill=backfill)
