@@ -219,3 +219,32 @@ def test_indicator_without_data_array(spark):
 def test_series_id_is_decoded_from_the_path(spark, tmp_dir):
     write_json(f"{tmp_dir}/bars/a+b c%d/f.json", [])
     assert [r.series_id for r in read_landed(spark, f"{tmp_dir}/bars/*/*").collect()] == ["a+b c%d"]
+
+
+def test_table_dump_of_many_fields_and_great_values(spark):
+    from tidemark.sources.landing import parse_table_dump
+
+    n = 5000  # fields
+    great = ('x""y,\n' * 200_000)[: 1 << 20] + "z"
+    texts = {
+        "wide": ",".join(["Date", *[f'"c{i}"' for i in range(n)]]) + "\n2024-01-02," + ",".join(f'"{i},"' for i in range(n)),
+        "great": f'Date,a\n2024-01-02,"{great}"\n2024-01-03,5\n',
+        "doubled": 'Date,a\n2024-01-02,"' + '"",' * n + '"\n',
+        "pairs": "Date,a\n2024-01-02," + '"' * 10_000 + "\n",
+        "broken": 'Date,a\n2024-01-02,"' + '"x' * 9_999 + "\n2024-01-03,7\n",
+        "other": "Date,a,b\n2024-01-02,1,2\n2024-01-03,,\n",
+    }
+    df = spark.createDataFrame(list(texts.items()), "series_id string, payload string")
+    rows = parse_table_dump(classify_payloads(df, expect="csv"), rejects=True)
+    assert set(rows.columns) == {"series_id", "date", "vals", "record_no", "record_text"}
+    got = {}
+    for r in rows.collect():
+        got.setdefault(r.series_id, {})[r.record_no] = (r.date and r.date.day, [e.value for e in r.vals or []])
+    assert {e for e in got["wide"][1][1]} == {f"{i}," for i in range(n)} and got["wide"][1][0] == 2
+    assert got["great"] == {1: (2, [great.replace('""', '"')]), 2: (3, ["5"])}
+    assert got["doubled"] == {1: (2, ['",' * n])}
+    assert got["pairs"] == {1: (2, ['"' * 4_999])}
+    assert got["broken"][max(got["broken"])] == (3, ["7"])
+    assert got["other"] == {1: (2, ["1", "2"]), 2: (3, ["", ""])}
+    nothing = classify_payloads(df.limit(0), expect="csv")
+    assert parse_table_dump(nothing).collect() == [] == parse_table_dump(nothing, rejects=True).collect()

@@ -746,7 +746,7 @@ def q_parse_table_dump(spark, sf_dir):
     )
     payload = F.concat(F.lit("Date,Qty (units),Price $,Disc %\n"), line, F.lit("\n"))
     landed = li.select("l_orderkey", "l_linenumber", payload.alias("payload"))
-    return dump_values(parse_table_dump(classify_payloads(landed, expect="csv")))
+    return dump_values(parse_table_dump(classify_payloads(landed, expect="csv"), quoted=False))
 
 
 # --- one report per series: profile, missing and duplicated days (A1-A9 together) ---------

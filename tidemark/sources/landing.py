@@ -293,91 +293,145 @@ def parse_indicator(df: DataFrame, payload_col: str = "payload", rejects: bool =
     )
 
 
-# Commas outside quotes: an even number of quotes follows.
-_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-_CUT = "\x01"  # stands for a comma between fields
+# Marks that stand in a CSV text while it is cut into records; characters that no provider's
+# text holds. The last one is no control character: the parser strips those as blanks.
+_RECORD_END, _EDGE, _TWO_QUOTES, _FIELDS_END = "\x1e", "\x02", "\x03", "\ue000"
 
+# A text's pieces: a field in quotes (which begins after a separator and ends before one; two
+# quotes in a row are one mark here), other text, a line feed, a quote that belongs to text.
+# No group is repeated, so the matcher neither recurses nor reads a character twice.
+_QUOTED = rf'(?<=[,\n \t{_TWO_QUOTES}]|\A)"[^"]*+"(?=[ \t]*+[,\r\n{_TWO_QUOTES}]|[ \t]*+\z)'
+_PIECES = rf'{_QUOTED}|[^"\n]++|\n|"'
 
-# A field in quotes may hold line breaks. A quote that is not closed before a separator is
-# part of its field, which ends with the line: it costs its own line only.
-_QUOTED = r'[ \t]*+"[^"]*+(?:""[^"]*+)*+"[ \t]*+(?=[,\r\n]|\z)'
-_FIELD = rf"(?:(?:{_QUOTED})?[^,\n]*+)"
-_RECORD = rf"(?:\A|(?<=\n)){_FIELD}(?:,{_FIELD})*+"
 
+def _records(text: Column) -> Column:
+    """The records of a CSV text: cut at line feeds outside quoted fields."""
+    short = F.replace(text, F.lit('""'), F.lit(_TWO_QUOTES))
+    pieces = F.array_join(F.regexp_extract_all(short, F.lit(f"({_PIECES})"), F.lit(1)), _EDGE * 2)
+    cut = F.replace(F.concat(F.lit(_EDGE), pieces, F.lit(_EDGE)), F.lit(f"{_EDGE}\n{_EDGE}"), F.lit(_RECORD_END))
+    whole = F.replace(F.replace(cut, F.lit(_EDGE), F.lit("")), F.lit(_TWO_QUOTES), F.lit('""'))
+    return F.when(F.contains(text, F.lit('"')), F.split(whole, _RECORD_END)).otherwise(F.split(text, "\n"))
 
-def _records(text) -> Column:
-    """The lines of a CSV text, cut at line feeds outside quotes."""
-    quoted = F.contains(text, F.lit('"'))
-    return F.when(quoted, F.regexp_extract_all(text, F.lit(_RECORD), F.lit(0))).otherwise(F.split(text, "\n"))
 
+_MOST_FIELDS = 1 << 20  # of one record with quotes
+_LISTED = 64  # fields up to which each is named in the plan
 
-def _cut(line) -> Column:
-    """A line with quotes: its fields unquoted, with ``_CUT`` between them. No lambda, so the
-    parse is code-generated."""
-    text = F.regexp_replace(line, _COMMA, _CUT)
-    text = F.regexp_replace(text, f'(^|{_CUT})[ \\t]*"', "$1")
-    text = F.regexp_replace(text, f'"[ \\t]*({_CUT}|$)', "$1")
-    return F.replace(text, F.lit('""'), F.lit('"'))
 
+def _count(text: Column, char: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
 
-def _fields(line) -> Column:
-    quoted = F.contains(line, F.lit('"'))
-    return F.when(quoted, F.split(_cut(line), _CUT)).otherwise(F.split(line, ","))
 
+def _read_fields(df: DataFrame, record: str, width: str, widths: Sequence[int], out: str) -> DataFrame:
+    """Add ``out``: the fields of the CSV record in column ``record``. A record without quotes
+    is split at its commas; one with quotes is read by Spark's CSV parser, and gives null if
+    they don't pair up.
 
-def _header_fields(line) -> Column:
-    """The cleaned names of a header line."""
-    text = F.trim(line, F.lit(" \t\r\ufeff"))
-    quoted = F.contains(text, F.lit('"'))
-    cut = F.when(quoted, _cut(text)).otherwise(F.replace(text, F.lit(","), F.lit(_CUT)))
-    tight = F.regexp_replace(cut, rf"\s*{_CUT}\s*", _CUT)
-    return F.split(F.translate(tight, "".join(BAD_NAME_CHARS), "_" * len(BAD_NAME_CHARS)), _CUT)
-
-
-def parse_table_dump(df: DataFrame, payload_col: str = "payload", rejects: bool = False) -> DataFrame:
+    The parser needs a schema, so there is one for each of ``widths`` (the distinct values of
+    column ``width``, the most fields the file's header can have, among files with quotes). A
+    last field marks the end of the record: a record with more fields than its schema loses the
+    mark and gives null.
+    """
+    bare = F.when(~F.contains(F.col(record), F.lit('"')), F.split(record, ","))
+    if not widths:
+        return df.withColumn(out, F.split(record, ","))
+    sound = (_count(F.col(record), '"') % 2 == 0) & (_count(F.col(record), ",") < _MOST_FIELDS)
+    marked = F.when(F.contains(F.col(record), F.lit('"')) & sound, F.concat(F.col(record), F.lit("," + _FIELDS_END)))
+    options = {
+        "escape": '"', "multiLine": "true", "ignoreLeadingWhiteSpace": "true",
+        "ignoreTrailingWhiteSpace": "true", "maxColumns": str(_MOST_FIELDS + 2),
+    }
+    parsed, found = [], None
+    for k, n in enumerate(widths):
+        schema = ", ".join(f"c{i} string" for i in range(n + 1))
+        read = F.when(F.col(width) == n, F.from_csv(marked, schema, options))
+        if n > _LISTED:  # by way of JSON, so that the plan does not name every field
+            read = F.to_json(read, {"ignoreNullFields": "false"})
+        parsed.append(read.alias(f"__read_{k}"))
+        row = F.col(f"__read_{k}")
+        if n > _LISTED:
+            fields = F.map_values(F.from_json(row, T.MapType(T.StringType(), T.StringType())))
+        else:
+            fields = F.array(*[row[f"c{i}"] for i in range(n + 1)])
+        found = F.when(F.col(width) == n, fields) if found is None else found.when(F.col(width) == n, fields)
+    # The parsed records are columns of their own: they are read once, not once a field. An
+    # empty field is null to the parser.
+    rows = df.select("*", *parsed).select(*df.columns, F.array_join(found, _RECORD_END, "").alias("__joined"))
+    end = _RECORD_END + _FIELDS_END
+    read = F.when(F.contains(F.col("__joined"), F.lit(end)), F.split(F.substring_index("__joined", end, 1), _RECORD_END))
+    return rows.select(*df.columns, F.coalesce(bare, read).alias(out))
+
+
+def parse_table_dump(
+    df: DataFrame, payload_col: str = "payload", rejects: bool = False, quoted: bool = True
+) -> DataFrame:
     """CSV text with a header line, the date first -> ``<carry>, date, vals``.
 
     Every file may have its own columns: the header is read and its names cleaned (P8) once
-    per file, then zipped with each data line into ``vals ARRAY<STRUCT<field, value>>``
-    sorted by field. Values stay the provider's text in the raw table (as for the daily
-    bars, D5); ``dump_values`` and the per-series views type them with ``to_numeric``.
-    Commas and line breaks inside double quotes belong to the field. A line with another number of fields
-    than the header is left out, and so are all lines under a header in which two names are
-    the same once cleaned; with ``rejects`` it stays, without a date (as do lines
-    whose first field is no date, and one row for a file without lines).
+    per file, then zipped with each record's fields into ``vals ARRAY<STRUCT<field, value>>``
+    sorted by field. Values stay the provider's text in the raw table (as for the daily bars,
+    D5); ``dump_values`` and the per-series views type them with ``to_numeric``. Commas and
+    line breaks inside double quotes belong to the field; records with quotes are read by
+    Spark's CSV parser, blanks around their fields are dropped. For that the distinct widths of
+    the headers of files with quotes are looked up first (one small job; none with
+    ``quoted=False``, which takes quotes for text). A record with another number
+    of fields than the header, or whose quotes don't pair up, is left out, and so are all
+    records under a header in which two names are the same once cleaned. With ``rejects`` it stays, without a date (as do records whose first
+    field is no date, and one row for a file without records), and every row has ``record_no``
+    (the header is 0) and ``record_text``.
     """
     carry = _carry(df, payload_col)
     kept = ["payload_class"] if "payload_class" in df.columns else []
-    # The header is a column of its own below the generator: once per file, not per line.
     text = F.rtrim(F.col(payload_col), F.lit(" \t\r\n"))
-    split = df.select(*carry, *kept, _records(text).alias("__all"))
-    named = split.withColumn("__hdr", _header_fields(F.col("__all")[0]))
+    records = _records(text) if quoted else F.split(text, "\n")
+    has_quotes = F.contains(F.col(payload_col), F.lit('"')).alias("__quoted")
+    split = df.select(*carry, *kept, has_quotes, _when_ok(df, records).alias("__all"))
+    head = F.trim(F.col("__all")[0], F.lit(" \t\r\n\ufeff"))
+    headed = split.withColumn("__head", head)
+    # At most one field more than there are commas.
+    headed = headed.withColumn("__width", _count(F.col("__head"), ",") + 1)
+    widths: list[int] = []
+    if quoted:
+        found = headed.where("__quoted").select("__width").distinct().collect()
+        widths = sorted(r[0] for r in found if r[0] is not None)
+    if widths:
+        named = _read_fields(headed, "__head", "__width", widths, "__named")
+        joined = F.array_join("__named", _RECORD_END)
+    else:
+        named, joined = headed, F.replace(F.col("__head"), F.lit(","), F.lit(_RECORD_END))
+    tight = F.regexp_replace(joined, rf"[ \t\r\n]*{_RECORD_END}[ \t\r\n]*", _RECORD_END)
+    names = F.split(F.translate(tight, "".join(BAD_NAME_CHARS), "_" * len(BAD_NAME_CHARS)), _RECORD_END)
+    named = named.withColumn("__names", names)
+    clean = F.col("__names")
     staged = named.select(
         *carry,
         *kept,
-        F.when(F.size(F.array_distinct("__hdr")) == F.size("__hdr"), F.col("__hdr")).alias("__hdr"),
+        F.when(F.size(F.array_distinct(clean)) == F.size(clean), clean).alias("__hdr"),
+        "__width",
         F.slice("__all", F.lit(2), F.greatest(F.size("__all") - 1, F.lit(0))).alias("__lines"),
     )
-    body = _when_ok(staged, F.col("__lines"))
-    exploded = _rows_or_rejects(
-        staged, [*carry, "__hdr"], F.explode_outer(body).alias("__raw"), "__raw", rejects
+    lines = staged.select(*carry, *kept, "__hdr", "__width", F.posexplode_outer("__lines").alias("record_no", "record_text"))
+    if kept:
+        lines = lines.where(F.col("payload_class") == "ok")
+    blank = F.length(F.trim(F.col("record_text"), F.lit(" \t\r"))) == 0
+    lines = lines.where(F.col("record_text").isNull() | ~blank if rejects else ~blank).select(
+        *carry, "__hdr", "__width", (F.col("record_no") + 1).alias("record_no"),
+        F.rtrim(F.col("record_text"), F.lit("\r")).alias("record_text"),
     )
-    exploded = exploded.where(
-        F.col("__raw").isNull() | (F.length(F.trim(F.col("__raw"), F.lit(" \t\r"))) > 0)
-    )
-    rows = exploded.select(*carry, "__hdr", _fields(F.rtrim(F.col("__raw"), F.lit("\r"))).alias("__fields"))
+    rows = _read_fields(lines, "record_text", "__width", widths, "__fields")
     fits = F.coalesce(F.size("__fields") == F.size("__hdr"), F.lit(False))
-    if not rejects:
-        rows = rows.where(fits)
     n = F.greatest(F.size("__hdr") - 1, F.lit(0))
     zipped = F.arrays_zip(
         F.slice("__hdr", F.lit(2), n).alias("field"), F.slice("__fields", F.lit(2), n).alias("value")
     )
-    return rows.select(
-        *carry,
-        F.when(fits, F.col("__fields")[0].try_cast("date")).alias("date"),
-        F.sort_array(zipped).alias("vals"),
-    )
+    date = F.when(fits, F.col("__fields")[0].try_cast("date"))
+    if rejects:
+        return rows.select(*carry, date.alias("date"), F.sort_array(zipped).alias("vals"), "record_no", "record_text")
+    if not widths:
+        return rows.where(fits).select(*carry, date.alias("date"), F.sort_array(zipped).alias("vals"))
+    # Selected inside a generator: a filter would be pushed down with the whole parse in it.
+    row = F.when(fits, F.array(F.struct(date.alias("date"), F.sort_array(zipped).alias("vals"))))
+    rows = rows.select(*carry, F.explode_outer(row).alias("__row")).where("__row is not null")
+    return rows.select(*carry, "__row.date", "__row.vals")
 
 
 def dump_values(rows: DataFrame, vals: str = "vals") -> DataFrame:
