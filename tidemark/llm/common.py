@@ -128,12 +128,19 @@ def locate(df: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     shared folder first, also one that makes several rows of a stored one. The place tells
     rows apart that are equal in every column.
     """
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-    )
-    if _is_plain_read(df):
+    if _is_plain_read(df) and not any(c.lower() == "_metadata" for c in df.columns):
         try:
-            return df.select("*", place.alias(name))
+            return df.select("*", _place("_metadata").alias(name))
         except AnalysisException:
             pass
-    return scratch.write(df, "located", keep=True).select("*", place.alias(name))
+    # A column of that name would hide the place: it is stored under another and put back.
+    hidden = {c: fresh(df, "own_metadata") for c in df.columns if c.lower() == "_metadata"}
+    stored = scratch.write(df.withColumnsRenamed(hidden), "located", keep=True)
+    located = stored.select("*", _place("_metadata").alias(name))
+    return located.withColumnsRenamed({new: old for old, new in hidden.items()})
+
+
+def _place(metadata: str) -> Column:
+    return F.struct(
+        F.col(f"{metadata}.file_path").alias("file"), F.col(f"{metadata}.row_index").alias("row")
+    )

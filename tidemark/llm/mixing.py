@@ -170,14 +170,15 @@ def take_mix(docs: DataFrame, **options) -> DataFrame:
     with Scratch(docs.sparkSession) as scratch:
         _, plan = mixing_plan(docs, scratch, **options)
         names = [fresh(docs, n) for n in ("mix_hash", "mix_copy")]
-        plan = plan.select(*[F.col(c).alias("mix_plan_" + c) for c in plan.columns])
-        more = (F.col(names[0]) <= F.col("mix_plan_upto")) & (
-            F.col("mix_plan_target") > F.col("mix_plan_full") * F.col("mix_plan_source_size")
+        own = {c: fresh(docs, "mix_plan_" + c) for c in plan.columns}
+        plan = plan.select(*[F.col(c).alias(n) for c, n in own.items()])
+        more = (F.col(names[0]) <= F.col(own["upto"])) & (
+            F.col(own["target"]) > F.col(own["full"]) * F.col(own["source_size"])
         )
-        copies = (F.col("mix_plan_full") + more.cast("long")).cast("int")
+        copies = (F.col(own["full"]) + more.cast("long")).cast("int")
         return (
             docs.withColumn(names[0], row_hash(id_col))
-            .join(plan, F.col(source_col).eqNullSafe(F.col("mix_plan_source")))
+            .join(plan, F.col(source_col).eqNullSafe(F.col(own["source"])))
             .withColumn(names[1], F.explode(F.array_repeat(F.lit(1), copies)))
             .select(docs.columns)
         )

@@ -6,12 +6,17 @@ normalised differences of compressed sizes describe the text: good against bad d
 and plain text against its own compression (repetition). A logistic calibration on labelled
 texts that built no dictionary turns them into a score, the probability of a good label.
 
-Fitting uses a bounded sample: per class the ``sample`` labelled rows with the smallest hash
-of their id, of each text its first ``sample_chars`` characters. Everything else reads whole
-texts. Scores depend on nothing but the text. A null or empty text has both differences 0
-and gets the score these have. Rows with conflicting or null labels, or without a text,
+Fitting uses a bounded sample of labelled rows: per class the ``sample`` rows with the
+smallest hash of their id, with their whole texts. Half of them (by another bit of the hash)
+give the chunks the dictionaries are built from, ``sample_chunks`` a class at most, drawn by a
+hash of chunk and place from anywhere in the texts; of the other half tasks compute the two
+differences over whole texts, and only these numbers reach the driver for the calibration.
+Scores read whole texts and depend on nothing else. A null or empty text has both differences
+0 and gets the score these have. Rows with conflicting or null labels, or without a text,
 teach nothing; when a class has no labelled row, every score is the share of good labels
-(0.5 without labels). Ids may be null or repeated: every row is scored by its own text.
+(0.5 without labels). Ids may be null or repeated: every row is scored by its own text. A
+score of exactly 0.5 counts as good. An empty table gives an empty result; extra columns of
+the tables are ignored by ``fit`` and ``score_documents`` and carried by ``keep_good``.
 """
 
 from __future__ import annotations
@@ -24,6 +29,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import Scratch
+
 CHUNK = 1024
 DICTIONARY_BYTES = 112 << 10
 # Bytes added to every denominator, so that a short text's differences weigh less.
@@ -41,8 +48,7 @@ def _chunks(text: bytes) -> list[bytes]:
     return [text[i : i + CHUNK] for i in range(0, len(text), CHUNK)]
 
 
-def _dictionary(texts: list[bytes]) -> zstandard.ZstdCompressionDict:
-    chunks = [c for t in texts for c in _chunks(t)]
+def _dictionary(chunks: list[bytes]) -> zstandard.ZstdCompressionDict:
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, chunks)
     except zstandard.ZstdError:  # too little text to train on: the text itself
@@ -124,9 +130,17 @@ def fit(
     text_col: str = "text",
     label_col: str = "quality",
     sample: int = 2000,
-    sample_chars: int = 16_384,
+    sample_chunks: int = 16_384,
 ) -> QualityModel:
     """Learn from the labelled rows that are not held out."""
+    with Scratch(docs.sparkSession) as scratch:
+        return _fit(docs, labels, id_col, text_col, label_col, sample, sample_chunks, scratch)
+
+
+def _fit(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
+    sample: int, sample_chunks: int, scratch: Scratch,
+) -> QualityModel:
     known = (
         labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
         .groupBy(F.col(id_col).alias("id"))
@@ -134,39 +148,73 @@ def fit(
         .where("label = other")
         .select("id", "label")
     )
-    present = docs.select(F.col(id_col).alias("id"), F.substring(text_col, 1, sample_chars).alias("text"))
+    present = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     good_share = counts.get(1, 0) / max(1, sum(counts.values())) if counts else 0.5
     chosen = None
     for label in (0, 1):
         some = known.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(sample)
         chosen = some if chosen is None else chosen.unionByName(some)
-    rows = (
+    half = F.xxhash64("id", F.lit("half")).bitwiseAND(F.lit(1)).alias("half")
+    rows = scratch.write(
         present.join(F.broadcast(chosen), "id")  # at most 2 * sample ids
         .groupBy("id", "label")
         .agg(F.min("text").alias("text"))
         .where("text <> ''")
-        .orderBy(F.xxhash64("id"), "id")
-        .collect()
+        .select("id", "label", "text", half),
+        "labelled",
     )
-    texts = {k: [r["text"].encode() for r in rows if r["label"] == k] for k in (0, 1)}
-    if not texts[0] or not texts[1]:
+    halves = {(r["label"], r["half"]) for r in rows.select("label", "half").distinct().collect()}
+    if {k for k, _ in halves} != {0, 1}:
         share = min(max(good_share, 1e-6), 1 - 1e-6)
         prior = float(np.log(share / (1 - share)))
         return QualityModel(b"", b"", (0, 0), (prior, 0.0, 0.0, 0.0))
-    build = {k: _dictionary(v[::2]) for k, v in texts.items()}
-    compressors = Compressors(build[1], build[0])
-    checked = [(compressors.features(t), k) for k, v in texts.items() for t in (v[1::2] or v)]
+    # A class with rows in one half only teaches both with them.
+    teaches, checks = F.lit(False), F.lit(False)
+    for k in (0, 1):
+        both = {(k, 0), (k, 1)} <= halves
+        teaches |= (F.col("label") == k) & ((F.col("half") == 0) if both else F.lit(True))
+        checks |= (F.col("label") == k) & ((F.col("half") == 1) if both else F.lit(True))
+    build = {k: _dictionary(_drawn_chunks(rows.where(teaches & (F.col("label") == k)), sample_chunks)) for k in (0, 1)}
+    differences = rows.where(checks).select("label", _features(build[1], build[0], F.col("text")).alias("found"))
+    checked = differences.orderBy(F.xxhash64("found"), "label").collect()
     weights = _calibrate(
-        np.array([f for f, _ in checked]), np.array([k for _, k in checked], float), good_share
-    )
-    kinds = tuple(
-        zstandard.DICT_TYPE_FULLDICT if d.dict_id() else zstandard.DICT_TYPE_RAWCONTENT
-        for d in (build[1], build[0])
+        np.array([r["found"] for r in checked]), np.array([r["label"] for r in checked], float), good_share
     )
+    kinds = (_kind(build[1]), _kind(build[0]))
     return QualityModel(build[1].as_bytes(), build[0].as_bytes(), kinds, tuple(map(float, weights)))
 
 
+def _drawn_chunks(rows: DataFrame, most: int) -> list[bytes]:
+    """At most ``most`` chunks of the texts, those with the smallest hashes, in their order."""
+
+    @F.pandas_udf("array<binary>")
+    def cut(texts: pd.Series) -> pd.Series:
+        return pd.Series([_chunks(t.encode()) for t in texts])
+
+    chunks = rows.select("id", F.posexplode(cut("text")).alias("at", "chunk"))
+    drawn = F.xxhash64("chunk", "id", "at")
+    return [bytes(r["chunk"]) for r in chunks.orderBy(drawn, "chunk").limit(most).select("chunk").collect()]
+
+
+def _features(good: zstandard.ZstdCompressionDict, bad: zstandard.ZstdCompressionDict, text: Column) -> Column:
+    """The two differences of each whole text, by a dictionary pair."""
+    given = [(d.as_bytes(), _kind(d)) for d in (good, bad)]
+    shared: dict[str, Compressors] = {}
+
+    @F.pandas_udf("array<double>")
+    def differences(texts: pd.Series) -> pd.Series:
+        if "c" not in shared:  # once per task
+            shared["c"] = Compressors(*[zstandard.ZstdCompressionDict(b, dict_type=k) for b, k in given])
+        return pd.Series([list(shared["c"].features(t.encode())) for t in texts])
+
+    return differences(text)
+
+
+def _kind(dictionary: zstandard.ZstdCompressionDict) -> int:
+    return zstandard.DICT_TYPE_FULLDICT if dictionary.dict_id() else zstandard.DICT_TYPE_RAWCONTENT
+
+
 def quality_score(model: QualityModel, text: Column) -> Column:
     """The model's score of a text column, in Arrow batches."""
     shared: dict[str, Compressors] = {}
