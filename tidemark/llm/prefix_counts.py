@@ -19,7 +19,6 @@ counted by its own text. Extra columns are ignored.
 from __future__ import annotations
 
 import json
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import per_process
 from tidemark.llm.tokens import SETTLED, WordTokenizer
 
-# Words, runs and neighbour pairs a worker remembers of each; it starts afresh beyond that.
+# Words, runs and neighbour pairs a worker remembers of each. Beyond that it forgets those not
+# met since it last forgot some, so frequent ones are not solved again.
 REMEMBERED = 300_000
 
 # A cut inside these leaves an apostrophe and a letter, which are two words.
@@ -42,24 +42,38 @@ LONG_CONTRACTIONS = {"'re", "'ve", "'ll"}
 NEVER = 1 << 60
 
 
-class _Runs(dict):
-    """Run of text without white space -> the changes along it, after ``lead``."""
+class _Kept(dict):
+    """Key -> ``make(key)``. When ``REMEMBERED`` keys are kept they become the older ones, and
+    of these only keys asked for again are kept further."""
 
-    def __init__(self, counts: _Counts, lead: str):
-        self.counts, self.lead = counts, lead
+    def __init__(self, make):
+        self.make, self.older = make, {}
 
-    def __missing__(self, run: str) -> bytes:
+    def __missing__(self, key: str) -> bytes:
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        words = self.counts.tokenizer.find(self.lead + run)
-        self[run] = out = b"".join(map(self.counts.__getitem__, words))
+        found = self.older.get(key)
+        self[key] = out = self.make(key) if found is None else found
         return out
 
 
-class _Counts(dict):
+def _along(counts: _Counts, lead: str) -> _Kept:
+    """Run of text without white space -> the changes along it, after ``lead``."""
+    find, known = counts.tokenizer.find, counts.__getitem__
+
+    def make(run: str) -> bytes:
+        words = find(lead + run)
+        return known(words[0]) if len(words) == 1 else b"".join(map(known, words))
+
+    return _Kept(make)
+
+
+class _Counts(_Kept):
     """Word -> changes of the token count from prefix to prefix, one signed byte each."""
 
     def __init__(self, spec: str):
+        super().__init__(self.steps_of)
         self.tokenizer = WordTokenizer(spec)
         self.vocabulary = set(self.tokenizer.library.get_vocab(with_added_tokens=False))
         self.longest = max(map(len, self.vocabulary))
@@ -74,7 +88,7 @@ class _Counts(dict):
                 self.left[a + b] = [*self.left[a][:-1], (a, k), (a + b, NEVER)]
                 self.right[a + b] = [*self.right[b][:-1], (b, k), (a + b, NEVER)]
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.first, self.spaced = _Runs(self, ""), _Runs(self, " ")
+        self.first, self.spaced = _along(self, ""), _along(self, " ")
 
     def follows(self, left: str, right: str) -> bool:
         """True if the merges leave the two tokens apart."""
@@ -110,19 +124,23 @@ class _Counts(dict):
         last, count = [""] * (n + 1), [0] * (n + 1)
         begin = 0
         for end in range(1, n + 1):
-            least = end - self.longest if end > self.longest else 0
-            for start in (*range(begin, end), *range(begin - 1, least - 1, -1)):
+            for start in range(begin, end):
                 token = letters[start:end]
-                if token not in vocabulary:
-                    continue
-                if start:
-                    fits = known.get((last[start], token))
+                if token in vocabulary:
+                    if not start:
+                        break
+                    before = last[start]
+                    fits = known.get((before, token))
                     if fits is None:
-                        fits = self.follows(last[start], token)
-                    if not fits:
-                        continue
-                last[end], count[end], begin = token, count[start] + 1, start
-                break
+                        fits = self.follows(before, token)
+                    if fits:
+                        break
+            else:
+                for start in range(begin - 1, max(end - self.longest, 0) - 1, -1):
+                    token = letters[start:end]
+                    if token in vocabulary and (not start or self.follows(last[start], token)):
+                        break
+            last[end], count[end], begin = token, count[start] + 1, start
         return count
 
     def word(self, word: str) -> list[int]:
@@ -140,14 +158,9 @@ class _Counts(dict):
     def tokens(self, word: str) -> int:
         return sum(np.frombuffer(self[word], np.int8).tolist())
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
+    def steps_of(self, word: str) -> bytes:
         count = self.word(word)
-        self[word] = out = struct.pack(
-            f"{len(count)}b", *[b - a for a, b in zip([0, *count], count, strict=False)]
-        )
-        return out
+        return bytes([b - a & 255 for a, b in zip([0, *count], count, strict=False)])
 
     def plain(self, text: str) -> np.ndarray:
         """The changes along a text without special tokens; their sum is its count."""
