@@ -55,6 +55,22 @@ def per_process(key: tuple, make: Callable[[], Any]) -> Any:
     return kept.__dict__[key]
 
 
+class Remembered(dict):
+    """Key -> ``make(key)``. When ``most`` keys are kept they become the older ones, and of
+    these only keys asked for again are kept further, so frequent ones are made once."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        found = self.older.get(key)
+        self[key] = out = self.make(key) if found is None else found
+        return out
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int):
     """Frames written inside hand at most ``rows`` rows at a time to Python, so that long

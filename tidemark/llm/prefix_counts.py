@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import per_process
+from tidemark.llm.common import Remembered, per_process
 from tidemark.llm.tokens import SETTLED, WordTokenizer
 
 # Words, runs and neighbour pairs a worker remembers of each. Beyond that it forgets those not
@@ -42,23 +42,7 @@ LONG_CONTRACTIONS = {"'re", "'ve", "'ll"}
 NEVER = 1 << 60
 
 
-class _Kept(dict):
-    """Key -> ``make(key)``. When ``REMEMBERED`` keys are kept they become the older ones, and
-    of these only keys asked for again are kept further."""
-
-    def __init__(self, make):
-        self.make, self.older = make, {}
-
-    def __missing__(self, key: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        found = self.older.get(key)
-        self[key] = out = self.make(key) if found is None else found
-        return out
-
-
-def _along(counts: _Counts, lead: str) -> _Kept:
+def _along(counts: _Counts, lead: str) -> Remembered:
     """Run of text without white space -> the changes along it, after ``lead``."""
     find, known = counts.tokenizer.find, counts.__getitem__
 
@@ -66,14 +50,14 @@ def _along(counts: _Counts, lead: str) -> _Kept:
         words = find(lead + run)
         return known(words[0]) if len(words) == 1 else b"".join(map(known, words))
 
-    return _Kept(make)
+    return Remembered(make, REMEMBERED)
 
 
-class _Counts(_Kept):
+class _Counts(Remembered):
     """Word -> changes of the token count from prefix to prefix, one signed byte each."""
 
     def __init__(self, spec: str):
-        super().__init__(self.steps_of)
+        super().__init__(self.steps_of, REMEMBERED)
         self.tokenizer = WordTokenizer(spec)
         self.vocabulary = set(self.tokenizer.library.get_vocab(with_added_tokens=False))
         self.longest = max(map(len, self.vocabulary))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import Scratch, arrow_batches, per_process
+from tidemark.llm.common import Remembered, Scratch, arrow_batches, per_process
 from tidemark.llm.tokens import WordTokenizer, pieces
 
 LANES = 64
@@ -138,25 +138,22 @@ def decode_blocks(coded: bytes, table: FrequencyTable, only: int | None = None)
     return np.concatenate([ids[i, : heads["ids"][b]] for i, b in enumerate(chosen)])
 
 
-class _Codes(dict):
+class _Codes(Remembered):
     """Run of text between blanks -> its ids, in the width asked for."""
 
     def __init__(self, spec: str, width: str):
+        super().__init__(self.of_run, REMEMBERED)
         self.tokenizer, self.width = WordTokenizer(spec), width
-        self.words: dict[str, bytes] = {}  # runs differ by punctuation; their words recur
+        # Runs differ by punctuation; their words recur.
+        self.words = Remembered(self.of_word, REMEMBERED)
 
-    def __missing__(self, run: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[run] = code = self.encode(self.tokenizer.find(run))
-        return code
+    def of_word(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word), self.width).tobytes()
+
+    def of_run(self, run: str) -> bytes:
+        return self.encode(self.tokenizer.find(run))
 
     def encode(self, words: list[str]) -> bytes:
-        if len(self.words) >= REMEMBERED:
-            self.words.clear()
-        for word in words:
-            if word not in self.words:
-                self.words[word] = np.array(self.tokenizer.encode(word), self.width).tobytes()
         return b"".join(map(self.words.__getitem__, words))
 
     def text(self, text: str) -> bytes:

@@ -84,7 +84,11 @@ class WordTokenizer:
         """The text's runs between white space, normalised, where a run's words are the same
         as inside the text: null for a tokenizer whose words may hold white space, and for
         texts with special tokens or unsettled characters."""
-        if not self.normalize or len(self.segments(text)) > 1 or not SETTLED(text) or ODD_BLANKS(text):
+        if not self.normalize or len(self.segments(text)) > 1 or ODD_BLANKS(text):
+            return None
+        if text.isascii():
+            return text.lower().split()
+        if not SETTLED(text):
             return None
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower().split()
 
