@@ -85,7 +85,7 @@ def _indicator(classified: DataFrame) -> DataFrame:
 
 
 def _dump(classified: DataFrame) -> DataFrame:
-    return parse_table_dump(classified, rejects=True)
+    return parse_table_dump(classified, rejects=True).drop("record_no", "record_text")
 
 
 FAMILIES = {
