@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, grid_join, line_dedup, minhash
+from tidemark.llm import common, exact_dedup, grid_join, line_dedup, minhash
 from tidemark.llm.common import Scratch, locate
 
 DOCS = "doc_id long, text string"
@@ -71,6 +71,31 @@ def test_exact_dedup_large_group_uses_replicas(spark, monkeypatch):
     assert len(hot) == 200 and {r["keep_id"] for r in hot} == {299}
 
 
+@pytest.mark.parametrize("most_rows", [1, 1 << 14])
+def test_split_by_hits_loses_no_hit(spark, tmp_dir, monkeypatch, most_rows):
+    monkeypatch.setattr(common, "HIT_ROWS", most_rows)
+    rows = spark.range(20_000).selectExpr("id as key", "id % 7 as hit_row", "'x' as hit_bits")
+    scratch = Scratch(spark)
+    for name, cond, n in (("some", "key % 10 = 0", 2000), ("none", "key < 0", 0), ("all", "true", 20_000)):
+        hits = scratch.write(rows.where(cond).select("key"), name)
+        likely, clean = common.split_by_hits(rows, hits, "key", scratch, f"{name}_bits")
+        assert likely.columns == clean.columns == rows.columns
+        assert likely.unionByName(clean).distinct().count() == 20_000
+        assert clean.where(cond).count() == 0 and likely.where(cond).count() == n
+        # 64 bits to a hit let few others through; a full table lets more.
+        assert likely.where(f"not ({cond})").count() <= (600 if most_rows > 1 else 2000)
+
+
+def test_dropped_copies_leave_clean_rows_and_columns(spark):
+    rows = [(i, "copy" if i % 3 == 0 else f"own text of row {i}", i) for i in range(90)]
+    docs = spark.createDataFrame(rows + [(None, None, 1), (None, None, 1)], "doc_id long, text string, hit_row int")
+    got = exact_dedup.drop_exact_copies(docs)
+    assert got.columns == docs.columns
+    assert sorted((r[0] or -1, r[1] or "") for r in got.collect()) == sorted(
+        [(i, t) for i, t, _ in rows if t != "copy"] + [(87, "copy"), (-1, "")]
+    )
+
+
 def test_rows_exploded_from_stored_rows_have_places_of_their_own(spark, tmp_dir):
     path = f"{tmp_dir}/docs"
     line = "one two three four five six seven"

@@ -122,6 +122,40 @@ class Scratch:
         target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+# A row of bitmap_construct_agg holds so many bits; a hit table has at most HIT_ROWS rows, 64 MB.
+HIT_BITS = 1 << 15
+HIT_ROWS = 1 << 14
+
+
+def split_by_hits(
+    rows: DataFrame, hits: DataFrame, key: str, scratch: Scratch, name: str, keep: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``key`` may be one of ``hits`` (a written table), and those whose key
+    surely is none, so that a join with the hits need not shuffle all rows.
+
+    A table of bits, 64 to a hit, has the bit of each hit's hash set. It is broadcast: it
+    never has more than HIT_ROWS rows, where more hits only let more rows through.
+    """
+    n = min(max(hits.count() * 64 // HIT_BITS + 1, 1), HIT_ROWS)
+
+    def place(part: DataFrame) -> tuple[Column, Column]:
+        at = F.pmod(F.xxhash64(part[key]), F.lit(n * HIT_BITS))
+        return F.shiftright(at, 15), at.bitwiseAND(F.lit(HIT_BITS - 1))
+
+    of_hits = hits.select(*[c.alias(x) for c, x in zip(place(hits), ("hit_row", "hit_bit"), strict=True)])
+    table = of_hits.groupBy("hit_row").agg(F.bitmap_construct_agg("hit_bit").alias("hit_bits"))
+    table = scratch.write(table, name, keep)
+    row_no, bit = place(rows)
+    found, bits = fresh(rows, "hit_row"), fresh(rows, "hit_bits")
+    table = F.broadcast(table.toDF(found, bits))
+    # One byte of the bitmap, as a number.
+    byte = F.conv(F.hex(F.substring(F.col(bits), (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10)
+    is_set = F.bit_get(byte.cast("int"), bit.bitwiseAND(F.lit(7)).cast("int")) == 1
+    looked = rows.join(table, row_no == F.col(found), "left")
+    may = F.coalesce(is_set, F.lit(False))
+    return looked.where(may).select(rows.columns), looked.where(~may).select(rows.columns)
+
+
 # What may lie above a read of files for its rows to have a place of their own each.
 PLAIN_NODES = {"Project", "Filter", "SubqueryAlias", "View", "LogicalRelation"}
 

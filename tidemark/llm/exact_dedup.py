@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, ascii_lower, fresh, locate
+from tidemark.llm.common import Scratch, ascii_lower, fresh, locate, split_by_hits
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -95,26 +95,24 @@ def _decide(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> Da
         )
     groups = stream_groups(f"{scratch.root}/digests", spark, scratch)
     decided = scratch.write(digests.join(groups, "digest", "left"), "decided")
-    hits = decided.where((F.col("n") > 1) & (F.col("member.place") != F.col("keeper.place")))
-    texts = docs.select("place", normal.alias("content"))
+    # Only rows of groups are read again with their texts, once; the others aren't shuffled.
+    rows_of_groups = decided.where("n > 1").select(
+        F.col("member.place").alias("place"), F.col("keeper.place").alias("kept_place"), "n"
+    )
+    hits = scratch.write(rows_of_groups, "hits")
+    likely, _ = split_by_hits(docs.select("place", normal.alias("content")), hits, "place", scratch, "hit_bits")
+    texts = scratch.write(likely.join(hits, "place"), "texts")
 
     # A kept text is replicated once per COPIES_PER_REPLICA copies and a copy is dealt to
     # one replica by its place, so a text that many rows share is spread over many tasks.
     replicas = F.ceil(F.col("n") / F.lit(COPIES_PER_REPLICA))
-    copies = hits.select(
-        F.col("member.place").alias("place"),
-        F.col("keeper.place").alias("kept_place"),
-        F.pmod(F.xxhash64("member.place"), replicas).alias("replica"),
-    ).join(texts, "place")
-    kept = (
-        groups.where(F.col("n") > 1)
-        .select(F.col("keeper.place").alias("place"), replicas.alias("replicas"))
-        .join(texts, "place")
-        .select(
-            F.col("place").alias("kept_place"),
-            F.col("content").alias("kept_content"),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("replicas") - 1)).alias("replica"),
-        )
+    copies = texts.where(F.col("place") != F.col("kept_place")).select(
+        "place", "kept_place", "content", F.pmod(F.xxhash64("place"), replicas).alias("replica")
+    )
+    kept = texts.where(F.col("place") == F.col("kept_place")).select(
+        "kept_place",
+        F.col("content").alias("kept_content"),
+        F.explode(F.sequence(F.lit(0).cast("long"), replicas - 1)).alias("replica"),
     )
     wrong = scratch.write(
         copies.join(kept, ["kept_place", "replica"])
@@ -171,4 +169,6 @@ def drop_exact_copies(
             "dropped",
             keep=True,
         )
-        return rows.join(dropped, name, "left_anti").select(docs.columns)
+        likely, clean = split_by_hits(rows, dropped, name, scratch, "dropped_bits", keep=True)
+        kept = likely.join(dropped, name, "left_anti")
+        return clean.select(docs.columns).unionByName(kept.select(docs.columns))
