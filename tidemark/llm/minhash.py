@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, arrow_batches, fresh, locate
+from tidemark.llm.common import Scratch, arrow_batches, fresh, locate, split_by_hits
 from tidemark.llm.components import components
 
 SHINGLE = 5
@@ -47,6 +47,7 @@ ROWS = HASHES // BANDS
 BATCH = 32  # hashes compared before the posterior is looked at again
 MISS = 1e-6
 BLOCK = 256  # members of a bucket compared in one task
+SALTS = 64  # tasks that the pairs of one class are dealt to when they are confirmed
 BATCH_ROWS = 1000  # rows handed to Python at once
 
 
@@ -182,12 +183,14 @@ def _linked(left: Column, right: Column) -> Column:
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are linked."""
+    """The pairs (a, b) whose texts are linked. Many pairs may have one ``a``: they are dealt
+    to SALTS tasks by ``b``, each with a copy of the text of ``a``."""
     left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
     return (
-        pairs.join(right, "b")
-        .join(left, "a")
+        salted.join(right, "b")
+        .join(salted.select("a", "salt").distinct().join(left, "a"), ["a", "salt"])
         .where(_linked(F.col("text_a"), F.col("text_b")))
         .select("a", "b")
     )
@@ -318,11 +321,11 @@ def _label(docs: DataFrame, scratch: Scratch) -> DataFrame:
         "likely",
     )
     paired = likely.select(F.explode(F.array("a", "b")).alias("key"))
-    links = scratch.write(_confirm(likely, _texts(docs, classes, paired)), "links")
+    links = scratch.write(_confirm(likely, _texts(docs, classes, paired, scratch, "paired")), "links")
     labels = scratch.write(components(links, scratch, "first"), "labels")
 
     met = scratch.write(_meetings(members, labels), "met")
-    texts = scratch.write(_texts(docs, classes, met.select("key")), "met_texts")
+    texts = scratch.write(_texts(docs, classes, met.select("key"), scratch, "open"), "met_texts")
     found = scratch.write(_across(met, classes, texts), "found")
     if not found.isEmpty():
         stars = labels.where("node != label").select(F.col("label").alias("a"), F.col("node").alias("b"))
@@ -335,10 +338,12 @@ def _label(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return rows.select("place", "id", "n_shingles", "key").join(by_key, "key", "left").drop("key")
 
 
-def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
-    """One text of every class in ``keys``."""
+def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """One text of every class in ``keys``; the texts of other rows are not shuffled."""
     places = classes.join(keys.distinct(), "key").select("key", F.col("first.place").alias("place"))
-    return docs.select("place", "text").join(places, "place").select("key", "text")
+    places = scratch.write(places, f"{name}_places")
+    likely, _ = split_by_hits(docs.select("place", "text"), places, "place", scratch, f"{name}_bits")
+    return likely.join(places, "place").select("key", "text")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -375,4 +380,6 @@ def drop_near_copies(
             "dropped",
             keep=True,
         )
-        return stored.join(dropped, name, "left_anti").select(docs.columns)
+        likely, clean = split_by_hits(stored, dropped, name, scratch, "dropped_bits", keep=True)
+        kept = likely.join(dropped, name, "left_anti")
+        return clean.select(docs.columns).unionByName(kept.select(docs.columns))
