@@ -101,7 +101,7 @@ def _decide(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> Da
     )
     hits = scratch.write(rows_of_groups, "hits")
     likely, _ = split_by_hits(docs.select("place", normal.alias("content")), hits, "place", scratch, "hit_bits")
-    texts = scratch.write(likely.join(hits, "place"), "texts")
+    texts = scratch.write(likely.join(hits.hint("merge"), "place"), "texts")
 
     # A kept text is replicated once per COPIES_PER_REPLICA copies and a copy is dealt to
     # one replica by its place, so a text that many rows share is spread over many tasks.
@@ -170,5 +170,5 @@ def drop_exact_copies(
             keep=True,
         )
         likely, clean = split_by_hits(rows, dropped, name, scratch, "dropped_bits", keep=True)
-        kept = likely.join(dropped, name, "left_anti")
+        kept = likely.join(dropped.hint("merge"), name, "left_anti")
         return clean.select(docs.columns).unionByName(kept.select(docs.columns))

@@ -343,7 +343,7 @@ def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame, scratch: Scratc
     places = classes.join(keys.distinct(), "key").select("key", F.col("first.place").alias("place"))
     places = scratch.write(places, f"{name}_places")
     likely, _ = split_by_hits(docs.select("place", "text"), places, "place", scratch, f"{name}_bits")
-    return likely.join(places, "place").select("key", "text")
+    return likely.join(places.hint("merge"), "place").select("key", "text")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -381,5 +381,5 @@ def drop_near_copies(
             keep=True,
         )
         likely, clean = split_by_hits(stored, dropped, name, scratch, "dropped_bits", keep=True)
-        kept = likely.join(dropped, name, "left_anti")
+        kept = likely.join(dropped.hint("merge"), name, "left_anti")
         return clean.select(docs.columns).unionByName(kept.select(docs.columns))
