@@ -1,4 +1,6 @@
 import datetime as dt
+import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -345,6 +347,45 @@ def test_quarantine_and_rejects_are_idempotent(spark, fresh_db, tmp_dir):
     ]
     assert spark.table("crypto_bars").count() == 1
     assert spark.table("crypto_bars").where("date_period_start is null").count() == 0
+    rejects = spark.table("payload_rejects").collect()
+    assert sorted((r.fetch_name, r.record_no, r.record_text) for r in rejects) == [
+        ("mixed", 1, "7"),
+        ("mixed", 2, '{"price_open":1}'),
+    ]
+
+
+def test_a_file_landed_again_with_new_faults_is_quarantined_again(spark, fresh_db, tmp_dir):
+    path = f"{tmp_dir}/indicator/corn/f.json"
+    for turn, bad in enumerate(["soon", "later"]):
+        write_json(path, {"data": [{"date": "2024-01-01", "value": "1"}, {"date": bad, "value": "2"}]})
+        os.utime(path, (1_700_000_000 + turn, 1_700_000_000 + turn))
+        for _ in range(2):
+            load_landed(spark, f"{tmp_dir}/indicator/*/*.json", "indicator")
+    assert spark.table("payload_quarantine").count() == 2
+    rejects = spark.table("payload_rejects").collect()
+    assert sorted((r.record_no, json.loads(r.record_text)["date"]) for r in rejects) == [(1, "later"), (1, "soon")]
+    assert spark.table("indicators").count() == 1
+
+
+def test_rejects_of_every_family_and_old_tables(spark, fresh_db, tmp_dir):
+    # A quarantine table of an earlier version, which did not keep the time of a file.
+    old = "family string, series_id string, fetch_name string, file_path string, payload_class string, message string"
+    create_table(spark.createDataFrame([], old), "payload_quarantine")
+    write_json(f"{tmp_dir}/daily_ohlcv/spy/a.json", {"Time Series (Daily)": {"2024-01-02": {"1. open": "1"}, "x": {"1. open": "2"}}})
+    os.makedirs(f"{tmp_dir}/table_dump/ml_usey")
+    with open(f"{tmp_dir}/table_dump/ml_usey/a.csv", "w") as f:
+        f.write("Date,Yield\n2024-01-02,1\nnever,2\n2024-01-03,1,2\n")
+    for _ in range(2):
+        load_landed(spark, f"{tmp_dir}/daily_ohlcv/*/*.json", "daily_ohlcv")
+        load_landed(spark, f"{tmp_dir}/table_dump/*/*.csv", "table_dump")
+    rejects = spark.table("payload_rejects").collect()
+    assert sorted((r.family, r.record_no, r.record_text) for r in rejects) == [
+        ("daily_ohlcv", 1, '{"x":{"1. open":"2"}}'),
+        ("table_dump", 2, "never,2"),
+        ("table_dump", 3, "2024-01-03,1,2"),
+    ]
+    assert spark.table("payload_quarantine").count() == 2
+    assert spark.table("daily_bars").count() == spark.table("table_dumps").count() == 1
 
 
 def test_stream_quarantine_is_idempotent(spark, fresh_db, tmp_dir):
@@ -380,8 +421,6 @@ def test_backfill_closes_gaps(spark, fresh_db, tmp_dir):
 
 
 def test_second_run_reads_no_file_of_the_first(spark, fresh_db, tmp_dir):
-    import os
-
     root = f"{tmp_dir}/landing"
     _land_bars(root, "2020-11-06", bar_records())
     first = daily_run(spark, root, "2024-01-01")

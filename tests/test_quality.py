@@ -61,6 +61,17 @@ def test_dates_fixture(spark):
     assert (b.earliest, b.latest) == (D(2020, 11, 1), D(2020, 11, 5))
 
 
+def test_analyze_dates_ordered(spark):
+    days = [("b", "2024-01-05"), ("b", "2024-01-01"), ("a", "2024-01-03"), ("a", "2024-01-01"), ("b", "2024-01-01"), ("a", "2024-01-03")]
+    df = spark.createDataFrame(days, "s string, d string").repartition(4, "d")
+    rep = analyze_dates(df, "d", ["s"], ordered=True)
+    assert [r.s for r in rep.bounds.collect()] == ["a", "b"]
+    assert [(r.s, r.missing_date.day) for r in rep.missing.collect()] == [("a", 2), ("b", 2), ("b", 3), ("b", 4)]
+    assert [(r.s, r.date.day, r.n_rows) for r in rep.duplicated.collect()] == [("a", 3, 2), ("b", 1, 2)]
+    with pytest.raises(ValueError):
+        analyze_dates(df, "d", ["s"], on_violation="raise", ordered=True)
+
+
 def test_analyze_dates_empty_and_raise(spark):
     empty = spark.createDataFrame([], "series_id string, d date")
     rep = analyze_dates(empty, "d", ["series_id"], on_violation="raise")

@@ -190,13 +190,15 @@ def analyze_dates(
     keys: Sequence[str] = (),
     weekdays_only: bool = False,
     on_violation: str = "report",
+    ordered: bool = False,
 ) -> DateReport:
     """Earliest, latest, missing and duplicated dates per series.
 
     ``on_violation="report"`` (the default, as the reference only prints) returns lazy
     frames. ``"raise"`` checkpoints the missing and duplicated reports, then raises with at
     most ten examples of each when either is not empty.
-    An empty input gives empty frames and no error.
+    An empty input gives empty frames and no error. With ``ordered`` the reports are sorted by
+    series and date (T2): a range shuffle of the reports, not of the input.
     """
     if on_violation not in ("report", "raise"):
         raise ValueError("on_violation must be 'report' or 'raise'")
@@ -218,6 +220,13 @@ def analyze_dates(
             missing=report.missing.checkpoint(eager=True),
             duplicated=report.duplicated.checkpoint(eager=True),
         )
+    if ordered:
+        report = DateReport(
+            bounds=report.bounds.orderBy(*keys) if keys else report.bounds,
+            missing=report.missing.orderBy(*keys, "missing_date"),
+            duplicated=report.duplicated.orderBy(*keys, "date"),
+        )
+    if on_violation == "raise":
         problems = []
         if not report.missing.isEmpty():
             sample = report.missing.orderBy(*keys, "missing_date").limit(10).collect()

@@ -7,8 +7,9 @@ per series carries the reference's table name. A load reads the landed files onc
                                             -> dedupe -> append
 
 Bad payloads, and files with rejected records (no valid date, no object, another number of
-fields than the header), go to a quarantine table, once per file, and do not stop the
-others. Replaying the same files appends nothing: rows without a date are rejected, rows at
+fields than the header), go to a quarantine table, once per version of a file (path and
+modification time), and do not stop the others; the rejected records go to a table of their
+own, with their place and text. Replaying the same files appends nothing: rows without a date are rejected, rows at
 or before a series' mark are dropped, and whole-row copies within a batch are collapsed.
 Marks and stored days are kept in the table's ledger (``tidemark.plans.ledger``).
 Re-fetched days fill gaps below the mark with ``mode="backfill"``.
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import NUMERIC_TEXT
 from tidemark.operators.incremental import after_high_water_mark, apply_backfill
+from tidemark.operators.keys import null_safe_join
 from tidemark.operators.rows import dedupe_rows, row_copies
 from tidemark.plans.ledger import Ledger
 from tidemark.plans.tables import (
@@ -42,6 +44,7 @@ from tidemark.plans.tables import (
 )
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.landing import (
+    REJECT_COLS,
     classify_payloads,
     parse_bars,
     parse_indicator,
@@ -53,6 +56,7 @@ from tidemark.sources.landing import (
 )
 
 QUARANTINE_TABLE = "payload_quarantine"
+REJECT_TABLE = "payload_rejects"
 
 
 @dataclass(frozen=True)
@@ -68,11 +72,11 @@ class Family:
 
 
 # A family's parse keeps the file columns, and rejected records as rows without a date.
-FILE_COLS = ["series_id", "fetch_name", "file_path"]
+FILE_COLS = ["series_id", "fetch_name", "file_path", "modified_at"]
 
 
 def _bars(classified: DataFrame) -> DataFrame:
-    return shape_bars(parse_bars(classified, rejects=True), keep=FILE_COLS)
+    return shape_bars(parse_bars(classified, rejects=True), keep=[*FILE_COLS, *REJECT_COLS])
 
 
 def _keyed(classified: DataFrame) -> DataFrame:
@@ -85,7 +89,7 @@ def _indicator(classified: DataFrame) -> DataFrame:
 
 
 def _dump(classified: DataFrame) -> DataFrame:
-    return parse_table_dump(classified, rejects=True).drop("record_no", "record_text")
+    return parse_table_dump(classified, rejects=True)
 
 
 FAMILIES = {
@@ -193,22 +197,43 @@ def new_rows(
     return after_high_water_mark(increment, marks, ledger.date_col, ledger.keys)
 
 
+def _append_unknown(rows: DataFrame, table: str, comment: str) -> None:
+    """Append rows about files, but for versions of files that the table knows already."""
+    spark = rows.sparkSession
+    if not table_exists(spark, table):
+        create_table(rows, table, comment=comment)
+        return
+    if "modified_at" not in spark.table(table).columns:  # a table written before it was kept
+        spark.sql(f"ALTER TABLE {ident(table)} ADD COLUMNS (modified_at TIMESTAMP)")
+    known = spark.table(table).select("family", "file_path", "modified_at").distinct()
+    known = known.toDF("__family", "__path", "__modified")
+    same = (
+        (F.col("family") == F.col("__family"))
+        & (F.col("file_path") == F.col("__path"))
+        & (F.col("__modified").isNull() | (F.col("__modified") == F.col("modified_at")))
+    )
+    append_table(rows.join(known, same, "left_anti"), table)
+
+
 def quarantine(bad: DataFrame, family: str) -> None:
-    """Append quarantined payload files with their class and message, each file once."""
-    rows = bad.select(
-        F.lit(family).alias("family"),
-        "series_id",
-        "fetch_name",
-        "file_path",
-        "payload_class",
-        "message",
+    """Append quarantined payload files with their class and message, each version of a file
+    once."""
+    about = ["series_id", "fetch_name", "file_path", "payload_class", "message", "modified_at"]
+    _append_unknown(
+        bad.select(F.lit(family).alias("family"), *about),
+        QUARANTINE_TABLE,
+        "Landed files that are bad or hold rejected records",
+    )
+
+
+def store_rejects(rows: DataFrame, family: str, date_col: str) -> None:
+    """Append the rejected ones of parsed ``rows`` with their file, place and text, those of
+    each version of a file once."""
+    rejects = rows.where(F.col(date_col).isNull() & F.col("record_no").isNotNull())
+    about = ["series_id", "fetch_name", "file_path", *REJECT_COLS, "modified_at"]
+    _append_unknown(
+        rejects.select(F.lit(family).alias("family"), *about), REJECT_TABLE, "Records of landed files that were rejected"
     )
-    spark = bad.sparkSession
-    if table_exists(spark, QUARANTINE_TABLE):
-        known = spark.table(QUARANTINE_TABLE).select("family", "file_path")
-        append_table(rows.join(known, ["family", "file_path"], "left_anti"), QUARANTINE_TABLE)
-    else:
-        create_table(rows, QUARANTINE_TABLE, comment="Landed files that are bad or hold rejected records")
 
 
 def load_batch(landed: DataFrame, family: str, mode: str = "increment", load_id: str | None = None) -> dict:
@@ -225,6 +250,8 @@ def load_batch(landed: DataFrame, family: str, mode: str = "increment", load_id:
         if done is not None:
             return done
     ensure_checkpoint_dir(spark)
+    if "modified_at" not in landed.columns:
+        landed = landed.withColumn("modified_at", F.lit(None).cast("timestamp"))
     classified = classify_payloads(landed, expect=fam.expect).checkpoint()
     _, bad = split_quarantine(classified)
     rows = fam.parse(classified)
@@ -237,10 +264,14 @@ def load_batch(landed: DataFrame, family: str, mode: str = "increment", load_id:
             F.lit("rejected").alias("payload_class"),
             F.format_string("%d of %d records rejected", "bad", "all").alias("message"),
         )
+        .checkpoint()
     )
+    if not rejected.isEmpty():  # only files with rejects are parsed once more
+        faulty = null_safe_join(classified, rejected.select("file_path"), ["file_path"], "left_semi")
+        store_rejects(fam.parse(faulty), family, fam.date_col)
     quarantine(bad.select(rejected.columns).unionByName(rejected), family)
     return load_increment(
-        rows.drop("fetch_name", "file_path"),
+        rows.drop("fetch_name", "file_path", "modified_at", *REJECT_COLS),
         fam.table,
         fam.date_col,
         partition_values=classified.select("series_id"),

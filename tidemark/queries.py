@@ -825,6 +825,31 @@ def q_parse_bars_orders(spark, sf_dir):
     )
 
 
+@register(
+    "rejected_records",
+    """
+SELECT l_orderkey, CAST(0 AS INTEGER) AS record_no, '7' AS record_text FROM lineitem GROUP BY l_orderkey
+UNION ALL
+SELECT l_orderkey, CAST(count(*) + 1 AS INTEGER), '{"price_open":' || sum(l_linenumber) || '}'
+FROM lineitem GROUP BY l_orderkey
+""",
+)
+def q_rejected_records(spark, sf_dir):
+    # The bad elements of an array of bars per order: a number before its lines, an object
+    # without times after them; with their places and texts.
+    li = table(spark, sf_dir, "lineitem")
+    record = F.struct(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time_period_start"))
+    arrays = li.groupBy("l_orderkey").agg(
+        F.array_join(F.collect_list(F.to_json(record)), ",").alias("records"), F.sum("l_linenumber").alias("lines")
+    )
+    untimed = F.concat(F.lit('{"price_open":'), F.col("lines").cast("string"), F.lit("}"))
+    payload = F.concat(F.lit("[7,"), F.col("records"), F.lit(","), untimed, F.lit("]"))
+    classified = classify_payloads(arrays.select("l_orderkey", payload.alias("payload")), expect="array")
+    bars = parse_bars(classified, rejects=True)
+    bad = F.coalesce("time_period_start", "time_open").isNull() & F.col("record_no").isNotNull()
+    return bars.where(bad).select("l_orderkey", "record_no", "record_text")
+
+
 @register(
     "parse_quoted_dump",
     """

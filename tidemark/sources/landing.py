@@ -28,6 +28,8 @@ from tidemark.functions.columns import (
 )
 
 PAYLOAD_CLASSES = ("ok", "error", "quota", "corrupt")
+# What the parsers add with ``rejects``: a record's place in its file, and its text.
+REJECT_COLS = ["record_no", "record_text"]
 # Leading characters skipped before looking at a payload's first character.
 _LEADING = " \t\r\n\ufeff"
 
@@ -44,7 +46,8 @@ def _json_text(c):
 
 def landed_rows(df: DataFrame) -> DataFrame:
     """Whole-file text rows (batch or stream) -> ``file_path, series_id, fetch_name,
-    payload``. The last two folders' names are decoded (the path is a URI)."""
+    payload, modified_at`` (when the file was written). The last two folders' names are
+    decoded (the path is a URI)."""
     fp = F.col("_metadata.file_path")
     name = lambda pattern: F.url_decode(
         F.replace(F.regexp_extract(fp, pattern, 1), F.lit("+"), F.lit("%2B"))
@@ -54,11 +57,12 @@ def landed_rows(df: DataFrame) -> DataFrame:
         name(r"([^/]+)/[^/]+$").alias("series_id"),
         name(r"([^/]+?)(\.[^./]*)?$").alias("fetch_name"),
         F.col("value").alias("payload"),
+        F.col("_metadata.file_modification_time").alias("modified_at"),
     )
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed file: ``file_path, series_id, fetch_name, payload``.
+    """One row per landed file: ``file_path, series_id, fetch_name, payload, modified_at``.
 
     ``path`` may be a folder or a glob such as ``landing/bars/*/*.json``. Whole-file text
     reading keeps multi-line JSON intact; files are packed into read tasks by Spark.
@@ -181,7 +185,9 @@ def parse_bars(df: DataFrame, payload_col: str = "payload", rejects: bool = Fals
     text (S1). An element that is no object spoils no other.
 
     Elements without an opening or start time are left out; with ``rejects`` they stay, as
-    rows without these times, and so does one such row for a file without elements.
+    rows without these times, and so does one such row for a file without elements. Every row
+    then has ``record_no`` (the element's place from 0, null without elements) and
+    ``record_text`` (the element as landed).
     """
     carry = _carry(df, payload_col)
     # The elements as text first: parsing records at once would lose a whole array for one
@@ -190,13 +196,14 @@ def parse_bars(df: DataFrame, payload_col: str = "payload", rejects: bool = Fals
     # payload twice.
     elements = _when_ok(df, F.from_json(_json_text(payload_col), T.ArrayType(T.StringType())))
     kept = [F.col("payload_class")] if "payload_class" in df.columns else []
-    rows = df.select(*carry, *kept, F.explode_outer(elements).alias("__element"))
+    rows = df.select(*carry, *kept, F.posexplode_outer(elements).alias("record_no", "__element"))
     record = F.when(_starts_with(F.col("__element"), "{"), F.from_json("__element", schemas.RAW_BAR))
-    bars = rows.select(*carry, *kept, record.alias("__bar"))
+    where = [F.col("record_no"), F.col("__element").alias("record_text")] if rejects else []
+    bars = rows.select(*carry, *kept, *where, record.alias("__bar"))
     wanted = F.lit(True) if not kept else F.col("payload_class") == "ok"
     if not rejects:
         wanted = F.coalesce("__bar.time_period_start", "__bar.time_open").isNotNull()
-    return bars.where(wanted).select(*carry, "__bar.*")
+    return bars.where(wanted).select(*carry, "__bar.*", *REJECT_COLS[: len(where)])
 
 
 def shape_bars(raw: DataFrame, keep: Sequence[str] = ("series_id",)) -> DataFrame:
@@ -239,15 +246,19 @@ def parse_keyed_series(
     ``clean_name`` (``1. open`` -> ``1__open``); an absent label is NULL. With
     ``labels=None`` the inner object is kept as ``vals ARRAY<STRUCT<key, value>>`` sorted by
     key (not a MAP, which set operations refuse). A missing root key gives no rows; with
-    ``rejects`` a good file without entries gives one row without a date.
+    ``rejects`` a good file without entries gives one row without a date, and every row has
+    ``record_no`` (the entry's place from 0) and ``record_text`` (the entry as an object).
     """
     carry = _carry(df, payload_col)
     schema = T.StructType([T.StructField(root_key, T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))])
     parsed = _when_ok(df, F.from_json(_json_text(payload_col), schema)[root_key])
-    rows = _rows_or_rejects(df, carry, F.explode_outer(parsed).alias("date", "__kv"), "date", rejects)
+    entries = F.posexplode_outer(parsed).alias("record_no", "date", "__kv")
+    rows = _rows_or_rejects(df, carry, entries, "date", rejects)
+    entry = F.when(F.col("date").isNotNull(), F.to_json(F.create_map("date", "__kv")))
+    where = [F.col("record_no"), entry.alias("record_text")] if rejects else []
     if labels is None:
-        return rows.select(*carry, "date", F.sort_array(F.map_entries("__kv")).alias("vals"))
-    return rows.select(*carry, "date", *[F.col("__kv")[lab].alias(clean_name(lab)) for lab in labels])
+        return rows.select(*carry, "date", F.sort_array(F.map_entries("__kv")).alias("vals"), *where)
+    return rows.select(*carry, "date", *[F.col("__kv")[lab].alias(clean_name(lab)) for lab in labels], *where)
 
 
 def parse_indicator(df: DataFrame, payload_col: str = "payload", rejects: bool = False) -> DataFrame:
@@ -258,7 +269,7 @@ def parse_indicator(df: DataFrame, payload_col: str = "payload", rejects: bool =
     is an object without ``data``: its ``date`` and ``value`` are one record, or columns of
     records when they are arrays. ``date`` is the UTC wall clock (TIMESTAMP_NTZ), ``value``
     a coerced DOUBLE. With ``rejects`` a good file without records gives one row without a
-    date.
+    date, and every row has ``record_no`` (from 0) and ``record_text`` (its date and value).
     """
     carry = _carry(df, payload_col)
     text = _json_text(payload_col)
@@ -281,8 +292,13 @@ def parse_indicator(df: DataFrame, payload_col: str = "payload", rejects: bool =
     meta = [F.col("__obj")[f].alias(f) for f in ("name", "interval", "unit")]
     with_meta = parsed.select(*carry, *kept, *meta, records.alias("__records"))
     rows = _rows_or_rejects(
-        with_meta, [*carry, "name", "interval", "unit"], F.explode_outer("__records").alias("__r"), "__r", rejects
+        with_meta,
+        [*carry, "name", "interval", "unit"],
+        F.posexplode_outer("__records").alias("record_no", "__r"),
+        "__r",
+        rejects,
     )
+    where = [F.col("record_no"), F.to_json("__r").alias("record_text")] if rejects else []
     return rows.select(
         *carry,
         "name",
@@ -290,6 +306,7 @@ def parse_indicator(df: DataFrame, payload_col: str = "payload", rejects: bool =
         "unit",
         to_utc_ntz(F.col("__r.date")).alias("date"),
         to_numeric(F.col("__r.value")).alias("value"),
+        *where,
     )
 
 
