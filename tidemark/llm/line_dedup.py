@@ -33,25 +33,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import Scratch, array_literal, fresh, locate, words
+from tidemark.llm.common import Scratch, array_literal, fresh, locate
 
 SHINGLE = 5
 # Jaccard 3/4: the sizes' ratio is at least that, and the overlap 3/7 of their sum.
 RARITY_BITS = 16
+ODD_SPACE = r"[ \t\n\x0B\f\r]{2,}|[\t\n\x0B\f\r]"
 ROW_BITS = 40  # rows of one file
+FILES = 100_000  # file names that are broadcast
 BLOCK = 128  # lines of a token that are paired at most
 MEMBERS = 8 * BLOCK  # of a block of a larger token's lines
 
 
-def _number_documents(docs: DataFrame, place: str, name: str) -> DataFrame:
-    """A number per document that follows the order of storage (one row per file is ranked)."""
-    files = docs.select(F.col(f"{place}.file").alias("file")).distinct()
-    files = files.withColumn("at", F.row_number().over(Window.orderBy("file")).cast("long"))
-    number = F.shiftleft("at", ROW_BITS).bitwiseOR(F.col(f"{place}.row"))
+def _number_documents(
+    docs: DataFrame, place: str, name: str, scratch: Scratch, keep: bool = False
+) -> DataFrame:
+    """A number per document that follows the order of storage (one row per file is ranked).
+    The table of files is broadcast up to FILES rows, so that no text is shuffled for it."""
+    file, at = fresh(docs, "file"), fresh(docs, "at")
+    files = docs.select(F.col(f"{place}.file").alias(file)).distinct()
+    files = files.withColumn(at, F.row_number().over(Window.orderBy(file)).cast("long"))
+    files = scratch.write(files, "files", keep)
+    if files.count() <= FILES:
+        files = F.broadcast(files)
+    number = F.shiftleft(at, ROW_BITS).bitwiseOR(F.col(f"{place}.row"))
     return (
-        docs.join(files, F.col(f"{place}.file") == F.col("file"))
+        docs.join(files, F.col(f"{place}.file") == F.col(file))
         .withColumn(name, number)
-        .drop("file", "at", place)
+        .drop(file, at, place)
     )
 
 
@@ -64,7 +73,8 @@ def _lines(docs: DataFrame) -> DataFrame:
     # Outer generators here and below: for a plain one the optimizer adds a filter on its
     # input, with all that computes the array a second time.
     lines = docs.select("doc", F.posexplode_outer(_split_lines(F.col("text"))).alias("line", "raw"))
-    content = F.array_join(words(F.lower("raw")), " ").alias("content")
+    # Only stretches that are not one blank are looked for: most lines stay as they are.
+    content = F.trim(F.regexp_replace(F.lower("raw"), ODD_SPACE, " ")).alias("content")
     return (
         lines.where(F.col("raw").rlike(r"[^ \t\n\x0B\f\r]"))
         .select("doc", "line", content)
@@ -72,22 +82,29 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
+def _runs(parts: Column) -> Column:
+    """An array of structs: the SHINGLE neighbours from each element on that has so many."""
+    starts = F.size(parts) - (SHINGLE - 1)
+    return F.arrays_zip(*[F.slice(parts, F.lit(k + 1), starts).alias(f"w{k}") for k in range(SHINGLE)])
+
+
+def _word_hashes(content: str) -> Column:
+    return F.transform(F.split(F.col(content), " "), lambda w: F.xxhash64(w))
+
+
 def _with_tokens(rows: DataFrame, content: str, tokens: str, hashed: bool) -> DataFrame:
     """Add a line's distinct tokens, as 64-bit hashes (of the words' hashes) or in full. The
     words are a column of their own first, so that they are split once a line and not once
     a token."""
     parts = fresh(rows, "parts")
-    split = F.split(F.col(content), " ")
     if hashed:
-        split, make = F.transform(split, lambda w: F.xxhash64(w)), F.xxhash64
-        one = F.array(F.xxhash64(parts))
+        split, one = _word_hashes(content), F.array(F.xxhash64(parts))
+        many = F.transform(_runs(F.col(parts)), lambda run: F.xxhash64(run))
     else:
-        make = lambda *w: F.concat_ws(" ", *w)
-        one = F.array(F.col(content))
-    many = F.transform(
-        F.slice(parts, F.lit(1), F.size(parts) - (SHINGLE - 1)),
-        lambda w, i: make(w, *[F.get(parts, i + k) for k in range(1, SHINGLE)]),
-    )
+        split, one = F.split(F.col(content), " "), F.array(F.col(content))
+        many = F.transform(
+            _runs(F.col(parts)), lambda run: F.concat_ws(" ", *[run[f"w{k}"] for k in range(SHINGLE)])
+        )
     return (
         rows.withColumn(parts, split)
         .withColumn(tokens, F.array_distinct(F.when(F.size(parts) >= SHINGLE, many).otherwise(one)))
@@ -103,9 +120,10 @@ def _long(classes: DataFrame) -> DataFrame:
 def _rarity(classes: DataFrame) -> Column:
     """An array of ranks by hash bucket (1 << RARITY_BITS numbers, whatever the input): a
     larger rank is a more frequent bucket."""
-    tokens = _with_tokens(classes.select("content"), "content", "tokens", True).select(
-        F.explode_outer("tokens").alias("h")
-    )
+    parts = classes.select(_word_hashes("content").alias("parts"))
+    runs = parts.select(F.explode_outer(_runs(F.col("parts"))).alias("run"))
+    # As in ``_with_tokens``; a token that a line repeats counts as often.
+    tokens = runs.select(F.xxhash64("run").alias("h"))
     rank = F.round(F.log2(F.count(F.lit(1))) * 1000).cast("long")
     found = tokens.groupBy(_bucket(F.col("h")).alias("bucket")).agg(rank.alias("rank")).collect()
     ranks = [0] * (1 << RARITY_BITS)
@@ -130,9 +148,10 @@ def _prefixes(classes: DataFrame, ranks: Column) -> DataFrame:
             F.sort_array(
                 F.transform(
                     "tokens",
-                    lambda h: F.shiftleft(F.get(ranks, _bucket(h).cast("int")), keep).bitwiseOR(
-                        h.bitwiseAND(F.lit(mask))
-                    ),
+                    # Never null, but Spark sorts long integers faster where it knows that.
+                    lambda h: F.shiftleft(
+                        F.coalesce(F.get(ranks, _bucket(h).cast("int")), F.lit(0)), keep
+                    ).bitwiseOR(h.bitwiseAND(F.lit(mask))),
                 )
             ).alias("tokens"),
         )
@@ -241,9 +260,9 @@ def _verify(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _decide(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc, text) -> (doc, removed): the numbers of the lines that go, where any do."""
+    lines = scratch.write(_lines(docs), "lines")
     grouped = (
-        _lines(docs)
-        .groupBy("key")
+        lines.groupBy("key")
         .agg(F.min(F.struct("doc", "line")).alias("first"), F.first("content").alias("content"))
     )
     classes = scratch.write(grouped.select("key", "first.doc", "first.line", "content"), "classes")
@@ -293,8 +312,7 @@ def _decide(docs: DataFrame, scratch: Scratch) -> DataFrame:
     )
     leaves = F.col("matched") | (F.col("doc") != F.col("first_doc")) | (F.col("line") != F.col("first_line"))
     return (
-        _lines(docs)
-        .select("doc", "line", "key")
+        lines.select("doc", "line", "key")
         .join(by_key, "key")
         .where(F.coalesce(leaves, F.lit(False)))
         .groupBy("doc")
@@ -308,7 +326,10 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     with Scratch(docs.sparkSession) as scratch:
         stored = locate(docs.select(id_col, text_col), scratch, "place")
         rows = _number_documents(
-            stored.select("place", F.col(id_col).alias("id"), F.col(text_col).alias("text")), "place", "doc"
+            stored.select("place", F.col(id_col).alias("id"), F.col(text_col).alias("text")),
+            "place",
+            "doc",
+            scratch,
         )
         removed = _decide(rows.select("doc", "text"), scratch)
         sizes = rows.select("doc", "id", F.size(_split_lines(F.col("text"))).alias("n_lines"))
@@ -327,7 +348,7 @@ def drop_repeated_lines(
     """``docs`` with all their columns, their texts without the removed lines."""
     with Scratch(docs.sparkSession) as scratch:
         place, name, gone = (fresh(docs, n) for n in ("place", "doc_number", "removed"))
-        numbered = _number_documents(locate(docs, scratch, place), place, name)
+        numbered = _number_documents(locate(docs, scratch, place), place, name, scratch, keep=True)
         removed = scratch.write(
             _decide(numbered.select(F.col(name).alias("doc"), F.col(text_col).alias("text")), scratch),
             "removed_lines",
