@@ -84,17 +84,21 @@ def arrow_batches(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Tables written as Parquet under the shared checkpoint folder.
 
     ``write`` cuts the lineage of a frame: what follows reads the files, so a lost executor
     costs one read and not the whole plan. Leaving the ``with`` block deletes every table
     but those written with ``keep=True``, which the returned frame still reads; like
-    Spark's own checkpoints these belong to the folder's owner.
+    Spark's own checkpoints these belong to the folder's owner. With ``drop_shuffles`` the
+    shuffle files of a write go when it ends, not when the driver collects its garbage.
     """
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, drop_shuffles: bool = False):
+        self.spark, self.drop_shuffles = spark, drop_shuffles
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
         self.dropped: list[str] = []
 
@@ -113,7 +117,13 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
         path = self.path(name, keep)
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(SHUFFLE_CLEANUP)
+        if self.drop_shuffles:
+            self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(SHUFFLE_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def delete(self, path: str) -> None:

@@ -323,7 +323,7 @@ def _decide(docs: DataFrame, scratch: Scratch) -> DataFrame:
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_lines``, ``n_removed`` and
     ``removed_lines`` (their numbers, from 0, in order)."""
-    with Scratch(docs.sparkSession) as scratch:
+    with Scratch(docs.sparkSession, drop_shuffles=True) as scratch:
         stored = locate(docs.select(id_col, text_col), scratch, "place")
         rows = _number_documents(
             stored.select("place", F.col(id_col).alias("id"), F.col(text_col).alias("text")),
@@ -346,7 +346,7 @@ def drop_repeated_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``docs`` with all their columns, their texts without the removed lines."""
-    with Scratch(docs.sparkSession) as scratch:
+    with Scratch(docs.sparkSession, drop_shuffles=True) as scratch:
         place, name, gone = (fresh(docs, n) for n in ("place", "doc_number", "removed"))
         numbered = _number_documents(locate(docs, scratch, place), place, name, scratch, keep=True)
         removed = scratch.write(
