@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import Scratch, array_literal, fresh, locate
+from tidemark.llm.common import Scratch, array_literal, fresh, locate, split_by_hits
 
 SHINGLE = 5
 # Jaccard 3/4: the sizes' ratio is at least that, and the overlap 3/7 of their sum.
@@ -237,8 +237,15 @@ def _match_in_blocks(prefixes: DataFrame, lines: DataFrame, scratch: Scratch) ->
     )
 
 
-def _verify(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of pairs (doc, line; to_doc, to_line) those whose lines match."""
+def _verify(pairs: DataFrame, classes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Of pairs (doc, line; to_doc, to_line) those whose lines match. Lines that surely are in
+    no pair (a bounded table of bits tells) are not shuffled."""
+    pairs = scratch.write(pairs, f"{name}_pairs")
+    paired = pairs.select(F.struct("doc", "line").alias("place")).unionByName(
+        pairs.select(F.struct(F.col("to_doc").alias("doc"), F.col("to_line").alias("line")).alias("place"))
+    )
+    placed = classes.withColumn("place", F.struct("doc", "line"))
+    classes, _ = split_by_hits(placed, paired, "place", scratch, f"{name}_bits")
     left = classes.select("doc", "line", F.col("content").alias("content_a"))
     right = classes.select(
         F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col("content").alias("content_b")
@@ -279,7 +286,7 @@ def _decide(docs: DataFrame, scratch: Scratch) -> DataFrame:
     with_head = later.where(_length_filter(F.col("size"), F.col("head.size"))).select(
         "doc", "line", F.col("head.doc").alias("to_doc"), F.col("head.line").alias("to_line")
     )
-    removed = scratch.write(_verify(with_head.distinct(), classes), "removed")
+    removed = scratch.write(_verify(with_head.distinct(), classes, scratch, "head"), "removed")
 
     rest = later.where("n > 2").select("token", "doc", "line", "size", "pos", "n")
     open_rows = rest.join(removed, ["doc", "line"], "left_anti")
@@ -294,7 +301,7 @@ def _decide(docs: DataFrame, scratch: Scratch) -> DataFrame:
         .select("doc", "line", "to_doc", "to_line")
         .distinct()
     )
-    more = scratch.write(_verify(pairs, classes), "more")
+    more = scratch.write(_verify(pairs, classes, scratch, "other"), "more")
 
     large = scratch.write(open_rows.where(F.col("n") > BLOCK).select("token").distinct(), "large")
     if not large.isEmpty():
