@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe, prefix_counts, rans
-from tidemark.llm.tokens import WordTokenizer, read_spec
+from tidemark.llm.tokens import WordTokenizer, pieces, read_spec
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +56,19 @@ def test_bpe_round_trip_on_edge_rows(spark, monkeypatch):
     assert bpe.encode(docs.limit(0), spec).count() == 0
 
 
+def test_plan_texts_do_not_hold_the_piece_table(spark, capsys):
+    spec = read_spec(WORD)
+    rows = [(1, "own", [1, 2, None, -1, 999_999]), (2, "own", None), (3, None, [])]
+    encoded = spark.createDataFrame(rows, "doc_id long, pieces string, ids array<int>")
+    decoded = bpe.decode(encoded, spec)
+    decoded.explain("formatted")
+    assert len(capsys.readouterr().out) < 20_000
+    table = pieces(spec)
+    assert sorted(map(tuple, decoded.collect())) == [
+        (*rows[0], f"{table[1]} {table[2]}"), (*rows[1], None), (*rows[2], "")
+    ]
+
+
 def test_prefix_counts_of_every_prefix(spark):
     library = Tokenizer.from_file(BYTE)
     texts = [None, "", "-" * 300, *odd_texts(200, 7)]

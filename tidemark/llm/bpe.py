@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, array_literal, locate, per_process
+from tidemark.llm.common import Scratch, fresh, locate, per_process
 from tidemark.llm.tokens import WordTokenizer, pieces
 
 CHUNK_CHARS = 16 << 20
@@ -228,9 +228,16 @@ def ids_type(spark_type: str) -> pa.DataType:
 def decode(encoded: DataFrame, spec: str, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with a column ``decoded``: every id is looked up in the piece table, and
     the pieces are joined by blanks."""
-    table = array_literal(pieces(spec), "string")
-    found = F.transform(ids_col, lambda i: F.get(table, i))
-    return encoded.withColumn("decoded", F.array_join(found, " "))
+    # The table is a scalar subquery: as a literal it would be in every text of the plan, and
+    # the driver makes several of each stage.
+    rows = pa.table({"pieces": pa.array([pieces(spec)], pa.list_(pa.string()))})
+    table = fresh(encoded, "pieces")
+    found = F.transform(ids_col, lambda i: F.get(F.col(table), i))
+    return (
+        encoded.withColumn(table, encoded.sparkSession.createDataFrame(rows).scalar())
+        .withColumn("decoded", F.array_join(found, " "))
+        .drop(table)
+    )
 
 
 def digests(encoded: DataFrame, spec: str, id_col: str = "doc_id") -> DataFrame:
