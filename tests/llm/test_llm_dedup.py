@@ -324,6 +324,32 @@ def test_large_groups_of_lines_are_compared_in_blocks(spark, monkeypatch, block)
     assert made[0] > 0
 
 
+def test_prefix_rows_are_made_for_anchors_not_for_each_token(spark):
+    rng = random.Random(5)
+    lines = [" ".join(rng.sample([f"w{k}" for k in range(3000)], 60)) for _ in range(40)]
+    classes = spark.createDataFrame([(1, k, x) for k, x in enumerate(lines)], "doc long, line int, content string")
+    rows = line_dedup._prefixes(classes, line_dedup._rarity(classes)).collect()
+    # A prefix of 15 tokens each.
+    assert len({r["line"] for r in rows}) == len(lines)
+    assert len(rows) <= 9 * len(lines)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_matching_lines_share_an_anchor_that_the_filters_keep(spark, seed):
+    texts = "\n".join(filter(None, line_texts(seed))).lower().split("\n")
+    lines = sorted({" ".join(x.split()) for x in texts if len(x.split()) >= 5})
+    sets = [set(zip(*[x.split()[k:] for k in range(5)], strict=False)) for x in lines]
+    matching = {
+        (i, j) for j in range(len(lines)) for i in range(j) if 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j])
+    }
+    classes = spark.createDataFrame([(1, k, x) for k, x in enumerate(lines)], "doc long, line int, content string")
+    rows = line_dedup._prefixes(classes, line_dedup._rarity(classes)).cache()
+    names = ("line", "size", "most", "pos")
+    a, b = (rows.select("token", *[F.col(c).alias(x + c) for c in names]) for x in ("a_", "b_"))
+    kept = a.join(b, "token").where("a_line < b_line").where(line_dedup._may_match("a_", "b_"))
+    assert matching and matching <= {(r["a_line"], r["b_line"]) for r in kept.collect()}
+
+
 def test_repeated_lines_empty_table_and_null_ids(spark):
     assert line_dedup.repeated_lines(spark.createDataFrame([], DOCS)).count() == 0
     rows = [(None, "some words that stand in a line"), (None, "some words that stand in a line")]

@@ -9,14 +9,18 @@ without words are never removed.
 * Lines with equal words form one class; only its first line can stay. Classes of lines of
   fewer than five words match no other; all others are compared, also those of one or two
   tokens (lines that repeat a word or two have equal tokens at any length).
-* Tokens are ordered by rarity (counts of all tokens in a table of hashed buckets), rarest
-  first. Matching classes share one of their first ``size // 4 + 1`` tokens (prefix filter),
-  their sizes differ by a quarter at most (length filter), and the tokens from the shared
-  one on are enough for the overlap they need (positional filter).
-* Of classes that share a prefix token, each is compared with the first. Classes that match
-  are done with. Of the others, those of a token with at most ``BLOCK`` lines are paired with
+* A token's anchor is, of the three runs of three words in it, the one whose first word is the
+  rarest (counts of all words in a table of hashed buckets; hashes decide between equals).
+  Tokens are ordered by their anchors, so that the first ones of a line share a few anchors:
+  three words stand in up to three neighbouring tokens. Matching classes share one of their first
+  ``size // 4 + 1`` tokens (prefix filter), so also its anchor; their sizes differ by a quarter
+  at most (length filter), and the tokens from the shared anchor on are enough for the overlap
+  they need (positional filter). A line has a row for each anchor of its prefix, not one for
+  each token of it.
+* Of classes that share an anchor, each is compared with the first. Classes that match
+  are done with. Of the others, those of an anchor with at most ``BLOCK`` lines are paired with
   what else comes before them.
-* The lines of tokens with more lines, where any are open, get new prefixes: by the real
+* The lines of anchors with more lines, where any are open, get new prefixes: by the real
   counts of all their tokens (a written table, joined by token). What still shares a prefix
   token meets in blocks of bounded size, without a row for each pair.
 * Pairs are verified on their full token sets, word by word.
@@ -38,6 +42,11 @@ from tidemark.llm.common import Scratch, array_literal, fresh, locate, split_by_
 SHINGLE = 5
 # Jaccard 3/4: the sizes' ratio is at least that, and the overlap 3/7 of their sum.
 RARITY_BITS = 16
+# An order code is a long: rank of a word, its hash mixed with the next two's, the token's hash.
+HASH_BITS = 48  # below the rank
+TOKEN_BITS = 20  # of them the token's own
+# Every run of SHINGLE words (possessive: a word has no second way to match), found one by one.
+SHINGLE_RUN = r"(?=(" + " ".join([r"[^ ]++"] * SHINGLE) + r"))[^ ]++"
 ODD_SPACE = r"[ \t\n\x0B\f\r]{2,}|[\t\n\x0B\f\r]"
 ROW_BITS = 40  # rows of one file
 FILES = 100_000  # file names that are broadcast
@@ -74,7 +83,11 @@ def _lines(docs: DataFrame) -> DataFrame:
     # input, with all that computes the array a second time.
     lines = docs.select("doc", F.posexplode_outer(_split_lines(F.col("text"))).alias("line", "raw"))
     # Only stretches that are not one blank are looked for: most lines stay as they are.
-    content = F.trim(F.regexp_replace(F.lower("raw"), ODD_SPACE, " ")).alias("content")
+    odd = F.contains("raw", F.lit("  "))
+    for space in "\t\x0b\f\r":
+        odd = odd | F.contains("raw", F.lit(space))
+    lower = F.lower("raw")
+    content = F.trim(F.when(odd, F.regexp_replace(lower, ODD_SPACE, " ")).otherwise(lower)).alias("content")
     return (
         lines.where(F.col("raw").rlike(r"[^ \t\n\x0B\f\r]"))
         .select("doc", "line", content)
@@ -82,50 +95,45 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _runs(parts: Column) -> Column:
-    """An array of structs: the SHINGLE neighbours from each element on that has so many."""
-    starts = F.size(parts) - (SHINGLE - 1)
-    return F.arrays_zip(*[F.slice(parts, F.lit(k + 1), starts).alias(f"w{k}") for k in range(SHINGLE)])
+def _runs(parts: Column, width: int) -> Column:
+    """An array of structs: the ``width`` neighbours from each element on that has so many."""
+    starts = F.size(parts) - (width - 1)
+    return F.arrays_zip(*[F.slice(parts, F.lit(k + 1), starts).alias(f"w{k}") for k in range(width)])
 
 
-def _word_hashes(content: str) -> Column:
-    return F.transform(F.split(F.col(content), " "), lambda w: F.xxhash64(w))
-
-
-def _with_tokens(rows: DataFrame, content: str, tokens: str, hashed: bool) -> DataFrame:
-    """Add a line's distinct tokens, as 64-bit hashes (of the words' hashes) or in full. The
-    words are a column of their own first, so that they are split once a line and not once
-    a token."""
+def _with_hashes(rows: DataFrame, content: str, tokens: str) -> DataFrame:
+    """Add a line's distinct tokens as 64-bit hashes (of the words' hashes). The words are a
+    column of their own first, so that they are split once a line and not once a token."""
     parts = fresh(rows, "parts")
-    if hashed:
-        split, one = _word_hashes(content), F.array(F.xxhash64(parts))
-        many = F.transform(_runs(F.col(parts)), lambda run: F.xxhash64(run))
-    else:
-        split, one = F.split(F.col(content), " "), F.array(F.col(content))
-        many = F.transform(
-            _runs(F.col(parts)), lambda run: F.concat_ws(" ", *[run[f"w{k}"] for k in range(SHINGLE)])
-        )
+    words = F.transform(F.split(F.col(content), " "), lambda w: F.xxhash64(w))
+    many = F.transform(_runs(F.col(parts), SHINGLE), lambda run: F.xxhash64(run))
     return (
-        rows.withColumn(parts, split)
-        .withColumn(tokens, F.array_distinct(F.when(F.size(parts) >= SHINGLE, many).otherwise(one)))
+        rows.withColumn(parts, words)
+        .withColumn(
+            tokens,
+            F.array_distinct(F.when(F.size(parts) >= SHINGLE, many).otherwise(F.array(F.xxhash64(parts)))),
+        )
         .drop(parts)
     )
 
 
+def _shingles(content: str) -> Column:
+    """The tokens of a line of at least SHINGLE words in full, in order, with repeats."""
+    return F.regexp_extract_all(content, F.lit(SHINGLE_RUN), F.lit(1))
+
+
 def _long(classes: DataFrame) -> DataFrame:
     """The classes of lines with a whole shingle; shorter lines match equal ones only."""
     return classes.where(F.size(F.split("content", " ", SHINGLE)) == SHINGLE)
 
 
-def _rarity(classes: DataFrame) -> Column:
+def _rarity(lines: DataFrame) -> Column:
     """An array of ranks by hash bucket (1 << RARITY_BITS numbers, whatever the input): a
-    larger rank is a more frequent bucket."""
-    parts = classes.select(_word_hashes("content").alias("parts"))
-    runs = parts.select(F.explode_outer(_runs(F.col("parts"))).alias("run"))
-    # As in ``_with_tokens``; a token that a line repeats counts as often.
-    tokens = runs.select(F.xxhash64("run").alias("h"))
-    rank = F.round(F.log2(F.count(F.lit(1))) * 1000).cast("long")
-    found = tokens.groupBy(_bucket(F.col("h")).alias("bucket")).agg(rank.alias("rank")).collect()
+    larger rank is a more frequent bucket of words."""
+    words = lines.select(F.explode_outer(F.split("content", " ")).alias("word"))
+    words = words.select(F.xxhash64("word").alias("h"))
+    rank = F.round(F.log2(F.count(F.lit(1))) * 500).cast("long")  # below 1 << (63 - HASH_BITS)
+    found = words.groupBy(_bucket(F.col("h")).alias("bucket")).agg(rank.alias("rank")).collect()
     ranks = [0] * (1 << RARITY_BITS)
     for row in found:
         ranks[row["bucket"]] = row["rank"]
@@ -137,28 +145,53 @@ def _bucket(h: Column) -> Column:
 
 
 def _prefixes(classes: DataFrame, ranks: Column) -> DataFrame:
-    """(doc, line, content) -> a row per prefix token: token, doc, line, size, pos."""
-    keep = 47  # bits of the hash that stay below the rank
-    mask = (1 << keep) - 1
-    ordered = (
-        _with_tokens(classes.select("doc", "line", "content"), "content", "tokens", True)
-        .select(
-            "doc",
-            "line",
-            F.sort_array(
-                F.transform(
-                    "tokens",
-                    # Never null, but Spark sorts long integers faster where it knows that.
-                    lambda h: F.shiftleft(
-                        F.coalesce(F.get(ranks, _bucket(h).cast("int")), F.lit(0)), keep
-                    ).bitwiseOR(h.bitwiseAND(F.lit(mask))),
-                )
-            ).alias("tokens"),
+    """(doc, line, content) -> a row per anchor of the prefix: token (the anchor), doc, line,
+    pos (distinct tokens before it) and the size's bounds: size (tokens whose codes differ)
+    and most (never more than the tokens with repeats). Both are the size for a line that
+    repeats no token and has none whose codes collide."""
+    low, own = (1 << HASH_BITS) - 1, (1 << TOKEN_BITS) - 1
+
+    def word(h: Column) -> Column:
+        return F.shiftleft(F.get(ranks, _bucket(h).cast("int")), HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit(low)))
+
+    def joined(parts: Column, shift: int) -> Column:
+        # The rank stays that of the first word.
+        firsts, seconds = (F.slice(parts, F.lit(k), F.size(parts) - 1) for k in (1, 2))
+        return F.zip_with(
+            firsts, seconds, lambda x, y: x.bitwiseXOR(F.shiftright(y.bitwiseAND(F.lit(low)), shift))
         )
+
+    def code(run: Column) -> Column:
+        anchor = F.least(*[run[f"w{k}"] for k in range(SHINGLE - 2)]).bitwiseAND(F.lit(~own))
+        # Never null, but Spark sorts long integers faster where it knows that.
+        return F.coalesce(anchor.bitwiseOR(F.xxhash64(run).bitwiseAND(F.lit(own))), F.lit(0))
+
+    words = F.transform(F.split("content", " "), lambda w: F.xxhash64(w))
+    ordered = (
+        classes.select("doc", "line", words.alias("hashes"))
+        .select("doc", "line", F.transform("hashes", word).alias("words"))
+        .select("doc", "line", joined(F.col("words"), 1).alias("pairs"))
+        .select("doc", "line", joined(F.col("pairs"), 2).alias("triples"))
+        .select("doc", "line", F.transform(_runs(F.col("triples"), SHINGLE - 2), code).alias("codes"))
+        .select("doc", "line", F.size("codes").alias("n"), F.sort_array(F.array_distinct("codes")).alias("codes"))
+        .select("doc", "line", "n", F.size("codes").alias("size"), "codes")
+    )
+    # Far more than collide where TOKEN_BITS tell the tokens of an anchor apart; none are given
+    # away where a line repeats none.
+    spare = F.when(F.col("size") < 1 << (TOKEN_BITS - 6), F.col("size") + 2 + F.shiftright("size", 3))
+    ordered = ordered.withColumn("most", F.least("n", F.coalesce(spare, F.col("n"))))
+    first = F.slice("codes", F.lit(1), F.shiftright("most", 2) + 1)
+    before = F.slice(F.concat(F.array(F.lit(-1).cast("long")), F.col("codes")), F.lit(1), F.size("first"))
+    rows = (
+        ordered.select("doc", "line", "size", "most", "codes", first.alias("first"))
+        .select("doc", "line", "size", "most", "first", before.alias("before"))
+        .select("doc", "line", "size", "most", F.arrays_zip("first", "before").alias("prefix"))
+        .select("doc", "line", "size", "most", F.posexplode_outer("prefix").alias("pos", "at"))
+    )
+    anchor = F.shiftright("at.first", TOKEN_BITS)
+    return rows.where(anchor != F.shiftright("at.before", TOKEN_BITS)).select(
+        anchor.alias("token"), "doc", "line", "size", "most", "pos"
     )
-    size = F.size("tokens")
-    prefix = F.posexplode_outer(F.slice("tokens", F.lit(1), (size / 4).cast("int") + 1)).alias("pos", "token")
-    return ordered.select("doc", "line", size.alias("size"), prefix)
 
 
 def _length_filter(a: Column, b: Column) -> Column:
@@ -169,10 +202,19 @@ def _position_filter(size: Column, pos: Column, to_size: Column, to_pos: Column)
     return F.least(size - pos, to_size - to_pos) * 7 >= (size + to_size) * 3
 
 
+def _may_match(a: str, b: str) -> Column:
+    """The filters between rows of ``_prefixes`` with the columns' prefixes ``a`` and ``b``. They
+    hold for the anchor of the first token that two matching lines share."""
+    size, most, pos = (F.col(a + c) for c in ("size", "most", "pos"))
+    to_size, to_most, to_pos = (F.col(b + c) for c in ("size", "most", "pos"))
+    lengths = (most * 4 >= to_size * 3) & (to_most * 4 >= size * 3)
+    return lengths & (F.least(most - pos, to_most - to_pos) * 7 >= (size + to_size) * 3)
+
+
 def _prefixes_by_count(lines: DataFrame, scratch: Scratch) -> DataFrame:
     """Like ``_prefixes``, with tokens ordered by their counts in these lines. Tokens of one
     line only come first and give no row."""
-    sets = _with_tokens(lines.select("doc", "line", "content"), "content", "tokens", True).select(
+    sets = _with_hashes(lines.select("doc", "line", "content"), "content", "tokens").select(
         "doc", "line", F.size("tokens").alias("size"), F.explode_outer("tokens").alias("h")
     )
     sets = scratch.write(sets, "tokens")
@@ -215,7 +257,7 @@ def _match_in_blocks(prefixes: DataFrame, lines: DataFrame, scratch: Scratch) ->
         .repartition("token", "r", "o")
     )
     member = F.struct("doc", "line", "size", "pos", "open", "own", "set")
-    groups = _with_tokens(met, "content", "set", False).groupBy("token", "r", "o")
+    groups = met.withColumn("set", F.array_distinct(_shingles("content"))).groupBy("token", "r", "o")
     groups = groups.agg(F.collect_list(member).alias("all"))
 
     def matches(x: Column, y: Column) -> Column:
@@ -237,23 +279,45 @@ def _match_in_blocks(prefixes: DataFrame, lines: DataFrame, scratch: Scratch) ->
     )
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """Of pairs (doc, line; to_doc, to_line) those whose lines match. Lines that surely are in
-    no pair (a bounded table of bits tells) are not shuffled."""
+def _placed_in(lines: DataFrame, places: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The lines (doc, line, content) that may be at one of ``places``; a bounded table of bits
+    tells, so that the others are not shuffled."""
+    placed = lines.select("doc", "line", "content").withColumn("place", F.struct("doc", "line"))
+    found, _ = split_by_hits(placed, places, "place", scratch, name)
+    return found.select("doc", "line", "content")
+
+
+def _places(pairs: DataFrame) -> DataFrame:
+    to_place = F.struct(F.col("to_doc").alias("doc"), F.col("to_line").alias("line"))
+    return pairs.select(F.struct("doc", "line").alias("place")).unionByName(pairs.select(to_place.alias("place")))
+
+
+def _with_both(pairs: DataFrame, lines: DataFrame, column: str) -> DataFrame:
+    """Add ``column`` of both lines of a pair, as ``a`` and ``b``. One shuffle of the lines
+    serves both joins."""
+    dealt = lines.select("doc", "line", column).repartition("doc", "line")
+    left = dealt.withColumnRenamed(column, "a")
+    right = dealt.select(F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col(column).alias("b"))
+    return pairs.join(left, ["doc", "line"]).join(right, ["to_doc", "to_line"])
+
+
+def _likely(pairs: DataFrame, lines: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Of pairs those that may match by their lines' hashed tokens, which are made once a line
+    and not once a pair. One token is given away, should two of them have the same hash."""
+    pairs = scratch.write(pairs, f"{name}_all")
+    found = _placed_in(lines, _places(pairs), scratch, f"{name}_all_bits")
+    sets = _with_both(pairs, _with_hashes(found, "content", "set"), "set")
+    may = (F.size(F.array_intersect("a", "b")) + 1) * 4 >= F.size(F.array_union("a", "b")) * 3
+    return sets.select(*pairs.columns, may.alias("may")).where("may").drop("may")
+
+
+def _verify(pairs: DataFrame, lines: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Of pairs (doc, line; to_doc, to_line) those whose lines match."""
     pairs = scratch.write(pairs, f"{name}_pairs")
-    paired = pairs.select(F.struct("doc", "line").alias("place")).unionByName(
-        pairs.select(F.struct(F.col("to_doc").alias("doc"), F.col("to_line").alias("line")).alias("place"))
-    )
-    placed = classes.withColumn("place", F.struct("doc", "line"))
-    classes, _ = split_by_hits(placed, paired, "place", scratch, f"{name}_bits")
-    left = classes.select("doc", "line", F.col("content").alias("content_a"))
-    right = classes.select(
-        F.col("doc").alias("to_doc"), F.col("line").alias("to_line"), F.col("content").alias("content_b")
-    )
-    texts = pairs.join(left, ["doc", "line"]).join(right, ["to_doc", "to_line"])
-    sets = _with_tokens(_with_tokens(texts, "content_a", "a", False), "content_b", "b", False)
-    both = F.size(F.array_intersect("a", "b"))
-    match = both * 4 >= (F.size("a") + F.size("b") - both) * 3
+    found = _placed_in(lines, _places(pairs), scratch, f"{name}_bits")
+    texts = _with_both(pairs, found, "content")
+    sets = texts.select("doc", "line", _shingles("a").alias("a"), _shingles("b").alias("b"))
+    match = F.size(F.array_intersect("a", "b")) * 4 >= F.size(F.array_union("a", "b")) * 3
     # The filter stays above the aggregate: pushed below the projections it would compute the
     # sets again for every use of them.
     return (
@@ -268,63 +332,58 @@ def _verify(pairs: DataFrame, classes: DataFrame, scratch: Scratch, name: str) -
 def _decide(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc, text) -> (doc, removed): the numbers of the lines that go, where any do."""
     lines = scratch.write(_lines(docs), "lines")
-    grouped = (
-        lines.groupBy("key")
-        .agg(F.min(F.struct("doc", "line")).alias("first"), F.first("content").alias("content"))
+    groups = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
+    groups = scratch.write(groups.where("n > 1").select("key", "first"), "groups")
+    # Only the texts of lines that may have copies are shuffled.
+    some, alone = split_by_hits(lines, groups, "key", scratch, "group_bits")
+    is_copy = F.coalesce(F.struct("doc", "line") != F.col("first"), F.lit(False))
+    some = some.join(groups, "key", "left").withColumn("copy", is_copy)
+    copies = scratch.write(some.where("copy").select("doc", "line"), "copies")
+    classes = alone.select("doc", "line", "content").unionByName(
+        some.where("not copy").select("doc", "line", "content")
     )
-    classes = scratch.write(grouped.select("key", "first.doc", "first.line", "content"), "classes")
     # The prefixes are shuffled by token once, for the first class of a token and for all.
-    compared = _long(classes)
-    dealt = _prefixes(compared, _rarity(compared)).repartition("token")
+    dealt = _prefixes(_long(classes), _rarity(_long(lines))).repartition("token")
     heads = (
         dealt.groupBy("token")
-        .agg(F.min(F.struct("doc", "line", "size", "pos")).alias("head"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min(F.struct("doc", "line", "size", "most", "pos")).alias("head"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )
     shared = scratch.write(dealt.join(heads, "token"), "shared")
     later = shared.where((F.col("doc") != F.col("head.doc")) | (F.col("line") != F.col("head.line")))
-    with_head = later.where(_length_filter(F.col("size"), F.col("head.size"))).select(
+    with_head = later.where(_may_match("", "head.")).select(
         "doc", "line", F.col("head.doc").alias("to_doc"), F.col("head.line").alias("to_line")
     )
-    removed = scratch.write(_verify(with_head.distinct(), classes, scratch, "head"), "removed")
+    removed = scratch.write(_verify(with_head.distinct(), lines, scratch, "head"), "removed")
 
-    rest = later.where("n > 2").select("token", "doc", "line", "size", "pos", "n")
+    rest = later.where("n > 2").select("token", "doc", "line", "size", "most", "pos", "n")
     open_rows = rest.join(removed, ["doc", "line"], "left_anti")
     small = rest.where(F.col("n") <= BLOCK)
-    before = small.select("token", *[F.col(c).alias("to_" + c) for c in ("doc", "line", "size", "pos")])
+    before = small.select("token", *[F.col(c).alias("to_" + c) for c in ("doc", "line", "size", "most", "pos")])
     pairs = (
         open_rows.where(F.col("n") <= BLOCK)
         .join(before, "token")
         .where(F.struct("to_doc", "to_line") < F.struct("doc", "line"))
-        .where(_length_filter(F.col("size"), F.col("to_size")))
-        .where(_position_filter(*map(F.col, ("size", "pos", "to_size", "to_pos"))))
+        .where(_may_match("", "to_"))
         .select("doc", "line", "to_doc", "to_line")
         .distinct()
     )
-    more = scratch.write(_verify(pairs, classes, scratch, "other"), "more")
+    likely = _likely(pairs, lines, scratch, "other")
+    more = scratch.write(_verify(likely, lines, scratch, "other"), "more")
 
     large = scratch.write(open_rows.where(F.col("n") > BLOCK).select("token").distinct(), "large")
+    gone = copies.unionByName(removed).unionByName(more)
     if not large.isEmpty():
         settled = removed.unionByName(more).distinct().withColumn("open", F.lit(False))
         members = rest.where(F.col("n") > BLOCK).join(large, "token", "left_semi").select("doc", "line").distinct()
         members = members.join(settled, ["doc", "line"], "left").withColumn("open", F.coalesce("open", F.lit(True)))
-        involved = scratch.write(members.join(classes.drop("key"), ["doc", "line"]), "involved")
+        members = scratch.write(members, "large_members")
+        places = members.select(F.struct("doc", "line").alias("place"))
+        texts = _placed_in(lines, places, scratch, "large_bits")
+        involved = scratch.write(members.join(texts, ["doc", "line"]), "involved")
         last = _match_in_blocks(_prefixes_by_count(involved, scratch), involved, scratch)
-        more = more.unionByName(scratch.write(last, "last"))
-    gone = removed.unionByName(more).withColumn("matched", F.lit(True))
-
-    by_key = classes.select("key", "doc", "line").join(gone, ["doc", "line"], "left")
-    by_key = by_key.select(
-        "key", F.col("doc").alias("first_doc"), F.col("line").alias("first_line"), "matched"
-    )
-    leaves = F.col("matched") | (F.col("doc") != F.col("first_doc")) | (F.col("line") != F.col("first_line"))
-    return (
-        lines.select("doc", "line", "key")
-        .join(by_key, "key")
-        .where(F.coalesce(leaves, F.lit(False)))
-        .groupBy("doc")
-        .agg(F.sort_array(F.collect_list("line")).alias("removed"))
-    )
+        gone = gone.unionByName(scratch.write(last, "last"))
+    return gone.groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("removed"))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
