@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -130,6 +131,22 @@ def test_rans_size_is_near_the_entropy_and_damage_is_found():
         rans.decode_blocks(bytes(broken), table)
 
 
+@pytest.mark.parametrize("chars, lookups", [(1, 100), (200, 6), (1 << 24, 2)])
+def test_runs_of_many_texts_are_looked_up_once(monkeypatch, chars, lookups):
+    monkeypatch.setattr(rans, "CHARS", chars)
+    library = Tokenizer.from_file(WORD)
+    texts = odd_texts(300, 7) + ["", " ", None, "\u00a0a\u2028b\x85c ", "a\x1cb \x1f", "<|endoftext|> a", "a \u3000 b"]
+    codes = rans._Codes(read_spec(WORD), "<u2")
+    got = [np.frombuffer(x, "<u2").tolist() for x in codes.texts(pa.array(texts, pa.string()))]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert list(codes.texts(pa.array([], pa.string()))) == []
+    asked = []
+    codes = rans._Codes(read_spec(WORD), "<u2")
+    monkeypatch.setattr(rans._Codes, "__getitem__", lambda self, run: asked.append(run) or self.of_run(run), raising=False)
+    list(codes.texts(pa.array(["one two one"] * 50, pa.string())))
+    assert len(asked) == lookups and set(asked) == {"one", "two"}
+
+
 def test_token_files_round_trip(spark, tmp_dir, monkeypatch):
     library = Tokenizer.from_file(WORD)
     rows = [(i * 7 % 101, t) for i, t in enumerate([None, "", "word " * 3000, *odd_texts(98, 13)])]

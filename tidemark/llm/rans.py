@@ -19,11 +19,13 @@ writes an empty folder that reads as an empty table.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,6 +40,7 @@ BITS = 20  # frequencies sum to 2**BITS
 LOW = np.uint64(1 << 31)  # states stay in [LOW, LOW * 2**32)
 REMEMBERED = 400_000  # runs of text a worker keeps the ids of
 BATCH_ROWS = 2000  # rows handed to Python at once
+CHARS = 1 << 24  # after so many characters the texts before are cut into runs together
 
 HEAD = np.dtype([("ids", "<u4"), ("words", "<u4"), ("crc", "<u4"), ("states", "<u8", (LANES,))])
 
@@ -143,24 +146,47 @@ class _Codes(Remembered):
 
     def __init__(self, spec: str, width: str):
         super().__init__(self.of_run, REMEMBERED)
-        self.tokenizer, self.width = WordTokenizer(spec), width
+        self.tokenizer, self.letter = WordTokenizer(spec), {"<u2": "H", "<u4": "I"}[width]
         # Runs differ by punctuation; their words recur.
         self.words = Remembered(self.of_word, REMEMBERED)
 
     def of_word(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word), self.width).tobytes()
+        ids = self.tokenizer.encode(word)
+        return struct.pack(f"<{len(ids)}{self.letter}", *ids)
 
     def of_run(self, run: str) -> bytes:
-        return self.encode(self.tokenizer.find(run))
+        words = self.tokenizer.find(run)
+        return self.words[words[0]] if len(words) == 1 else self.encode(words)
 
     def encode(self, words: list[str]) -> bytes:
         return b"".join(map(self.words.__getitem__, words))
 
-    def text(self, text: str) -> bytes:
-        runs = self.tokenizer.runs(text)
-        if runs is None:
-            return self.encode(self.tokenizer.words(text))
-        return b"".join(map(self.__getitem__, runs))
+    def texts(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, null counting as empty. Arrow cuts the texts and finds their
+        distinct runs, so that a run is looked up once for many texts."""
+        plain, others = [], {}
+        for i, text in enumerate(texts):
+            text = text.as_py() or ""
+            if (normal := self.tokenizer.spaced(text)) is None:
+                others[i] = self.encode(self.tokenizer.words(text))
+            plain.append(normal or "")
+        at = first = 0
+        while first < len(plain):
+            at, size = first, 0
+            while at < len(plain) and size < CHARS:
+                size += len(plain[at])
+                at += 1
+            runs = pc.utf8_split_whitespace(pa.array(plain[first:at], pa.large_string()))
+            keys = runs.flatten().dictionary_encode()
+            # Through NumPy, which makes the strings several times faster than to_pylist.
+            distinct = keys.dictionary.to_numpy(zero_copy_only=False).tolist()
+            ids = pa.array(list(map(self.__getitem__, distinct)), pa.large_binary()).take(keys.indices)
+            ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[runs.offsets.to_numpy()].tolist()
+            data = ids.buffers()[2]
+            data = data.to_pybytes() if data is not None else b""
+            for k, i in enumerate(range(first, at)):
+                yield others[i] if i in others else data[ends[k] : ends[k + 1]]
+            first = at
 
 
 def id_width(spec: str, end_id: int) -> str:
@@ -177,7 +203,7 @@ def tokenize(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = per_process(("codes", spec), lambda: _Codes(spec, width))
         for batch in batches:
-            ids = [codes.text(t.as_py() or "") + end for t in batch.column(1)]
+            ids = [x + end for x in codes.texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"]
             )

@@ -80,17 +80,22 @@ class WordTokenizer:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         return self.find(text)
 
-    def runs(self, text: str) -> list[str] | None:
-        """The text's runs between white space, normalised, where a run's words are the same
+    def spaced(self, text: str) -> str | None:
+        """The text normalised, where the words of its runs between white space are the same
         as inside the text: null for a tokenizer whose words may hold white space, and for
         texts with special tokens or unsettled characters."""
         if not self.normalize or len(self.segments(text)) > 1 or ODD_BLANKS(text):
             return None
         if text.isascii():
-            return text.lower().split()
+            return text.lower()
         if not SETTLED(text):
             return None
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower().split()
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+    def runs(self, text: str) -> list[str] | None:
+        """The runs of ``spaced``."""
+        spaced = self.spaced(text)
+        return None if spaced is None else spaced.split()
 
     def segments(self, text: str) -> list[str]:
         """The text cut around special tokens; every second one is a special token."""
@@ -113,6 +118,8 @@ class WordTokenizer:
         return [t.id for t in self.model.tokenize(self.to_letters(word))]
 
     def to_letters(self, word: str) -> str:
+        if word.isascii() and word.isalnum():  # these stand for themselves
+            return word
         return word.encode().decode("latin-1").translate(self.letters)
 
 
