@@ -57,6 +57,28 @@ def test_bpe_round_trip_on_edge_rows(spark, monkeypatch):
     assert bpe.encode(docs.limit(0), spec).count() == 0
 
 
+@pytest.mark.parametrize("chars, lookups", [(1, 50), (110, 8), (1 << 24, 1)])
+def test_words_of_a_run_are_found_once_for_many_texts(monkeypatch, chars, lookups):
+    monkeypatch.setattr(bpe, "CUT_CHARS", chars)
+    words = WordTokenizer(read_spec(WORD))
+
+    def chunks(texts):
+        n = len(texts)
+        columns = [pa.array(["f"] * n, pa.string()), pa.array([0] * n), pa.array(range(n)), pa.array(texts, pa.string())]
+        return list(bpe._chunks(iter([pa.RecordBatch.from_arrays(columns, list("abcd"))]), words))
+
+    texts = odd_texts(300, 8) + ["", " ", None, "\u00a0a\u2028b\x85c ", "a\x1cb \x1f", "<|endoftext|> a", "a \u3000 b"]
+    (chunk,) = chunks(texts)
+    listed, sequence = chunk.by_frequency()
+    ends = np.cumsum([len(s) for s in chunk.sequences])[:-1]
+    assert [[listed[k] for k in s] for s in np.split(sequence, ends)] == [words.words(t or "") for t in texts]
+    asked, find = [], words.find
+    monkeypatch.setattr(words, "find", lambda run: asked.append(run) or find(run))
+    (chunk,) = chunks(["don't go don't", "go!!"] * 50)
+    assert chunk.by_frequency()[0][:2] == ["don", "'t"]
+    assert asked.count("don't") == lookups
+
+
 def test_plan_texts_do_not_hold_the_piece_table(spark, capsys):
     spec = read_spec(WORD)
     rows = [(1, "own", [1, 2, None, -1, 999_999]), (2, "own", None), (3, None, [])]

@@ -21,9 +21,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -33,6 +35,7 @@ from tidemark.llm.common import Scratch, fresh, locate, per_process
 from tidemark.llm.tokens import WordTokenizer, pieces
 
 CHUNK_CHARS = 16 << 20
+CUT_CHARS = 4 << 20  # after so many characters the texts before are cut into words together
 
 
 def _number(chunk: str) -> int:
@@ -54,17 +57,48 @@ def _unpack(packed: bytes) -> np.ndarray:
 class _Chunk:
     """Documents of one piece of a file, and their distinct words."""
 
-    def __init__(self, source: tuple[str, int], number: int):
-        self.source, self.number, self.chars = source, number, 0
+    def __init__(self, source: tuple[str, int], number: int, splitter: WordTokenizer):
+        self.source, self.number, self.chars, self.splitter = source, number, 0, splitter
         self.first_use: dict[str, int] = _Positions()
         self.ids: list = []
-        self.sequences: list[np.ndarray] = []
+        self.sequences: list[np.ndarray | None] = []  # null for a text that waits
+        self.waiting_for: list[int] = []
+        self.waiting: list[str] = []
+        self.waiting_chars = 0
 
-    def add(self, key, text: str, splitter: WordTokenizer) -> None:
+    def add(self, key, text: str) -> None:
         self.chars += len(text) + 1
         self.ids.append(key)
-        found = [self.first_use[w] for w in splitter.words(text)]
-        self.sequences.append(np.array(found, dtype=np.uint32))
+        if (spaced := self.splitter.spaced(text)) is None:
+            self.sequences.append(self.places(self.splitter.words(text)))
+            return
+        self.waiting_for.append(len(self.sequences))
+        self.sequences.append(None)
+        self.waiting.append(spaced)
+        self.waiting_chars += len(spaced)
+        if self.waiting_chars >= CUT_CHARS:
+            self.cut()
+
+    def places(self, words: list[str]) -> np.ndarray:
+        return np.array([self.first_use[w] for w in words], dtype=np.uint32)
+
+    def cut(self) -> None:
+        """The words of the texts that wait. Arrow cuts them into runs between blanks and finds
+        the distinct ones, whose words are looked up once for all these texts."""
+        if not self.waiting:
+            return
+        runs = pc.utf8_split_whitespace(pa.array(self.waiting, pa.large_string()))
+        keys = runs.flatten().dictionary_encode()
+        # Through NumPy, which makes the strings several times faster than to_pylist.
+        distinct = keys.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = [self.splitter.find(run) for run in distinct]
+        places = self.places(list(chain.from_iterable(found)))
+        long = np.fromiter(map(len, found), np.int64, len(found))
+        flat, ends = _spread(places, np.cumsum(long) - long, long, keys.indices.to_numpy())
+        bounds = np.concatenate([[0], ends])[runs.offsets.to_numpy()]
+        for at, (i, j) in zip(self.waiting_for, pairwise(bounds.tolist()), strict=True):
+            self.sequences[at] = flat[i:j]
+        self.waiting_for, self.waiting, self.waiting_chars = [], [], 0
 
     @property
     def name(self) -> str:
@@ -82,6 +116,17 @@ class _Chunk:
         return [words[i] for i in order], place[flat]
 
 
+def _spread(
+    values: np.ndarray, start: np.ndarray, long: np.ndarray, sequence: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``values`` (``start``, ``long``) that ``sequence`` names, one after
+    another, and where each ends."""
+    each = long[sequence]
+    ends = np.cumsum(each)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(start[sequence] - (ends - each), each) + np.arange(total)], ends
+
+
 class _Positions(dict):
     """Position of each distinct word in order of first use."""
 
@@ -99,11 +144,13 @@ def _chunks(batches: Iterator[pa.RecordBatch], splitter: WordTokenizer) -> Itera
             source = (file.as_py(), start.as_py())
             if chunk is None or source != chunk.source or chunk.chars >= CHUNK_CHARS:
                 if chunk is not None:
+                    chunk.cut()
                     yield chunk
                 same = chunk is not None and source == chunk.source
-                chunk = _Chunk(source, chunk.number + 1 if same else 0)
-            chunk.add(key.as_py(), text.as_py() or "", splitter)
+                chunk = _Chunk(source, chunk.number + 1 if same else 0, splitter)
+            chunk.add(key.as_py(), text.as_py() or "")
     if chunk is not None:
+        chunk.cut()
         yield chunk
 
 
@@ -189,11 +236,7 @@ def encode(
         start, long = np.empty((2, len(places)), np.int64)
         start[places], long[places] = np.cumsum(lengths, dtype=np.int64) - lengths, lengths
         sequence = _unpack(documents.column("sequence")[0].as_py())
-        each = long[sequence]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        # Every id's place: its word's start, plus its place in the word.
-        flat = codes[np.repeat(start[sequence] - (ends - each), each) + np.arange(total)]
+        flat, ends = _spread(codes, start, long, sequence)
         words = np.cumsum(documents.column("lengths")[0].values.to_numpy())
         bounds = np.concatenate([[0], np.concatenate([[0], ends])[words]])
         ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.astype(np.int32)))
