@@ -334,6 +334,28 @@ def test_prefix_rows_are_made_for_anchors_not_for_each_token(spark):
     assert len(rows) <= 9 * len(lines)
 
 
+def test_pairs_take_short_hashes_along_and_lose_no_match(spark, monkeypatch):
+    words = [f"w{k}" for k in range(60)]
+    # The last ones match the first at the limit (48 of 64 tokens) and just not (47 of 65).
+    ends = [f"x{k}" for k in range(9)]
+    texts = [" ".join(words), " ".join([*words[:52], *ends[:8]]), " ".join([*words[:51], *ends])]
+    lines = spark.createDataFrame([(1, k, x) for k, x in enumerate(texts)], "doc long, line int, content string")
+    pairs = spark.createDataFrame([(1, k, 1, 0) for k in (1, 2)], "doc long, line int, to_doc long, to_line int")
+    types, both = [], line_dedup._with_both
+
+    def recorded(pairs, lines, column):
+        types.append(lines.schema[column].dataType.simpleString())
+        return both(pairs, lines, column)
+
+    monkeypatch.setattr(line_dedup, "_with_both", recorded)
+    with Scratch(spark) as scratch:
+        likely = scratch.write(line_dedup._likely(pairs, lines, scratch, "some"), "likely")
+        assert (1, 1, 1, 0) in [tuple(r) for r in likely.select("doc", "line", "to_doc", "to_line").collect()]
+        found = line_dedup._verify(likely, lines, scratch, "some").collect()
+    assert [r["line"] for r in found] == [1]
+    assert types == ["array<int>", "string"]
+
+
 @pytest.mark.parametrize("seed", [4, 5])
 def test_matching_lines_share_an_anchor_that_the_filters_keep(spark, seed):
     texts = "\n".join(filter(None, line_texts(seed))).lower().split("\n")

@@ -33,6 +33,8 @@ table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -101,17 +103,19 @@ def _runs(parts: Column, width: int) -> Column:
     return F.arrays_zip(*[F.slice(parts, F.lit(k + 1), starts).alias(f"w{k}") for k in range(width)])
 
 
-def _with_hashes(rows: DataFrame, content: str, tokens: str) -> DataFrame:
-    """Add a line's distinct tokens as 64-bit hashes (of the words' hashes). The words are a
+def _with_hashes(
+    rows: DataFrame, content: str, tokens: str, hashed: Callable[[Column], Column] = F.xxhash64
+) -> DataFrame:
+    """Add a line's distinct tokens as hashes (of the words' 64-bit hashes). The words are a
     column of their own first, so that they are split once a line and not once a token."""
     parts = fresh(rows, "parts")
     words = F.transform(F.split(F.col(content), " "), lambda w: F.xxhash64(w))
-    many = F.transform(_runs(F.col(parts), SHINGLE), lambda run: F.xxhash64(run))
+    many = F.transform(_runs(F.col(parts), SHINGLE), lambda run: hashed(run))
     return (
         rows.withColumn(parts, words)
         .withColumn(
             tokens,
-            F.array_distinct(F.when(F.size(parts) >= SHINGLE, many).otherwise(F.array(F.xxhash64(parts)))),
+            F.array_distinct(F.when(F.size(parts) >= SHINGLE, many).otherwise(F.array(hashed(F.col(parts))))),
         )
         .drop(parts)
     )
@@ -303,11 +307,13 @@ def _with_both(pairs: DataFrame, lines: DataFrame, column: str) -> DataFrame:
 
 def _likely(pairs: DataFrame, lines: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Of pairs those that may match by their lines' hashed tokens, which are made once a line
-    and not once a pair. One token is given away, should two of them have the same hash."""
+    and not once a pair. The hashes have 32 bits, as every pair takes them along. Some tokens
+    are given away, far more than may have the hash of another of the line."""
     pairs = scratch.write(pairs, f"{name}_all")
     found = _placed_in(lines, _places(pairs), scratch, f"{name}_all_bits")
-    sets = _with_both(pairs, _with_hashes(found, "content", "set"), "set")
-    may = (F.size(F.array_intersect("a", "b")) + 1) * 4 >= F.size(F.array_union("a", "b")) * 3
+    sets = _with_both(pairs, _with_hashes(found, "content", "set", F.hash), "set")
+    spare = F.shiftright(F.size("a"), 10) + 2
+    may = (F.size(F.array_intersect("a", "b")) + spare) * 4 >= F.size(F.array_union("a", "b")) * 3
     return sets.select(*pairs.columns, may.alias("may")).where("may").drop("may")
 
 
